@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 class RuleError(ValueError):
@@ -45,9 +46,15 @@ class Check:
     predicate: Column | None = None
     keys: tuple[str, ...] = ()
     null_equal: bool = False
+    digest: bool = False
     reference: DataFrame | None = None
     message: str | None = None
 
+    def key_columns(self) -> list[Column]:
+        """The key as columns; long texts may be compared by their SHA-256 digest."""
+        columns = [F.col(f"`{k}`") for k in self.keys]
+        return [F.sha2(c.cast("string"), 256) for c in columns] if self.digest else columns
+
 
 @dataclass(frozen=True)
 class Reference:

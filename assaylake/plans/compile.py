@@ -40,7 +40,13 @@ def _unique(df: DataFrame, rule: Rule) -> Check:
         raise RuleError(f"uniqueness scope '{scope}' is not known")
     keys = tuple(dict.fromkeys(columns))
     _columns(df, keys)
-    return Check(rule, "unique", keys=keys, null_equal=rule.params.get("nulls") == "equal")
+    return Check(
+        rule,
+        "unique",
+        keys=keys,
+        null_equal=rule.params.get("nulls") == "equal",
+        digest=bool(rule.params.get("digest", False)),
+    )
 
 
 def _reference(df: DataFrame, rule: Rule, refs: References) -> Check:

@@ -38,7 +38,7 @@ def _null_key(columns: list[Column]) -> Column:
 def key_counts(df: DataFrame, check: Check) -> DataFrame:
     """One row per key: ``__k*``, ``n`` rows, and whether the key is ``bad``."""
     names = _key_names(check)
-    keys = [F.col(f"`{k}`").alias(n) for k, n in zip(check.keys, names)]
+    keys = [c.alias(n) for c, n in zip(check.key_columns(), names)]
     counts = df.select(*keys).groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
     null_key = _null_key([F.col(n) for n in names])
     if check.kind == "unique":
@@ -83,7 +83,7 @@ def attach_key_verdict(df: DataFrame, check: Check, name: str, among: Column | N
     names = _key_names(check)
     counts = key_counts(scope, check)
     bad = settle(counts.where("bad").select(*names), "bad-keys")
-    columns = [F.col(f"`{k}`") for k in check.keys]
+    columns = check.key_columns()
     # Rows with a NULL key never match; they pass uniqueness and fail referential integrity.
     null_passes = check.kind == "unique"
 
