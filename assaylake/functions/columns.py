@@ -26,11 +26,26 @@ def any_of(columns: list[Column]) -> Column:
 
 
 def percent(part: Column, whole: Column, empty: float = 100.0, digits: int | None = 2) -> Column:
-    """``part`` of ``whole`` in percent; ``empty`` where there is nothing to count."""
-    value = F.when(whole == 0, F.lit(empty)).otherwise(part / whole * 100)
+    """``part`` of ``whole`` in percent; ``empty`` where there is nothing to count.
+
+    Multiplied before it is divided: a single rounding step keeps ties exact.
+    """
+    value = F.when(whole == 0, F.lit(empty)).otherwise(part * 100 / whole)
     return F.round(value, digits) if digits is not None else value
 
 
+def mean_of(total: Column, count: Column, digits: int | None = 2) -> Column:
+    """A decimal total over a count, divided as decimals so that ties round exactly; NULL for no rows."""
+    value = total / F.when(count != 0, count)
+    return (F.round(value, digits) if digits is not None else value).cast("double")
+
+
+def exact_mean(column: str | Column, digits: int | None = 2) -> Column:
+    """Mean of amounts or scores with two decimals; NULLs left out, independent of the order of partitions."""
+    c = F.col(column) if isinstance(column, str) else column
+    return mean_of(F.sum(c.cast("decimal(18,2)")), F.count(c), digits)
+
+
 def stable_id(*parts: Column | str) -> Column:
     """An id that a rerun reproduces."""
     cols = [F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts]

@@ -73,18 +73,16 @@ def quarantine_log(
         else F.array(F.when(F.lit(False), _entry(Rule("", "", ""))))
     )
     hidden = mask or {}
-    payload = [
-        (masked(F.col(f"`{c}`"), hidden[c]) if c in hidden else F.col(f"`{c}`")).alias(c) for c in v.source
+    record = [
+        masked(F.col(f"`{c}`"), hidden[c]).alias(c) if c in hidden else F.col(f"`{c}`") for c in v.source
     ]
     key = F.col(f"`{record_key}`").cast("string")
     # Filter before the payload is built: JSON is written for failing rows only.
-    rows = v.frame.select(*[F.col(f"`{c}`") for c in v.source], entries.alias("__entries")).where(
-        F.size("__entries") > 0
-    )
+    failing = v.frame.select(*record, key.alias("__key"), entries.alias("__entries")).where(F.size("__entries") > 0)
     # The payload also enters the id, so that rows that share a record key keep entries of their own.
-    rows = rows.select(
-        key.alias("record_key"),
-        F.to_json(F.struct(*payload)).alias("record_payload"),
+    rows = failing.select(
+        F.col("__key").alias("record_key"),
+        F.to_json(F.struct(*[F.col(f"`{c}`") for c in v.source])).alias("record_payload"),
         F.explode("__entries").alias("e"),
     )
     return rows.select(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assaylake.functions.columns import exact_mean
+
 
 def feedback_payload(log: DataFrame, scores: DataFrame, run_id: str | None = None, sla: float = 80.0) -> DataFrame:
     """Rule results with the score of their dataset; ``payload`` holds the attributes as JSON."""
@@ -36,9 +38,8 @@ def feedback_payload(log: DataFrame, scores: DataFrame, run_id: str | None = Non
 
 def feedback_digest(payload: DataFrame) -> DataFrame:
     """Updates, mean score and service-level violations per dataset."""
-    mean = F.sum(F.col("dq_score").cast("decimal(18,2)")).cast("double") / F.count("dq_score")
     return payload.groupBy("dataset").agg(
         F.count(F.lit(1)).alias("updates"),
-        F.round(mean, 1).alias("avg_dq_score"),
+        exact_mean("dq_score", 1).alias("avg_dq_score"),
         F.count_if("sla_violation").alias("sla_violations"),
     )

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.functions.columns import instant
+from assaylake.functions.columns import exact_mean, instant, mean_of
 from assaylake.operators.lineage import gold_enrich
 
 MONEY = "decimal(18,2)"
@@ -48,7 +48,7 @@ def customer_360(
         .agg(
             count.alias("total_transactions"),
             total.cast("double").alias("total_spend"),
-            F.round(total.cast("double") / F.count(F.col(f"`{amount}`")), 2).alias("avg_transaction_amount"),
+            mean_of(total, F.count(F.col(f"`{amount}`"))).alias("avg_transaction_amount"),
             F.max(date).alias("last_transaction_date"),
             F.min(date).alias("first_transaction_date"),
         )
@@ -78,7 +78,7 @@ def engagement_distribution(customer_view: DataFrame) -> DataFrame:
     """Customers and mean spend per tier."""
     return customer_view.groupBy("engagement_tier").agg(
         F.count(F.lit(1)).alias("customer_count"),
-        F.round(_money_sum("total_spend").cast("double") / F.count("total_spend"), 2).alias("avg_spend"),
+        exact_mean("total_spend").alias("avg_spend"),
     )
 
 
@@ -103,11 +103,11 @@ def product_catalog(
 
 def sales_metrics(transactions: DataFrame, *, group: str, amount: str, quantity: str) -> DataFrame:
     """Orders, revenue, mean order value and units per group (merchant, brand, ...)."""
-    revenue = _money_sum(amount).cast("double")
+    revenue = _money_sum(amount)
     return transactions.groupBy(F.col(f"`{group}`")).agg(
         F.count(F.lit(1)).alias("total_orders"),
-        revenue.alias("total_revenue"),
-        F.round(revenue / F.count(F.col(f"`{amount}`")), 2).alias("avg_order_value"),
+        revenue.cast("double").alias("total_revenue"),
+        mean_of(revenue, F.count(F.col(f"`{amount}`"))).alias("avg_order_value"),
         _money_sum(quantity).cast("double").alias("total_units_sold"),
     )
 

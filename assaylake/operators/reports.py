@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.functions.columns import health
+from assaylake.functions.columns import exact_mean, health, percent
 
 UPPER = ("HEALTHY", "WARNING", "CRITICAL")
 TITLE = ("Healthy", "Warning", "Critical")
@@ -26,12 +26,6 @@ BUCKETS = (
 LAST_BUCKET = "5 - Critical (< 40%)"
 
 
-def _mean(name: str, digits: int | None) -> Column:
-    """Mean of a score with two decimals; summed exactly, NULL scores left out."""
-    value = F.sum(F.col(name).cast("decimal(18,2)")).cast("double") / F.count(F.col(name))
-    return F.round(value, digits) if digits is not None else value
-
-
 def _rows() -> Column:
     return F.count(F.lit(1))
 
@@ -44,13 +38,13 @@ def _with(status: str) -> Column:
 
 
 def overall_score(scores: DataFrame, column: str = "overall_dq_score") -> DataFrame:
-    return scores.agg(_mean(column, 1).alias("overall_dq_score"))
+    return scores.agg(exact_mean(column, 1).alias("overall_dq_score"))
 
 
 def scorecard(scores: DataFrame) -> DataFrame:
     """Datasets, worst first, with the share of rows that came through."""
     rate = F.when(
-        F.col("total_records_in") > 0, F.round(F.col("total_records_out") / F.col("total_records_in") * 100, 1)
+        F.col("total_records_in") > 0, F.round(F.col("total_records_out") * 100 / F.col("total_records_in"), 1)
     )
     return scores.select(
         "dataset_name",
@@ -76,8 +70,8 @@ def by_rule_type(log: DataFrame) -> DataFrame:
         _with("passed").alias("passed"),
         _with("failed").alias("failed"),
         _with("error").alias("errored"),
-        F.round(_with("passed") * 100.0 / _rows(), 1).cast("double").alias("pass_rate_pct"),
-        _mean("dq_score", 2).alias("avg_dq_score"),
+        percent(_with("passed"), _rows(), digits=1).alias("pass_rate_pct"),
+        exact_mean("dq_score", 2).alias("avg_dq_score"),
         F.round(F.avg("execution_duration_ms"), 0).alias("avg_duration_ms"),
     )
 
@@ -104,7 +98,7 @@ def top_failing_rules(log: DataFrame, k: int | None = 10) -> DataFrame:
 def heatmap(log: DataFrame) -> DataFrame:
     return (
         log.groupBy("dataset_name", "rule_type")
-        .agg(_mean("dq_score", None).alias("avg"))
+        .agg(exact_mean("dq_score", None).alias("avg"))
         .select(
             "dataset_name",
             "rule_type",
@@ -120,7 +114,7 @@ def by_severity(log: DataFrame) -> DataFrame:
         _rows().alias("rule_count"),
         _with("passed").alias("rules_passed"),
         _with("failed").alias("rules_failed"),
-        _mean("dq_score", 2).alias("avg_score"),
+        exact_mean("dq_score", 2).alias("avg_score"),
         F.sum("failed_count").alias("total_failed_records"),
     )
 
@@ -147,7 +141,7 @@ def enforcement_effect(log: DataFrame) -> DataFrame:
     return log.groupBy("enforcement_mode", "dataset_name").agg(
         _rows().alias("rules_applied"),
         F.sum("failed_count").alias("total_failures_caught"),
-        _mean("dq_score", 2).alias("avg_dq_score"),
+        exact_mean("dq_score", 2).alias("avg_dq_score"),
     )
 
 
@@ -197,7 +191,7 @@ def framework_health(log: DataFrame, scores: DataFrame, quarantine_entries: Colu
     of_log = per_dataset.agg(
         _rows().alias("datasets"), F.sum("rules").alias("rules"), F.sum("passed").alias("passed"), F.sum("failed").alias("failed")
     )
-    of_scores = scores.agg(entries.alias("entries"), _mean("overall_dq_score", 1).alias("score"))
+    of_scores = scores.agg(entries.alias("entries"), exact_mean("overall_dq_score", 1).alias("score"))
 
     def lines(df: DataFrame, items: dict[str, Column]) -> DataFrame:
         rows = [F.struct(F.lit(k).alias("metric"), v.cast("string").alias("value")) for k, v in items.items()]
@@ -252,7 +246,7 @@ def quarantine_listing(quarantined: DataFrame, columns: Sequence[str]) -> DataFr
 def kpi_counters(by_dataset: DataFrame, by_rule: DataFrame) -> DataFrame:
     """Overall score, records, rules and failures as metric and value."""
     records = by_dataset.agg(
-        _mean("pass_rate_pct", 1).alias("score"), F.sum("total_records").cast("double").alias("records")
+        exact_mean("pass_rate_pct", 1).alias("score"), F.sum("total_records").cast("double").alias("records")
     )
     per_rule = by_rule.groupBy("rule_id").agg(F.sum("failed_count").alias("failed"))
     failures = per_rule.agg(_rows().cast("double").alias("rules"), F.sum("failed").cast("double").alias("failures"))
@@ -309,10 +303,9 @@ def score_distribution(validated: DataFrame, dataset: str) -> DataFrame:
 
 def score_stats(validated: DataFrame, dataset: str) -> DataFrame:
     score = F.col("_dq.row_score")
-    mean = F.sum(score.cast("decimal(5,2)")).cast("double") / _rows()
     return validated.agg(
         F.lit(dataset).alias("dataset"),
-        F.round(mean, 2).alias("avg_score"),
+        exact_mean(score).alias("avg_score"),
         F.min(score).alias("min_score"),
         F.max(score).alias("max_score"),
         _rows().alias("total_rows"),

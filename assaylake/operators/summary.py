@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.functions.columns import instant, percent
+from assaylake.functions.columns import instant, mean_of, percent
 from assaylake.plans.metrics import Tally, average_row_score
 
 
@@ -59,7 +59,7 @@ def summaries_from_detail(detail: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.count(F.lit(1)).alias("evaluations"),
         F.count_if(ok).alias("passed"),
         F.bool_and("all_passed").alias("all_passed"),
-        F.sum(F.col("row_score").cast("decimal(5,2)")).alias("score"),
+        F.sum(F.col("row_score").cast("decimal(18,2)")).alias("score"),
         F.min("evaluated_at").alias("evaluated_at"),
     )
     evaluations, passed = F.sum("evaluations"), F.sum("passed")
@@ -70,7 +70,7 @@ def summaries_from_detail(detail: DataFrame) -> tuple[DataFrame, DataFrame]:
         percent(passed, evaluations).alias("pass_rate_pct"),
         F.count(F.lit(1)).alias("total_records"),
         F.count_if("all_passed").alias("fully_clean_records"),
-        F.round(F.sum("score").cast("double") / evaluations, 2).alias("avg_row_score"),
+        mean_of(F.sum("score"), evaluations).alias("avg_row_score"),
         F.min("evaluated_at").alias("evaluated_at"),
     )
     total, good = F.count(F.lit(1)), F.count_if(ok)

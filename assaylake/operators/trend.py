@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from assaylake.functions.columns import exact_mean, mean_of
+
 
 def daily_counts(df: DataFrame, passed: Column, day: Column, by: Sequence[str | Column]) -> DataFrame:
     """Rows and passed rows per group and day: the compact table all trends are made of."""
@@ -28,20 +30,18 @@ def score_trend(daily: DataFrame, by: Sequence[str], days: Sequence[int] = (7, 3
     rolling = []
     for n in days:
         window = Window.partitionBy(*by).orderBy(number).rangeBetween(-(n - 1), 0)
-        mean = F.sum(exact).over(window).cast("double") / F.count(exact).over(window)
-        rolling.append(F.round(mean, 2).alias(f"score_{n}d"))
+        rolling.append(mean_of(F.sum(exact).over(window), F.count(exact).over(window)).alias(f"score_{n}d"))
     return scored.select(*by, "day", "total", "passed", "score", *rolling)
 
 
 def domain_score(scores: DataFrame, domains: DataFrame) -> DataFrame:
     """Mean dataset score per domain and day. ``domains`` maps ``dataset_name`` to ``domain``."""
-    exact = F.col("overall_dq_score").cast("decimal(18,2)")
     return (
         scores.join(domains, "dataset_name")
         .groupBy("domain", F.col("scored_at").cast("date").alias("day"))
         .agg(
             F.count(F.lit(1)).alias("datasets"),
-            F.round(F.sum(exact).cast("double") / F.count(exact), 2).alias("domain_score"),
+            exact_mean("overall_dq_score").alias("domain_score"),
         )
     )
 

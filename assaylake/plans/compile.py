@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,8 +66,7 @@ def _reference(df: DataFrame, rule: Rule, refs: References) -> Check:
 
 def _value_list(df: DataFrame, rule: Rule) -> Check:
     _columns(df, [rule.column])
-    values = [(v,) for v in rule.params["values"]]
-    frame = df.sparkSession.createDataFrame(values, ["ref_key"])
+    frame = df.sparkSession.createDataFrame(pa.table({"ref_key": pa.array(rule.params["values"])}))
     return Check(rule, "reference", keys=(rule.column,), reference=frame)
 
 

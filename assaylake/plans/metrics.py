@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.functions.columns import all_of, instant, percent, stable_id
+from assaylake.functions.columns import all_of, instant, mean_of, percent, stable_id
 from assaylake.model import Check, Rule
 from assaylake.plans.keyed import key_metrics
 from assaylake.plans.verdicts import Verdicts
@@ -115,7 +115,7 @@ def tally(verdicts: Verdicts) -> Tally:
     passed = [v.passed(i) for i in range(count)]
     counters.append(F.count_if(all_of(passed)).alias("n_all_passed"))
     # Two decimals per row, so the sum is exact and does not depend on the order of partitions.
-    counters.append(F.sum(v.row_score().cast("decimal(5,2)")).cast("double").alias("sum_row_score"))
+    counters.append(F.sum(v.row_score().cast("decimal(18,2)")).alias("sum_row_score"))
     for i in range(count):
         seen = v.seen(i)
         if seen is None:
@@ -127,7 +127,7 @@ def tally(verdicts: Verdicts) -> Tally:
 
 
 def average_row_score(n: Column) -> Column:
-    return F.when(n == 0, F.lit(100.0)).otherwise(F.round(F.col("sum_row_score") / n, 2))
+    return F.coalesce(mean_of(F.col("sum_row_score"), n), F.lit(100.0))
 
 
 def execution_log(counts: DataFrame, run: Run) -> DataFrame:
@@ -178,7 +178,8 @@ def dataset_score(counts: Tally, run: Run) -> DataFrame:
     scores = [percent(F.col(f"p{i}"), total(i)) for i in able]
     passed_rules = add([F.when(F.col(f"p{i}") == total(i), 1).otherwise(0) for i in able])
     passed, seen = add([F.col(f"p{i}") for i in able]), add([total(i) for i in able])
-    mean = F.round(sum(scores, F.lit(0.0)) / len(able), 2) if able else F.lit(100.0)
+    exact = sum((s.cast("decimal(18,2)") for s in scores), F.lit(0).cast("decimal(18,2)"))
+    mean = mean_of(exact, F.lit(len(able))) if able else F.lit(100.0)
     every = F.lit(len(v.checks))
     return counts.frame.select(
         stable_id(run.run_id, run.dataset).alias("score_id"),

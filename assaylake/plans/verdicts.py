@@ -58,7 +58,7 @@ class Verdicts:
         """Percent of rules the row passes; 100 if there are none."""
         if not self.rules:
             return F.lit(100.0)
-        return F.round(self.passed_count() / len(self.rules) * 100, 2)
+        return F.round(self.passed_count() * 100 / len(self.rules), 2)
 
 
 def _name(position: int) -> str:
