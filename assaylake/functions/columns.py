@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,12 +17,59 @@ def instant(value: str | dt.datetime | None) -> Column:
     return F.lit(text).cast("timestamp")
 
 
+def _balanced(op: Callable[[Column, Column], Column], columns: list[Column], empty: Column) -> Column:
+    """Combine pairwise, so that hundreds of rules make a shallow expression."""
+    if not columns:
+        return empty
+    while len(columns) > 1:
+        pairs = [op(a, b) for a, b in zip(columns[::2], columns[1::2])]
+        columns = pairs + columns[len(pairs) * 2 :]
+    return columns[0]
+
+
 def all_of(columns: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, columns) if columns else F.lit(True)
+    return _balanced(lambda a, b: a & b, columns, F.lit(True))
 
 
 def any_of(columns: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, columns) if columns else F.lit(False)
+    return _balanced(lambda a, b: a | b, columns, F.lit(False))
+
+
+def total_of(columns: list[Column]) -> Column:
+    return _balanced(lambda a, b: a + b, columns, F.lit(0))
+
+
+def _sql_literal(value: object) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, int):
+        return str(value)
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def constant(rows: list, dtype: str) -> Column:
+    """A constant array of values or of structs given as dicts, in one expression that Spark folds to a literal.
+
+    A Column per field would make plans of hundreds of rules slow to build.
+    """
+    items = []
+    for row in rows:
+        if isinstance(row, dict):
+            items.append("named_struct(" + ", ".join(f"'{k}', {_sql_literal(v)}" for k, v in row.items()) + ")")
+        else:
+            items.append(_sql_literal(row))
+    return F.expr(f"array({', '.join(items)})").cast(f"array<{dtype}>")
+
+
+def picked(values: Column, flags: Column, wanted: bool = True) -> Column:
+    """The values whose flag is ``wanted``, in order. ``flags`` should be a plain column: it is read per value.
+
+    One lambda over two arrays instead of a branch per rule: with many rules the branches would make a generated
+    method too long for the JVM to compile.
+    """
+    return F.filter(values, lambda _, i: F.get(flags, i) if wanted else ~F.get(flags, i))
 
 
 def percent(part: Column, whole: Column, empty: float = 100.0, digits: int | None = 2) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.functions.columns import instant, masked, stable_id
+from assaylake.functions.columns import constant, instant, masked, picked, stable_id
 from assaylake.model import Rule
 from assaylake.plans.metrics import Run
 from assaylake.plans.verdicts import Verdicts
@@ -67,23 +67,20 @@ def quarantine_log(
     All rules are unfolded at once, so the plan does not grow a union branch per rule. ``mask`` hides personal
     columns (see :func:`assaylake.functions.columns.masked`) before they enter the payload.
     """
-    entries = F.array_compact(
-        F.array(*[F.when(v.failed(i), _entry(rule)) for i, rule in enumerate(v.rules)])
-        if v.rules
-        else F.array(F.when(F.lit(False), _entry(Rule("", "", ""))))
-    )
     hidden = mask or {}
     record = [
         masked(F.col(f"`{c}`"), hidden[c]).alias(c) if c in hidden else F.col(f"`{c}`") for c in v.source
     ]
     key = F.col(f"`{record_key}`").cast("string")
     # Filter before the payload is built: JSON is written for failing rows only.
-    failing = v.frame.select(*record, key.alias("__key"), entries.alias("__entries")).where(F.size("__entries") > 0)
+    flagged = v.frame.select(*record, key.alias("__key"), v.flags(failed=True).alias("__failed"))
+    failing = flagged.where(F.exists("__failed", lambda f: f))
+    entries = picked(constant([_entry(r) for r in v.rules], _ENTRY_TYPE), F.col("__failed"))
     # The payload also enters the id, so that rows that share a record key keep entries of their own.
     rows = failing.select(
         F.col("__key").alias("record_key"),
         F.to_json(F.struct(*[F.col(f"`{c}`") for c in v.source])).alias("record_payload"),
-        F.explode("__entries").alias("e"),
+        F.explode(entries).alias("e"),
     )
     return rows.select(
         stable_id(run.run_id, run.dataset, F.col("e.rule_id"), F.col("record_key"), F.col("record_payload")).alias(
@@ -106,19 +103,17 @@ def quarantine_log(
     )
 
 
-def _entry(rule: Rule) -> Column:
-    return F.struct(
-        F.lit(rule.rule_id).alias("rule_id"),
-        F.lit(rule.rule_type).alias("rule_type"),
-        F.lit(rule.column).alias("column"),
-        F.lit(rule.severity).alias("severity"),
-    )
+_ENTRY_TYPE = "struct<rule_id:string,rule_type:string,column:string,severity:string>"
+
+
+def _entry(rule: Rule) -> dict[str, str]:
+    return {"rule_id": rule.rule_id, "rule_type": rule.rule_type, "column": rule.column, "severity": rule.severity}
 
 
 def gate(scores: DataFrame, threshold_pct: float = 50.0) -> DataFrame:
     """Circuit breaker: may a dataset be published? Not if more than ``threshold_pct`` of its rows fail hard."""
     rate = F.when(F.col("total_records_in") == 0, F.lit(0.0)).otherwise(
-        F.col("quarantined_rows") * 100.0 / F.col("total_records_in")
+        F.col("quarantined_rows") * 100 / F.col("total_records_in")
     )
     return scores.select(
         "dataset_name",

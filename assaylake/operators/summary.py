@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.functions.columns import instant, mean_of, percent
+from assaylake.functions.columns import instant, mean_of, percent, total_of
 from assaylake.plans.metrics import Tally, average_row_score
 
 
@@ -35,7 +35,7 @@ def dataset_summary(counts: Tally, dataset: str, evaluated_at: str | dt.datetime
     rules = len(counts.verdicts.rules)
     n = F.col("n")
     evaluations = n * rules
-    passed = sum((F.col(f"p{i}") for i in range(rules)), F.lit(0).cast("long"))
+    passed = total_of([F.col(f"p{i}") for i in range(rules)]).cast("long")
     return counts.frame.select(
         F.lit(dataset).alias("dataset_name"),
         evaluations.alias("total_evaluations"),

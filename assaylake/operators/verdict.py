@@ -3,72 +3,85 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.functions.columns import instant
+from assaylake.functions.columns import constant, instant, picked
 from assaylake.model import Rule
 from assaylake.plans.verdicts import Verdicts
 
 
-def _result(rule: Rule, passed: Column) -> Column:
-    return F.struct(
-        F.lit(rule.rule_id).alias("rule_id"),
-        F.lit(rule.rule_name).alias("rule_name"),
-        F.lit(rule.rule_type).alias("rule_type"),
-        F.lit(rule.column).alias("column"),
-        F.lit(rule.severity).alias("severity"),
-        F.lit(rule.enforcement).alias("enforcement"),
-        passed.alias("passed"),
-    )
-
-
-_RESULT_TYPE = (
-    "array<struct<rule_id:string,rule_name:string,rule_type:string,column:string,severity:string,"
-    "enforcement:string,passed:boolean>>"
+_ITEM_TYPE = (
+    "struct<rule_id:string,rule_name:string,rule_type:string,column:string,severity:string,"
+    "enforcement:string,passed:boolean>"
 )
 
 
-def _ids(v: Verdicts, wanted: bool) -> Column:
-    picks = []
-    for i, rule in enumerate(v.rules):
-        hit = v.passed(i) if wanted else ~v.passed(i)
-        picks.append(F.when(hit, F.lit(rule.rule_id)))
-    if not picks:
-        return F.array().cast("array<string>")
-    return F.array_compact(F.array(*picks))
-
-
-def verdict_struct(v: Verdicts, evaluated_at: str | dt.datetime | None = None) -> Column:
-    """The ``_dq`` struct. Its schema does not depend on the rules: a further rule lengthens arrays."""
-    total = len(v.rules)
-    passed = v.passed_count()
-    results = F.array(*[_result(r, v.passed(i)) for i, r in enumerate(v.rules)])
+def _entries(rules: Sequence[Rule], passed: bool) -> Column:
+    rows = [
+        {
+            "rule_id": r.rule_id,
+            "rule_name": r.rule_name,
+            "rule_type": r.rule_type,
+            "column": r.column,
+            "severity": r.severity,
+            "enforcement": r.enforcement,
+            "passed": passed,
+        }
+        for r in rules
+    ]
+    return constant(rows, _ITEM_TYPE)
+
+
+def _results(rules: Sequence[Rule], flags: Column, keep: str) -> Column:
+    """Result entries; each is picked from two constant arrays, no struct is built per row."""
+    good, bad = _entries(rules, True), _entries(rules, False)
+    if keep == "all":
+        return F.transform(flags, lambda p, i: F.when(p, F.get(good, i)).otherwise(F.get(bad, i)))
+    if keep == "failed":
+        return picked(bad, flags, wanted=False)
+    raise ValueError(f"results must be 'all' or 'failed', not '{keep}'")
+
+
+def _verdict(rules: Sequence[Rule], flags: Column, evaluated_at: str | dt.datetime | None, results: str) -> Column:
+    total = len(rules)
+    ids = constant([r.rule_id for r in rules], "string")
+    passed = F.size(picked(ids, flags))
+    score = F.round(passed * 100 / total, 2) if total else F.lit(100.0)
     return F.struct(
-        results.cast(_RESULT_TYPE).alias("results"),
-        _ids(v, True).alias("passed_rules"),
-        _ids(v, False).alias("failed_rules"),
-        passed.cast("int").alias("passed_count"),
-        (F.lit(total) - passed).cast("int").alias("failed_count"),
-        F.lit(total).cast("int").alias("total_rules"),
-        v.row_score().alias("row_score"),
+        _results(rules, flags, results).alias("results"),
+        picked(ids, flags).alias("passed_rules"),
+        picked(ids, flags, wanted=False).alias("failed_rules"),
+        passed.alias("passed_count"),
+        (F.lit(total) - passed).alias("failed_count"),
+        F.lit(total).alias("total_rules"),
+        score.alias("row_score"),
         (passed == total).alias("all_passed"),
         instant(evaluated_at).alias("evaluated_at"),
     )
 
 
-def validated(v: Verdicts, evaluated_at: str | dt.datetime | None = None) -> DataFrame:
-    """Source columns plus ``_dq``."""
-    return v.frame.select(*[F.col(f"`{c}`") for c in v.source], verdict_struct(v, evaluated_at).alias("_dq"))
+def validated(v: Verdicts, evaluated_at: str | dt.datetime | None = None, results: str = "all") -> DataFrame:
+    """Source columns plus the ``_dq`` struct.
+
+    The schema of ``_dq`` does not depend on the rules: a further rule lengthens arrays. ``results="failed"`` keeps
+    the entries of failed rules only. Repeating seven fields per passed rule and row is most of the volume of a
+    validated table; splits, listings and failure details need the failures alone.
+    """
+    source = [F.col(f"`{c}`") for c in v.source]
+    flagged = v.frame.select(*source, v.flags().alias("__flags"))
+    return flagged.select(*source, _verdict(v.rules, F.col("__flags"), evaluated_at, results).alias("_dq"))
 
 
 def annotate(v: Verdicts, evaluated_at: str | dt.datetime | None = None) -> DataFrame:
     """Source columns plus flat ``_dq_<rule_id>`` booleans and ``_dq_*`` summary columns."""
-    flags = [v.passed(i).alias(flag_name(r.rule_id)) for i, r in enumerate(v.rules)]
-    dq = verdict_struct(v, evaluated_at)
-    frame = v.frame.select(*[F.col(f"`{c}`") for c in v.source], *flags, dq.alias("_dq"))
-    return flatten(frame)
+    source = [F.col(f"`{c}`") for c in v.source]
+    flagged = v.frame.select(*source, v.flags().alias("__flags"))
+    flags = [F.get("__flags", F.lit(i)).alias(flag_name(r.rule_id)) for i, r in enumerate(v.rules)]
+    dq = _verdict(v.rules, F.col("__flags"), evaluated_at, "failed")
+    return flatten(flagged.select(*source, *flags, dq.alias("_dq")))
 
 
 def flag_name(rule_id: str) -> str:
@@ -131,7 +144,7 @@ def detail(df: DataFrame, dataset: str, primary_key: str, failures_only: bool =
 
 def detail_flat(df: DataFrame, rules: list[Rule], dataset: str, primary_key: str) -> DataFrame:
     """The same long form from flat ``_dq_<rule_id>`` columns, keyed by the primary key."""
-    results = F.array(*[_result(r, F.col(flag_name(r.rule_id))) for r in rules])
+    results = _results(rules, F.array(*[F.col(flag_name(r.rule_id)) for r in rules]), "all")
     packed = df.select(
         F.col(f"`{primary_key}`"),
         F.struct(

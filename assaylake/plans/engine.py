@@ -100,13 +100,15 @@ def process_all(
 Writer = Callable[[DataFrame, str], DataFrame]
 
 
-def publish(result: Result, dataset: Dataset, write: Writer) -> dict[str, DataFrame]:
+def publish(result: Result, dataset: Dataset, write: Writer, results: str = "all") -> dict[str, DataFrame]:
     """Write the validated table once and derive clean, quarantine and detail from the stored copy.
 
-    ``write(frame, name)`` stores a frame and returns a reader of it.
+    ``write(frame, name)`` stores a frame and returns a reader of it. With ``results="failed"`` the table is
+    compact and the detail lists failures only.
     """
     table = f"silver.{dataset.name}_validated"
-    stored = write(lineage.silver_enrich(result.validated, table, result.run.as_of), f"{dataset.name}_validated")
+    annotated = verdict.validated(result.verdicts, result.run.as_of, results)
+    stored = write(lineage.silver_enrich(annotated, table, result.run.as_of), f"{dataset.name}_validated")
     return {
         "validated": stored,
         "clean": enforce.clean(stored),

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.functions.columns import all_of, instant, mean_of, percent, stable_id
+from assaylake.functions.columns import all_of, constant, exact_mean, instant, mean_of, percent, stable_id
 from assaylake.model import Check, Rule
 from assaylake.plans.keyed import key_metrics
 from assaylake.plans.verdicts import Verdicts
@@ -28,31 +28,48 @@ class Run:
     duration_ms: int | None = None
 
 
-def _rule_fields(rule: Rule) -> list[Column]:
-    return [
-        F.lit(rule.rule_id).alias("rule_id"),
-        F.lit(rule.rule_name).alias("rule_name"),
-        F.lit(rule.rule_type).alias("rule_type"),
-        F.lit(rule.column).alias("target_column"),
-        F.lit(rule.severity).alias("severity"),
-        F.lit(rule.enforcement).alias("enforcement_mode"),
+_META = (
+    "struct<position:int,rule_id:string,rule_name:string,rule_type:string,target_column:string,"
+    "severity:string,enforcement_mode:string,error_message:string>"
+)
+
+
+def _meta(items: list[tuple[int, Rule, str | None]]) -> Column:
+    entries = [
+        {
+            "position": position,
+            "rule_id": rule.rule_id,
+            "rule_name": rule.rule_name,
+            "rule_type": rule.rule_type,
+            "target_column": rule.column,
+            "severity": rule.severity,
+            "enforcement_mode": rule.enforcement,
+            "error_message": error,
+        }
+        for position, rule, error in items
     ]
-
-
-def _long(position: int, rule: Rule, total: Column, passed: Column, error: str | None = None) -> Column:
-    return F.struct(
-        F.lit(position).alias("position"),
-        *_rule_fields(rule),
-        total.cast(LONG).alias("total_records"),
-        passed.cast(LONG).alias("passed_count"),
-        F.lit(error).cast("string").alias("error_message"),
+    return constant(entries, _META)
+
+
+def _unfold(
+    one_row: DataFrame, items: list[tuple[int, Rule, str | None]], totals: Column, passed: Column
+) -> DataFrame:
+    """One row of counters as one row per rule; ``totals`` and ``passed`` are arrays in the order of ``items``."""
+    zipped = F.arrays_zip(_meta(items).alias("m"), totals.alias("t"), passed.alias("p"))
+    return one_row.select(F.inline(zipped).alias("m", "t", "p")).select(
+        "m.position",
+        "m.rule_id",
+        "m.rule_name",
+        "m.rule_type",
+        "m.target_column",
+        "m.severity",
+        "m.enforcement_mode",
+        F.col("t").cast(LONG).alias("total_records"),
+        F.col("p").cast(LONG).alias("passed_count"),
+        "m.error_message",
     )
 
 
-def _unfold(one_row: DataFrame, rows: list[Column]) -> DataFrame:
-    return one_row.select(F.inline(F.array(*rows)))
-
-
 def rule_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Total and passed rows per rule, all rules on all rows.
 
@@ -64,23 +81,24 @@ def rule_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
         counted = df.agg(
             F.count(F.lit(1)).alias("n"), *[F.count_if(c.predicate).alias(f"p{i}") for i, c in row_checks]
         )
-        parts.append(_unfold(counted, [_long(i, c.rule, F.col("n"), F.col(f"p{i}")) for i, c in row_checks]))
+        items = [(i, c.rule, None) for i, c in row_checks]
+        passed = F.array(*[F.col(f"p{i}") for i, _ in row_checks])
+        parts.append(_unfold(counted, items, F.array_repeat("n", len(items)), passed))
     for i, check in enumerate(checks):
         if check.kind in ("unique", "reference"):
             counted = key_metrics(df, check)
-            parts.append(_unfold(counted, [_long(i, check.rule, F.col("total"), F.col("passed"))]))
+            parts.append(_unfold(counted, [(i, check.rule, None)], F.array("total"), F.array("passed")))
     return _with_errors(df, parts, checks)
 
 
 def _with_errors(df: DataFrame, parts: list[DataFrame], checks: Sequence[Check]) -> DataFrame:
-    failed = [
-        _long(i, c.rule, F.lit(0), F.lit(0), c.message or "error") for i, c in enumerate(checks) if c.kind == "error"
-    ]
+    failed = [(i, c.rule, c.message or "error") for i, c in enumerate(checks) if c.kind == "error"]
+    zeros = F.array_repeat(F.lit(0), max(len(failed), 1))
+    one = df.sparkSession.range(1)
     if failed:
-        parts = [*parts, _unfold(df.sparkSession.range(1), failed)]
+        parts = [*parts, _unfold(one, failed, zeros, zeros)]
     if not parts:
-        empty = Rule("", "", "")
-        return _unfold(df.sparkSession.range(1), [_long(0, empty, F.lit(0), F.lit(0))]).where("false")
+        return _unfold(one, [(0, Rule("", "", ""), None)], zeros, zeros).where("false")
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
@@ -96,19 +114,19 @@ class Tally:
 
     def rule_counts(self) -> DataFrame:
         v = self.verdicts
-        by_id = {id(c): i for i, c in enumerate(v.checks)}
-        able = [c for c in v.checks if c.kind != "error"]
-        rows = [
-            _long(by_id[id(c)], c.rule, F.col(f"t{i}") if v.sequential else F.col("n"), F.col(f"p{i}"))
-            for i, c in enumerate(able)
-        ]
-        parts = [_unfold(self.frame, rows)] if rows else []
+        items = [(i, c.rule, None) for i, c in enumerate(v.checks) if c.kind != "error"]
+        parts = []
+        if items:
+            count = len(items)
+            passed = F.array(*[F.col(f"p{k}") for k in range(count)])
+            totals = F.array(*[F.col(f"t{k}") for k in range(count)]) if v.sequential else F.array_repeat("n", count)
+            parts.append(_unfold(self.frame, items, totals, passed))
         return _with_errors(v.frame, parts, v.checks)
 
 
 def tally(verdicts: Verdicts) -> Tally:
-    """Counters: rows in ``n``, rows out ``n_clean``, rows passing all rules, passed evaluations, failures,
-    and per rule ``p*`` passed (``t*`` seen in sequential mode)."""
+    """Counters: rows in ``n``, rows out ``n_clean``, rows passing all rules, sum of row scores, and per rule
+    ``p*`` passed (``t*`` seen in sequential mode)."""
     v = verdicts
     count = len(v.rules)
     counters = [F.count(F.lit(1)).alias("n"), F.count_if(v.clean()).alias("n_clean")]
@@ -162,42 +180,49 @@ def execution_log(counts: DataFrame, run: Run) -> DataFrame:
 def dataset_score(counts: Tally, run: Run) -> DataFrame:
     """The score row of a run. The four scores differ in what they average, see README."""
     v = counts.verdicts
-    able = list(range(len(v.rules)))
-    errors = sum(1 for c in v.checks if c.kind == "error")
+    able = len(v.rules)
+    errors = len(v.checks) - able
     n = F.col("n")
-
-    def total(i: int) -> Column:
-        return F.col(f"t{i}") if v.sequential else n
-
-    def add(columns: list[Column]) -> Column:
-        out = F.lit(0).cast(LONG)
-        for c in columns:
-            out = out + c
-        return out
-
-    scores = [percent(F.col(f"p{i}"), total(i)) for i in able]
-    passed_rules = add([F.when(F.col(f"p{i}") == total(i), 1).otherwise(0) for i in able])
-    passed, seen = add([F.col(f"p{i}") for i in able]), add([total(i) for i in able])
-    exact = sum((s.cast("decimal(18,2)") for s in scores), F.lit(0).cast("decimal(18,2)"))
-    mean = mean_of(exact, F.lit(len(able))) if able else F.lit(100.0)
+    whole = [n, F.col("n_clean"), F.col("sum_row_score")]
+    if able:
+        totals = [F.col(f"t{i}") if v.sequential else n for i in range(able)]
+        passes = [F.col(f"p{i}") for i in range(able)]
+        # One line per rule, folded again: hundreds of rules stay a small expression.
+        zipped = F.arrays_zip(F.array(*totals).alias("total"), F.array(*passes).alias("passed"))
+        lines = counts.frame.select(*whole, F.inline(zipped).alias("total", "passed"))
+    else:
+        nothing = F.lit(None).cast(LONG)
+        lines = counts.frame.select(nothing.alias("total"), nothing.alias("passed"), *whole)
+    total, passed = F.col("total"), F.col("passed")
+    score = F.when(total.isNotNull(), percent(passed, total))
+    folded = lines.agg(
+        F.max("n").alias("n"),
+        F.max("n_clean").alias("n_clean"),
+        F.max("sum_row_score").alias("sum_row_score"),
+        F.count_if(passed == total).alias("good"),
+        F.coalesce(exact_mean(score), F.lit(100.0)).alias("mean"),
+        F.coalesce(F.sum(total), F.lit(0)).alias("seen"),
+        F.coalesce(F.sum(passed), F.lit(0)).alias("passed"),
+    )
     every = F.lit(len(v.checks))
-    return counts.frame.select(
+    held = n - F.col("n_clean")
+    return folded.select(
         stable_id(run.run_id, run.dataset).alias("score_id"),
         F.lit(run.run_id).alias("run_id"),
         F.lit(run.dataset).alias("dataset_name"),
         every.cast("int").alias("total_rules"),
-        passed_rules.cast("int").alias("rules_passed"),
-        (F.lit(len(able)) - passed_rules).cast("int").alias("rules_failed"),
+        F.col("good").cast("int").alias("rules_passed"),
+        (F.lit(able) - F.col("good")).cast("int").alias("rules_failed"),
         F.lit(errors).cast("int").alias("rules_errored"),
-        mean.alias("overall_dq_score"),
+        F.col("mean").alias("overall_dq_score"),
         n.alias("total_records_in"),
         F.col("n_clean").alias("total_records_out"),
-        (n - F.col("n_clean")).alias("records_quarantined"),
+        held.alias("records_quarantined"),
         instant(run.as_of).alias("scored_at"),
-        percent(passed_rules, every).alias("rule_pass_ratio"),
-        mean.alias("mean_rule_score"),
-        percent(passed, seen).alias("pass_rate_pct"),
+        percent(F.col("good"), every).alias("rule_pass_ratio"),
+        F.col("mean").alias("mean_rule_score"),
+        percent(F.col("passed"), F.col("seen")).alias("pass_rate_pct"),
         average_row_score(n).alias("avg_row_score"),
-        (n - F.col("n_clean")).alias("quarantined_rows"),
-        (seen - passed).alias("quarantine_entries"),
+        held.alias("quarantined_rows"),
+        (F.col("seen") - F.col("passed")).alias("quarantine_entries"),
     )

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.functions.columns import all_of
+from assaylake.functions.columns import all_of, total_of
 from assaylake.model import Check, Rule
 from assaylake.plans.compile import runnable
 from assaylake.plans.keyed import attach_key_verdict
@@ -31,6 +31,12 @@ class Verdicts:
     def passed(self, position: int) -> Column:
         return F.col(_name(position))
 
+    def flags(self, failed: bool = False) -> Column:
+        """All verdicts as one array: passed, or failed among the rows a rule sees."""
+        rules = range(len(self.rules))
+        columns = [self.failed(i) if failed else self.passed(i) for i in rules]
+        return F.array(*columns) if columns else F.array().cast("array<boolean>")
+
     def seen(self, position: int) -> Column | None:
         """Rows the rule is applied to; None for all rows."""
         if not self.sequential:
@@ -52,7 +58,7 @@ class Verdicts:
         return all_of([self.passed(i) for i in self.hard])
 
     def passed_count(self) -> Column:
-        return sum((self.passed(i).cast("int") for i in range(len(self.rules))), F.lit(0))
+        return total_of([self.passed(i).cast("int") for i in range(len(self.rules))])
 
     def row_score(self) -> Column:
         """Percent of rules the row passes; 100 if there are none."""
