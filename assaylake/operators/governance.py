@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from assaylake.functions.columns import instant
 from assaylake.model import Rule
 from assaylake.plans.compile import References, compile_rules
-from assaylake.plans.keyed import attach_key_verdict
+from assaylake.plans.keyed import attach_key_verdict, bad_keys
 
 
 def _number(name: str) -> Column:
@@ -138,7 +138,8 @@ def reprocess(
         elif check.kind == "row":
             verdict = check.predicate
         else:
-            rows = attach_key_verdict(rows, check, f"__v{i}", among=is_open & (rule_id == check.rule.rule_id))
+            found = bad_keys(rows, check, among=is_open & (rule_id == check.rule.rule_id))
+            rows = attach_key_verdict(rows, found, f"__v{i}")
             verdict = F.col(f"__v{i}")
         passes = F.when(rule_id == check.rule.rule_id, verdict).otherwise(passes)
     resolved = is_open & passes

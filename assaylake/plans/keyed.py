@@ -8,13 +8,15 @@ joined back.
 
 from __future__ import annotations
 
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assaylake.functions.columns import all_of, any_of
+from assaylake.functions.columns import all_of, any_of, total_of
 from assaylake.model import Check
 from assaylake.session import settle
 
@@ -25,6 +27,10 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # at most 1/HOT_KEYS of the rows.
 HOT_KEYS = 2_000
 HOT_ROWS = 10_000
+# Longer keys stay in the shuffle, so that the list of hot keys is bounded in bytes (2,000 x 16 KiB) as well.
+HOT_KEY_BYTES = 16 * 1024
+# Key rules of one dataset whose bad keys are looked for at the same time.
+PARALLEL_RULES = 4
 
 
 def _key_names(check: Check) -> list[str]:
@@ -67,33 +73,57 @@ def key_metrics(df: DataFrame, check: Check) -> DataFrame:
     return counts.agg(total.alias("total"), (total - failed).alias("passed"))
 
 
-def _fits_broadcast(keys: DataFrame, names: list[str]) -> bool:
-    width = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(n).cast("string")), F.lit(0)) for n in names])
-    rows, size = keys.agg(F.count(F.lit(1)), F.coalesce(F.sum(width + 16), F.lit(0))).first()
-    return rows <= BROADCAST_KEYS and size <= BROADCAST_BYTES
+def _width(names: list[str]) -> Column:
+    return total_of([F.coalesce(F.octet_length(F.col(n).cast("string")), F.lit(0)) for n in names])
 
 
-def attach_key_verdict(df: DataFrame, check: Check, name: str, among: Column | None = None) -> DataFrame:
-    """Add the boolean column ``name``: does the row pass the key rule?
+@dataclass(frozen=True)
+class BadKeys:
+    """The keys a rule rejects, stored in the shared folder, and whether they are few enough to broadcast."""
 
-    ``among`` restricts which rows are looked at when keys are counted (sequential mode); the verdict of other
-    rows has no meaning.
+    check: Check
+    counts: DataFrame
+    stored: DataFrame
+    broadcast: bool
+
+
+def bad_keys(df: DataFrame, check: Check, among: Column | None = None) -> BadKeys:
+    """Find and store the bad keys of a rule; their number and size are measured while they are written.
+
+    ``among`` restricts which rows are counted (sequential mode).
     """
-    scope = df if among is None else df.where(among)
+    counts = key_counts(df if among is None else df.where(among), check)
     names = _key_names(check)
-    counts = key_counts(scope, check)
-    bad = settle(counts.where("bad").select(*names), "bad-keys")
+    size = Observation()
+    found = counts.where("bad").select(*names)
+    measured = found.observe(size, F.count(F.lit(1)).alias("rows"), F.sum(_width(names) + 16).alias("bytes"))
+    stored = settle(measured, "bad-keys")
+    seen = size.get
+    return BadKeys(check, counts, stored, seen["rows"] <= BROADCAST_KEYS and (seen["bytes"] or 0) <= BROADCAST_BYTES)
+
+
+def find_bad_keys(df: DataFrame, checks: list[Check]) -> list[BadKeys]:
+    """:func:`bad_keys` of several rules over the same rows; the jobs overlap, each reads its own key columns."""
+    if len(checks) < 2:
+        return [bad_keys(df, c) for c in checks]
+    with ThreadPoolExecutor(min(len(checks), PARALLEL_RULES)) as pool:
+        work = inheritable_thread_target(df.sparkSession)(lambda c: bad_keys(df, c))
+        return list(pool.map(work, checks))
+
+
+def attach_key_verdict(df: DataFrame, found: BadKeys, name: str) -> DataFrame:
+    """Add the boolean column ``name``: does the row pass the key rule?"""
+    check, names = found.check, _key_names(found.check)
     columns = check.key_columns()
     # Rows with a NULL key never match; they pass uniqueness and fail referential integrity.
     null_passes = check.kind == "unique"
-
-    if _fits_broadcast(bad, names):
-        flagged = F.broadcast(bad.withColumn("__bad", F.lit(True)))
+    if found.broadcast:
+        flagged = F.broadcast(found.stored.withColumn("__bad", F.lit(True)))
         joined = df.join(flagged, _same(columns, names, check.null_equal), "left")
         fails = F.col("__bad").isNotNull()
         extra = ["__bad"]
     else:
-        joined, fails, extra = _salted(df, check, counts, bad, columns, names)
+        joined, fails, extra = _salted(df, found, columns, names)
 
     if not check.null_equal:
         fails = F.when(_null_key(columns), F.lit(not null_passes)).otherwise(fails)
@@ -105,16 +135,17 @@ def _same(columns: list[Column], names: list[str], null_equal: bool) -> Column:
 
 
 def _salted(
-    df: DataFrame, check: Check, counts: DataFrame, bad: DataFrame, columns: list[Column], names: list[str]
+    df: DataFrame, found: BadKeys, columns: list[Column], names: list[str]
 ) -> tuple[DataFrame, Column, list[str]]:
     """Shuffle join for long lists of bad keys.
 
     The verdict of the HOT_KEYS most frequent keys, good or bad, is broadcast; their rows and rows with a NULL
     key get a salt of their own, so that they spread over all tasks instead of meeting in one.
     """
+    check = found.check
     hot_names = [f"__h{i}" for i in range(len(names))]
     hot = (
-        counts.where(F.col("n") >= HOT_ROWS)
+        found.counts.where((F.col("n") >= HOT_ROWS) & (_width(names) <= HOT_KEY_BYTES))
         .orderBy(F.desc("n"))
         .limit(HOT_KEYS)
         .select(*[F.col(n).alias(h) for n, h in zip(names, hot_names)], F.col("bad").alias("__hot_bad"))
@@ -125,7 +156,7 @@ def _salted(
     if not check.null_equal:
         aside = aside | _null_key(columns)
     marked = marked.withColumn("__salt", F.when(aside, F.monotonically_increasing_id()).otherwise(F.lit(-1)))
-    cold = bad.withColumn("__cold_salt", F.lit(-1).cast("bigint")).withColumn("__bad", F.lit(True))
+    cold = found.stored.withColumn("__cold_salt", F.lit(-1).cast("bigint")).withColumn("__bad", F.lit(True))
     joined = marked.join(
         cold, _same(columns, names, check.null_equal) & (F.col("__salt") == F.col("__cold_salt")), "left"
     )

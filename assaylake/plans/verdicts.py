@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from assaylake.functions.columns import all_of, total_of
 from assaylake.model import Check, Rule
 from assaylake.plans.compile import runnable
-from assaylake.plans.keyed import attach_key_verdict
+from assaylake.plans.keyed import attach_key_verdict, bad_keys, find_bad_keys
 
 
 @dataclass(frozen=True)
@@ -81,24 +81,25 @@ def evaluate(df: DataFrame, checks: Sequence[Check], sequential: bool = False) -
     return Verdicts(frame, tuple(df.columns), tuple(c.rule for c in able), tuple(checks), sequential)
 
 
-def _independent(df: DataFrame, checks: list[Check]) -> DataFrame:
+def _attach(df: DataFrame, checks: list[Check], kinds: tuple[str, ...]) -> DataFrame:
+    """Verdicts of key rules that look at all rows, then all row rules in one projection."""
+    keyed = [(i, c) for i, c in enumerate(checks) if c.kind in kinds]
     frame = df
-    for i, check in enumerate(checks):
-        if check.kind != "row":
-            frame = attach_key_verdict(frame, check, _name(i))
+    for (i, _), found in zip(keyed, find_bad_keys(df, [c for _, c in keyed])):
+        frame = attach_key_verdict(frame, found, _name(i))
     return frame.select("*", *[c.predicate.alias(_name(i)) for i, c in enumerate(checks) if c.kind == "row"])
 
 
+def _independent(df: DataFrame, checks: list[Check]) -> DataFrame:
+    return _attach(df, checks, ("unique", "reference"))
+
+
 def _sequential(df: DataFrame, checks: list[Check]) -> DataFrame:
     """Only uniqueness depends on the survivors of earlier hard rules; it is attached last, in rule order."""
-    frame = df
-    for i, check in enumerate(checks):
-        if check.kind == "reference":
-            frame = attach_key_verdict(frame, check, _name(i))
-    frame = frame.select("*", *[c.predicate.alias(_name(i)) for i, c in enumerate(checks) if c.kind == "row"])
+    frame = _attach(df, checks, ("reference",))
     for i, check in enumerate(checks):
         if check.kind == "unique":
-            frame = attach_key_verdict(frame, check, _name(i), among=_survives(checks, i))
+            frame = attach_key_verdict(frame, bad_keys(frame, check, _survives(checks, i)), _name(i))
     stops = [F.when(~F.col(_name(i)), F.lit(i)) for i, c in enumerate(checks) if c.rule.hard]
     nothing = F.lit(None).cast("int")
     return frame.withColumn("__first_fail", F.least(*stops, nothing, nothing) if stops else nothing)

@@ -71,6 +71,20 @@ def _scores(spark: SparkSession, sf: str, names=REPORTED) -> DataFrame:
     return verdict.union_all([_result(spark, sf, n).score for n in names])
 
 
+def _both(spark: SparkSession, sf: str, names=REPORTED) -> tuple[DataFrame, DataFrame]:
+    """Log and scores of the same runs; Spark computes the counters they share once."""
+    results = [_result(spark, sf, n) for n in names]
+    return verdict.union_all([r.log for r in results]), verdict.union_all([r.score for r in results])
+
+
+def _summaries(spark: SparkSession, sf: str, names=REPORTED) -> tuple[DataFrame, DataFrame]:
+    """Summaries by dataset and by rule of the same runs."""
+    results = {n: _result(spark, sf, n) for n in names}
+    by_dataset = [summary.dataset_summary(r.counts, n) for n, r in results.items()]
+    by_rule = [summary.rule_summary(r.counts.rule_counts(), n) for n, r in results.items()]
+    return verdict.union_all(by_dataset), verdict.union_all(by_rule)
+
+
 def _by_rule(spark: SparkSession, sf: str, names=REPORTED) -> DataFrame:
     return verdict.union_all([summary.rule_summary(_counts(spark, sf, n), n) for n in names])
 
@@ -489,7 +503,7 @@ def customer_360(spark, sf):
 @query
 def customer_360_clean(spark, sf):
     customers = enforce.clean(_result(spark, sf, "customer").validated)
-    orders = enforce.clean(_result(spark, sf, "orders").validated)
+    orders = _result(spark, sf, "orders").clean
     view = _customer_view(customers, orders, fill_zero=True)
     return view.withColumn("row_score", F.col("_dq.row_score")).drop("_dq")
 
@@ -583,12 +597,12 @@ def execution_listing(spark, sf):
 
 @query
 def framework_health(spark, sf):
-    return reports.framework_health(_log(spark, sf), _scores(spark, sf))
+    return reports.framework_health(*_both(spark, sf))
 
 
 @query
 def kpi_counters(spark, sf):
-    return reports.kpi_counters(_by_dataset(spark, sf), _by_rule(spark, sf))
+    return reports.kpi_counters(*_summaries(spark, sf))
 
 
 @query
@@ -628,12 +642,12 @@ def failing_rows_part(spark, sf):
 
 @query
 def feedback_payload(spark, sf):
-    return feedback.feedback_payload(_log(spark, sf), _scores(spark, sf), RUN_ID).drop("payload")
+    return feedback.feedback_payload(*_both(spark, sf), RUN_ID).drop("payload")
 
 
 @query
 def feedback_digest(spark, sf):
-    return feedback.feedback_digest(feedback.feedback_payload(_log(spark, sf), _scores(spark, sf)))
+    return feedback.feedback_digest(feedback.feedback_payload(*_both(spark, sf)))
 
 
 # --- trends and alerts ------------------------------------------------------------------------------------
@@ -662,7 +676,8 @@ def quarantine_rate(spark, sf):
 
 @query
 def alerts(spark, sf):
-    return trend.alerts(_scores(spark, sf), _log(spark, sf))
+    log, scores = _both(spark, sf)
+    return trend.alerts(scores, log)
 
 
 @query

@@ -53,10 +53,9 @@ def compare(spark, con, folder, name):
     bad = [(g, w) for g, w in zip(got, want) if g != w]
     if bad:
         return f"{len(bad)} rows differ, e.g. {bad[0][0]} != {bad[0][1]} ({got_c})"
-    for c, g, w in zip(got_c, kinds(got), kinds(want)):
-        if g and w and g != w and not (g | w) <= {"int", "float"}:
-            return f"column {c}: {g} != {w}"
-        if g != w and g and w:
+    for c, g, w, values in zip(got_c, kinds(got), kinds(want), zip(*got)):
+        # pandas turns integers with NULLs into floats, so such columns are compared by value only.
+        if g and w and g != w and not ((g | w) <= {"int", "float"} and None in values):
             return f"column {c}: type {g} != {w}"
     return None
 

@@ -264,3 +264,40 @@ def test_reports_on_empty_tables(tables, rules, refs):
     assert reports.scorecard(result.score).first().record_pass_rate_pct is None
     assert reports.top_failing_rules(result.log).count() == 0
     assert enforce.gate(result.score).first().publish
+
+
+def test_registry_tables_drive_the_run(spark, catalogue, tables, tmp_path):
+    raw, mappings = catalogue
+    stored = rulebook.normalise_rules(raw, at=fx.AS_OF)
+    ids = {n: f"DS-00{i}" for i, n in enumerate(fx.CSVS, 1)}
+    refs = {
+        "customers": '{"country_code_ref": {"dlt_table": "ref_dim_country", "ref_column": "country_code"}}',
+        "transactions": '{"customer_id_ref": {"dlt_table": "customers_bronze", "ref_column": "customer_id"}}',
+    }
+    rows = [(ids[n], n, f"bronze.{n}", fx.PRIMARY_KEYS[n], refs.get(n), True) for n in fx.CSVS]
+    rows.append(("DS-009", "retired", "bronze.retired", "id", None, False))
+    registry = spark.createDataFrame(rows, "dataset_id string, dataset_name string, source_table string, primary_key string, ref_tables string, is_active boolean")
+    by_id = mappings.select(
+        "mapping_id",
+        F.element_at(F.create_map(*[F.lit(x) for n in ids for x in (f"bronze.{n}", ids[n])]), F.col("dataset_name")).alias("dataset_id"),
+        "column_name", "rule_id", "enforcement_mode", "priority", "is_active",
+    )
+    shop = {f"bronze.{n}": tables[n] for n in fx.CSVS}
+    shop |= {"ref_dim_country": tables["dim_country"], "customers_bronze": tables["customers"]}
+    from assaylake import datasets_from_registry, run_registry
+
+    found = datasets_from_registry(registry, by_id, stored, shop.__getitem__, fx.AS_OF)
+    assert [d.name for d in found] == list(fx.CSVS)
+    run = run_registry(found, "run-7", lambda f, n: io.write_overwrite(f, str(tmp_path / n)), fx.AS_OF, results="failed", threshold_pct=32.0)
+    # customers loses 5 of 16 rows, the others 5 of 15: only customers stays under the threshold.
+    assert list(run.tables) == ["customers"]
+    assert run.tables["customers"]["clean"].count() == 11
+    scores = {r.dataset_name: r for r in run.scores.collect()}
+    for name, (n, clean, full, passed, _, _) in fx.EXPECTED_DATASETS.items():
+        assert (scores[name].total_records_in, scores[name].total_records_out, scores[name].rules_errored) == (n, clean, 0)
+        assert scores[name].quarantine_entries == n * len([r for r in fx.RULES if r[2] == name]) - passed
+    # Without its reference a rule becomes an error row and the others still run.
+    del shop["ref_dim_country"]
+    again = datasets_from_registry(registry.where("dataset_name = 'customers'"), by_id, stored, shop.__getitem__, fx.AS_OF)
+    log = {r.rule_id: r.status for r in run_rules(again[0].frame, again[0].rules, Run("x", "customers", fx.AS_OF), again[0].refs).log.collect()}
+    assert log["DQR-000008"] == "error" and len(log) == 8

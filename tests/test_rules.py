@@ -198,8 +198,9 @@ def test_hot_keys_are_spread(spark, monkeypatch):
     monkeypatch.setattr(keyed, "HOT_ROWS", 1_000)
     df = skewed(spark)
     (check,) = compile_rules(df, KEY_RULES[:1])
-    bad = keyed.key_counts(df, check).where("bad").select("__k0")
-    joined, _, _ = keyed._salted(df, check, keyed.key_counts(df, check), bad, check.key_columns(), ["__k0"])
+    found = keyed.bad_keys(df, check)
+    assert not found.broadcast
+    joined, _, _ = keyed._salted(df, found, check.key_columns(), ["__k0"])
     set_aside = joined.where(F.col("__salt") >= 0)
     aside = df.where("k = 0 OR k IS NULL").count()  # the hot key and the NULL keys
     assert aside > 20_000 and set_aside.count() == aside
