@@ -316,6 +316,10 @@ ORACLES["quarantine_breakdown"] = sql(
     f"SELECT source_table, rule_type, severity, quarantine_reason, count(*) AS quarantined_count "
     f"FROM ({_entry_counts('customer')} UNION ALL {_entry_counts('part')}) GROUP BY ALL",
 )
+ORACLES["quarantine_by_type"] = sql(
+    _verdict_ctes(("events",)),
+    f"SELECT source_table, rule_type, severity, count(*) AS quarantined_count FROM ({_entry_counts('events')}) GROUP BY ALL",
+)
 _p = SUITES["part"]
 ORACLES["quarantine_listing"] = f"""
 SELECT p_partkey, p_name, p_brand, {len(_p.able())} - {passed_count(_p)} AS _dq_failed_count, {row_score(_p)} AS _dq_row_score,
@@ -384,6 +388,20 @@ ORACLES["detail_all"] = sql(_verdict_ctes(("customer", "part")), f"{_detail('cus
 ORACLES["detail_failures_lineitem"] = sql(
     _verdict_ctes(("lineitem",)), f"SELECT primary_key_value, rule_id, row_score FROM ({_detail('lineitem')}) WHERE NOT passed"
 )
+ORACLES["detail_flat_part"] = sql(
+    _verdict_ctes(("part",)), f"SELECT primary_key_value, rule_id, passed, row_score FROM ({_detail('part')})"
+)
+ORACLES["published_orders"] = (
+    f"SELECT o_orderkey, CASE WHEN {hard_pass(_s)} THEN 'clean' ELSE 'quarantine' END AS layer FROM ({_s.verdict_sql()})"
+)
+ORACLES["rerun_log"] = sql(
+    log_ctes(("part",)),
+    """SELECT r.run_id, count(*) AS rules, count(DISTINCT rule_id) AS ids, CAST(sum(failed_count) AS BIGINT) AS failures
+ FROM log, (VALUES ('a'), ('b')) r(run_id) GROUP BY r.run_id""",
+)
+ORACLES["csv_source_orders"] = sql(
+    log_ctes(("orders",)), f"SELECT {', '.join(LOG_COLUMNS)} FROM log WHERE rule_type <> 'referential_integrity'"
+)
 ORACLES["lineage_orders"] = """
 SELECT o_orderkey, 'orders.parquet' AS file_name, 'parquet' AS format, '2001-08-02' AS file_date, 'bronze.orders' AS bronze_table,
        'silver.orders' AS silver_table, 'gold.orders' AS gold_table, TIMESTAMP '2001-08-02 00:00:00' AS processed_at, 'daily' AS pipeline
@@ -431,6 +449,8 @@ _RESOLVED = """SELECT m.dataset_name, v.rule_id, v.rule_type, v.target_column, v
 ORACLES["rule_resolution"] = f"""WITH {_VALID}, mapped AS ({rulebase.MAPPINGS_SQL}) {_RESOLVED}
  AND v.effective_from <= {_DAY} AND (v.effective_to IS NULL OR v.effective_to >= {_DAY})"""
 ORACLES["rule_resolution_no_dates"] = f"WITH {_VALID}, mapped AS ({rulebase.MAPPINGS_SQL}) {_RESOLVED} AND m.dataset_name = 'returns_R'"
+ORACLES["effective_rules"] = f"""WITH {_VALID} SELECT rule_id, version, effective_from, effective_to FROM valid
+ WHERE effective_from <= {_DAY} AND (effective_to IS NULL OR effective_to >= {_DAY})"""
 ORACLES["rule_census"] = f"WITH {_VALID} SELECT rule_type, severity, count(*) AS rule_count FROM valid WHERE is_active GROUP BY ALL"
 ORACLES["mapping_census"] = f"WITH {_MAP} SELECT dataset_name, enforcement_mode, count(*) AS mapping_count FROM m WHERE is_active GROUP BY ALL"
 ORACLES["rule_coverage"] = f"""WITH {_VALID}, mapped AS ({rulebase.BY_ID_SQL})
@@ -501,6 +521,7 @@ def light(x: str, names: tuple[str, str, str]) -> str:
 
 
 ORACLES["overall_score"] = sql(score_ctes(), f"SELECT {mean('overall_dq_score', 1)} AS overall_dq_score FROM scores")
+ORACLES["overall_row_score"] = sql(dataset_ctes(), f"SELECT {mean('pass_rate_pct', 1)} AS overall_dq_score FROM by_dataset")
 ORACLES["scorecard"] = sql(
     score_ctes(),
     f"""SELECT dataset_name, overall_dq_score, total_rules, rules_passed, rules_failed, rules_errored, total_records_in, total_records_out,

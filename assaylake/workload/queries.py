@@ -23,10 +23,11 @@ from assaylake.operators import (
     verdict,
 )
 from assaylake.plans.compile import compile_rules, expectations
-from assaylake.plans.engine import Result, log_only, run_rules
+from assaylake.plans.engine import Result, log_only, publish, run_rules
 from assaylake.plans.metrics import Run, execution_log, rule_counts
 from assaylake.plans.verdicts import evaluate
-from assaylake.session import fresh_path
+from assaylake.session import fresh_path, settle
+from assaylake.sources import tables
 from assaylake.sources.rules import registry_references
 from assaylake.streaming import validate
 from assaylake.workload import rulebase
@@ -287,6 +288,11 @@ def quarantine_breakdown(spark, sf):
     return reports.quarantine_breakdown(verdict.union_all(parts))
 
 
+@query
+def quarantine_by_type(spark, sf):
+    return reports.quarantine_breakdown(_result(spark, sf, "events").entries("event_id"), with_reason=False)
+
+
 @query
 def quarantine_listing(spark, sf):
     held = enforce.quarantine(_result(spark, sf, "part").validated)
@@ -347,6 +353,49 @@ def detail_failures_lineitem(spark, sf):
     return d.select("primary_key_value", "rule_id", "row_score")
 
 
+@query
+def detail_flat_part(spark, sf):
+    """The detail from flat flag columns."""
+    v = _result(spark, sf, "part").verdicts
+    flat = verdict.annotate(v, SUITES["part"].as_of)
+    return verdict.detail_flat(flat, list(v.rules), "part", "p_partkey").select("primary_key_value", "rule_id", "passed", "row_score")
+
+
+@query
+def published_orders(spark, sf):
+    """The compact validated table, stored once, and the layer each row reached."""
+    dataset = SUITES["orders"].dataset(spark, sf)
+    result = _result(spark, sf, "orders")
+    stored = publish(result, dataset, lambda frame, name: settle(frame, name), results="failed")
+    key = F.col("o_orderkey")
+    return stored["clean"].select(key, F.lit("clean").alias("layer")).unionByName(
+        stored["quarantine"].select(key, F.lit("quarantine").alias("layer"))
+    )
+
+
+@query
+def rerun_log(spark, sf):
+    """Log rows per run after runs a, b and a again: a rerun replaces its own rows."""
+    path = fresh_path(spark, "log")
+    for run_id in ("a", "b", "a"):
+        d = SUITES["part"].dataset(spark, sf)
+        tables.write_run(log_only(d.frame, d.rules, Run(run_id, "part", SUITES["part"].as_of), d.refs), path)
+    return tables.read_parquet(spark, path).groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("rules"), F.countDistinct("execution_id").alias("ids"), F.sum("failed_count").alias("failures")
+    )
+
+
+@query
+def csv_source_orders(spark, sf):
+    """Orders through a CSV landing folder, read with an explicit schema, then checked."""
+    path = fresh_path(spark, "landing")
+    frame = SUITES["orders"].frame(spark, sf)
+    frame.write.option("header", True).csv(path)
+    landed = tables.read_csv(spark, path, frame.schema)
+    rules = [r for r in SUITES["orders"].rules() if r.rule_type not in ("referential_integrity",)]
+    return execution_log(rule_counts(landed, compile_rules(landed, rules, as_of=SUITES["orders"].as_of)), _run("orders")).select(*LOG_COLUMNS)
+
+
 @query
 def lineage_orders(spark, sf):
     at = SUITES["orders"].as_of
@@ -443,6 +492,11 @@ def rule_resolution_no_dates(spark, sf):
     return resolved.drop("params", "rule_name")
 
 
+@query
+def effective_rules(spark, sf):
+    return rulebook.effective(_valid(spark, sf), rulebase.AS_OF).select("rule_id", "version", "effective_from", "effective_to")
+
+
 @query
 def rule_census(spark, sf):
     return rulebook.rule_census(_valid(spark, sf))
@@ -550,6 +604,11 @@ def overall_score(spark, sf):
     return reports.overall_score(_scores(spark, sf))
 
 
+@query
+def overall_row_score(spark, sf):
+    return reports.overall_score(_by_dataset(spark, sf), "pass_rate_pct")
+
+
 @query
 def scorecard(spark, sf):
     return reports.scorecard(_scores(spark, sf)).drop("scored_at")
