@@ -18,6 +18,8 @@ def build_session(app: str = "assaylake", master: str | None = None, **conf: str
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Generated methods beyond 8,000 bytes are never compiled by the JVM; Spark then uses its split form.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         **conf,

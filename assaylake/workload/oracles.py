@@ -768,13 +768,17 @@ _SIX = """w AS (SELECT *, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '2000-01-01
 ORACLES["event_window_metrics"] = f"WITH {_SIX} {_windows('w', 'event_type', _V)}"
 _CLOSED = "WHERE window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
 ORACLES["stream_window_metrics"] = f"WITH {_SIX} {_windows('w', 'event_type', _V, _CLOSED)}"
-ORACLES["event_sliding_metrics"] = f"""WITH d AS (SELECT *, date_trunc('day', ts) AS day FROM events),
+_SLIDING = """WITH d AS (SELECT *, date_trunc('day', ts) AS day FROM events),
 w AS (SELECT *, CAST(day AS TIMESTAMP) AS window_start, CAST(day AS TIMESTAMP) + INTERVAL 2 DAY AS window_end FROM d
- UNION ALL SELECT *, CAST(day AS TIMESTAMP) - INTERVAL 1 DAY, CAST(day AS TIMESTAMP) + INTERVAL 1 DAY FROM d) {_windows('w', '', _V)}"""
-ORACLES["event_sessions"] = f"""WITH a AS (SELECT *, ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 12 HOUR AS gap FROM events),
+ UNION ALL SELECT *, CAST(day AS TIMESTAMP) - INTERVAL 1 DAY, CAST(day AS TIMESTAMP) + INTERVAL 1 DAY FROM d)"""
+ORACLES["event_sliding_metrics"] = f"{_SLIDING} {_windows('w', '', _V)}"
+ORACLES["stream_sliding_metrics"] = f"{_SLIDING} {_windows('w', '', _V, _CLOSED)}"
+_SESSIONS = """WITH a AS (SELECT *, ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 12 HOUR AS gap FROM events),
 b AS (SELECT *, count(*) FILTER (WHERE coalesce(gap, TRUE)) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM a),
-w AS (SELECT *, min(ts) OVER (PARTITION BY user_id, session) AS window_start, max(ts) OVER (PARTITION BY user_id, session) + INTERVAL 12 HOUR AS window_end FROM b)
-{_windows('w', 'user_id', {'DQR-500001': _V['DQR-500001']})}"""
+w AS (SELECT *, min(ts) OVER (PARTITION BY user_id, session) AS window_start, max(ts) OVER (PARTITION BY user_id, session) + INTERVAL 12 HOUR AS window_end FROM b)"""
+_KNOWN = {"DQR-500001": _V["DQR-500001"]}
+ORACLES["event_sessions"] = f"{_SESSIONS} {_windows('w', 'user_id', _KNOWN)}"
+ORACLES["stream_sessions"] = f"{_SESSIONS} {_windows('w', 'user_id', _KNOWN, _CLOSED)}"
 _EV = [(i, e) for i, e in enumerate(_e.able()) if e[2] != "uniqueness"]
 _ev_fail = "concat_ws(',', " + ", ".join(f"CASE WHEN NOT v{i} THEN '{e[0]}' END" for i, e in _EV) + ")"
 _ev_pass = " + ".join(f"CAST(v{i} AS INTEGER)" for i, _ in _EV)

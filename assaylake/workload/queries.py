@@ -901,6 +901,23 @@ def stream_window_metrics(spark, sf):
     return _plain_times(_finished(spark, metrics, "window-metrics"))
 
 
+@query
+def stream_sliding_metrics(spark, sf):
+    metrics = validate.window_metrics(
+        _event_stream(spark, sf), WINDOW_RULES, time="at", delay="1 hour", window=F.window("at", "2 days", "1 day")
+    )
+    return _plain_times(_finished(spark, metrics, "sliding-metrics"))
+
+
+@query
+def stream_sessions(spark, sf):
+    """Sessions per user from a stream: those the watermark has closed."""
+    metrics = validate.window_metrics(
+        _event_stream(spark, sf), WINDOW_RULES[:1], time="at", delay="1 hour", window=F.session_window("at", "12 hours"), by=["user_id"]
+    )
+    return _plain_times(_finished(spark, metrics, "session-metrics"))
+
+
 @query
 def stream_validated_events(spark, sf):
     rules = [r for r in SUITES["events"].rules() if r.rule_type != "uniqueness"]
