@@ -113,36 +113,38 @@ def find_bad_keys(df: DataFrame, checks: list[Check]) -> list[BadKeys]:
 
 def attach_key_verdict(df: DataFrame, found: BadKeys, name: str) -> DataFrame:
     """Add the boolean column ``name``: does the row pass the key rule?"""
-    check, names = found.check, _key_names(found.check)
-    columns = check.key_columns()
-    # Rows with a NULL key never match; they pass uniqueness and fail referential integrity.
-    null_passes = check.kind == "unique"
+    columns = found.check.key_columns()
+    flagged = found.stored.withColumn("__bad", F.lit(True))
     if found.broadcast:
-        flagged = F.broadcast(found.stored.withColumn("__bad", F.lit(True)))
-        joined = df.join(flagged, _same(columns, names, check.null_equal), "left")
-        fails = F.col("__bad").isNotNull()
-        extra = ["__bad"]
-    else:
-        joined, fails, extra = _salted(df, found, columns, names)
+        return _judge(df, F.broadcast(flagged), found.check, name)
 
-    if not check.null_equal:
-        fails = F.when(_null_key(columns), F.lit(not null_passes)).otherwise(fails)
-    return joined.withColumn(name, ~fails).drop(*names, *extra)
+    marked = _mark_hot(df, found)
+    aside, rest = marked.where("__aside"), marked.where("NOT __aside").drop("__hot_bad", "__aside")
+    judged = aside.withColumn(name, _verdict(F.col("__hot_bad"), found.check, columns)).drop("__hot_bad", "__aside")
+    return judged.unionByName(_judge(rest, flagged, found.check, name))
 
 
-def _same(columns: list[Column], names: list[str], null_equal: bool) -> Column:
-    return all_of([c.eqNullSafe(F.col(n)) if null_equal else c == F.col(n) for c, n in zip(columns, names)])
+def _judge(df: DataFrame, flagged: DataFrame, check: Check, name: str) -> DataFrame:
+    columns, names = check.key_columns(), _key_names(check)
+    joined = df.join(flagged, _same(columns, names, check.null_equal), "left")
+    return joined.withColumn(name, _verdict(F.col("__bad").isNotNull(), check, columns)).drop(*names, "__bad")
+
+
+def _verdict(fails: Column, check: Check, columns: list[Column]) -> Column:
+    if check.null_equal:
+        return ~fails
+    # Rows with a NULL key match nothing; they pass uniqueness and fail referential integrity.
+    return F.when(_null_key(columns), F.lit(check.kind == "unique")).otherwise(~fails)
 
 
-def _salted(
-    df: DataFrame, found: BadKeys, columns: list[Column], names: list[str]
-) -> tuple[DataFrame, Column, list[str]]:
-    """Shuffle join for long lists of bad keys.
+def _mark_hot(df: DataFrame, found: BadKeys) -> DataFrame:
+    """Mark the rows that must not enter a shuffle by key: ``__aside``, with their verdict ``__hot_bad``.
 
-    The verdict of the HOT_KEYS most frequent keys, good or bad, is broadcast; their rows and rows with a NULL
-    key get a salt of their own, so that they spread over all tasks instead of meeting in one.
+    These are rows with one of the HOT_KEYS most frequent keys, good or bad, whose verdict is broadcast, and rows
+    with a NULL key. They are judged in place. Unlike a random salt this does not depend on the order of rows, so
+    a task that is run again after a loss sends every row where it went before.
     """
-    check = found.check
+    check, names = found.check, _key_names(found.check)
     hot_names = [f"__h{i}" for i in range(len(names))]
     hot = (
         found.counts.where((F.col("n") >= HOT_ROWS) & (_width(names) <= HOT_KEY_BYTES))
@@ -150,15 +152,13 @@ def _salted(
         .limit(HOT_KEYS)
         .select(*[F.col(n).alias(h) for n, h in zip(names, hot_names)], F.col("bad").alias("__hot_bad"))
     )
-    hot = F.broadcast(settle(hot, "hot-keys"))
-    marked = df.join(hot, _same(columns, hot_names, check.null_equal), "left")
+    columns = check.key_columns()
+    marked = df.join(F.broadcast(settle(hot, "hot-keys")), _same(columns, hot_names, check.null_equal), "left")
     aside = F.col("__hot_bad").isNotNull()
     if not check.null_equal:
         aside = aside | _null_key(columns)
-    marked = marked.withColumn("__salt", F.when(aside, F.monotonically_increasing_id()).otherwise(F.lit(-1)))
-    cold = found.stored.withColumn("__cold_salt", F.lit(-1).cast("bigint")).withColumn("__bad", F.lit(True))
-    joined = marked.join(
-        cold, _same(columns, names, check.null_equal) & (F.col("__salt") == F.col("__cold_salt")), "left"
-    )
-    fails = F.coalesce(F.col("__hot_bad"), F.col("__bad"), F.lit(False))
-    return joined, fails, [*hot_names, "__hot_bad", "__salt", "__cold_salt", "__bad"]
+    return marked.withColumn("__aside", aside).drop(*hot_names)
+
+
+def _same(columns: list[Column], names: list[str], null_equal: bool) -> Column:
+    return all_of([c.eqNullSafe(F.col(n)) if null_equal else c == F.col(n) for c, n in zip(columns, names)])

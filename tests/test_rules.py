@@ -192,19 +192,27 @@ def test_shuffled_key_verdicts_equal_broadcast_ones(spark, monkeypatch):
         assert light[rule.rule_id][:2] == (30_000, sum(verdicts.values()))
 
 
-def test_hot_keys_are_spread(spark, monkeypatch):
-    """In the shuffled path no task gets the hot key or the NULL keys whole."""
+def test_hot_and_null_keys_stay_out_of_the_shuffle(spark, monkeypatch):
     monkeypatch.setattr(keyed, "BROADCAST_KEYS", -1)
     monkeypatch.setattr(keyed, "HOT_ROWS", 1_000)
     df = skewed(spark)
     (check,) = compile_rules(df, KEY_RULES[:1])
     found = keyed.bad_keys(df, check)
     assert not found.broadcast
-    joined, _, _ = keyed._salted(df, found, check.key_columns(), ["__k0"])
-    set_aside = joined.where(F.col("__salt") >= 0)
-    aside = df.where("k = 0 OR k IS NULL").count()  # the hot key and the NULL keys
-    assert aside > 20_000 and set_aside.count() == aside
-    assert set_aside.select("__salt").distinct().count() == aside
+    marked = keyed._mark_hot(df, found)
+    assert marked.where("__aside").count() == df.where("k = 0 OR k IS NULL").count() > 20_000
+    rest = marked.where("NOT __aside").groupBy("k").count()
+    assert rest.where("count >= 1000 OR k IS NULL").count() == 0
+    assert keyed.attach_key_verdict(df, found, "ok").count() == df.count()
+
+
+def test_hot_good_reference_keys_stay_out_of_the_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(keyed, "BROADCAST_KEYS", -1)
+    monkeypatch.setattr(keyed, "HOT_ROWS", 1_000)
+    df = skewed(spark)
+    (check,) = compile_rules(df, KEY_RULES[3:], {"r": Reference(spark.createDataFrame([(0,)], "k int"))})
+    marked = keyed._mark_hot(df, keyed.bad_keys(df, check))
+    assert marked.where("__aside AND k = 0 AND NOT __hot_bad").count() == df.where("k = 0").count()
 
 
 def test_brute_force(spark):
