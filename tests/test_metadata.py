@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from assaylake import Dataset, Reference, Rule, Run, process_all, publish, run_rules
+from assaylake import Dataset, Rule, Run, process_all, publish, run_rules
 from assaylake.operators import datagen, enforce, feedback, gold, governance, lineage, profile, reports, rulebook
 from assaylake.sources import rules as sources
 from assaylake.sources import tables as io

@@ -1,6 +1,5 @@
 """Edge cases of rule types, keys, skew and error isolation."""
 
-import pytest
 from pyspark.sql import functions as F
 
 import assaylake
