@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.llm import bpe_codec, token_counts
+from assaylake.llm import bpe_codec, packing, rans_store, token_counts
 from assaylake.session import fresh_path
 
 #: Tokens that a training sequence holds.
@@ -43,9 +43,22 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_rans_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_path(spark, "token-ids")
+    rans_store.write_corpus(documents(spark, sf_dir), folder, vocabulary_path(), end=1)
+    read = rans_store.read_corpus(spark, folder).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return rans_store.with_starts(read, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op6_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), vocabulary_path(), SEQUENCE, end=0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe_codec": op2_bpe_codec,
+    "op5_rans_store": op5_rans_store,
+    "op6_bin_completion": op6_bin_completion,
 }
 
 ORACLES: dict[str, str] = {}
