@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.llm import bpe_codec, packing, rans_store, token_counts
+from assaylake.llm import bpe_codec, packing, perplexity, rans_store, token_counts
 from assaylake.session import fresh_path
 
 #: Tokens that a training sequence holds.
@@ -54,11 +54,18 @@ def op6_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), vocabulary_path(), SEQUENCE, end=0)
 
 
+def op9_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.measure(documents(spark, sf_dir)).select(
+        "doc_id", *perplexity.COUNTS, "base_failed", "kept", "language", "perplexity", "lowest", "highest"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe_codec": op2_bpe_codec,
     "op5_rans_store": op5_rans_store,
     "op6_bin_completion": op6_bin_completion,
+    "op9_perplexity_rules": op9_perplexity_rules,
 }
 
 ORACLES: dict[str, str] = {}
