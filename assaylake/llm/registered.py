@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.llm import bpe_codec, packing, perplexity, rans_store, token_counts
+from assaylake.llm import bpe_codec, license_scan, packing, perplexity, rans_store, spot_signatures, token_counts
 from assaylake.session import fresh_path
 
 #: Tokens that a training sequence holds.
@@ -43,6 +43,10 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_license_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.summarise(*license_scan.scan(documents(spark, sf_dir)))
+
+
 def op5_rans_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "token-ids")
     rans_store.write_corpus(documents(spark, sf_dir), folder, vocabulary_path(), end=1)
@@ -54,6 +58,19 @@ def op6_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), vocabulary_path(), SEQUENCE, end=0)
 
 
+def op8_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = spot_signatures.compare_edited(documents(spark, sf_dir))
+    return compared.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        spot_signatures.fingerprint(F.col("signatures")).alias("fingerprint"),
+        spot_signatures.fingerprint(F.col("edited_signatures")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op9_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.measure(documents(spark, sf_dir)).select(
         "doc_id", *perplexity.COUNTS, "base_failed", "kept", "language", "perplexity", "lowest", "highest"
@@ -63,8 +80,10 @@ def op9_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe_codec": op2_bpe_codec,
+    "op4_license_votes": op4_license_votes,
     "op5_rans_store": op5_rans_store,
     "op6_bin_completion": op6_bin_completion,
+    "op8_spot_signatures": op8_spot_signatures,
     "op9_perplexity_rules": op9_perplexity_rules,
 }
 
