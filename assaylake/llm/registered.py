@@ -11,11 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.llm import bpe_codec, license_scan, packing, perplexity, rans_store, spot_signatures, token_counts
+from assaylake.llm import bpe_codec, license_scan, packing, perplexity, rans_store, spot_signatures, surrogates, token_counts
 from assaylake.session import fresh_path
 
 #: Tokens that a training sequence holds.
 SEQUENCE = 2048
+#: Key of the registered query's surrogates. Real runs bring their own and keep it secret.
+SURROGATE_KEY = "registered-query"
 
 
 def vocabulary_path() -> str:
@@ -77,6 +79,11 @@ def op9_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced, _ = surrogates.replace(documents(spark, sf_dir), SURROGATE_KEY)
+    return replaced.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe_codec": op2_bpe_codec,
@@ -85,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bin_completion": op6_bin_completion,
     "op8_spot_signatures": op8_spot_signatures,
     "op9_perplexity_rules": op9_perplexity_rules,
+    "op10_surrogates": op10_surrogates,
 }
 
 ORACLES: dict[str, str] = {}
