@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.llm import bpe_codec, license_scan, packing, perplexity, rans_store, spot_signatures, surrogates, token_counts
+from assaylake.llm import bpe_codec, domain_score, jaccard_join, license_scan, packing, perplexity, rans_store, spot_signatures, surrogates, token_counts
 from assaylake.session import fresh_path
 
 #: Tokens that a training sequence holds.
@@ -45,6 +45,12 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target are the documents labelled as of good quality."""
+    good = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1")
+    return domain_score.score(documents(spark, sf_dir), good)
+
+
 def op4_license_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.summarise(*license_scan.scan(documents(spark, sf_dir)))
 
@@ -60,6 +66,10 @@ def op6_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), vocabulary_path(), SEQUENCE, end=0)
 
 
+def op7_order_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(documents(spark, sf_dir))
+
+
 def op8_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     compared = spot_signatures.compare_edited(documents(spark, sf_dir))
     return compared.select(
@@ -87,9 +97,11 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe_codec": op2_bpe_codec,
+    "op3_entropy_difference": op3_entropy_difference,
     "op4_license_votes": op4_license_votes,
     "op5_rans_store": op5_rans_store,
     "op6_bin_completion": op6_bin_completion,
+    "op7_order_filters": op7_order_filters,
     "op8_spot_signatures": op8_spot_signatures,
     "op9_perplexity_rules": op9_perplexity_rules,
     "op10_surrogates": op10_surrogates,
