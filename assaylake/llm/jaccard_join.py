@@ -23,6 +23,7 @@ from pyspark.sql.window import Window
 
 from assaylake.llm.encoding import binaries, steps
 from assaylake.llm.hashing import shingles, spread
+from assaylake.llm.rows import unwrap, wrap
 from assaylake.session import settle
 
 #: Similarity in hundredths, and words of a shingle.
@@ -415,11 +416,11 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs, in all their columns, without near duplicates: of every component the document with the smallest
     id, and of its rows one. Rows with a null id stay."""
+    wrapped = wrap(docs, key, text)
     found = join(docs, key, text)
-    gone = found.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("gone_")).distinct()
-    left = docs.join(gone.hint("shuffle_hash"), F.col(key) == F.col("gone_"), "left_anti")
-    again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows_")).where("rows_ > 1 and doc_id is not null")
+    gone = found.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("gone")).distinct()
+    left = wrapped.join(gone.hint("shuffle_hash"), F.col("doc_id") == F.col("gone"), "left_anti")
+    again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null")
     if again.isEmpty():
-        return left
-    once = left.where(F.col(key).isNotNull()).dropDuplicates([key])
-    return once.unionByName(left.where(F.col(key).isNull()))
+        return unwrap(left)
+    return unwrap(left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null")))

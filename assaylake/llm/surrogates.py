@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assaylake.llm.rows import unwrap, wrap
 from assaylake.session import settle
 
 #: Draws after which entities that still collide are an error: their form has too few values for them all.
@@ -239,11 +240,12 @@ def replace(docs: DataFrame, key_secret: str, key: str = "doc_id", text: str = "
     entities = written.groupBy("row_id", "row_digest", "place").agg(F.array_sort(F.collect_list(F.struct("unit", "new"))).alias("u"))
     entities = entities.withColumn("new", F.array_join("u.new", ""))
     rows = entities.groupBy("row_id", "row_digest").agg(F.array_sort(F.collect_list(F.struct("place", "new"))).alias("news"))
-    has = F.coalesce(F.col(text).rlike(HINT), F.lit(False))
-    names, digest = docs.columns, F.xxhash64(text)
-    touched = docs.where(has).join(rows, F.col(key).eqNullSafe(F.col("row_id")) & (digest == F.col("row_digest")), "left")
-    parts = F.split(F.col(text), ANY, -1)
-    pieces = F.zip_with(parts, F.col("news.new"), lambda p, n: F.concat(p, F.coalesce(n, F.lit(""))))
-    touched = touched.withColumn(text, F.when(F.col("news").isNull(), F.col(text)).otherwise(F.array_join(pieces, "")))
-    replaced = docs.where(~has).unionByName(touched.select(*names))
+    wrapped = wrap(docs, key, text)
+    has = F.coalesce(F.col("text").rlike(HINT), F.lit(False))
+    same = F.col("doc_id").eqNullSafe(F.col("row_id")) & (F.xxhash64("text") == F.col("row_digest"))
+    touched = wrapped.where(has).join(rows, same, "left")
+    pieces = F.zip_with(F.split("text", ANY, -1), F.col("news.new"), lambda p, n: F.concat(p, F.coalesce(n, F.lit(""))))
+    fresh = F.when(F.col("news").isNull(), F.col("text")).otherwise(F.array_join(pieces, ""))
+    touched = touched.select(F.struct(*(fresh.alias(c) if c == text else F.col("whole").getField(c).alias(c) for c in docs.columns)).alias("whole"))
+    replaced = unwrap(wrapped.where(~has).select("whole").union(touched))
     return replaced, written.select("row_id", "place", "unit", "kind", F.col("new").alias("surrogate"))
