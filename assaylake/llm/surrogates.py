@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from assaylake.llm.rows import unwrap, wrap
 from assaylake.session import settle
 
-#: Draws after which entities that still collide are an error: their form has too few values for them all.
-DRAWS = 24
+#: Draws in the entity's own form. What still collides then, because its form has too few values for all that have it,
+#: gets a tag of its kind with 64 bits of the digest instead.
+DRAWS = 12
 
 #: Patterns by type, in order of precedence. Each starts where no character before it could belong to it, so that no run
 #: of characters is searched twice.
@@ -132,6 +133,8 @@ def _draw(key: str, draw: int) -> Column:
     kind, normal = F.col("kind"), F.col("normal")
     stream = _stream(key, F.concat(kind, F.lit(":"), normal), draw)
     octet = lambda k: (F.conv(F.substring(stream, 2 * k + 1, 2), 16, 10).cast("int") % 254 + 1).cast("string")
+    if draw >= DRAWS:
+        return F.concat(kind, F.lit("-"), F.substring(stream, 1, 16))
     return (
         F.when(kind == "email", _address(normal, key, stream))
         .when(kind == "ipv4", F.concat_ws(".", *(octet(k) for k in range(4))))
@@ -165,8 +168,6 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         if pending.isEmpty():
             return given.select("kind", "normal", "surrogate")
         draw += 1
-        if draw >= DRAWS:
-            raise ValueError("a kind of entity has more members than its form has values")
 
 
 def _lay_out(raw: Column, kind: Column, surrogate: Column) -> Column:
@@ -192,7 +193,8 @@ def _lay_out(raw: Column, kind: Column, surrogate: Column) -> Column:
     )
     proper = F.concat(F.upper(F.substring(surrogate, 1, 1)), F.substring(surrogate, F.lit(2), F.length(surrogate)))
     return (
-        F.when(kind.isin("phone", "ssn", "card"), filled)
+        F.when(surrogate.startswith(F.concat(kind, F.lit("-"))), surrogate)
+        .when(kind.isin("phone", "ssn", "card"), filled)
         .when(kind == "iban", grouped)
         .when(kind.isin("given_f", "given_m", "surname"), F.when((raw == F.upper(raw)) & (F.length(raw) > 1), F.upper(surrogate)).otherwise(proper))
         .when(kind == "email", F.when((raw == F.upper(raw)), F.upper(surrogate)).otherwise(surrogate))
