@@ -307,7 +307,7 @@ def generate_rules(spark, columns: Mapping[str, Mapping[str, Sequence[str]]], pe
         ordinal = F.col("id") + 101 + number * per_dataset
         parts.append(
             named.select(
-                F.concat(F.lit("DQR-"), F.lpad(ordinal.cast("string"), 6, "0")).alias("rule_id"),
+                F.concat(F.lit("DQR-"), F.lpad(ordinal.cast("string"), F.greatest(F.lit(6), F.length(ordinal.cast("string"))), F.lit("0"))).alias("rule_id"),
                 F.concat_ws("_", F.lit(dataset), "column", "t.rule_type", F.col("id").cast("string")).alias("rule_name"),
                 F.col("t.rule_type").alias("rule_type"),
                 F.col("column").alias("target_column"),

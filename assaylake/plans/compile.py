@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-import pyarrow as pa
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assaylake.functions.columns import all_of, instant
-from assaylake.functions.predicates import Target, build_predicate, need, row_rule_types
+from assaylake.functions.predicates import Target, build_predicate, listed, need, row_rule_types
 from assaylake.model import Check, Reference, Rule, RuleError
 
-# Longer value lists become a reference table instead of an IN list in the plan.
-INLINE_VALUES = 5_000
+# Rule types whose predicates fail on no row once literals and patterns have been tried.
+SAFE_TYPES = frozenset({"not_null", "range", "regex", "allowed_values", "length", "freshness"})
 
 References = Mapping[str, Reference | DataFrame]
 
@@ -33,10 +34,10 @@ def _columns(df: DataFrame, names: Sequence[str]) -> None:
 
 
 def _unique(df: DataFrame, rule: Rule) -> Check:
-    columns = list(rule.params.get("columns") or [rule.column])
+    columns = list(listed(rule.params, "columns", "uniqueness")) if rule.params.get("columns") else [rule.column]
     scope = rule.params.get("scope", "table")
     if scope == "partition":
-        columns = [*need(rule.params, "partition_by", "uniqueness"), *columns]
+        columns = [*listed(rule.params, "partition_by", "uniqueness"), *columns]
     elif scope != "table":
         raise RuleError(f"uniqueness scope '{scope}' is not known")
     keys = tuple(dict.fromkeys(columns))
@@ -64,12 +65,6 @@ def _reference(df: DataFrame, rule: Rule, refs: References) -> Check:
     return Check(rule, "reference", keys=(rule.column,), reference=frame.select(F.col(column).alias("ref_key")))
 
 
-def _value_list(df: DataFrame, rule: Rule) -> Check:
-    _columns(df, [rule.column])
-    frame = df.sparkSession.createDataFrame(pa.table({"ref_key": pa.array(rule.params["values"])}))
-    return Check(rule, "reference", keys=(rule.column,), reference=frame)
-
-
 def _row(df: DataFrame, rule: Rule, as_of: Column) -> Check:
     if rule.rule_type == "custom_sql" and rule.column not in df.columns:
         # The expression names its own columns; the target column is only a label.
@@ -89,8 +84,6 @@ def compile_rule(df: DataFrame, rule: Rule, refs: References | None = None, as_o
             return _unique(df, rule)
         if rule.rule_type == "referential_integrity":
             return _reference(df, rule, refs or {})
-        if rule.rule_type == "allowed_values" and len(rule.params.get("values") or ()) > INLINE_VALUES:
-            return _value_list(df, rule)
         return _row(df, rule, as_of)
     except (RuleError, TypeError, ValueError, AnalysisException) as problem:
         return Check(rule, "error", message=str(problem))
@@ -100,21 +93,56 @@ def _failed(check: Check, problem: Exception) -> Check:
     return Check(check.rule, "error", message=str(problem).split("\n")[0])
 
 
-def _isolate(df: DataFrame, checks: list[Check]) -> list[Check]:
-    """Let Spark analyse the row predicates; halve the list until the rules it refuses are found.
-
-    ``where`` is used because it refuses aggregates and window functions.
-    """
+def _isolate(checks: list[Check], attempt: Callable[[list[Check]], object]) -> list[Check]:
+    """Try all rules together; halve the list until those that Spark refuses are found."""
     if not checks:
         return []
     try:
-        df.where(all_of([c.predicate for c in checks])).schema
+        attempt(checks)
         return checks
-    except AnalysisException as problem:
+    except (PySparkException, Py4JJavaError) as problem:
         if len(checks) == 1:
             return [_failed(checks[0], problem)]
         middle = len(checks) // 2
-        return _isolate(df, checks[:middle]) + _isolate(df, checks[middle:])
+        return _isolate(checks[:middle], attempt) + _isolate(checks[middle:], attempt)
+
+
+def _analyse(df: DataFrame) -> Callable[[list[Check]], object]:
+    """``where`` refuses aggregates and window functions. Literals and patterns of the rule types that cannot fail on rows
+    are tried on one row of plain values, which the driver evaluates without a job."""
+    local = df.sparkSession.sql("SELECT * FROM VALUES (0) AS t(`0`)")
+    blank = local.select(*[_plain(f.dataType).alias(f.name) for f in df.schema])
+
+    def attempt(checks: list[Check]) -> object:
+        df.where(all_of([c.predicate for c in checks])).schema
+        for c in checks:
+            if c.rule.rule_type == "custom_sql":
+                _no_subquery(df, c)
+        safe = [c.predicate.alias(f"p{i}") for i, c in enumerate(checks) if c.rule.rule_type in SAFE_TYPES]
+        return blank.select(*safe).collect() if safe else None
+
+    return attempt
+
+
+def _plain(dtype: T.DataType) -> Column:
+    """A value of the type that comparisons really look at; NULL for types without an obvious one."""
+    if isinstance(dtype, (T.NumericType, T.BooleanType)):
+        return F.lit(0).cast(dtype)
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01").cast(dtype)
+    return F.lit("" if isinstance(dtype, (T.StringType, T.BinaryType)) else None).cast(dtype)
+
+
+def _no_subquery(df: DataFrame, check: Check) -> None:
+    """A rule looks at one row; its parsed expression tells a subquery from FROM in EXTRACT or TRIM."""
+    plan = df.select(check.predicate.alias("p"))._jdf.queryExecution().analyzed()
+    if plan.subqueriesAll().nonEmpty():
+        raise AnalysisException("custom_sql must not contain a subquery")
+
+
+def _count(df: DataFrame) -> Callable[[list[Check]], object]:
+    """One aggregate over the data: it fails if a rule does on some row."""
+    return lambda checks: df.agg(*[F.count_if(c.predicate) for c in checks]).collect()
 
 
 def compile_rules(
@@ -123,11 +151,21 @@ def compile_rules(
     refs: References | None = None,
     as_of: str | dt.datetime | None = None,
 ) -> list[Check]:
-    """Bind all rules of a dataset, in the given order."""
+    """Bind all rules of a dataset, in the given order.
+
+    Rules that cannot run come back as errors: those that Spark refuses, those whose literals or patterns don't fit the
+    column, and, unless the input is a stream, those written by users that fail on some row (a cast, a division by zero).
+    The last are found by one aggregate over the columns that such rules read.
+    """
     moment = instant(as_of)
     bound = [compile_rule(df, rule, refs, moment) for rule in rules]
-    analysed = iter(_isolate(df, [c for c in bound if c.kind == "row"]))
-    return [next(analysed) if c.kind == "row" else c for c in bound]
+    able = _isolate([c for c in bound if c.kind == "row"], _analyse(df))
+    if not df.isStreaming:
+        written = [c for c in able if c.kind == "row" and c.rule.rule_type not in SAFE_TYPES]
+        tried = iter(_isolate(written, _count(df)))
+        able = [next(tried) if c.kind == "row" and c.rule.rule_type not in SAFE_TYPES else c for c in able]
+    rest = iter(able)
+    return [next(rest) if c.kind == "row" else c for c in bound]
 
 
 def runnable(checks: Sequence[Check]) -> list[Check]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
@@ -19,7 +19,8 @@ MODES = ("row", "sequential")
 
 @dataclass(frozen=True)
 class Result:
-    """Everything a run yields; all frames are lazy and share one verdict frame."""
+    """Everything a run yields; the frames are lazy and share one verdict frame. Building it has already looked for the
+    keys that key rules reject and tried the rules that users wrote."""
 
     run: Run
     checks: tuple[Check, ...]
@@ -46,6 +47,15 @@ class Result:
     def score(self) -> DataFrame:
         return dataset_score(self.counts, self.run)
 
+    @property
+    def silver(self) -> DataFrame:
+        """Clean rows with audit columns, the run's own score among them."""
+        return enforce.silver(self.verdicts, self.run, float(self.score.first()["overall_dq_score"]))
+
+    def lasting(self, duration_ms: int) -> Result:
+        """The same with a measured duration, which the log then shows."""
+        return replace(self, run=replace(self.run, duration_ms=duration_ms))
+
     def entries(self, record_key: str, mask: Mapping[str, str] | None = None) -> DataFrame:
         return enforce.quarantine_log(self.verdicts, self.run, record_key, mask)
 
@@ -76,14 +86,15 @@ def log_only(df: DataFrame, rules: Sequence[Rule], run: Run, refs: References |
 
 @dataclass(frozen=True)
 class Dataset:
-    """An entry of the dataset registry, resolved."""
+    """An entry of the dataset registry, resolved; without a frame if its table cannot be opened, for the given reason."""
 
     dataset_id: str
     name: str
     primary_key: str
-    frame: DataFrame
+    frame: DataFrame | None
     rules: tuple[Rule, ...]
     refs: References
+    problem: str = ""
 
 
 def process(dataset: Dataset, run_id: str, as_of: str | dt.datetime | None = None, mode: str = "row") -> Result:
@@ -93,7 +104,7 @@ def process(dataset: Dataset, run_id: str, as_of: str | dt.datetime | None = Non
 def process_all(
     datasets: Iterable[Dataset], run_id: str, as_of: str | dt.datetime | None = None, mode: str = "row"
 ) -> dict[str, Result]:
-    """The registry loop: plans are built on the driver, one per dataset; nothing runs yet."""
+    """The registry loop: plans are built on the driver, one per dataset; only key rules and rules by users start jobs."""
     return {d.name: process(d, run_id, as_of, mode) for d in datasets}
 
 

@@ -23,12 +23,12 @@ from assaylake.session import settle
 # Bad keys up to this many rows and bytes are broadcast; more are joined by a shuffle.
 BROADCAST_KEYS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Beyond the broadcast limit the most frequent keys are taken out of the shuffle. A key outside the list holds
-# at most 1/HOT_KEYS of the rows.
+# Beyond the broadcast limit rows with one of the most frequent keys don't enter the shuffle by key. A key outside the list
+# holds at most 1/HOT_KEYS of the rows.
 HOT_KEYS = 2_000
 HOT_ROWS = 10_000
-# Longer keys stay in the shuffle, so that the list of hot keys is bounded in bytes (2,000 x 16 KiB) as well.
-HOT_KEY_BYTES = 16 * 1024
+# In the list of hot keys longer texts stand as digests, so that it is bounded in bytes (2,000 x 1 KiB) as well.
+HOT_KEY_BYTES = 1024
 # Key rules of one dataset whose bad keys are looked for at the same time.
 PARALLEL_RULES = 4
 
@@ -79,27 +79,30 @@ def _width(names: list[str]) -> Column:
 
 @dataclass(frozen=True)
 class BadKeys:
-    """The keys a rule rejects, stored in the shared folder, and whether they are few enough to broadcast."""
+    """The keys a rule rejects and the most frequent keys (``hot``, with their verdict), both stored in the shared folder
+    by one aggregation, and whether the rejected ones are few enough to broadcast."""
 
     check: Check
-    counts: DataFrame
     stored: DataFrame
+    hot: DataFrame
     broadcast: bool
 
 
 def bad_keys(df: DataFrame, check: Check, among: Column | None = None) -> BadKeys:
-    """Find and store the bad keys of a rule; their number and size are measured while they are written.
+    """Find and store the bad and the hot keys of a rule; the bad ones are counted and sized while they are written.
 
     ``among`` restricts which rows are counted (sequential mode).
     """
     counts = key_counts(df if among is None else df.where(among), check)
     names = _key_names(check)
     size = Observation()
-    found = counts.where("bad").select(*names)
-    measured = found.observe(size, F.count(F.lit(1)).alias("rows"), F.sum(_width(names) + 16).alias("bytes"))
-    stored = settle(measured, "bad-keys")
+    found = counts.where(F.col("bad") | (F.col("n") >= HOT_ROWS))
+    rows, width = F.count_if("bad"), F.sum(F.when(F.col("bad"), _width(names) + 16))
+    stored = settle(found.observe(size, rows.alias("rows"), width.alias("bytes")), "keys")
     seen = size.get
-    return BadKeys(check, counts, stored, seen["rows"] <= BROADCAST_KEYS and (seen["bytes"] or 0) <= BROADCAST_BYTES)
+    few = seen["rows"] <= BROADCAST_KEYS and (seen["bytes"] or 0) <= BROADCAST_BYTES
+    hot = stored.where(F.col("n") >= HOT_ROWS).orderBy(F.desc("n"), *names).limit(HOT_KEYS)
+    return BadKeys(check, stored.where("bad").select(*names), hot.select(*names, "bad"), few)
 
 
 def find_bad_keys(df: DataFrame, checks: list[Check]) -> list[BadKeys]:
@@ -112,22 +115,30 @@ def find_bad_keys(df: DataFrame, checks: list[Check]) -> list[BadKeys]:
 
 
 def attach_key_verdict(df: DataFrame, found: BadKeys, name: str) -> DataFrame:
-    """Add the boolean column ``name``: does the row pass the key rule?"""
-    columns = found.check.key_columns()
+    """Add the boolean column ``name``: does the row pass the key rule? The rows are read once, whatever the join."""
+    check, names = found.check, _key_names(found.check)
+    columns = check.key_columns()
     flagged = found.stored.withColumn("__bad", F.lit(True))
     if found.broadcast:
-        return _judge(df, F.broadcast(flagged), found.check, name)
+        joined = df.join(F.broadcast(flagged), _same(columns, names, check.null_equal), "left")
+        fails = F.col("__bad").isNotNull()
+        return joined.withColumn(name, _verdict(fails, check, columns)).drop(*names, "__bad")
 
     marked = _mark_hot(df, found)
-    aside, rest = marked.where("__aside"), marked.where("NOT __aside").drop("__hot_bad", "__aside")
-    judged = aside.withColumn(name, _verdict(F.col("__hot_bad"), found.check, columns)).drop("__hot_bad", "__aside")
-    return judged.unionByName(_judge(rest, flagged, found.check, name))
+    # Rows set aside go by their own digest, so that neither a hot nor a NULL key fills a task, and match nothing.
+    spread = F.when(F.col("__aside"), _filler(df)).otherwise(F.xxhash64(*columns))
+    marked = marked.withColumn("__to", spread)
+    flagged = flagged.withColumn("__from", F.xxhash64(*[F.col(n) for n in names]))
+    same = (F.col("__to") == F.col("__from")) & _same(columns, names, check.null_equal) & ~F.col("__aside")
+    fails = F.coalesce(F.col("__hot_bad"), F.col("__bad").isNotNull())
+    judged = marked.join(flagged, same, "left").withColumn(name, _verdict(fails, check, columns))
+    return judged.drop(*names, "__bad", "__hot_bad", "__aside", "__to", "__from")
 
 
-def _judge(df: DataFrame, flagged: DataFrame, check: Check, name: str) -> DataFrame:
-    columns, names = check.key_columns(), _key_names(check)
-    joined = df.join(flagged, _same(columns, names, check.null_equal), "left")
-    return joined.withColumn(name, _verdict(F.col("__bad").isNotNull(), check, columns)).drop(*names, "__bad")
+def _filler(df: DataFrame) -> Column:
+    """A digest of a row that a task which is run again computes anew: its columns, and its partition for equal rows."""
+    plain = [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+    return F.xxhash64(*plain, F.spark_partition_id())
 
 
 def _verdict(fails: Column, check: Check, columns: list[Column]) -> Column:
@@ -137,23 +148,27 @@ def _verdict(fails: Column, check: Check, columns: list[Column]) -> Column:
     return F.when(_null_key(columns), F.lit(check.kind == "unique")).otherwise(~fails)
 
 
+def _short(column: Column, dtype: T.DataType) -> Column:
+    """The key, or the digest of a long text, told apart by a character that no digest begins with."""
+    if not isinstance(dtype, T.StringType):
+        return column
+    digest = F.concat(F.lit("\0"), F.sha2(column, 256))
+    return F.when(F.octet_length(column) > HOT_KEY_BYTES, digest).otherwise(column)
+
+
 def _mark_hot(df: DataFrame, found: BadKeys) -> DataFrame:
     """Mark the rows that must not enter a shuffle by key: ``__aside``, with their verdict ``__hot_bad``.
 
     These are rows with one of the HOT_KEYS most frequent keys, good or bad, whose verdict is broadcast, and rows
-    with a NULL key. They are judged in place. Unlike a random salt this does not depend on the order of rows, so
-    a task that is run again after a loss sends every row where it went before.
+    with a NULL key. They are judged in place.
     """
     check, names = found.check, _key_names(found.check)
+    types = [found.hot.schema[n].dataType for n in names]
     hot_names = [f"__h{i}" for i in range(len(names))]
-    hot = (
-        found.counts.where((F.col("n") >= HOT_ROWS) & (_width(names) <= HOT_KEY_BYTES))
-        .orderBy(F.desc("n"))
-        .limit(HOT_KEYS)
-        .select(*[F.col(n).alias(h) for n, h in zip(names, hot_names)], F.col("bad").alias("__hot_bad"))
-    )
+    hot = found.hot.select(*[_short(F.col(n), t).alias(h) for n, h, t in zip(names, hot_names, types)], F.col("bad").alias("__hot_bad"))
     columns = check.key_columns()
-    marked = df.join(F.broadcast(settle(hot, "hot-keys")), _same(columns, hot_names, check.null_equal), "left")
+    short = [_short(c, t) for c, t in zip(columns, types)]
+    marked = df.join(F.broadcast(hot), _same(short, hot_names, check.null_equal), "left")
     aside = F.col("__hot_bad").isNotNull()
     if not check.null_equal:
         aside = aside | _null_key(columns)

@@ -3,71 +3,72 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections import defaultdict
-from collections.abc import Callable, Iterable
+import time
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from itertools import groupby
 
-from pyspark.errors import AnalysisException
+from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from assaylake.model import Reference, rules_from
 from assaylake.operators import enforce, rulebook
 from assaylake.operators.verdict import union_all
 from assaylake.plans.engine import Dataset, Result, Writer, process, publish
+from assaylake.session import settle
 from assaylake.sources.rules import registry_references
 
-# The registry is control data and is read by the driver. The bounds are checked, nothing is cut off.
-MAX_DATASETS = 10_000
-MAX_RULES = 200_000
+# Datasets whose jobs overlap.
+PARALLEL_DATASETS = 4
 
 Reader = Callable[[str], DataFrame]
 
 
-def _bounded(df: DataFrame, limit: int, what: str) -> list:
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} {what} in the registry")
-    return rows
-
-
-def datasets_from_registry(
+def iter_datasets(
     datasets: DataFrame,
     mappings: DataFrame,
     rules: DataFrame,
     read: Reader,
     as_of: str | dt.datetime | None = None,
     check_dates: bool = True,
-) -> list[Dataset]:
-    """All active datasets with their rules and references; ``read`` opens a table by name.
+) -> Iterator[Dataset]:
+    """The active datasets with their rules and references, one after the other; ``read`` opens a table by name.
 
     A reference rule on a column takes the table the registry names for ``<column>_ref``, else the table its
-    params name. Tables that cannot be opened are left out: their rules become error rows, not failed runs.
+    params name. References that cannot be opened are left out: their rules become error rows, not failed runs. A dataset
+    whose own table cannot be opened comes with ``problem`` instead of a frame. The driver holds one dataset's rules at a
+    time, so neither rules nor datasets have a total bound.
     """
-    active = _bounded(datasets.where("is_active").orderBy("dataset_id"), MAX_DATASETS, "datasets")
-    resolved = _bounded(
-        rulebook.resolve_by_registry(datasets, mappings, rules, as_of, check_dates), MAX_RULES, "rules"
-    )
-    by_dataset = defaultdict(list)
-    for row in resolved:
-        by_dataset[row["dataset_name"]].append(row.asDict())
-    named = {
-        (r["dataset_id"], r["ref_name"]): (r["ref_table"], r["ref_column"])
-        for r in registry_references(datasets.where("is_active")).collect()
-    }
-    out = []
-    for row in active:
-        mapped = tuple(rules_from(by_dataset[row["dataset_name"]]))
+    resolved = rulebook.resolve_by_registry(datasets, mappings, rules, as_of, check_dates)
+    active = datasets.where("is_active")
+    named = registry_references(active).groupBy("dataset_id").agg(F.collect_list(F.struct("ref_name", "ref_table", "ref_column")).alias("__refs"))
+    head = active.select("dataset_id", "dataset_name", "primary_key", "source_table").join(named, "dataset_id", "left")
+    mapped_rules = resolved.select(F.col("dataset_name").alias("__of"), F.struct(*resolved.columns).alias("__rule"))
+    rows = settle(head.join(mapped_rules, F.col("dataset_name") == F.col("__of"), "left"), "registry")
+    ordered = rows.orderBy("dataset_id")
+    for _, group in groupby(ordered.toLocalIterator(), key=lambda r: r["dataset_id"]):
+        entries = list(group)
+        row = entries[0]
+        mapped = tuple(rules_from([e["__rule"].asDict() for e in entries if e["__rule"] is not None]))
+        known = {r["ref_name"]: (r["ref_table"], r["ref_column"]) for r in row["__refs"] or ()}
         refs = {}
         for rule in mapped:
             if rule.rule_type == "referential_integrity":
-                table, column = named.get(
-                    (row["dataset_id"], f"{rule.column}_ref"), (rule.params.get("ref_table"), rule.params.get("ref_column"))
-                )
+                table, column = known.get(f"{rule.column}_ref", (rule.params.get("ref_table"), rule.params.get("ref_column")))
                 frame = _open(read, table)
                 if frame is not None:
                     refs[rule.rule_id] = Reference(frame, column)
-        out.append(Dataset(row["dataset_id"], row["dataset_name"], row["primary_key"], read(row["source_table"]), mapped, refs))
-    return out
+        frame = _open(read, row["source_table"])
+        problem = "" if frame is not None else f"table '{row['source_table']}' cannot be opened"
+        yield Dataset(row["dataset_id"], row["dataset_name"], row["primary_key"], frame, mapped, refs, problem)
+
+
+def datasets_from_registry(*registry, **options) -> list[Dataset]:
+    """:func:`iter_datasets` as a list."""
+    return list(iter_datasets(*registry, **options))
 
 
 def _open(read: Reader, table: str | None) -> DataFrame | None:
@@ -79,12 +80,27 @@ def _open(read: Reader, table: str | None) -> DataFrame | None:
 
 @dataclass(frozen=True)
 class RegistryRun:
-    """Results per dataset, the tables stored for each, and log and scores of all."""
+    """Results per dataset, the tables stored for each, stored log and scores of all, and why a dataset did not run."""
 
     results: dict[str, Result]
     tables: dict[str, dict[str, DataFrame]]
-    log: DataFrame
-    scores: DataFrame
+    log: DataFrame | None
+    scores: DataFrame | None
+    problems: dict[str, str]
+
+
+def _run_one(d: Dataset, run_id: str, write: Writer, as_of, mode: str, results: str, threshold_pct: float | None):
+    """One dataset: result with its measured duration, stored log and score, and its tables unless the gate is shut."""
+    if d.frame is None:
+        raise ValueError(d.problem)
+    start = time.monotonic()
+    result = process(d, run_id, as_of, mode)
+    score = settle(result.score, f"{d.name}-score")
+    tables = {}
+    if threshold_pct is None or enforce.gate(score, threshold_pct).first()["publish"]:
+        tables = publish(result, d, write, results)
+    result = result.lasting(round(1000 * (time.monotonic() - start)))
+    return result, tables, settle(result.log, f"{d.name}-log"), score
 
 
 def run_registry(
@@ -98,15 +114,32 @@ def run_registry(
 ) -> RegistryRun:
     """Process every dataset, store its validated table, and derive clean, quarantine and detail from it.
 
-    With ``threshold_pct`` a dataset too many of whose rows fail a hard rule is scored but not stored.
+    PARALLEL_DATASETS run at a time. One that fails, or whose table cannot be opened, is noted in ``problems`` and the
+    others go on. With ``threshold_pct`` a dataset too many of whose rows fail a hard rule is scored but not stored.
     """
     done: dict[str, Result] = {}
     tables: dict[str, dict[str, DataFrame]] = {}
-    for d in datasets:
-        result = process(d, run_id, as_of, mode)
-        done[d.name] = result
-        if threshold_pct is None or enforce.gate(result.score, threshold_pct).first()["publish"]:
-            tables[d.name] = publish(result, d, write, results)
-    return RegistryRun(
-        done, tables, union_all([r.log for r in done.values()]), union_all([r.score for r in done.values()])
-    )
+    problems: dict[str, str] = {}
+    logs, scores = [], []
+    listed = list(datasets)
+    session = next((d.frame.sparkSession for d in listed if d.frame is not None), None)
+
+    def work(d: Dataset):
+        try:
+            return _run_one(d, run_id, write, as_of, mode, results, threshold_pct)
+        except (PySparkException, ValueError) as problem:
+            return str(problem).split("\n")[0]
+
+    if session is not None:
+        work = inheritable_thread_target(session)(work)
+    with ThreadPoolExecutor(PARALLEL_DATASETS) as pool:
+        for d, out in zip(listed, pool.map(work, listed)):
+            if isinstance(out, str):
+                problems[d.name] = out
+                continue
+            done[d.name], stored, log, score = out
+            if stored:
+                tables[d.name] = stored
+            logs.append(log)
+            scores.append(score)
+    return RegistryRun(done, tables, union_all(logs) if logs else None, union_all(scores) if scores else None, problems)

@@ -1,10 +1,12 @@
 """Edge cases of rule types, keys, skew and error isolation."""
 
+import pytest
 from pyspark.sql import functions as F
 
 import assaylake
 from assaylake import Reference, Rule, Run, compile_rules, register_rule_type, run_rules
 from assaylake.plans import keyed
+from assaylake.plans.compile import expectations
 from assaylake.plans.metrics import rule_counts
 from assaylake.plans.verdicts import evaluate
 
@@ -72,13 +74,73 @@ def test_allowed_values_quotes_and_numbers(spark):
     assert quoted == {1: True, 2: False} and number == {1: True, 2: False}
 
 
-def test_long_value_list_equals_inline_list(spark, monkeypatch):
-    df = spark.range(100).withColumn("n", F.col("id") % 7)
-    rule = Rule("a", "allowed_values", "n", {"values": [1, 2, 5]})
-    inline = passes(df, rule)
-    monkeypatch.setattr("assaylake.plans.compile.INLINE_VALUES", 2)
-    assert compile_rules(df, [rule])[0].kind == "reference"
-    assert passes(df, rule) == inline
+@pytest.mark.parametrize("longer", [0, 6_000])
+def test_value_lists_compare_alike_at_any_length(spark, longer):
+    rows = [(1, "1.0", "2024-01-01", "1.50"), (2, "01", "2024-01-02", "1.51"), (3, "2", None, None), (4, None, None, "2.00")]
+    df = spark.createDataFrame(rows, "id int, s string, d string, c string")
+    df = df.withColumn("d", F.col("d").cast("timestamp")).withColumn("c", F.col("c").cast("decimal(10,2)"))
+    numbers = list(range(1_000, 1_000 + longer))
+    texts = [f"2100-01-01 00:00:{k % 60:02d}.{k:06d}" for k in range(longer)]
+    rules = [
+        Rule("a", "allowed_values", "s", {"values": [1, 2, *numbers]}),
+        Rule("b", "allowed_values", "d", {"values": ["2024-01-01", *texts]}),
+        Rule("c", "allowed_values", "c", {"values": ["1.5", *map(str, numbers)]}),
+        Rule("d", "allowed_values", "id", {"values": [1, 4, *numbers]}),
+    ]
+    checks = compile_rules(df, rules)
+    assert [c.kind for c in checks] == ["row"] * 4 and len(expectations(checks)) == 4
+    number, time, decimal, whole = passes(df, *rules)
+    assert number == {1: True, 2: True, 3: True, 4: False} and time == {1: True, 2: False, 3: False, 4: False}
+    assert decimal == {1: True, 2: False, 3: False, 4: False} and whole == {1: True, 2: False, 3: False, 4: True}
+
+
+def test_parameters_must_be_lists(spark):
+    df = spark.createDataFrame([(1, "a")], "i int, s string")
+    checks = compile_rules(df, [Rule("a", "allowed_values", "s", {"values": "abc"}), Rule("b", "uniqueness", "s", {"columns": "i"})])
+    assert [c.kind for c in checks] == ["error", "error"]
+
+
+def test_rules_that_fail_on_rows_become_errors(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "7"), (3, None)], "i int, s string")
+    rules = [
+        Rule("ok", "range", "i", {"min": 2}, enforcement="hard"),
+        Rule("pattern", "regex", "s", {"pattern": "[a-"}),
+        Rule("values", "allowed_values", "i", {"values": ["x", "1"]}),
+        Rule("bound", "range", "i", {"min": "abc"}),
+        Rule("cast", "custom_sql", "s", {"sql_expression": "cast(s as int) > 0"}),
+        Rule("zero", "custom_sql", "i", {"sql_expression": "1 / (i - 1) > 0"}),
+        Rule("year", "custom_sql", "i", {"sql_expression": "extract(year from (timestamp'2024-01-01')) = 2024"}),
+        Rule("sub", "custom_sql", "i", {"sql_expression": "i > (select 0)"}),
+        Rule("good", "custom_sql", "s", {"sql_expression": "try_cast(s as int) > 0"}),
+    ]
+    for mode in ("row", "sequential"):
+        log = {r.rule_id: (r.status, r.passed_count) for r in run_rules(df, rules, Run("r", "d"), mode=mode).log.collect()}
+        assert {k for k, v in log.items() if v[0] == "error"} == {"pattern", "values", "bound", "cast", "zero", "sub"}
+        assert log["ok"] == ("failed", 2) and log["good"][1] == 1 and log["year"][0] == "passed"
+
+
+def test_shuffled_key_rules_read_their_source_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed, "BROADCAST_KEYS", -1)
+    monkeypatch.setattr(keyed, "HOT_ROWS", 1_000)
+    path = str(tmp_path / "skewed")
+    skewed(spark).write.parquet(path)
+    df = spark.read.parquet(path)
+    refs = {"r": Reference(spark.range(0, 250).select(F.col("id").alias("k")))}
+    frame = run_rules(df, KEY_RULES, Run("r", "d"), refs).verdicts.frame
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") - plan.count("Relation [__") == 1 and "Union" not in plan
+
+
+def test_long_hot_keys_stay_out_of_the_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(keyed, "BROADCAST_KEYS", -1)
+    monkeypatch.setattr(keyed, "HOT_ROWS", 100)
+    df = spark.range(400).select("id", F.when(F.col("id") < 300, F.repeat(F.lit("x"), 5_000)).otherwise(F.col("id").cast("string")).alias("s"))
+    rule = Rule("u", "uniqueness", "s")
+    (check,) = compile_rules(df, [rule])
+    found = keyed.bad_keys(df, check)
+    assert keyed._mark_hot(df, found).where("__aside").count() == 300
+    assert max(len(r["__k0"]) for r in found.hot.collect()) == 5_000
+    assert sum(passes(df, rule)[0].values()) == 100
 
 
 def test_freshness_is_exact(spark):
