@@ -18,7 +18,7 @@ RULE_TYPES = (
 )
 SEVERITIES = ("error", "warning", "info")
 ENFORCEMENT_MODES = ("hard", "soft")
-RULE_ID_PATTERN = r"^DQR-[0-9]{6}$"
+RULE_ID_PATTERN = r"^DQR-[0-9]{6,}$"
 MAX_RULE_NAME = 255
 
 # Parameters each rule type must carry.

@@ -312,13 +312,14 @@ ORACLES["quarantine_volume"] = sql(
     f"SELECT source_table, count(*) AS quarantined_count FROM ({' UNION ALL '.join(_entry_counts(n) for n in REPORTED)}) GROUP BY 1",
 )
 ORACLES["quarantine_breakdown"] = sql(
-    _verdict_ctes(("customer", "part")),
+    _verdict_ctes(REPORTED),
     f"SELECT source_table, rule_type, severity, quarantine_reason, count(*) AS quarantined_count "
-    f"FROM ({_entry_counts('customer')} UNION ALL {_entry_counts('part')}) GROUP BY ALL",
+    f"FROM ({' UNION ALL '.join(_entry_counts(n) for n in REPORTED)}) GROUP BY ALL",
 )
 ORACLES["quarantine_by_type"] = sql(
-    _verdict_ctes(("events",)),
-    f"SELECT source_table, rule_type, severity, count(*) AS quarantined_count FROM ({_entry_counts('events')}) GROUP BY ALL",
+    _verdict_ctes(REPORTED),
+    f"SELECT source_table, rule_type, severity, count(*) AS quarantined_count "
+    f"FROM ({' UNION ALL '.join(_entry_counts(n) for n in REPORTED)}) GROUP BY ALL",
 )
 _p = SUITES["part"]
 ORACLES["quarantine_listing"] = f"""
@@ -361,7 +362,7 @@ def sequential_scores(names: tuple[str, ...]) -> list[str]:
     ]
 
 
-_SEQ = sequential_scores(("customer", "orders", "part"))
+_SEQ = sequential_scores(REPORTED)
 ORACLES["sequential_scores"] = sql(_SEQ, f"SELECT {', '.join(SCORE_COLUMNS)} FROM scores")
 ORACLES["processing_summary"] = sql(
     _SEQ,
@@ -369,8 +370,9 @@ ORACLES["processing_summary"] = sql(
  overall_dq_score AS dq_score, rules_passed, rules_failed FROM scores""",
 )
 ORACLES["silver_customer"] = sql(
-    sequential_ctes(_c),
-    f"SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, balance_code, '{RUN_ID}' AS _dq_run_id FROM s_customer_{len(_c.able())}",
+    sequential_scores(("customer",)),
+    f"SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, balance_code, '{RUN_ID}' AS _dq_run_id, "
+    f"(SELECT CAST(overall_dq_score AS DOUBLE) FROM scores) AS _dq_score FROM s_customer_{len(_c.able())}",
 )
 
 
@@ -384,7 +386,7 @@ def _detail(n: str) -> str:
     )
 
 
-ORACLES["detail_all"] = sql(_verdict_ctes(("customer", "part")), f"{_detail('customer')} UNION ALL {_detail('part')}")
+ORACLES["detail_all"] = sql(_verdict_ctes(REPORTED), " UNION ALL ".join(_detail(n) for n in REPORTED))
 ORACLES["detail_failures_lineitem"] = sql(
     _verdict_ctes(("lineitem",)), f"SELECT primary_key_value, rule_id, row_score FROM ({_detail('lineitem')}) WHERE NOT passed"
 )

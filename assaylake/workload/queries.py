@@ -37,7 +37,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 RUN_ID = "run-1"
-REPORTED = ("customer", "orders", "part", "events")
+REPORTED = tuple(SUITES)
 
 
 def query(fn: Query) -> Query:
@@ -54,6 +54,11 @@ def _result(spark: SparkSession, sf: str, name: str, mode: str = "row") -> Resul
     return run_rules(d.frame, d.rules, _run(name), d.refs, mode)
 
 
+def _compact(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """The validated table with failed results only, which splits, listings and failure details need no more of."""
+    return verdict.validated(_result(spark, sf, name).verdicts, SUITES[name].as_of, "failed")
+
+
 def _counts(spark: SparkSession, sf: str, name: str, pick: Callable[[Rule], bool] = lambda r: True) -> DataFrame:
     d = SUITES[name].dataset(spark, sf)
     rules = [r for r in d.rules if pick(r)]
@@ -223,12 +228,12 @@ def row_flags_orders(spark, sf):
 
 @query
 def row_score_distribution(spark, sf):
-    return verdict.union_all([reports.score_distribution(_result(spark, sf, n).validated, n) for n in REPORTED])
+    return verdict.union_all([reports.score_distribution(_compact(spark, sf, n), n) for n in REPORTED])
 
 
 @query
 def row_score_stats(spark, sf):
-    return verdict.union_all([reports.score_stats(_result(spark, sf, n).validated, n) for n in REPORTED])
+    return verdict.union_all([reports.score_stats(_compact(spark, sf, n), n) for n in REPORTED])
 
 
 @query
@@ -238,13 +243,13 @@ def clean_orders(spark, sf):
 
 @query
 def quarantine_orders(spark, sf):
-    d = enforce.quarantine(_result(spark, sf, "orders").validated, SUITES["orders"].as_of)
+    d = enforce.quarantine(_compact(spark, sf, "orders"), SUITES["orders"].as_of)
     return d.select("o_orderkey", "o_custkey", "o_totalprice", "_quarantine_reason")
 
 
 @query
 def soft_flag_events(spark, sf):
-    return enforce.flag_soft(_result(spark, sf, "events").validated, "dq_flag").select("event_id", "dq_flag")
+    return enforce.flag_soft(_compact(spark, sf, "events"), "dq_flag").select("event_id", "dq_flag")
 
 
 @query
@@ -284,18 +289,19 @@ def quarantine_volume(spark, sf):
 
 @query
 def quarantine_breakdown(spark, sf):
-    parts = [_result(spark, sf, n).entries(SUITES[n].primary_key) for n in ("customer", "part")]
+    parts = [_result(spark, sf, n).entries(SUITES[n].primary_key) for n in REPORTED]
     return reports.quarantine_breakdown(verdict.union_all(parts))
 
 
 @query
 def quarantine_by_type(spark, sf):
-    return reports.quarantine_breakdown(_result(spark, sf, "events").entries("event_id"), with_reason=False)
+    parts = [_result(spark, sf, n).entries(SUITES[n].primary_key) for n in REPORTED]
+    return reports.quarantine_breakdown(verdict.union_all(parts), with_reason=False)
 
 
 @query
 def quarantine_listing(spark, sf):
-    held = enforce.quarantine(_result(spark, sf, "part").validated)
+    held = enforce.quarantine(_compact(spark, sf, "part"))
     return reports.quarantine_listing(held, ["p_partkey", "p_name", "p_brand"]).drop("_quarantined_at")
 
 
@@ -322,25 +328,25 @@ def dataset_scores(spark, sf):
 
 @query
 def sequential_scores(spark, sf):
-    return verdict.union_all([_result(spark, sf, n, "sequential").score for n in ("customer", "orders", "part")]).select(*SCORE_COLUMNS)
+    return verdict.union_all([_result(spark, sf, n, "sequential").score for n in REPORTED]).select(*SCORE_COLUMNS)
 
 
 @query
 def processing_summary(spark, sf):
-    return summary.processing_summary(verdict.union_all([_result(spark, sf, n, "sequential").score for n in ("customer", "orders", "part")]))
+    return summary.processing_summary(verdict.union_all([_result(spark, sf, n, "sequential").score for n in REPORTED]))
 
 
 @query
 def silver_customer(spark, sf):
     """Clean rows in sequential mode with audit columns."""
     r = _result(spark, sf, "customer", "sequential")
-    return enforce.silver(r.verdicts, r.run, 0.0).drop("_dq_processed_at", "_dq_score")
+    return r.silver.drop("_dq_processed_at")
 
 
 @query
 def detail_all(spark, sf):
     parts = []
-    for name in ("customer", "part"):
+    for name in REPORTED:
         parts.append(verdict.detail(_result(spark, sf, name).validated, name, SUITES[name].primary_key))
     return verdict.union_all(parts).select(
         "dataset_name", "primary_key_value", "rule_id", "rule_type", "target_column", "severity", "enforcement", "passed", "row_score", "all_passed"
@@ -349,7 +355,7 @@ def detail_all(spark, sf):
 
 @query
 def detail_failures_lineitem(spark, sf):
-    d = verdict.detail(_result(spark, sf, "lineitem").validated, "lineitem", "l_orderkey", failures_only=True)
+    d = verdict.detail(_compact(spark, sf, "lineitem"), "lineitem", "l_orderkey", failures_only=True)
     return d.select("primary_key_value", "rule_id", "row_score")
 
 
@@ -556,7 +562,7 @@ def customer_360(spark, sf):
 
 @query
 def customer_360_clean(spark, sf):
-    customers = enforce.clean(_result(spark, sf, "customer").validated)
+    customers = enforce.clean(_compact(spark, sf, "customer"))
     orders = _result(spark, sf, "orders").clean
     view = _customer_view(customers, orders, fill_zero=True)
     return view.withColumn("row_score", F.col("_dq.row_score")).drop("_dq")
@@ -569,7 +575,7 @@ def engagement_distribution(spark, sf):
 
 @query
 def part_catalog(spark, sf):
-    clean = enforce.clean(_result(spark, sf, "part").validated)
+    clean = enforce.clean(_compact(spark, sf, "part"))
     catalog = gold.product_catalog(clean, columns=["p_partkey", "p_name", "p_brand", "p_type"], price="p_retailprice")
     return catalog.drop("_gold_processed_at", "_dq")
 
@@ -691,12 +697,12 @@ def rule_failure_ranking(spark, sf):
 
 @query
 def worst_rows(spark, sf):
-    return reports.worst_rows(_result(spark, sf, "orders").validated, ["o_orderkey", "o_custkey"]).drop("_dq_evaluated_at")
+    return reports.worst_rows(_compact(spark, sf, "orders"), ["o_orderkey", "o_custkey"]).drop("_dq_evaluated_at")
 
 
 @query
 def failing_rows_part(spark, sf):
-    return reports.worst_rows(_result(spark, sf, "part").validated, ["p_partkey", "p_name"], k=None).drop("_dq_evaluated_at")
+    return reports.worst_rows(_compact(spark, sf, "part"), ["p_partkey", "p_name"], k=None).drop("_dq_evaluated_at")
 
 
 @query

@@ -76,7 +76,7 @@ FROM part"""
 
 ERRORS_SQL = """concat_ws('; ',
   CASE WHEN target_column = '' THEN 'missing column' END,
-  CASE WHEN NOT regexp_matches(rule_id, '^DQR-[0-9]{6}$') THEN 'bad rule_id' END,
+  CASE WHEN NOT regexp_matches(rule_id, '^DQR-[0-9]{6,}$') THEN 'bad rule_id' END,
   CASE WHEN rule_type = 'median_check' THEN 'unknown rule_type' END,
   CASE WHEN severity = 'critical' THEN 'unknown severity' END,
   CASE WHEN version < 1 THEN 'bad version' END,
