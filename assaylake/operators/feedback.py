@@ -14,6 +14,7 @@ def feedback_payload(log: DataFrame, scores: DataFrame, run_id: str | None = Non
     of_dataset = scores.select("run_id", "dataset_name", F.col("overall_dq_score").alias("dataset_dq_score"))
     violated = F.when(F.col("severity") == "error", F.coalesce(F.col("dq_score") < sla, F.lit(False))).otherwise(False)
     rows = executed.join(of_dataset, ["run_id", "dataset_name"], "left").withColumn("sla_violation", violated)
+    # The attribute names of the catalogue.
     attributes = F.struct(
         F.col("status").alias("Last Execution Status"),
         F.col("dq_score").alias("Last DQ Score"),

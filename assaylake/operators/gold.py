@@ -112,6 +112,27 @@ def sales_metrics(transactions: DataFrame, *, group: str, amount: str, quantity:
     )
 
 
+def sales_metrics_by(
+    transactions: DataFrame, lookup: DataFrame, *, key: str, of: str, group: str, amount: str, quantity: str
+) -> DataFrame:
+    """:func:`sales_metrics` by a column of a looked-up table (``lookup`` with its key ``of``): lines are summed per key,
+    and only sums are joined, so a much-sold key is one row and the shuffle of lines combines first."""
+    sums = transactions.groupBy(F.col(f"`{key}`").alias("__key")).agg(
+        F.count(F.lit(1)).alias("__lines"),
+        F.count(F.col(f"`{amount}`")).alias("__amounts"),
+        _money_sum(amount).alias("__revenue"),
+        _money_sum(quantity).alias("__units"),
+    )
+    named = sums.join(lookup.select(F.col(f"`{of}`").alias("__of"), F.col(f"`{group}`")), F.col("__key") == F.col("__of"))
+    revenue = F.sum("__revenue")
+    return named.groupBy(F.col(f"`{group}`")).agg(
+        F.sum("__lines").alias("total_orders"),
+        revenue.cast("double").alias("total_revenue"),
+        mean_of(revenue, F.sum("__amounts")).alias("avg_order_value"),
+        F.sum("__units").cast("double").alias("total_units_sold"),
+    )
+
+
 def top_sellers(sales: DataFrame, group: str, k: int = 1) -> DataFrame:
     """The groups with the greatest revenue; ties go to the smaller name."""
     return sales.orderBy(F.desc("total_revenue"), F.asc(group)).limit(k)

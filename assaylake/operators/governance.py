@@ -119,11 +119,13 @@ def reprocess(
     rules: Sequence[Rule],
     refs: References | None = None,
     as_of: str | dt.datetime | None = None,
+    clean: DataFrame | None = None,
 ) -> DataFrame:
     """Re-evaluate open entries under the present rules; entries whose rule now passes are resolved.
 
     An entry belongs to one rule and is judged by that rule alone, so the record is restored in place and nothing
-    is joined but key verdicts. Uniqueness is judged among the open entries of the rule. Entries whose rule is no
+    is joined but key verdicts. Uniqueness is judged among the open entries of the rule and the rows of ``clean``, the table they
+    would return to, so that no duplicate of a clean row is released. Entries whose rule is no
     longer given are resolved; entries whose rule cannot run stay open.
     """
     columns = entries.columns
@@ -138,7 +140,11 @@ def reprocess(
         elif check.kind == "row":
             verdict = check.predicate
         else:
-            found = bad_keys(rows, check, among=is_open & (rule_id == check.rule.rule_id))
+            of_rule = rows.where(is_open & (rule_id == check.rule.rule_id))
+            if check.kind == "unique" and clean is not None:
+                keys = [F.col(f"`{k}`") for k in check.keys]
+                of_rule = of_rule.select(*keys).unionByName(clean.select(*keys))
+            found = bad_keys(of_rule, check)
             rows = attach_key_verdict(rows, found, f"__v{i}")
             verdict = F.col(f"__v{i}")
         passes = F.when(rule_id == check.rule.rule_id, verdict).otherwise(passes)

@@ -89,7 +89,6 @@ def suggest_rules(profiled: DataFrame, dataset: str) -> DataFrame:
     length for text.
     """
     numeric = F.col("type").isin("tinyint", "smallint", "int", "bigint", "float", "double") | F.col("type").startswith("decimal")
-    never = F.lit(None).cast("string")
     rules = F.array_compact(
         F.array(
             F.when(F.col("nulls") == 0, _candidate("not_null", F.lit("{}"))),
@@ -108,7 +107,6 @@ def suggest_rules(profiled: DataFrame, dataset: str) -> DataFrame:
                     F.concat(F.lit('{"min_length":'), F.col("min_length"), F.lit(',"max_length":'), F.col("max_length"), F.lit("}")),
                 ),
             ),
-            F.when(F.lit(False), _candidate("", never)),
         )
     )
     return profiled.select(F.lit(dataset).alias("dataset_name"), F.col("column").alias("target_column"), F.inline(rules))

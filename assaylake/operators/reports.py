@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from assaylake.functions.columns import exact_mean, health, percent
 
+# The health labels of the reports.
 UPPER = ("HEALTHY", "WARNING", "CRITICAL")
 TITLE = ("Healthy", "Warning", "Critical")
 COLOUR = ("GREEN", "AMBER", "RED")

@@ -13,6 +13,7 @@ from assaylake.model import Rule
 from assaylake.plans.verdicts import Verdicts
 
 
+# The fields of a rule result.
 _ITEM_TYPE = (
     "struct<rule_id:string,rule_name:string,rule_type:string,column:string,severity:string,"
     "enforcement:string,passed:boolean>"
@@ -88,6 +89,7 @@ def flag_name(rule_id: str) -> str:
     return f"_dq_{rule_id.replace('-', '_')}"
 
 
+# The fields of ``_dq`` that flat tables have.
 _FLAT = (
     "passed_rules",
     "failed_rules",

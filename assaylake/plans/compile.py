@@ -72,7 +72,7 @@ def _row(df: DataFrame, rule: Rule, as_of: Column) -> Check:
     else:
         _columns(df, [rule.column])
         column, dtype = F.col(f"`{rule.column}`"), df.schema[rule.column].dataType
-    predicate = build_predicate(rule.rule_type, rule.params, Target(column, dtype, as_of))
+    predicate = build_predicate(rule.rule_type, rule.params, Target(column, dtype, as_of, rule.column))
     return Check(rule, "row", F.coalesce(predicate, F.lit(False)))
 
 

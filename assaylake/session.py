@@ -58,3 +58,9 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables from the shared folder; frames that read them end with it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -725,6 +725,9 @@ ORACLES["profile_statistics"] = f"WITH o AS ({_ORDERS}) " + " UNION ALL ".join(
  CAST(max(length(CAST({c} AS VARCHAR))) AS INTEGER) AS max_length FROM o"""
     for c in ("o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
 )
+# Every column of orders, and that its approximate figures are within bounds.
+ORACLES["profile_approximate"] = f"""WITH o AS ({_ORDERS}) SELECT column_name AS "column", TRUE AS distinct_ok, TRUE AS median_ok
+FROM (DESCRIBE SELECT * FROM o)"""
 ORACLES["top_values"] = """
 WITH c AS (SELECT 'l_returnflag' AS "column", l_returnflag AS value, count(*) AS n FROM lineitem GROUP BY 2
  UNION ALL SELECT 'l_suppkey', CAST(l_suppkey AS VARCHAR), count(*) FROM lineitem GROUP BY 2

@@ -76,7 +76,7 @@ P014,LED TV,ELC-1234,599.99,electronics,30,TechCorp,2026-03-28
 P015,Cookbook,BKS-5678,22.99,books,250,BookWorld,2026-03-30
 """
 
-COUNTRIES = "US UK CA DE FR JP CN AU AR IN BR MX".split()
+COUNTRIES = ["US", "UK", "CA", "DE", "FR", "JP", "CN", "AU", "AR", "IN", "BR", "MX"]
 
 AS_OF = "2026-04-01 00:00:00"
 

@@ -192,6 +192,42 @@ def test_quarantine_lifecycle(spark, tables, rules, refs):
     assert (kept.count(), expired.count()) == (0, entries.count())
 
 
+def test_a_duplicate_of_a_clean_row_is_not_released(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id int, s string")
+    rule = Rule("u", "uniqueness", "id", {}, "error", "hard")
+    entries = run_rules(df, [rule], Run("r", "d", fx.AS_OF)).entries("s")
+    one = entries.where("record_key = 'a'")
+    taken, free = (spark.createDataFrame([(k, "z")], "id int, s string") for k in (1, 7))
+    open_, solved = (governance.reprocess(one, df.schema, [rule], as_of=fx.AS_OF, clean=c).first().resolution_action for c in (taken, free))
+    assert (open_, solved) == (None, "reprocessed")
+
+
+def test_registry_run_goes_on_after_a_failed_dataset(spark, tables, rules, refs, tmp_path):
+    names = list(fx.CSVS)
+    datasets = [Dataset(f"DS-{i}", n, fx.PRIMARY_KEYS[n], tables[n], tuple(rules[n]), refs) for i, n in enumerate(names)]
+    datasets.insert(1, Dataset("DS-x", "gone", "id", None, (), {}, "table 'gone' cannot be opened"))
+    from assaylake import run_registry
+
+    run = run_registry(datasets, "run-3", lambda f, n: io.write_overwrite(f, str(tmp_path / n)), fx.AS_OF)
+    assert list(run.results) == names and run.problems == {"gone": "table 'gone' cannot be opened"}
+    assert run.log.where("execution_duration_ms IS NULL").count() == 0 and run.scores.count() == 3
+    silver = run.results["customers"].silver
+    assert silver.select("_dq_score").distinct().collect()[0][0] == run.scores.where("dataset_name = 'customers'").first().overall_dq_score
+
+
+def test_clean_up_leaves_no_folder(spark):
+    import os
+    from urllib.parse import urlparse
+
+    from assaylake.session import fresh_path, release, settle
+
+    settle(spark.range(3), "left-over")
+    folder = os.path.dirname(urlparse(fresh_path(spark, "x")).path)
+    assert os.path.isdir(folder)
+    release(spark)
+    assert not os.path.isdir(folder)
+
+
 def test_masked_payload(tables, rules, refs):
     result = run_rules(tables["customers"], rules["customers"], Run("r", "customers", fx.AS_OF), refs)
     masked = result.entries("customer_id", mask={"email": "email", "customer_name": "hash", "phone": "redact"})
