@@ -68,7 +68,7 @@ class Encoder:
         column = pc.if_else(pc.match_substring_regex(column, _AS_IT_IS), column, pc.ascii_lower(column))
         cut = pc.ascii_split_whitespace(column)
         coded = cut.flatten().dictionary_encode()
-        places = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
+        places = self._places(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy(zero_copy_only=False)]
         counts = np.array(self.counts, np.int64)[places]
         starts = np.array(self.starts, np.int64)[places]
         return counts, starts, pc.list_value_length(cut).to_numpy(zero_copy_only=False).astype(np.int64)

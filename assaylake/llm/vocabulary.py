@@ -13,6 +13,8 @@ import re
 from functools import lru_cache
 
 NEVER = 1 << 60
+#: Latin letters beyond ASCII that normalisation leaves alone and that have one lower-case letter each.
+LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e"
 #: Pairs of neighbouring tokens whose border has been judged; emptied when full, which changes no result.
 PAIR_MEMO = 1_000_000
 
@@ -48,6 +50,9 @@ class Vocabulary:
         self.text: dict[int, str] = {i: s for s, i in self.ids.items()} | {i: s for s, i in self.special.items()}
         self.symbol = byte_symbols()
         self.ascii_pieces = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\ra-z0-9]+")
+        self.latin = re.compile(f"[!-~{LATIN}]+")
+        self.latin_pieces = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LATIN}]+|[0-9]|[^ \t-\ra-z0-9{LATIN}]+")
+        self.latin_symbols = {c: "".join(self.symbol[b] for b in chr(c).encode()) for c in range(0xC0, 0x180)}
         self._build(model["merges"])
 
     def _build(self, merges: list) -> None:
@@ -153,11 +158,19 @@ class Vocabulary:
 
     def pieces(self, chunk: str) -> list[str | int]:
         """A chunk without white space as the words, in byte symbols, and special ids that the library makes of it."""
-        if chunk.isascii() and "<|" not in chunk:
-            words = self.ascii_pieces.findall(chunk.lower())
-            if chunk.isprintable():
-                return words
-            return ["".join(self.symbol[ord(c)] for c in w) for w in words]
+        if chunk.isascii():
+            if chunk.isalpha():
+                return [chunk.lower()]
+            if "<|" not in chunk:
+                words = self.ascii_pieces.findall(chunk.lower())
+                if chunk.isprintable():
+                    return words
+                return ["".join(self.symbol[ord(c)] for c in w) for w in words]
+        elif "<|" not in chunk and self.latin.fullmatch(chunk):
+            lower = chunk.lower()
+            if chunk.isalpha():
+                return [lower.translate(self.latin_symbols)]
+            return [w.translate(self.latin_symbols) for w in self.latin_pieces.findall(lower)]
         out: list[str | int] = []
         for part in self.split_special.split(chunk) if self.split_special else [chunk]:
             if part in self.special:
