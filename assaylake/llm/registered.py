@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaylake.llm import bpe_codec, domain_score, jaccard_join, license_scan, packing, perplexity, rans_store, spot_signatures, surrogates, token_counts
+from assaylake.llm.shipping import ship
 from assaylake.session import fresh_path
 
 #: Tokens that a training sequence holds.
@@ -28,6 +29,7 @@ def vocabulary_path() -> str:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

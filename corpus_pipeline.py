@@ -12,16 +12,19 @@ from pyspark.sql import functions as F
 
 from assaylake.llm import jaccard_join, packing, perplexity, surrogates
 from assaylake.llm.registered import SEQUENCE, SURROGATE_KEY, vocabulary_path
+from assaylake.llm.shipping import ship
 from assaylake.session import settle
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and their language's perplexity band keep."""
+    ship(spark)
     return perplexity.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group that shingle similarity connects."""
+    ship(spark)
     return jaccard_join.keep_one(docs)
 
 
@@ -33,6 +36,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all documents' tokens in training sequences."""
+    ship(spark)
     return packing.pack(docs, vocabulary_path(), SEQUENCE, end=0)
 
 
