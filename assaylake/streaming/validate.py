@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from assaylake.functions.columns import all_of
@@ -19,8 +20,9 @@ from assaylake.operators import enforce, verdict
 from assaylake.plans.compile import compile_rules
 from assaylake.plans.verdicts import Verdicts
 
-# A static reference up to this many keys is broadcast to the stream.
+# A static reference up to this many keys and bytes is broadcast to the stream.
 BROADCAST_KEYS = 500_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def stream_verdicts(stream: DataFrame, rules: Sequence[Rule], as_of: str | dt.datetime | None = None, refs=None) -> Verdicts:
@@ -42,11 +44,27 @@ def stream_verdicts(stream: DataFrame, rules: Sequence[Rule], as_of: str | dt.da
 
 
 def attach_reference(stream: DataFrame, key: str, reference: DataFrame, name: str) -> DataFrame:
-    """Does the key of a streamed row exist in a static table? ``reference`` has the column ``ref_key``."""
-    keys = reference.where(F.col("ref_key").isNotNull()).distinct()
-    small = reference.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    """Does the key of a streamed row exist in a static table? ``reference`` has the column ``ref_key``.
+
+    Text and numbers are compared as text, as in a batch. Beyond the broadcast limit rows with a NULL key, which match
+    nothing, are spread by a digest instead of meeting in one task.
+    """
+    own = F.col(f"`{key}`")
+    keys = reference.where(F.col("ref_key").isNotNull())
+    if isinstance(stream.schema[key].dataType, T.StringType) != isinstance(reference.schema["ref_key"].dataType, T.StringType):
+        own, keys = own.cast("string"), keys.select(F.col("ref_key").cast("string").alias("ref_key"))
+    keys = keys.distinct()
+    width = F.sum(F.octet_length(F.col("ref_key").cast("string")) + 16)
+    size = keys.agg(F.count(F.lit(1)).alias("n"), width.alias("bytes")).first()
     found = keys.withColumn("__found", F.lit(True))
-    joined = stream.join(F.broadcast(found) if small else found, F.col(f"`{key}`") == F.col("ref_key"), "left")
+    if size["n"] <= BROADCAST_KEYS and (size["bytes"] or 0) <= BROADCAST_BYTES:
+        joined = stream.join(F.broadcast(found), own == F.col("ref_key"), "left")
+    else:
+        plain = [F.col(f"`{f.name}`") for f in stream.schema if "map<" not in f.dataType.simpleString()]
+        to = F.when(own.isNull(), F.xxhash64(*plain, F.spark_partition_id())).otherwise(F.xxhash64(own))
+        found = found.withColumn("__from", F.xxhash64("ref_key"))
+        joined = stream.withColumn("__to", to).join(found, (F.col("__to") == F.col("__from")) & (own == F.col("ref_key")), "left")
+        joined = joined.drop("__to", "__from")
     return joined.withColumn(name, F.col("__found").isNotNull()).drop("ref_key", "__found")
 
 
@@ -114,9 +132,13 @@ def window_metrics(
     """Rows and passes per rule and window; rows later than ``delay`` are dropped by the watermark.
 
     ``window`` is ``F.window(...)`` (tumbling or sliding) or ``F.session_window(...)``. The same function serves a
-    batch, where the watermark has no effect. The state holds one row per window and group.
+    batch, where the watermark has no effect. The state holds one row per window and group. Rules that cannot be judged
+    by the row alone, or cannot run, are refused.
     """
-    checks = [c for c in compile_rules(stream, rules, as_of=as_of) if c.kind == "row"]
+    checks = compile_rules(stream, rules, as_of=as_of)
+    refused = [c.rule.rule_id for c in checks if c.kind != "row"]
+    if refused:
+        raise RuleError(f"window metrics take row rules that run only: {', '.join(refused)}")
     marked = stream.withWatermark(time, delay)
     counted = marked.groupBy(window.alias("w"), *by).agg(
         F.count(F.lit(1)).alias("total"),

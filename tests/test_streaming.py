@@ -89,3 +89,20 @@ def test_duplicates_and_first_seen(spark, feed, tmp_path):
     assert got.count() == df.select("kind", "value").distinct().count()
     batch = validate.windowed_duplicates(df, ["kind"], time="at", delay="1 hour", size="1 hour")
     assert all(r.n > 1 for r in batch.collect()) and batch.count() == 8
+
+
+def test_window_metrics_refuse_what_they_cannot_judge(spark, feed):
+    df, _ = feed
+    for rule in (Rule("u", "uniqueness", "id"), Rule("e", "not_null", "gone")):
+        with pytest.raises(RuleError, match=rule.rule_id):
+            validate.window_metrics(df, [*RULES, rule], time="at", delay="1 hour", window=F.window("at", "1 hour"))
+
+
+@pytest.mark.parametrize("limit", [500_000, -1])
+def test_references_compare_text_and_numbers_as_a_batch_does(spark, feed, monkeypatch, limit):
+    df, _ = feed
+    monkeypatch.setattr(validate, "BROADCAST_KEYS", limit)
+    refs = {"r": Reference(spark.createDataFrame([("2",), ("x",), (None,)], "v string"))}
+    rule = Rule("c", "referential_integrity", "value", {"ref_table": "r", "ref_column": "v"})
+    got = validate.stream_verdicts(df.withColumn("value", F.nullif("value", F.lit(3))), [rule], refs=refs).frame
+    assert got.where("__v0").count() == df.where("value = 2").count() and got.count() == df.count()
