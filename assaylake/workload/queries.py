@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +37,7 @@ from assaylake.workload import rulebase
 from assaylake.workload.suites import SUITES, load
 
 Query = Callable[[SparkSession, str], DataFrame]
+T = TypeVar("T")
 QUERIES: dict[str, Query] = {}
 
 RUN_ID = "run-1"
@@ -54,6 +58,16 @@ def _result(spark: SparkSession, sf: str, name: str, mode: str = "row") -> Resul
     return run_rules(d.frame, d.rules, _run(name), d.refs, mode)
 
 
+def _overlap(spark: SparkSession, work: Callable[[str], T], names: Sequence[str]) -> list[T]:
+    """The work of several datasets, four at a time: their jobs for key rules and for rules by users overlap."""
+    with ThreadPoolExecutor(4) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), names))
+
+
+def _results(spark: SparkSession, sf: str, names: Sequence[str], mode: str = "row") -> dict[str, Result]:
+    return dict(zip(names, _overlap(spark, lambda n: _result(spark, sf, n, mode), names)))
+
+
 def _compact(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """The validated table with failed results only, which splits, listings and failure details need no more of."""
     return verdict.validated(_result(spark, sf, name).verdicts, SUITES[name].as_of, "failed")
@@ -66,37 +80,37 @@ def _counts(spark: SparkSession, sf: str, name: str, pick: Callable[[Rule], bool
 
 
 def _log(spark: SparkSession, sf: str, names=REPORTED) -> DataFrame:
-    parts = []
-    for name in names:
+    def log(name: str) -> DataFrame:
         d = SUITES[name].dataset(spark, sf)
-        parts.append(log_only(d.frame, d.rules, _run(name), d.refs))
-    return verdict.union_all(parts)
+        return log_only(d.frame, d.rules, _run(name), d.refs)
+
+    return verdict.union_all(_overlap(spark, log, names))
 
 
 def _scores(spark: SparkSession, sf: str, names=REPORTED) -> DataFrame:
-    return verdict.union_all([_result(spark, sf, n).score for n in names])
+    return verdict.union_all([r.score for r in _results(spark, sf, names).values()])
 
 
 def _both(spark: SparkSession, sf: str, names=REPORTED) -> tuple[DataFrame, DataFrame]:
     """Log and scores of the same runs; Spark computes the counters they share once."""
-    results = [_result(spark, sf, n) for n in names]
+    results = list(_results(spark, sf, names).values())
     return verdict.union_all([r.log for r in results]), verdict.union_all([r.score for r in results])
 
 
 def _summaries(spark: SparkSession, sf: str, names=REPORTED) -> tuple[DataFrame, DataFrame]:
     """Summaries by dataset and by rule of the same runs."""
-    results = {n: _result(spark, sf, n) for n in names}
+    results = _results(spark, sf, names)
     by_dataset = [summary.dataset_summary(r.counts, n) for n, r in results.items()]
     by_rule = [summary.rule_summary(r.counts.rule_counts(), n) for n, r in results.items()]
     return verdict.union_all(by_dataset), verdict.union_all(by_rule)
 
 
 def _by_rule(spark: SparkSession, sf: str, names=REPORTED) -> DataFrame:
-    return verdict.union_all([summary.rule_summary(_counts(spark, sf, n), n) for n in names])
+    return verdict.union_all(_overlap(spark, lambda n: summary.rule_summary(_counts(spark, sf, n), n), names))
 
 
 def _by_dataset(spark: SparkSession, sf: str, names=REPORTED) -> DataFrame:
-    return verdict.union_all([summary.dataset_summary(_result(spark, sf, n).counts, n) for n in names]).drop("evaluated_at")
+    return verdict.union_all([summary.dataset_summary(r.counts, n) for n, r in _results(spark, sf, names).items()]).drop("evaluated_at")
 
 
 # --- single rules -----------------------------------------------------------------------------------------
@@ -283,19 +297,19 @@ def quarantine_entries_sequential(spark, sf):
 
 @query
 def quarantine_volume(spark, sf):
-    parts = [_result(spark, sf, n).entries(SUITES[n].primary_key) for n in REPORTED]
+    parts = [r.entries(SUITES[n].primary_key) for n, r in _results(spark, sf, REPORTED).items()]
     return reports.quarantine_volume(verdict.union_all(parts))
 
 
 @query
 def quarantine_breakdown(spark, sf):
-    parts = [_result(spark, sf, n).entries(SUITES[n].primary_key) for n in REPORTED]
+    parts = [r.entries(SUITES[n].primary_key) for n, r in _results(spark, sf, REPORTED).items()]
     return reports.quarantine_breakdown(verdict.union_all(parts))
 
 
 @query
 def quarantine_by_type(spark, sf):
-    parts = [_result(spark, sf, n).entries(SUITES[n].primary_key) for n in REPORTED]
+    parts = [r.entries(SUITES[n].primary_key) for n, r in _results(spark, sf, REPORTED).items()]
     return reports.quarantine_breakdown(verdict.union_all(parts), with_reason=False)
 
 
@@ -328,12 +342,12 @@ def dataset_scores(spark, sf):
 
 @query
 def sequential_scores(spark, sf):
-    return verdict.union_all([_result(spark, sf, n, "sequential").score for n in REPORTED]).select(*SCORE_COLUMNS)
+    return verdict.union_all([r.score for r in _results(spark, sf, REPORTED, "sequential").values()]).select(*SCORE_COLUMNS)
 
 
 @query
 def processing_summary(spark, sf):
-    return summary.processing_summary(verdict.union_all([_result(spark, sf, n, "sequential").score for n in REPORTED]))
+    return summary.processing_summary(verdict.union_all([r.score for r in _results(spark, sf, REPORTED, "sequential").values()]))
 
 
 @query
