@@ -799,3 +799,23 @@ WITH w AS (SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, CAST
 SELECT window_start, window_end, user_id, event_type, count(*) AS n FROM w
 WHERE window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY ALL HAVING count(*) > 1"""
 ORACLES["stream_first_seen"] = "SELECT DISTINCT user_id, event_type FROM events"
+
+
+ORACLES["registry_run"] = sql(score_ctes(), f"SELECT {', '.join(SCORE_COLUMNS)}, avg_row_score, TRUE AS timed FROM scores")
+_FAILED = " UNION ALL ".join(
+    f"SELECT 'DQR-22000{k}' AS rule_id, 'error' AS status, CAST(0 AS BIGINT) AS total_records, CAST(0 AS BIGINT) AS passed_count" for k in range(1, 6)
+)
+_RAN = " UNION ALL ".join(
+    f"""SELECT 'DQR-22000{k}', CASE WHEN count(*) FILTER (WHERE {test}) < count(*) THEN 'failed' ELSE 'passed' END, count(*),
+ count(*) FILTER (WHERE {test}) FROM orders"""
+    for k, test in ((6, "o_totalprice >= 2000"), (7, "regexp_matches(o_orderpriority, '^[1-5]-')"))
+)
+ORACLES["error_rules_orders"] = f"{_FAILED} UNION ALL {_RAN}"
+ORACLES["sink_modes"] = """
+SELECT CASE o_orderstatus WHEN 'F' THEN 'overwritten' WHEN 'O' THEN 'appended' ELSE 'merged' END AS came, count(*) AS n,
+ count(*) FILTER (WHERE o_orderstatus = 'P') AS with_status, CAST(sum(o_custkey) AS BIGINT) AS keys FROM orders GROUP BY 1
+UNION ALL SELECT 'truncated', 0, NULL, NULL"""
+_KEPT = "SELECT 'DQR-' || lpad(CAST(p_partkey AS VARCHAR), greatest(6, length(CAST(p_partkey AS VARCHAR)))::INT, '0') AS rule_id, 'error' AS severity"
+ORACLES["rule_documents"] = f"""
+{_KEPT}, 'json' AS source, CAST(NULL AS VARCHAR) AS params FROM part WHERE p_partkey % 2 = 0 AND p_size > 25
+UNION ALL {_KEPT}, 'table', '{{}}' FROM part WHERE p_partkey % 2 = 0 AND p_size > 25"""

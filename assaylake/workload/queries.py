@@ -10,6 +10,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assaylake import schemas
 from assaylake.functions.columns import masked
 from assaylake.model import Reference, Rule
 from assaylake.operators import (
@@ -26,12 +27,13 @@ from assaylake.operators import (
     verdict,
 )
 from assaylake.plans.compile import compile_rules, expectations
-from assaylake.plans.engine import Result, log_only, publish, run_rules
+from assaylake.plans.engine import Dataset, Result, log_only, publish, run_rules
 from assaylake.plans.metrics import Run, execution_log, rule_counts
+from assaylake.plans.registry import run_registry
 from assaylake.plans.verdicts import evaluate
 from assaylake.session import fresh_path, settle
 from assaylake.sources import tables
-from assaylake.sources.rules import registry_references
+from assaylake.sources.rules import read_rules, read_rules_table, registry_references
 from assaylake.streaming import validate
 from assaylake.workload import rulebase
 from assaylake.workload.suites import SUITES, load
@@ -985,3 +987,78 @@ def stream_first_seen(spark, sf):
     """Distinct keys that a stream lets through."""
     seen = validate.first_seen(_event_stream(spark, sf), ["user_id", "event_type"], time="at", delay="60 days")
     return _finished(spark, seen, "first-seen").select("user_id", "event_type")
+
+
+# --- runs, errors and sinks ---------------------------------------------------------------------------------
+
+
+@query
+def registry_run(spark, sf):
+    """All suites through the registry loop: validated tables, logs and scores stored, durations measured."""
+    datasets = [
+        Dataset(n, n, s.primary_key, d.frame, tuple(d.rules), d.refs) for n, s in SUITES.items() for d in (s.dataset(spark, sf),)
+    ]
+    moments = {s.as_of for s in SUITES.values()}
+    scores, logs = [], []
+    for moment in sorted(moments):
+        chosen = [d for d in datasets if SUITES[d.name].as_of == moment]
+        run = run_registry(chosen, RUN_ID, settle, moment, results="failed")
+        if run.problems:
+            raise RuntimeError(str(run.problems))
+        scores.append(run.scores)
+        logs.append(run.log)
+    timed = verdict.union_all(logs).groupBy("dataset_name").agg(F.every(F.col("execution_duration_ms") >= 0).alias("timed"))
+    return verdict.union_all(scores).select(*SCORE_COLUMNS, "avg_row_score").join(timed, "dataset_name")
+
+
+# Rules that fail while they run, next to good ones.
+FAILING = (
+    Rule("DQR-220001", "regex", "o_orderpriority", {"pattern": "[a-"}),
+    Rule("DQR-220002", "allowed_values", "o_custkey", {"values": ["x", "1"]}),
+    Rule("DQR-220003", "range", "o_custkey", {"min": "abc"}),
+    Rule("DQR-220004", "custom_sql", "o_orderstatus", {"sql_expression": "CAST(o_orderstatus AS INT) > 0"}),
+    Rule("DQR-220005", "custom_sql", "o_custkey", {"sql_expression": "1 / (o_custkey - o_custkey) > 0"}),
+    Rule("DQR-220006", "range", "o_totalprice", {"min": 2000}),
+    Rule("DQR-220007", "regex", "o_orderpriority", {"pattern": "^[1-5]-"}),
+)
+
+
+@query
+def error_rules_orders(spark, sf):
+    log = log_only(load(spark, sf, "orders"), FAILING, Run(RUN_ID, "orders", SUITES["orders"].as_of))
+    return log.select("rule_id", "status", "total_records", "passed_count")
+
+
+@query
+def sink_modes(spark, sf):
+    """Overwritten, appended, appended with a further column, truncated: rows by how they came into the table."""
+    orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    path, emptied = fresh_path(spark, "sink"), fresh_path(spark, "sink")
+    kind = lambda name: orders.withColumn("came", F.lit(name))
+    tables.write_overwrite(kind("replaced"), path)
+    tables.write_overwrite(kind("overwritten").where("o_orderstatus = 'F'").drop("o_orderstatus"), path)
+    tables.write_append(kind("appended").where("o_orderstatus = 'O'").drop("o_orderstatus"), path)
+    tables.append_merging(kind("merged").where("o_orderstatus = 'P'"), path)
+    tables.write_overwrite(orders, emptied)
+    tables.truncate(spark, emptied, orders.schema)
+    counted = tables.read_merging(spark, path).groupBy("came").agg(
+        F.count(F.lit(1)).alias("n"), F.count("o_orderstatus").alias("with_status"), F.sum("o_custkey").alias("keys")
+    )
+    left = spark.read.schema(orders.schema).parquet(emptied).agg(F.lit("truncated").alias("came"), F.count(F.lit(1)).alias("n"))
+    return tables.union_merging(counted, left)
+
+
+@query
+def rule_documents(spark, sf):
+    """Rules written as a JSON document and as a table, and read through the fallback: the table comes first."""
+    stored = rulebase.stored_rules(spark, sf).select("rule_id", "severity").where("severity = 'error'")
+    whole = {f.name for f in schemas.RAW_RULE}
+    entry = F.struct(*[c for c in ("rule_id", "severity") if c in whole])
+    document, table = fresh_path(spark, "rules-json"), fresh_path(spark, "rules-table")
+    stored.groupBy(F.substring("rule_id", 1, 6).alias("part")).agg(F.collect_list(entry).alias("rules")).select("rules").write.json(document)
+    from_json = read_rules(spark, "no_such_rule_table", document)
+    tables.write_overwrite(stored.withColumn("target_column", F.lit("p_size")).withColumn("params", F.lit("")), table)
+    from_table = read_rules_table(spark, table)
+    return from_json.select("rule_id", "severity", F.lit("json").alias("source"), F.lit(None).cast("string").alias("params")).unionByName(
+        from_table.select("rule_id", "severity", F.lit("table").alias("source"), "params")
+    )
