@@ -7,12 +7,16 @@ candidates, the other two are checked on the candidates, and what passes all is
 The first order puts shingles that many documents share last, so that common passages join no one. Large groups of near
 copies are not paired off: within a posting list, documents in a hashed sequence are compared with their neighbours
 first, which connects such groups; only documents that are then still in different components are compared in full.
+Bits of the sets, which differ in at most as many places as the sets do, keep pairs that cannot be similar from leaving
+a join.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +43,9 @@ COMMON, COMMON_KEPT = 64, 1_000_000
 MAP_BITS = 1 << 26
 #: Documents that a posting list holds before it is split for comparing neighbours, or compared in blocks.
 LIST = 1024
+#: A set's tokens as bits, in words of 64. Each bit in which two sets differ stands for a shingle that only one of them has.
+MASK = 16
+MASKS = [f"mask{k}" for k in range(MASK)]
 STEP_BYTES = 6 << 20
 
 
@@ -164,8 +171,17 @@ def learn_order(texts: DataFrame) -> Order:
     return Order(tokens[by_token], rank[by_token], _whole_map(tallied, buckets))
 
 
+def _masks(tokens: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Every text's tokens as MASK words of bits; a row per word."""
+    bit = (spread(tokens, salt=8) % np.uint64(64 * MASK)).astype(np.int64)
+    out = np.zeros((n, MASK * 64), bool)
+    out[owner, bit] = True
+    packed = np.packbits(out.reshape(n, MASK, 64), axis=2, bitorder="little")
+    return np.ascontiguousarray(packed.reshape(n, MASK, 8)).view("<i8").reshape(n, MASK).T
+
+
 def _describe(shared):
-    """Per document: size and digest of its set, the first order's prefix without tokens that are in no other document,
+    """Per document: size and digest of its set, its bits, the first order's prefix without tokens that are in no other document,
     and 16 bits of every token of the other two prefixes."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,8 +211,8 @@ def _describe(shared):
                 raw = hashes.tobytes()
                 digests = [hashlib.blake2b(raw[8 * a : 8 * b], digest_size=16).digest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(at, n), pa.array(sizes), pa.array(digests, pa.binary()), *columns],
-                    ["doc_id", "n", "digest", "first", "second", "third"],
+                    [batch.column("doc_id").slice(at, n), pa.array(sizes), pa.array(digests, pa.binary()), *columns, *map(pa.array, _masks(tokens, owner, n))],
+                    ["doc_id", "n", "digest", "first", "second", "third", *MASKS],
                 )
 
     return describe
@@ -288,6 +304,13 @@ def _fits(n: Column, m: Column) -> Column:
     return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
 
 
+def _close(n: Column, m: Column, left: list[Column], right: list[Column]) -> Column:
+    """Similar sets differ in few shingles, hence in few bits. True for all pairs that are similar enough."""
+    least = F.ceil(PERCENT * (n + m) / (100 + PERCENT))
+    differ = reduce(add, (F.bit_count(a.bitwiseXOR(b)) for a, b in zip(left, right, strict=True)))
+    return differ <= n + m - 2 * least
+
+
 class _Checker:
     """Candidate pairs (a, b) of classes to links: the other orders' filters, then the whole sets.
 
@@ -297,7 +320,7 @@ class _Checker:
 
     def __init__(self, docs: DataFrame, described: DataFrame):
         self.docs = docs.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(MAP_BITS)))
-        self.described = described.select("doc_id", "n", "second", "third")
+        self.described = described.select("doc_id", "n", "second", "third", *MASKS)
         self.kind = described.schema["doc_id"].dataType.simpleString()
 
     def __call__(self, pairs: DataFrame, label: str) -> DataFrame:
@@ -306,6 +329,8 @@ class _Checker:
         for side in ("a", "b"):
             d = self.described.select(*(F.col(c).alias(side if c == "doc_id" else f"{c}_{side}") for c in self.described.columns))
             pairs = pairs.join(d, side)
+        sides = [[F.col(f"{m}_{side}") for m in MASKS] for side in ("a", "b")]
+        pairs = pairs.where(_close(F.col("n_a"), F.col("n_b"), *sides)).drop(*(f"{m}_{side}" for m in MASKS for side in ("a", "b")))
         passed = settle(pairs.mapInArrow(_pass_orders, both), f"{label}-passed")
         if passed.isEmpty():
             return passed
@@ -357,7 +382,8 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     shared = spark.sparkContext.broadcast(learn_order(rows.select("text")))
-    schema = f"doc_id {kind}, n bigint, digest binary, first array<bigint>, second binary, third binary"
+    schema = f"doc_id {kind}, n bigint, digest binary, first array<bigint>, second binary, third binary, "
+    schema += ", ".join(f"{m} bigint" for m in MASKS)
     described = settle(rows.mapInArrow(_describe(shared), schema), "described")
     linked = described.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = settle(linked.groupBy("digest").agg(F.min("doc_id").alias("class_id")), "classes")
@@ -385,6 +411,8 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     main = tallies.groupBy("token").agg(F.max(F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("kinds"))
     main = main.where("kinds > 1").select("token", F.col("main.component").alias("main"))
     mixed = placed.join(main, "token").withColumn("blocks", F.ceil(F.col("members") / LIST).cast("int"))
+    bits = linked.select(F.col("doc_id").alias("id"), "n", *MASKS).distinct()
+    mixed = mixed.join(bits, ["id", "n"])
     home = mixed.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     minor = mixed.where(F.col("component") != F.col("main")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     a, b = minor.alias("x"), home.alias("y")
@@ -392,7 +420,8 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     met = a.join(
         b,
         (F.col("x.token") == F.col("y.token")) & (F.col("x.block") == F.col("y.block"))
-        & (F.col("x.component") != F.col("y.component")) & once & _fits(F.col("x.n"), F.col("y.n")),
+        & (F.col("x.component") != F.col("y.component")) & once & _fits(F.col("x.n"), F.col("y.n"))
+        & _close(F.col("x.n"), F.col("y.n"), *([F.col(f"{side}.{m}") for m in MASKS] for side in ("x", "y"))),
     )
     met = met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("m"))
     # such pairs meet once in every list they share, so the meetings are the first order's shared prefix
