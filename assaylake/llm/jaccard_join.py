@@ -77,9 +77,10 @@ def _packed(tokens: np.ndarray, ends: np.ndarray) -> pa.Array:
     return binaries(_pack(tokens).reshape(-1), ends * 6)
 
 
-def _unpack(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+def _unpack(raw: bytes | pa.Buffer) -> np.ndarray:
+    packed = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    out = np.zeros((len(packed), 8), np.uint8)
+    out[:, :6] = packed
     return out.view("<u8").reshape(-1).astype(np.uint64)
 
 
@@ -292,10 +293,11 @@ def _pass_orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = np.zeros(batch.num_rows, bool)
-        left, right = batch.column("tokens_a").to_pylist(), batch.column("tokens_b").to_pylist()
-        for k, (x, y) in enumerate(zip(left, right, strict=True)):
-            n, m = len(x) // 6, len(y) // 6
-            shared = _common(_unpack(x), _unpack(y))
+        left, right = batch.column("tokens_a"), batch.column("tokens_b")
+        for k in range(batch.num_rows):
+            x, y = _unpack(left[k].as_buffer()), _unpack(right[k].as_buffer())
+            n, m = len(x), len(y)
+            shared = _common(x, y)
             keep[k] = 100 * shared >= PERCENT * (n + m - shared)
         yield pa.RecordBatch.from_pydict({c: batch.column(c).filter(pa.array(keep)) for c in ("a", "b")})
 
