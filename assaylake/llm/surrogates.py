@@ -38,7 +38,7 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every entity holds at least one of; texts without are not searched further.
-HINT = r"[0-9@]|(?i:password|passwd|pwd|secret|token|api[_-]?key)|(?:M|S|H|F|Г|Κ)[\p{L}-]{1,7}\.? \p{Lu}"
+HINT = r"[0-9@]|(?i:password|passwd|pwd|secret|token|api[_-]?key)|(?:M|S|H|F|Г|Κ)[\p{L}-]{1,7}\.? \p{Lu}|A(?:KIA|SIA)[A-Z0-9]{16}|[a-f]{32}"
 FEMALE = ("Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Г-жа", "Κα")
 #: Syllables that sixteen hexadecimal digits stand for in made-up names, and endings of given names.
 SYLLABLES = ("ba", "de", "fi", "go", "lu", "ma", "ne", "ri", "so", "tu", "va", "ke", "li", "mo", "nu", "ra")
