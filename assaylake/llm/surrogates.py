@@ -14,12 +14,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaylake.llm.rows import unwrap, wrap
+from assaylake.llm.spot_signatures import anchors
 from assaylake.session import settle
 
 #: Draws in the entity's own form. What still collides then, because its form has too few values for all that have it,
 #: gets a tag of its kind with 64 bits of the digest instead.
 DRAWS = 12
 
+#: Titles before names, also several of them, as in "Frau Dr. Schmidt".
+FEMALE = ("Mrs", "Ms", "Miss", "Madam", "Lady", "Frau", "Madame", "Mademoiselle", "Mme", "Mlle", "Señora", "Señorita", "Doña", "Sra", "Srta", "Dra", "Г-жа", "Κα")
+OTHER = ("Mr", "Mx", "Sir", "Lord", "Herrn", "Herr", "Monsieur", "Señor", "Sr", "Г-н", "Κος", "Dr", "Doctor", "Docteur", "Doktor", "Prof", "Professor", "Professeur", "Д-р")
+TITLE = rf"(?:{'|'.join((*FEMALE, *OTHER))})\.? "
+TITLES = rf"(?:{TITLE}){{1,4}}"
+#: What numbers of a phone do not begin with: a date, or two years.
+NO_DATE = (
+    r"(?!(?:19|20)[0-9]{2}[ ./-](?:(?:19|20)[0-9]{2}|[01]?[0-9][ ./-][0-3]?[0-9])(?![0-9]))"
+    r"(?![0-3]?[0-9][ ./-][0-3]?[0-9][ ./-](?:19|20)[0-9]{2}(?![0-9]))"
+)
+#: Seven to fifteen digits, whatever stands between them, where a phone is to begin.
+DIGITS = r"(?=\(?[0-9](?:[ ()./-]{0,3}[0-9]){6,14}(?![0-9]))"
+
 #: Patterns by type, in order of precedence. Each starts where no character before it could belong to it, so that no run
 #: of characters is searched twice.
 PATTERNS = {
@@ -31,15 +45,20 @@ PATTERNS = {
     "ipv4": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
-    "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
+    # in order: three groups after an area code in brackets or without a leading 0; international; national with a leading
+    # 0; groups of two to four digits; three groups
+    "phone": r"(?<![0-9A-Za-z+])(?:\+1[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[1-9][0-9]{1,3}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
+    rf"|(?<![0-9A-Za-z])\+{DIGITS}[0-9]{{1,4}}(?:[ ()./-]{{0,3}}[0-9]{{1,8}}){{1,6}}(?![0-9])"
+    rf"|(?<![0-9A-Za-z+])(?<![0-9][./-]){NO_DATE}{DIGITS}(?:\(0[0-9]{{1,5}}\)|0[0-9]{{1,5}})(?:[ ./-]{{1,3}}[0-9]{{2,8}}){{1,5}}(?![0-9])"
+    rf"|(?<![0-9A-Za-z+])(?<![0-9][./-]){NO_DATE}{DIGITS}[0-9]{{2,4}}(?:[ ./-][0-9]{{2,4}}){{2,5}}(?![0-9])"
+    r"|(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
     r"|(?<![0-9A-Za-z])\+[0-9]{7,15}(?![0-9])",
-    "name": r"(?<!\p{L})(?:Mr|Mrs|Ms|Miss|Sir|Madam|Herr|Frau|Monsieur|Madame|Mme|Mlle|Señora|Señor|Sra|Sr|Г-н|Г-жа|Κος|Κα)\.? "
-    r"\p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+){0,2}",
+    "name": rf"(?<!\p{{L}}){TITLES}\p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+){{0,2}}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every entity holds at least one of; texts without are not searched further.
-HINT = r"[0-9@]|(?i:password|passwd|pwd|secret|token|api[_-]?key)|(?:M|S|H|F|Г|Κ)[\p{L}-]{1,7}\.? \p{Lu}|A(?:KIA|SIA)[A-Z0-9]{16}|[a-f]{32}"
-FEMALE = ("Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Г-жа", "Κα")
+HINT = rf"[0-9@]|(?i:password|passwd|pwd|secret|token|api[_-]?key)|{TITLE}\p{{Lu}}|A(?:KIA|SIA)[A-Z0-9]{{16}}|[a-f]{{32}}"
+NAMES = ("given_f", "given_m", "surname")
 #: Syllables that sixteen hexadecimal digits stand for in made-up names, and endings of given names.
 SYLLABLES = ("ba", "de", "fi", "go", "lu", "ma", "ne", "ri", "so", "tu", "va", "ke", "li", "mo", "nu", "ra")
 ENDINGS = {"given_f": "na", "given_m": "ton", "surname": "ler"}
@@ -60,6 +79,11 @@ def _value(raw: Column, kind: Column) -> Column:
     return F.when(kind == "password", F.regexp_extract(raw, r"[=:]\s{0,2}[\"']?(.*)$", 1)).otherwise(raw)
 
 
+def _bare(name: Column) -> Column:
+    """A name word without the ending of a genitive."""
+    return F.regexp_replace(name, "'s?$", "")
+
+
 def _normal(raw: Column, kind: Column) -> Column:
     digits = _digits(raw)
     return (
@@ -68,7 +92,7 @@ def _normal(raw: Column, kind: Column) -> Column:
         # a national number may come with the country code 1
         .when(kind == "phone", F.when((F.length(digits) == 11) & digits.startswith("1"), F.substring(digits, 2, 10)).otherwise(digits))
         .when(kind == "iban", F.regexp_replace(raw, " ", ""))
-        .when(kind.isin("given_f", "given_m", "surname"), F.lower(raw))
+        .when(kind.isin(*NAMES), F.lower(_bare(raw)))
         .otherwise(raw)
     )
 
@@ -142,7 +166,7 @@ def _draw(key: str, draw: int) -> Column:
         .when((kind == "hex_secret") | (kind == "password") & normal.rlike("^[0-9a-f]{1,256}$"), F.substring(stream, F.lit(1), F.length(normal)))
         .when(kind == "aws_key", F.concat(F.substring(normal, 1, 4), _like(F.substring(normal, 5, 64), stream)))
         .when(kind == "iban", F.concat(F.substring(normal, 1, 2), _like(F.substring(normal, 3, 64), stream)))
-        .when(kind.isin("given_f", "given_m", "surname"), _name(kind, F.col("script"), stream, draw))
+        .when(kind.isin(*NAMES), _name(kind, F.col("script"), stream, draw))
         .otherwise(_like(normal, stream))
     )
 
@@ -192,11 +216,12 @@ def _lay_out(raw: Column, kind: Column, surrogate: Column) -> Column:
         "",
     )
     proper = F.concat(F.upper(F.substring(surrogate, 1, 1)), F.substring(surrogate, F.lit(2), F.length(surrogate)))
+    cased = F.when((_bare(raw) == F.upper(_bare(raw))) & (F.length(raw) > 1), F.upper(surrogate)).otherwise(proper)
     return (
         F.when(surrogate.startswith(F.concat(kind, F.lit("-"))), surrogate)
         .when(kind.isin("phone", "ssn", "card"), filled)
         .when(kind == "iban", grouped)
-        .when(kind.isin("given_f", "given_m", "surname"), F.when((raw == F.upper(raw)) & (F.length(raw) > 1), F.upper(surrogate)).otherwise(proper))
+        .when(kind.isin(*NAMES), F.concat(cased, F.regexp_extract(raw, "'s?$", 0)))
         .when(kind == "email", F.when((raw == F.upper(raw)), F.upper(surrogate)).otherwise(surrogate))
         .otherwise(surrogate)
     )
@@ -214,14 +239,15 @@ def mentions(docs: DataFrame, key: str, text: str) -> DataFrame:
     each = each.withColumn("type", _type(F.col("entity")))
     value = _value(F.col("entity"), F.col("type"))
     single = F.array(F.struct(F.substring("entity", F.lit(1), F.length("entity") - F.length(value)).alias("before"), value.alias("raw"), F.col("type").alias("kind")))
-    female = F.regexp_replace(F.element_at(F.split("entity", " "), 1), "\\.$", "").isin(*FEMALE)
-    words = F.split("entity", " ")
+    titles = F.regexp_extract("entity", f"^{TITLES}", 0)
+    female = titles.rlike(rf"(?:^| )(?:{'|'.join(FEMALE)})\.? ")
+    words = F.split(F.substring("entity", F.length(titles) + 1, F.length("entity")), " ")
     named = F.transform(
-        F.slice(words, 2, F.size(words) - 1),
+        words,
         lambda w, k: F.struct(
-            F.when(k == 0, F.concat(F.element_at(words, 1), F.lit(" "))).otherwise(F.lit(" ")).alias("before"),
+            F.when(k == 0, titles).otherwise(F.lit(" ")).alias("before"),
             w.alias("raw"),
-            F.when(k == F.size(words) - 2, "surname").when(female, "given_f").otherwise("given_m").alias("kind"),
+            F.when(k == F.size(words) - 1, "surname").when(female, "given_f").otherwise("given_m").alias("kind"),
         ),
     )
     units = each.select("row_id", "row_digest", "place", F.posexplode(F.when(F.col("type") == "name", named).otherwise(single)).alias("unit", "u"))
@@ -229,24 +255,51 @@ def mentions(docs: DataFrame, key: str, text: str) -> DataFrame:
     return units.withColumn("normal", _normal(F.col("raw"), F.col("kind"))).withColumn("script", _script(F.col("raw")))
 
 
+def _untitled(piece: Column, names: Column) -> Column:
+    """A piece of text between entities with the names that its row has elsewhere after a title replaced, each as a whole
+    word, as it is written there, in capitals or capitalised."""
+
+    def one(done: Column, name: Column) -> Column:
+        proper = F.concat(F.upper(F.substring(name["surrogate"], 1, 1)), F.substring(name["surrogate"], F.lit(2), F.length(name["surrogate"])))
+        word = lambda w: F.concat(F.lit(r"(?<!\p{L})\Q"), w, F.lit(r"\E(?!\p{L})"))
+        for form, new in ((F.upper(name["bare"]), F.upper(name["surrogate"])), (name["bare"], proper), (F.initcap(name["bare"]), proper)):
+            done = F.regexp_replace(done, word(form), new)
+        return done
+
+    return F.aggregate(names, piece, one)
+
+
 def replace(docs: DataFrame, key_secret: str, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(docs in all their columns with surrogates in the text, mentions replaced: row_id, place, kind, surrogate).
 
     Null and empty texts stay as they are. Rows with null or repeated ids are told apart by their texts' hash; repeated
-    rows come out alike. The mentions never hold real values. The key decides all surrogates; keep it secret.
+    rows come out alike. The mentions never hold real values. The key decides all surrogates; keep it secret. Name words
+    that stand after a title somewhere in a row are replaced wherever else they stand in it, function words apart; these
+    places are not among the mentions.
     """
     units = settle(mentions(docs, key, text), "mentions")
     table = assign(units, key_secret)
     written = units.join(table, ["kind", "normal"]).withColumn("new", F.concat("before", _lay_out(F.col("raw"), F.col("kind"), F.col("surrogate"))))
-    written = settle(written.select("row_id", "row_digest", "place", "unit", "kind", "new"), "written")
-    entities = written.groupBy("row_id", "row_digest", "place").agg(F.array_sort(F.collect_list(F.struct("unit", "new"))).alias("u"))
+    bare = _bare(F.col("raw"))
+    lasting = F.col("kind").isin(*NAMES) & (F.length(bare) > 1) & ~F.lower(bare).isin(anchors())
+    written = written.withColumn("name", F.when(lasting, F.struct(bare.alias("bare"), F.col("surrogate"))))
+    written = settle(written.select("row_id", "row_digest", "place", "unit", "kind", "new", "name"), "written")
+    entities = written.groupBy("row_id", "row_digest", "place").agg(
+        F.array_sort(F.collect_list(F.struct("unit", "new"))).alias("u"), F.collect_set("name").alias("names")
+    )
     entities = entities.withColumn("new", F.array_join("u.new", ""))
-    rows = entities.groupBy("row_id", "row_digest").agg(F.array_sort(F.collect_list(F.struct("place", "new"))).alias("news"))
+    rows = entities.groupBy("row_id", "row_digest").agg(
+        F.array_sort(F.collect_list(F.struct("place", "new"))).alias("news"), F.flatten(F.collect_list("names")).alias("names")
+    )
+    # one surrogate for a word that is found in two roles; longer words first, since one may be a part of another
+    rows = rows.withColumn("names", F.array_sort(F.array_distinct("names"), lambda a, b: F.when(F.length(a["bare"]) != F.length(b["bare"]), F.length(b["bare"]) - F.length(a["bare"])).when(a < b, -1).when(a > b, 1).otherwise(0)))
     wrapped = wrap(docs, key, text)
     has = F.coalesce(F.col("text").rlike(HINT), F.lit(False))
     same = F.col("doc_id").eqNullSafe(F.col("row_id")) & (F.xxhash64("text") == F.col("row_digest"))
     touched = wrapped.where(has).join(rows, same, "left")
-    pieces = F.zip_with(F.split("text", ANY, -1), F.col("news.new"), lambda p, n: F.concat(p, F.coalesce(n, F.lit(""))))
+    between = F.split("text", ANY, -1)
+    between = F.when(F.size("names") > 0, F.transform(between, lambda p: _untitled(p, F.col("names")))).otherwise(between)
+    pieces = F.zip_with(between, F.col("news.new"), lambda p, n: F.concat(p, F.coalesce(n, F.lit(""))))
     fresh = F.when(F.col("news").isNull(), F.col("text")).otherwise(F.array_join(pieces, ""))
     touched = touched.select(F.struct(*(fresh.alias(c) if c == text else F.col("whole").getField(c).alias(c) for c in docs.columns)).alias("whole"))
     replaced = unwrap(wrapped.where(~has).select("whole").union(touched))

@@ -428,3 +428,29 @@ def test_every_pattern_alone_is_searched(spark):
     out, _ = replaced(spark, [(k, f"here {v} there") for k, v in enumerate(ALONE.values())])
     left = {kind for k, (kind, v) in enumerate(ALONE.items()) if v in out[k]}
     assert not left
+
+
+PHONES = ["06 12 34 56 78", "+33 6 12 34 56 78", "01.42.68.53.00", "912 34 56 78", "0171/1234567", "(0171) 123 45 67", "+49 (0)30 901820-15", "+34912345678"]
+NOT_PHONES = ["2024-01-15", "15.01.2024", "01/15/2024 10:30", "2024-01-15 10:30:00", "1999 2000", "v1.2.3.4.5", "3.14159"]
+
+
+def test_phones_of_other_countries_and_dates(spark):
+    out, found = replaced(spark, [(k, f"Call {p}, please.") for k, p in enumerate(PHONES + NOT_PHONES)])
+    for k, p in enumerate(PHONES):
+        assert re.sub(r"\d", "0", out[k]) == re.sub(r"\d", "0", f"Call {p}, please.") and p not in out[k]
+        assert sum(a != b for a, b in zip(out[k], f"Call {p}, please.", strict=True)) >= 4
+    assert [out[len(PHONES) + k] for k in range(len(NOT_PHONES))] == [f"Call {p}, please." for p in NOT_PHONES]
+
+
+def test_names_without_their_title(spark):
+    rows = [
+        (1, "Frau Dr. Anna Schmidt spoke. Then Schmidt left; SCHMIDT's car, 'Anna', Schmidts, Anna Schmidt."),
+        (2, "Prof. Schmidt's talk. Schmidt"),
+        (3, "Schmidt is named in no other way here, 1."),
+        (4, "Dr. The Anh and The others. Mr. O'Neil and O'Neil"),
+    ]
+    out, _ = replaced(spark, rows)
+    m = re.fullmatch(r"Frau Dr\. (\w+na) (\w+ler) spoke\. Then (\w+) left; (\w+)'s car, '(\w+)', Schmidts, (\w+) (\w+)\.", out[1])
+    assert m and m[2] == m[3] == m[7] != "Schmidt" and m[4] == m[2].upper() and m[1] == m[5] == m[6] != "Anna"
+    assert out[2] == f"Prof. {m[2]}'s talk. {m[2]}" and out[3] == rows[2][1]
+    assert re.fullmatch(r"Dr\. \w+ton \w+ler and The others\. Mr\. (\w+ler) and \1", out[4])
