@@ -454,3 +454,17 @@ def test_names_without_their_title(spark):
     assert m and m[2] == m[3] == m[7] != "Schmidt" and m[4] == m[2].upper() and m[1] == m[5] == m[6] != "Anna"
     assert out[2] == f"Prof. {m[2]}'s talk. {m[2]}" and out[3] == rows[2][1]
     assert re.fullmatch(r"Dr\. \w+ton \w+ler and The others\. Mr\. (\w+ler) and \1", out[4])
+
+
+@pytest.mark.parametrize("share", [0.12, 1 / 3])
+def test_bands_do_not_follow_the_junk(spark, share):
+    """A source of random letters, long and short texts, with up to a third of the rows."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang = 'en'").select("doc_id", "text", "lang")
+    rng = np.random.default_rng(5)
+    n = round(docs.count() * share / (1 - share))
+    salad = lambda words: " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(3, 12))) for _ in range(words))
+    junk = [(-1 - k, salad(200 if k % 2 else 15), "en") for k in range(n)]
+    got = perplexity.measure(docs.unionByName(spark.createDataFrame(junk, "doc_id long, text string, lang string"))).toPandas()
+    assert got[got.doc_id < 0].kept.mean() < 0.01
+    good = got[(got.doc_id >= 0) & ~got.base_failed]
+    assert good.kept.mean() > 0.9
