@@ -11,7 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaylake.llm import bpe_codec, domain_score, jaccard_join, license_scan, packing, perplexity, rans_store, spot_signatures, surrogates, token_counts
+from assaylake.llm import (
+    bpe_codec,
+    domain_score,
+    filter_audit,
+    jaccard_join,
+    license_scan,
+    mixing,
+    packing,
+    perplexity,
+    rans_store,
+    spot_signatures,
+    surrogates,
+    token_counts,
+    turn_trie,
+)
 from assaylake.llm.shipping import ship
 from assaylake.session import fresh_path
 
@@ -96,6 +110,20 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replaced.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+def op11_existential_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_radix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return turn_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, sf_dir))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe_codec": op2_bpe_codec,
@@ -107,6 +135,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_spot_signatures": op8_spot_signatures,
     "op9_perplexity_rules": op9_perplexity_rules,
     "op10_surrogates": op10_surrogates,
+    "op11_existential_audit": op11_existential_audit,
+    "op12_radix_trie": op12_radix_trie,
+    "op13_entropy_balancing": op13_entropy_balancing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_existential_audit": filter_audit.AUDIT_SQL, "op12_radix_trie": turn_trie.TRIE_SQL}
