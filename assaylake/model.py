@@ -38,7 +38,8 @@ class Check:
     """A rule bound to a DataFrame.
 
     ``kind`` is ``row`` (``predicate`` decides from the row alone), ``unique`` or ``reference`` (the verdict
-    belongs to a key and needs a look at other rows), or ``error``.
+    belongs to a key and needs a look at other rows), or ``error``. ``broken`` tells the rows on which a rule written by a user
+    cannot be evaluated; ``predicate`` is false there.
     """
 
     rule: Rule
@@ -49,6 +50,7 @@ class Check:
     digest: bool = False
     reference: DataFrame | None = None
     message: str | None = None
+    broken: Column | None = None
 
     def key_columns(self) -> list[Column]:
         """The key as columns; long texts may be compared by their SHA-256 digest."""

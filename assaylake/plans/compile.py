@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
@@ -73,7 +74,39 @@ def _row(df: DataFrame, rule: Rule, as_of: Column) -> Check:
         _columns(df, [rule.column])
         column, dtype = F.col(f"`{rule.column}`"), df.schema[rule.column].dataType
     predicate = build_predicate(rule.rule_type, rule.params, Target(column, dtype, as_of, rule.column))
-    return Check(rule, "row", F.coalesce(predicate, F.lit(False)))
+    if rule.rule_type in SAFE_TYPES:
+        return Check(rule, "row", F.coalesce(predicate, F.lit(False)))
+    verdict = _tried(df, predicate, rule.column)
+    return Check(rule, "row", F.coalesce(verdict == F.lit("true").cast("binary"), F.lit(False)), broken=verdict.isNull())
+
+
+def _tried(df: DataFrame, predicate: Column, name: str) -> Column:
+    """The predicate as text in bytes, NULL on rows where evaluating it raises (a bad cast, a division by zero).
+
+    The ``try_`` function swallows what is raised inside it, but not in parts that Spark has taken out because several rules
+    share them. Spark takes nothing out of a branch of which it does not know that it is always reached; the branch's
+    condition holds on every row.
+    """
+    known = {f.name: f.dataType for f in df.schema if isinstance(f.dataType, T.AtomicType) and f.dataType.typeName() != "variant"}
+    text = F.try_to_binary(F.coalesce(predicate.cast("string"), F.lit("null")), F.lit("utf-8"))
+    if not known:
+        return text
+    field = name if name in known else next(iter(known))
+    value = F.col(f"`{field}`")
+    if isinstance(known[field], (T.StringType, T.BinaryType)):
+        return F.when(F.coalesce(F.octet_length(value), F.lit(0)) >= 0, text)
+    return F.when(F.hash(value) >= F.lit(-(2**31)), text)
+
+
+def in_error(checks: Sequence[Check], rows: Mapping[str, int]) -> list[Check]:
+    """The checks, those that could not be evaluated on some ``rows`` (by rule id) turned into errors."""
+    return [replace(c, kind="error", broken=None, message=cannot_evaluate(rows[c.rule.rule_id])) if rows.get(c.rule.rule_id) else c for c in checks]
+
+
+def cannot_evaluate(rows: int | Column) -> str | Column:
+    if isinstance(rows, Column):
+        return F.concat(F.lit("cannot be evaluated on "), rows.cast("string"), F.lit(" rows"))
+    return f"cannot be evaluated on {rows} rows"
 
 
 def compile_rule(df: DataFrame, rule: Rule, refs: References | None = None, as_of: Column | None = None) -> Check:
@@ -140,11 +173,6 @@ def _no_subquery(df: DataFrame, check: Check) -> None:
         raise AnalysisException("custom_sql must not contain a subquery")
 
 
-def _count(df: DataFrame) -> Callable[[list[Check]], object]:
-    """One aggregate over the data: it fails if a rule does on some row."""
-    return lambda checks: df.agg(*[F.count_if(c.predicate) for c in checks]).collect()
-
-
 def compile_rules(
     df: DataFrame,
     rules: Sequence[Rule],
@@ -153,18 +181,13 @@ def compile_rules(
 ) -> list[Check]:
     """Bind all rules of a dataset, in the given order.
 
-    Rules that cannot run come back as errors: those that Spark refuses, those whose literals or patterns don't fit the
-    column, and, unless the input is a stream, those written by users that fail on some row (a cast, a division by zero).
-    The last are found by one aggregate over the columns that such rules read.
+    Rules that cannot run come back as errors: those that Spark refuses, and those whose literals or patterns don't fit the
+    column. Rules written by users may raise on some row (a cast, a division by zero); they tell such rows by ``broken``, and
+    whoever counts verdicts makes errors of them. No row is read here, of a table or of a stream.
     """
     moment = instant(as_of)
     bound = [compile_rule(df, rule, refs, moment) for rule in rules]
-    able = _isolate([c for c in bound if c.kind == "row"], _analyse(df))
-    if not df.isStreaming:
-        written = [c for c in able if c.kind == "row" and c.rule.rule_type not in SAFE_TYPES]
-        tried = iter(_isolate(written, _count(df)))
-        able = [next(tried) if c.kind == "row" and c.rule.rule_type not in SAFE_TYPES else c for c in able]
-    rest = iter(able)
+    rest = iter(_isolate([c for c in bound if c.kind == "row"], _analyse(df)))
     return [next(rest) if c.kind == "row" else c for c in bound]
 
 

@@ -3,29 +3,37 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from assaylake.model import Check, Rule
 from assaylake.operators import enforce, lineage, verdict
-from assaylake.plans.compile import References, compile_rules
-from assaylake.plans.metrics import Run, Tally, dataset_score, execution_log, rule_counts, tally
+from assaylake.plans.compile import References, compile_rules, in_error
+from assaylake.plans.metrics import Run, Tally, counters, dataset_score, execution_log, rule_counts, tally
 from assaylake.plans.verdicts import Verdicts, evaluate
+from assaylake.session import settle
 
 MODES = ("row", "sequential")
 
 
 @dataclass(frozen=True)
 class Result:
-    """Everything a run yields; the frames are lazy and share one verdict frame. Building it has already looked for the
-    keys that key rules reject and tried the rules that users wrote."""
+    """Everything a run yields; the frames share one verdict frame. Building it has already looked for the keys that key rules
+    reject. The counters are taken by one pass and stored when log, score or summaries are first asked for, or at once if
+    there are rules by users: those that cannot be evaluated on some row must be known before rows are judged."""
 
     run: Run
     checks: tuple[Check, ...]
     verdicts: Verdicts
-    counts: Tally
+    taken: Tally | None = None
+
+    @cached_property
+    def counts(self) -> Tally:
+        return self.taken or tally(self.verdicts).stored()
 
     @property
     def validated(self) -> DataFrame:
@@ -72,11 +80,32 @@ def run_rules(
     ``row``: every rule sees every row. ``sequential``: rules run in the given order and rows that fail a hard
     rule are hidden from the rules after it.
     """
+    return _judge(df, _compiled(df, rules, run, refs, mode), run, mode)
+
+
+def _compiled(df: DataFrame, rules: Sequence[Rule], run: Run, refs: References | None, mode: str) -> list[Check]:
     if mode not in MODES:
         raise ValueError(f"unknown mode '{mode}'")
-    checks = compile_rules(df, rules, refs, run.as_of)
+    return compile_rules(df, rules, refs, run.as_of)
+
+
+def _judge(df: DataFrame, checks: Sequence[Check], run: Run, mode: str) -> Result:
+    """The tally is the first pass over the rows. Only if it finds rules that cannot be evaluated, which is rare, there is a
+    second one without them."""
+    start = time.monotonic()
     verdicts = evaluate(df, checks, sequential=mode == "sequential")
-    return Result(run, tuple(checks), verdicts, tally(verdicts))
+    if not verdicts.broken():
+        return Result(run, tuple(checks), verdicts)
+    counts = tally(verdicts).stored()
+    unable = counts.broken()
+    if unable:
+        return _judge(df, in_error(checks, unable), run, mode)
+    return Result(_timed(run, start), tuple(checks), verdicts, counts)
+
+
+def _timed(run: Run, start: float) -> Run:
+    """The run with the time that it took, unless the caller gave one."""
+    return run if run.duration_ms is not None else replace(run, duration_ms=round(1000 * (time.monotonic() - start)))
 
 
 def log_only(df: DataFrame, rules: Sequence[Rule], run: Run, refs: References | None = None) -> DataFrame:
@@ -104,7 +133,8 @@ def process(dataset: Dataset, run_id: str, as_of: str | dt.datetime | None = Non
 def process_all(
     datasets: Iterable[Dataset], run_id: str, as_of: str | dt.datetime | None = None, mode: str = "row"
 ) -> dict[str, Result]:
-    """The registry loop: plans are built on the driver, one per dataset; only key rules and rules by users start jobs."""
+    """The registry loop: plans are built on the driver, one per dataset; key rules count their keys, and rules by users take
+    one pass over the rows."""
     return {d.name: process(d, run_id, as_of, mode) for d in datasets}
 
 
@@ -114,15 +144,70 @@ Writer = Callable[[DataFrame, str], DataFrame]
 def publish(result: Result, dataset: Dataset, write: Writer, results: str = "all") -> dict[str, DataFrame]:
     """Write the validated table once and derive clean, quarantine and detail from the stored copy.
 
-    ``write(frame, name)`` stores a frame and returns a reader of it. With ``results="failed"`` the table is
-    compact and the detail lists failures only.
+    ``write(frame, name)`` stores a frame, replacing one of that name, and returns a reader of it. With ``results="failed"``
+    the table is compact and the detail lists failures only.
     """
-    table = f"silver.{dataset.name}_validated"
-    annotated = verdict.validated(result.verdicts, result.run.as_of, results)
-    stored = write(lineage.silver_enrich(annotated, table, result.run.as_of), f"{dataset.name}_validated")
+    return _published(_store(result, result.verdicts, dataset, write, results), result, dataset)
+
+
+def _store(result: Result, verdicts: Verdicts, dataset: Dataset, write: Writer, results: str) -> DataFrame:
+    annotated = verdict.validated(verdicts, result.run.as_of, results)
+    enriched = lineage.silver_enrich(annotated, f"silver.{dataset.name}_validated", result.run.as_of)
+    return write(enriched, f"{dataset.name}_validated")
+
+
+def _published(stored: DataFrame, result: Result, dataset: Dataset) -> dict[str, DataFrame]:
     return {
         "validated": stored,
         "clean": enforce.clean(stored),
         "quarantine": enforce.quarantine(stored, result.run.as_of),
         "detail": verdict.detail(stored, dataset.name, dataset.primary_key),
     }
+
+
+def process_and_publish(
+    dataset: Dataset,
+    run_id: str,
+    write: Writer,
+    as_of: str | dt.datetime | None = None,
+    mode: str = "row",
+    results: str = "all",
+    threshold_pct: float | None = None,
+) -> tuple[Result, dict[str, DataFrame]]:
+    """Run a dataset and publish it in one pass over its rows; key rules count their keys before, by their columns alone.
+
+    The counters behind log and score are observed while the validated table is written. If a rule by a user turns out not
+    to be evaluable on some row, the table is written again without it. With ``threshold_pct`` rows are stored in the
+    shared folder first, and handed to ``write`` only if the gate is open; else there are no tables.
+    """
+    run = Run(run_id, dataset.name, as_of)
+    checks = _compiled(dataset.frame, dataset.rules, run, dataset.refs, mode)
+    first = write if threshold_pct is None else settle
+    while True:
+        start = time.monotonic()
+        verdicts = evaluate(dataset.frame, checks, sequential=mode == "sequential")
+        result = Result(run, tuple(checks), verdicts)
+        seen = Observation()
+        watched = replace(verdicts, frame=verdicts.frame.observe(seen, *counters(verdicts)))
+        stored = _store(result, watched, dataset, first, results)
+        counts = _observed(seen, verdicts)
+        unable = counts.broken()
+        if not unable:
+            break
+        checks = in_error(checks, unable)
+    result = replace(result, run=_timed(run, start), taken=counts)
+    if threshold_pct is not None:
+        if not enforce.gate(result.score, threshold_pct).first()["publish"]:
+            return result, {}
+        stored = write(stored, f"{dataset.name}_validated")
+    return result, _published(stored, result, dataset)
+
+
+def _observed(seen: Observation, verdicts: Verdicts) -> Tally:
+    """Counters from a finished write. Spark may drop the observer of a frame that it knows to be empty."""
+    plain = tally(verdicts)
+    names = plain.frame.columns
+    row = seen.get
+    if not all(n in row for n in names):
+        return plain.stored()
+    return Tally(verdicts.frame.sparkSession.createDataFrame([tuple(row[n] for n in names)], plain.frame.schema), verdicts)

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaylake.functions.columns import all_of, constant, exact_mean, instant, mean_of, percent, stable_id
 from assaylake.model import Check, Rule
+from assaylake.plans.compile import cannot_evaluate
 from assaylake.plans.keyed import key_metrics
 from assaylake.plans.verdicts import Verdicts
+from assaylake.session import settle
 
 LONG = "long"
 
@@ -52,11 +54,14 @@ def _meta(items: list[tuple[int, Rule, str | None]]) -> Column:
 
 
 def _unfold(
-    one_row: DataFrame, items: list[tuple[int, Rule, str | None]], totals: Column, passed: Column
+    one_row: DataFrame, items: list[tuple[int, Rule, str | None]], totals: Column, passed: Column, broken: Column | None = None
 ) -> DataFrame:
-    """One row of counters as one row per rule; ``totals`` and ``passed`` are arrays in the order of ``items``."""
-    zipped = F.arrays_zip(_meta(items).alias("m"), totals.alias("t"), passed.alias("p"))
-    return one_row.select(F.inline(zipped).alias("m", "t", "p")).select(
+    """One row of counters as one row per rule; ``totals``, ``passed`` and ``broken`` are arrays in the order of ``items``. A
+    rule that could not be evaluated on some rows is an error and counts nothing."""
+    none = F.array_repeat(F.lit(0).cast(LONG), len(items))
+    zipped = F.arrays_zip(_meta(items).alias("m"), totals.alias("t"), passed.alias("p"), (none if broken is None else broken).alias("e"))
+    unable = F.col("e") > 0
+    return one_row.select(F.inline(zipped).alias("m", "t", "p", "e")).select(
         "m.position",
         "m.rule_id",
         "m.rule_name",
@@ -64,9 +69,9 @@ def _unfold(
         "m.target_column",
         "m.severity",
         "m.enforcement_mode",
-        F.col("t").cast(LONG).alias("total_records"),
-        F.col("p").cast(LONG).alias("passed_count"),
-        "m.error_message",
+        F.when(unable, F.lit(0)).otherwise(F.col("t")).cast(LONG).alias("total_records"),
+        F.when(unable, F.lit(0)).otherwise(F.col("p")).cast(LONG).alias("passed_count"),
+        F.when(unable, cannot_evaluate(F.col("e"))).otherwise(F.col("m.error_message")).alias("error_message"),
     )
 
 
@@ -79,11 +84,14 @@ def rule_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     row_checks = [(i, c) for i, c in enumerate(checks) if c.kind == "row"]
     if row_checks:
         counted = df.agg(
-            F.count(F.lit(1)).alias("n"), *[F.count_if(c.predicate).alias(f"p{i}") for i, c in row_checks]
+            F.count(F.lit(1)).alias("n"),
+            *[F.count_if(c.predicate).alias(f"p{i}") for i, c in row_checks],
+            *[F.count_if(c.broken).alias(f"e{i}") for i, c in row_checks if c.broken is not None],
         )
         items = [(i, c.rule, None) for i, c in row_checks]
         passed = F.array(*[F.col(f"p{i}") for i, _ in row_checks])
-        parts.append(_unfold(counted, items, F.array_repeat("n", len(items)), passed))
+        broken = F.array(*[F.lit(0).cast(LONG) if c.broken is None else F.col(f"e{i}") for i, c in row_checks])
+        parts.append(_unfold(counted, items, F.array_repeat("n", len(items)), passed, broken))
     for i, check in enumerate(checks):
         if check.kind in ("unique", "reference"):
             counted = key_metrics(df, check)
@@ -120,28 +128,47 @@ class Tally:
             count = len(items)
             passed = F.array(*[F.col(f"p{k}") for k in range(count)])
             totals = F.array(*[F.col(f"t{k}") for k in range(count)]) if v.sequential else F.array_repeat("n", count)
-            parts.append(_unfold(self.frame, items, totals, passed))
+            unable = v.broken()
+            broken = F.array(*[F.col(f"e{k}") if k in unable else F.lit(0).cast(LONG) for k in range(count)])
+            parts.append(_unfold(self.frame, items, totals, passed, broken))
         return _with_errors(v.frame, parts, v.checks)
 
+    def stored(self) -> Tally:
+        """The same with its one row in the shared folder, so that log, score and summaries read it and not the data."""
+        return replace(self, frame=settle(self.frame, "tally"))
 
-def tally(verdicts: Verdicts) -> Tally:
-    """Counters: rows in ``n``, rows out ``n_clean``, rows passing all rules, sum of row scores, and per rule
-    ``p*`` passed (``t*`` seen in sequential mode)."""
+    def broken(self) -> dict[str, int]:
+        """Ids of the rules that could not be evaluated on some rows, and on how many."""
+        unable = self.verdicts.broken()
+        if not unable:
+            return {}
+        row = self.frame.select(*[f"e{i}" for i in unable]).first()
+        return {self.verdicts.rules[i].rule_id: row[f"e{i}"] for i in unable if row[f"e{i}"]}
+
+
+def counters(verdicts: Verdicts) -> list[Column]:
+    """Rows in ``n``, rows out ``n_clean``, rows passing all rules, sum of row scores, and per rule ``p*`` passed (``t*`` seen
+    in sequential mode, ``e*`` not evaluated)."""
     v = verdicts
     count = len(v.rules)
-    counters = [F.count(F.lit(1)).alias("n"), F.count_if(v.clean()).alias("n_clean")]
+    found = [F.count(F.lit(1)).alias("n"), F.count_if(v.clean()).alias("n_clean")]
     passed = [v.passed(i) for i in range(count)]
-    counters.append(F.count_if(all_of(passed)).alias("n_all_passed"))
+    found.append(F.count_if(all_of(passed)).alias("n_all_passed"))
     # Two decimals per row, so the sum is exact and does not depend on the order of partitions.
-    counters.append(F.sum(v.row_score().cast("decimal(18,2)")).alias("sum_row_score"))
+    found.append(F.sum(v.row_score().cast("decimal(18,2)")).alias("sum_row_score"))
     for i in range(count):
         seen = v.seen(i)
         if seen is None:
-            counters.append(F.count_if(passed[i]).alias(f"p{i}"))
+            found.append(F.count_if(passed[i]).alias(f"p{i}"))
         else:
-            counters.append(F.count_if(seen & passed[i]).alias(f"p{i}"))
-            counters.append(F.count_if(seen).alias(f"t{i}"))
-    return Tally(v.frame.agg(*counters), v)
+            found.append(F.count_if(seen & passed[i]).alias(f"p{i}"))
+            found.append(F.count_if(seen).alias(f"t{i}"))
+    return [*found, *[F.count_if(rows).alias(f"e{i}") for i, rows in v.broken().items()]]
+
+
+def tally(verdicts: Verdicts) -> Tally:
+    """The counters by one aggregate over the verdict frame."""
+    return Tally(verdicts.frame.agg(*counters(verdicts)), verdicts)
 
 
 def average_row_score(n: Column) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-import time
+from collections import deque
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assaylake.model import Reference, rules_from
-from assaylake.operators import enforce, rulebook
+from assaylake.operators import rulebook
 from assaylake.operators.verdict import union_all
-from assaylake.plans.engine import Dataset, Result, Writer, process, publish
+from assaylake.plans.engine import Dataset, Result, Writer, process_and_publish
 from assaylake.session import settle
 from assaylake.sources.rules import registry_references
 
@@ -93,14 +93,8 @@ def _run_one(d: Dataset, run_id: str, write: Writer, as_of, mode: str, results:
     """One dataset: result with its measured duration, stored log and score, and its tables unless the gate is shut."""
     if d.frame is None:
         raise ValueError(d.problem)
-    start = time.monotonic()
-    result = process(d, run_id, as_of, mode)
-    score = settle(result.score, f"{d.name}-score")
-    tables = {}
-    if threshold_pct is None or enforce.gate(score, threshold_pct).first()["publish"]:
-        tables = publish(result, d, write, results)
-    result = result.lasting(round(1000 * (time.monotonic() - start)))
-    return result, tables, settle(result.log, f"{d.name}-log"), score
+    result, tables = process_and_publish(d, run_id, write, as_of, mode, results, threshold_pct)
+    return result, tables, settle(result.log, f"{d.name}-log"), settle(result.score, f"{d.name}-score")
 
 
 def run_registry(
@@ -114,15 +108,14 @@ def run_registry(
 ) -> RegistryRun:
     """Process every dataset, store its validated table, and derive clean, quarantine and detail from it.
 
-    PARALLEL_DATASETS run at a time. One that fails, or whose table cannot be opened, is noted in ``problems`` and the
+    PARALLEL_DATASETS run at a time, and the next dataset is taken from ``datasets`` when one of them is done, so the driver
+    holds the rules of these only. One that fails, or whose table cannot be opened, is noted in ``problems`` and the
     others go on. With ``threshold_pct`` a dataset too many of whose rows fail a hard rule is scored but not stored.
     """
     done: dict[str, Result] = {}
     tables: dict[str, dict[str, DataFrame]] = {}
     problems: dict[str, str] = {}
     logs, scores = [], []
-    listed = list(datasets)
-    session = next((d.frame.sparkSession for d in listed if d.frame is not None), None)
 
     def work(d: Dataset):
         try:
@@ -130,16 +123,24 @@ def run_registry(
         except (PySparkException, ValueError) as problem:
             return str(problem).split("\n")[0]
 
-    if session is not None:
-        work = inheritable_thread_target(session)(work)
+    def take(d: Dataset, out) -> None:
+        if isinstance(out, str):
+            problems[d.name] = out
+            return
+        done[d.name], stored, log, score = out
+        if stored:
+            tables[d.name] = stored
+        logs.append(log)
+        scores.append(score)
+
     with ThreadPoolExecutor(PARALLEL_DATASETS) as pool:
-        for d, out in zip(listed, pool.map(work, listed)):
-            if isinstance(out, str):
-                problems[d.name] = out
-                continue
-            done[d.name], stored, log, score = out
-            if stored:
-                tables[d.name] = stored
-            logs.append(log)
-            scores.append(score)
+        running: deque = deque()
+        for d in datasets:
+            if len(running) == PARALLEL_DATASETS:
+                first, job = running.popleft()
+                take(first, job.result())
+            session = d.frame.sparkSession if d.frame is not None else None
+            running.append((d, pool.submit(inheritable_thread_target(session)(work) if session else work, d)))
+        for d, job in running:
+            take(d, job.result())
     return RegistryRun(done, tables, union_all(logs) if logs else None, union_all(scores) if scores else None, problems)

@@ -31,6 +31,11 @@ class Verdicts:
     def passed(self, position: int) -> Column:
         return F.col(_name(position))
 
+    def broken(self) -> dict[int, Column]:
+        """By position, the rows on which a rule written by a user cannot be evaluated."""
+        able = runnable(self.checks)
+        return {i: F.col(f"__e{i}") for i, c in enumerate(able) if c.broken is not None}
+
     def flags(self, failed: bool = False) -> Column:
         """All verdicts as one array: passed, or failed among the rows a rule sees."""
         rules = range(len(self.rules))
@@ -71,6 +76,13 @@ def _name(position: int) -> str:
     return f"__v{position}"
 
 
+def row_verdicts(checks: Sequence[Check]) -> list[Column]:
+    """Verdict columns of the row rules, and of those by users the rows that they cannot judge."""
+    rules = [(i, c) for i, c in enumerate(checks) if c.kind == "row"]
+    broken = [c.broken.alias(f"__e{i}") for i, c in rules if c.broken is not None]
+    return [*[c.predicate.alias(_name(i)) for i, c in rules], *broken]
+
+
 def evaluate(df: DataFrame, checks: Sequence[Check], sequential: bool = False) -> Verdicts:
     """Attach the verdicts of all runnable rules.
 
@@ -87,7 +99,7 @@ def _attach(df: DataFrame, checks: list[Check], kinds: tuple[str, ...]) -> DataF
     frame = df
     for (i, _), found in zip(keyed, find_bad_keys(df, [c for _, c in keyed])):
         frame = attach_key_verdict(frame, found, _name(i))
-    return frame.select("*", *[c.predicate.alias(_name(i)) for i, c in enumerate(checks) if c.kind == "row"])
+    return frame.select("*", *row_verdicts(checks))
 
 
 def _independent(df: DataFrame, checks: list[Check]) -> DataFrame:

@@ -1,12 +1,14 @@
 """Rule sources, contract audit, upserts, resolution, registry, sinks, lineage, governance."""
 
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
-from assaylake import Dataset, Rule, Run, process_all, publish, run_rules
+from assaylake import Dataset, Rule, Run, process_all, publish, run_registry, run_rules
 from assaylake.operators import datagen, enforce, feedback, gold, governance, lineage, profile, reports, rulebook
+from assaylake.plans.registry import PARALLEL_DATASETS
 from assaylake.sources import rules as sources
 from assaylake.sources import tables as io
 from tests import fixture_data as fx
@@ -337,3 +339,69 @@ def test_registry_tables_drive_the_run(spark, catalogue, tables, tmp_path):
     again = datasets_from_registry(registry.where("dataset_name = 'customers'"), by_id, stored, shop.__getitem__, fx.AS_OF)
     log = {r.rule_id: r.status for r in run_rules(again[0].frame, again[0].rules, Run("x", "customers", fx.AS_OF), again[0].refs).log.collect()}
     assert log["DQR-000008"] == "error" and len(log) == 8
+
+
+def test_a_registry_run_reads_each_dataset_once(spark, tmp_path):
+    """Every row of the source passes one task: a rule by a user counts the rows it is asked about."""
+    path = str(tmp_path / "rows")
+    spark.range(1000).select("id", (F.col("id") % 900).alias("k"), F.col("id").cast("string").alias("s")).repartition(4).write.parquet(path)
+    opened = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            opened.add(batch.num_rows)
+            yield batch
+
+    source = spark.read.parquet(path)
+    df = source.mapInArrow(count, source.schema)
+    rules = (
+        Rule("not", "not_null", "s"),
+        Rule("sql", "custom_sql", "s", {"sql_expression": "cast(s as int) < 900"}, enforcement="hard"),
+        Rule("range", "range", "id", {"max": 899}),
+    )
+    dataset = Dataset("D", "d", "id", df, rules, {})
+    run = run_registry([dataset], "run-1", lambda f, n: io.write_overwrite(f, str(tmp_path / n)), fx.AS_OF, results="failed")
+    assert opened.value == 1000
+    score = run.scores.first()
+    assert (score.total_records_in, score.total_records_out, score.rules_failed) == (1000, 900, 2)
+    assert {r.rule_id: r.passed_count for r in run.log.collect()} == {"not": 1000, "sql": 900, "range": 900}
+    assert run.tables["d"]["clean"].count() == 900 and run.log.where("execution_duration_ms IS NULL").count() == 0
+    assert opened.value == 1000
+    # the gate: rows are kept aside until it is known whether they may be published
+    opened.value = 0
+    for threshold, tables in ((5.0, {}), (50.0, {"d"})):
+        gated = run_registry([dataset], "run-2", lambda f, n: io.write_overwrite(f, str(tmp_path / f"gated-{n}")), fx.AS_OF, threshold_pct=threshold)
+        assert set(gated.tables) == set(tables)
+    assert opened.value == 2000
+    # a key rule counts its keys beside; only a rule that turns out not to be evaluable costs a second pass
+    opened.value = 0
+    keyed = replace(dataset, rules=(*rules, Rule("u", "uniqueness", "k")))
+    run = run_registry([keyed], "run-3", lambda f, n: io.write_overwrite(f, str(tmp_path / f"keyed-{n}")), fx.AS_OF)
+    assert opened.value == 2000 and {r.rule_id: r.passed_count for r in run.log.collect()}["u"] == 800
+    opened.value = 0
+    failing = replace(dataset, rules=(*rules, Rule("bad", "custom_sql", "k", {"sql_expression": "1 / (k - 7) < 2"})))
+    run = run_registry([failing], "run-4", lambda f, n: io.write_overwrite(f, str(tmp_path / f"failing-{n}")), fx.AS_OF)
+    assert opened.value == 2000
+    log = {r.rule_id: (r.status, r.error_message) for r in run.log.collect()}
+    assert log["bad"] == ("error", "cannot be evaluated on 2 rows") and log["sql"][0] == "failed"
+    assert run.tables["d"]["validated"].first()["_dq"]["total_rules"] == 3
+
+
+def test_a_registry_run_takes_datasets_as_it_goes(spark, tmp_path):
+    """The next dataset is asked for when a place is free, not before."""
+    asked, finished = [], []
+    frame = spark.range(5)
+
+    def datasets():
+        for k in range(7):
+            asked.append(k - len(finished))
+            yield Dataset(str(k), f"d{k}", "id", None if k == 3 else frame, (Rule("a", "range", "id", {"max": 2}),), {}, "no table")
+
+    def write(df, name):
+        out = io.write_overwrite(df, str(tmp_path / name))
+        finished.append(name)
+        return out
+
+    run = run_registry(datasets(), "r", write)
+    assert set(run.results) == {"d0", "d1", "d2", "d4", "d5", "d6"} and run.problems == {"d3": "no table"}
+    assert max(asked) <= PARALLEL_DATASETS + 1 and run.scores.count() == 6

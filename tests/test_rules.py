@@ -7,7 +7,7 @@ import assaylake
 from assaylake import Reference, Rule, Run, compile_rules, register_rule_type, run_rules
 from assaylake.plans import keyed
 from assaylake.plans.compile import expectations
-from assaylake.plans.metrics import rule_counts
+from assaylake.plans.metrics import execution_log, rule_counts
 from assaylake.plans.verdicts import evaluate
 
 
@@ -119,6 +119,59 @@ def test_rules_that_fail_on_rows_become_errors(spark):
         assert log["ok"] == ("failed", 2) and log["good"][1] == 1 and log["year"][0] == "passed"
 
 
+def jobs_of(spark, work):
+    """The result of work, and the number of jobs that it started."""
+    spark.sparkContext.setJobGroup("counted", "counted")
+    out = work()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("counted")
+    spark.sparkContext.setJobGroup("others", "others")
+    return out, len(jobs)
+
+
+SHARED = [
+    Rule("cast", "custom_sql", "s", {"sql_expression": "cast(s as int) > 5"}),
+    Rule("cast-again", "custom_sql", "s", {"sql_expression": "cast(s as int) < 90"}),
+    Rule("sometimes", "custom_sql", "s", {"sql_expression": "case when id < 50 then true else cast(s as int) > 0 end"}),
+    Rule("ok", "custom_sql", "s", {"sql_expression": "length(s) > 1"}, enforcement="hard"),
+    Rule("low", "range", "id", {"min": 10}),
+]
+
+
+def test_rules_by_users_share_what_fails(spark, tmp_path):
+    """Several rules with one failing part: it is evaluated inside each rule, not taken out in front of them."""
+    path = str(tmp_path / "rows")
+    spark.range(100).select("id", F.when(F.col("id") % 10 == 3, "x").otherwise(F.col("id").cast("string")).alias("s")).write.parquet(path)
+    df = spark.read.parquet(path)
+    for mode in ("true", "false"):
+        spark.conf.set("spark.sql.codegen.wholeStage", mode)
+        try:
+            want = {"cast": ("error", 0), "cast-again": ("error", 0), "sometimes": ("error", 0), "ok": ("failed", 81), "low": ("failed", 90)}
+            counted = rule_counts(df, compile_rules(df, SHARED))
+            log = {r.rule_id: (r.status, r.passed_count) for r in execution_log(counted, Run("r", "d")).collect()}
+            assert log == want
+            messages = {r.rule_id: r.error_message for r in counted.collect()}
+            assert messages["cast"] == "cannot be evaluated on 10 rows" and messages["sometimes"] == "cannot be evaluated on 5 rows"
+            for how in ("row", "sequential"):
+                result = run_rules(df, SHARED, Run("r", "d"), mode=how)
+                status = {k: v[0] for k, v in want.items()} | ({"low": "passed"} if how == "sequential" else {})  # hidden from it
+                assert {r.rule_id: r.status for r in result.log.collect()} == status
+                assert result.validated.first()["_dq"]["total_rules"] == 2
+                assert result.clean.count() == 81 and result.score.first().rules_errored == 3
+        finally:
+            spark.conf.unset("spark.sql.codegen.wholeStage")
+
+
+def test_compiling_reads_no_row(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(100).select("id", F.col("id").cast("string").alias("s")).write.parquet(path)
+    df = spark.read.parquet(path)
+    checks, jobs = jobs_of(spark, lambda: compile_rules(df, SHARED))
+    assert jobs == 0 and [c.kind for c in checks] == ["row"] * 5
+    # log and score read the stored counters, not the rows
+    result = run_rules(df, SHARED, Run("r", "d"))
+    assert all("tally" in f for n in (result.log, result.score) for f in n.inputFiles())
+
+
 def test_shuffled_key_rules_read_their_source_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(keyed, "BROADCAST_KEYS", -1)
     monkeypatch.setattr(keyed, "HOT_ROWS", 1_000)
