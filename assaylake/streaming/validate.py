@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from assaylake.functions.columns import all_of
 from assaylake.model import Rule, RuleError
 from assaylake.operators import enforce, verdict
 from assaylake.plans.compile import compile_rules
-from assaylake.plans.verdicts import Verdicts
+from assaylake.plans.verdicts import Verdicts, row_verdicts
+from assaylake.streaming.running import per_rule, row_checks, window_counters
 
 # A static reference up to this many keys and bytes is broadcast to the stream.
 BROADCAST_KEYS = 500_000
@@ -39,7 +39,7 @@ def stream_verdicts(stream: DataFrame, rules: Sequence[Rule], as_of: str | dt.da
     for i, check in enumerate(able):
         if check.kind == "reference":
             frame = attach_reference(frame, check.keys[0], check.reference, f"__v{i}")
-    frame = frame.select("*", *[c.predicate.alias(f"__v{i}") for i, c in enumerate(able) if c.kind == "row"])
+    frame = frame.select("*", *row_verdicts(able))
     return Verdicts(frame, tuple(stream.columns), tuple(c.rule for c in able), tuple(checks))
 
 
@@ -132,30 +132,14 @@ def window_metrics(
     """Rows and passes per rule and window; rows later than ``delay`` are dropped by the watermark.
 
     ``window`` is ``F.window(...)`` (tumbling or sliding) or ``F.session_window(...)``. The same function serves a
-    batch, where the watermark has no effect. The state holds one row per window and group. Rules that cannot be judged
-    by the row alone, or cannot run, are refused.
+    batch, where the watermark has no effect. The state holds one row per window and group. A stream that appends emits
+    closed windows only; :mod:`assaylake.streaming.running` has the open ones and the late rows too. Rules that cannot be
+    judged by the row alone, or cannot run, are refused.
     """
-    checks = compile_rules(stream, rules, as_of=as_of)
-    refused = [c.rule.rule_id for c in checks if c.kind != "row"]
-    if refused:
-        raise RuleError(f"window metrics take row rules that run only: {', '.join(refused)}")
-    marked = stream.withWatermark(time, delay)
-    counted = marked.groupBy(window.alias("w"), *by).agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(c.predicate).alias(f"p{i}") for i, c in enumerate(checks)],
-        F.count_if(all_of([c.predicate for c in checks])).alias("clean"),
-    )
-    rows = [
-        F.struct(F.lit(c.rule.rule_id).alias("rule_id"), F.col(f"p{i}").alias("passed")) for i, c in enumerate(checks)
-    ]
-    return counted.select(
-        F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"),
-        *by,
-        "total",
-        "clean",
-        F.inline(F.array(*rows)),
-    )
+    checks = row_checks(stream, rules, as_of)
+    counted = stream.withWatermark(time, delay).groupBy(window.alias("w"), *by).agg(*window_counters(checks))
+    spans = [F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end")]
+    return per_rule(counted.select(*spans, *[c for c in counted.columns if c != "w"]), checks, by)
 
 
 def windowed_duplicates(stream: DataFrame, keys: Sequence[str], *, time: str, delay: str, size: str) -> DataFrame:

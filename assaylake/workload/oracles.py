@@ -763,41 +763,74 @@ def _windows(source: str, by: str, rules: dict[str, str], where: str = "") -> st
     lead = f"{by}, " if by else ""
     return " UNION ALL ".join(
         f"SELECT window_start, window_end, {lead}count(*) AS total, count(*) FILTER (WHERE {clean}) AS clean, '{rid}' AS rule_id, "
-        f"count(*) FILTER (WHERE {cond}) AS passed FROM {source} {where} GROUP BY window_start, window_end{', ' + by if by else ''}"
+        f"count(*) FILTER (WHERE {cond}) AS passed, CAST(0 AS BIGINT) AS errors "
+        f"FROM {source} {where} GROUP BY window_start, window_end{', ' + by if by else ''}"
         for rid, cond in rules.items()
     )
 
 
 _SIX = """w AS (SELECT *, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '2000-01-01') AS window_start,
  time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '2000-01-01') + INTERVAL 6 HOUR AS window_end FROM events)"""
-ORACLES["event_window_metrics"] = f"WITH {_SIX} {_windows('w', 'event_type', _V)}"
+ORACLES["event_window_metrics"] = ORACLES["stream_window_metrics"] = f"WITH {_SIX} {_windows('w', 'event_type', _V)}"
 _CLOSED = "WHERE window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
-ORACLES["stream_window_metrics"] = f"WITH {_SIX} {_windows('w', 'event_type', _V, _CLOSED)}"
+ORACLES["stream_closed_windows"] = f"WITH {_SIX} {_windows('w', 'event_type', _V, _CLOSED)}"
 _SLIDING = """WITH d AS (SELECT *, date_trunc('day', ts) AS day FROM events),
 w AS (SELECT *, CAST(day AS TIMESTAMP) AS window_start, CAST(day AS TIMESTAMP) + INTERVAL 2 DAY AS window_end FROM d
  UNION ALL SELECT *, CAST(day AS TIMESTAMP) - INTERVAL 1 DAY, CAST(day AS TIMESTAMP) + INTERVAL 1 DAY FROM d)"""
-ORACLES["event_sliding_metrics"] = f"{_SLIDING} {_windows('w', '', _V)}"
-ORACLES["stream_sliding_metrics"] = f"{_SLIDING} {_windows('w', '', _V, _CLOSED)}"
-_SESSIONS = """WITH a AS (SELECT *, ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 12 HOUR AS gap FROM events),
+ORACLES["event_sliding_metrics"] = ORACLES["stream_sliding_metrics"] = f"{_SLIDING} {_windows('w', '', _V)}"
+
+
+def _sessions(source: str) -> str:
+    return f"""a AS (SELECT *, ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 12 HOUR AS gap FROM {source}),
 b AS (SELECT *, count(*) FILTER (WHERE coalesce(gap, TRUE)) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM a),
-w AS (SELECT *, min(ts) OVER (PARTITION BY user_id, session) AS window_start, max(ts) OVER (PARTITION BY user_id, session) + INTERVAL 12 HOUR AS window_end FROM b)"""
-_KNOWN = {"DQR-500001": _V["DQR-500001"]}
-ORACLES["event_sessions"] = f"{_SESSIONS} {_windows('w', 'user_id', _KNOWN)}"
-ORACLES["stream_sessions"] = f"{_SESSIONS} {_windows('w', 'user_id', _KNOWN, _CLOSED)}"
+s AS (SELECT *, min(ts) OVER (PARTITION BY user_id, session) AS window_start, max(ts) OVER (PARTITION BY user_id, session) + INTERVAL 12 HOUR AS window_end FROM b)"""
+
+
+ORACLES["event_sessions"] = ORACLES["stream_sessions"] = f"WITH {_sessions('events')} {_windows('s', 'user_id', _V)}"
+# Arrival in three parts by event_id % 3; a part's watermark lies an hour behind the latest time of the parts before it.
+_PARTS = """m AS (SELECT event_id % 3 AS part, max(ts) AS latest FROM events GROUP BY 1),
+e AS (SELECT e.*, (SELECT max(latest) - INTERVAL 1 HOUR FROM m WHERE m.part < e.event_id % 3) AS mark FROM events e)"""
+ORACLES["stream_late_rows"] = f"""WITH {_PARTS},
+w AS (SELECT *, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '2000-01-01') AS window_start FROM e),
+j AS (SELECT *, window_start + INTERVAL 6 HOUR AS window_end, coalesce(window_start + INTERVAL 6 HOUR <= mark, FALSE) AS is_late FROM w)
+SELECT window_start, window_end, count(*) FILTER (WHERE NOT is_late) AS total, count(*) FILTER (WHERE is_late) AS late FROM j GROUP BY ALL"""
+ORACLES["stream_late_sessions"] = f"""WITH {_PARTS}, t AS (SELECT * FROM e WHERE NOT coalesce(ts + INTERVAL 12 HOUR <= mark, FALSE)),
+{_sessions('t')} {_windows('s', 'user_id', _V)}"""
+_T = {
+    "DQR-510001": "value BETWEEN 1 AND 100",
+    "DQR-510002": "event_type <> 'purchase' AND value > 5",
+    "DQR-510003": "length(event_type) > 2",
+}
+_t_clean = " AND ".join(f"({c})" for c in _T.values())
+ORACLES["stream_rule_errors"] = f"WITH {_SIX} " + " UNION ALL ".join(
+    f"""SELECT window_start, window_end, event_type, count(*) AS total,
+ CASE WHEN event_type <> 'purchase' THEN count(*) FILTER (WHERE {_t_clean}) END AS clean, '{rid}' AS rule_id,
+ {f"CASE WHEN event_type <> 'purchase' THEN count(*) FILTER (WHERE {c}) END" if rid == "DQR-510002" else f"count(*) FILTER (WHERE {c})"} AS passed,
+ CAST({"count(*) FILTER (WHERE event_type = 'purchase')" if rid == "DQR-510002" else "0"} AS BIGINT) AS errors
+ FROM w GROUP BY window_start, window_end, event_type"""
+    for rid, c in _T.items()
+)
 _EV = [(i, e) for i, e in enumerate(_e.able()) if e[2] != "uniqueness"]
 _ev_fail = "concat_ws(',', " + ", ".join(f"CASE WHEN NOT v{i} THEN '{e[0]}' END" for i, e in _EV) + ")"
 _ev_pass = " + ".join(f"CAST(v{i} AS INTEGER)" for i, _ in _EV)
 ORACLES["stream_validated_events"] = f"""
 SELECT event_id, {_ev_fail} AS failed_rules, {ratio(_ev_pass, str(len(_EV)), 2)} AS row_score FROM ({_e.verdict_sql()})"""
-_EV2 = [(i, e) for i, e in _EV if e[2] != "referential_integrity"]
-_ev_fail2 = "concat_ws(', ', " + ", ".join(f"CASE WHEN NOT v{i} THEN '{e[0]}' END" for i, e in _EV2) + ")"
-ORACLES["stream_quarantine_events"] = (
-    f"SELECT event_id, event_type, {_ev_fail2} AS _quarantine_reason FROM ({_e.verdict_sql()}) WHERE NOT v0"
-)
+_ev_reason = _ev_fail.replace("concat_ws(','", "concat_ws(', '", 1)
+_ev_hard = " AND ".join(f"v{i}" for i, e in _EV if e[6] == "hard") or "TRUE"
+ORACLES["stream_quarantine_events"] = f"""
+SELECT CASE WHEN {_ev_hard} THEN 'clean' ELSE 'quarantine' END AS sink, event_id, event_type,
+ CASE WHEN NOT ({_ev_hard}) THEN {_ev_reason} END AS _quarantine_reason FROM ({_e.verdict_sql()})"""
+_part_rules = {e[0]: f"v{i}" for i, e in _EV} | {k: v for k, v in _T.items() if k != "DQR-510002"}
+_ev_all = f"(SELECT * FROM ({_e.verdict_sql()}))"
+ORACLES["stream_batch_log"] = " UNION ALL ".join(
+    f"""SELECT 'stream-' || event_id % 3 AS run_id, '{rid}' AS rule_id, CASE WHEN count(*) FILTER (WHERE {c}) < count(*) THEN 'failed' ELSE 'passed' END AS status,
+ count(*) AS total_records, count(*) FILTER (WHERE {c}) AS passed_count, CAST(NULL AS VARCHAR) AS error_message FROM {_ev_all} GROUP BY event_id % 3"""
+    for rid, c in _part_rules.items()
+) + f""" UNION ALL SELECT 'stream-' || event_id % 3, 'DQR-510002', 'error', CAST(0 AS BIGINT), CAST(0 AS BIGINT),
+ 'cannot be evaluated on ' || count(*) FILTER (WHERE event_type = 'purchase') || ' rows' FROM events GROUP BY event_id % 3"""
 ORACLES["stream_duplicates"] = """
 WITH w AS (SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, CAST(date_trunc('day', ts) AS TIMESTAMP) + INTERVAL 1 DAY AS window_end, user_id, event_type FROM events)
-SELECT window_start, window_end, user_id, event_type, count(*) AS n FROM w
-WHERE window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY ALL HAVING count(*) > 1"""
+SELECT window_start, window_end, user_id, event_type, count(*) AS n FROM w GROUP BY ALL HAVING count(*) > 1"""
 ORACLES["stream_first_seen"] = "SELECT DISTINCT user_id, event_type FROM events"
 
 

@@ -34,7 +34,7 @@ from assaylake.plans.verdicts import evaluate
 from assaylake.session import fresh_path, settle
 from assaylake.sources import tables
 from assaylake.sources.rules import read_rules, read_rules_table, registry_references
-from assaylake.streaming import validate
+from assaylake.streaming import running, validate
 from assaylake.workload import rulebase
 from assaylake.workload.suites import SUITES, load
 
@@ -923,37 +923,109 @@ def event_sliding_metrics(spark, sf):
 
 @query
 def event_sessions(spark, sf):
-    return _plain_times(
-        validate.window_metrics(
-            _events(spark, sf), WINDOW_RULES[:1], time="at", delay="1 hour", window=F.session_window("at", "12 hours"), by=["user_id"]
-        )
-    )
+    return _plain_times(running.session_metrics(_events(spark, sf), WINDOW_RULES, time="at", gap="12 hours", by=["user_id"]))
+
+
+def _followed(spark, stream, partial, label, late=False):
+    """Run a stream over the available input and read the counters that its batches stored."""
+    path = fresh_path(spark, label)
+    running.follow(stream, partial, delay="1 hour", path=path, checkpoint=f"{path}/checkpoint").awaitTermination()
+    return running.stored(spark, path, late)
+
+
+def _window_totals(spark, sf, window, label, by=()):
+    checks = running.row_checks(_events(spark, sf), WINDOW_RULES)
+    parts = _followed(spark, _event_stream(spark, sf), running.window_partial(window, "at", by, running.window_counters(checks)), label)
+    return _plain_times(running.per_rule(running.window_totals(parts, by), checks, by))
 
 
 @query
 def stream_window_metrics(spark, sf):
-    """The same windows from a stream: those the watermark has closed."""
-    metrics = validate.window_metrics(
-        _event_stream(spark, sf), WINDOW_RULES, time="at", delay="1 hour", window=F.window("at", "6 hours"), by=["event_type"]
-    )
-    return _plain_times(_finished(spark, metrics, "window-metrics"))
+    """The same windows from a stream, the open ones included."""
+    return _window_totals(spark, sf, F.window("at", "6 hours"), "window-metrics", ["event_type"])
 
 
 @query
 def stream_sliding_metrics(spark, sf):
-    metrics = validate.window_metrics(
-        _event_stream(spark, sf), WINDOW_RULES, time="at", delay="1 hour", window=F.window("at", "2 days", "1 day")
-    )
-    return _plain_times(_finished(spark, metrics, "sliding-metrics"))
+    return _window_totals(spark, sf, F.window("at", "2 days", "1 day"), "sliding-metrics")
 
 
 @query
 def stream_sessions(spark, sf):
-    """Sessions per user from a stream: those the watermark has closed."""
+    """Sessions per user from a stream, the open ones included."""
+    checks = running.row_checks(_events(spark, sf), WINDOW_RULES)
+    partial = running.slot_partial("at", "12 hours", ["user_id"], running.window_counters(checks))
+    slots = _followed(spark, _event_stream(spark, sf), partial, "session-metrics")
+    return _plain_times(running.per_rule(running.sessions(slots, ["user_id"], "12 hours"), checks, ["user_id"]))
+
+
+@query
+def stream_closed_windows(spark, sf):
+    """What a stream that appends gives: the windows that the watermark has closed."""
     metrics = validate.window_metrics(
-        _event_stream(spark, sf), WINDOW_RULES[:1], time="at", delay="1 hour", window=F.session_window("at", "12 hours"), by=["user_id"]
+        _event_stream(spark, sf), WINDOW_RULES, time="at", delay="1 hour", window=F.window("at", "6 hours"), by=["event_type"]
     )
-    return _plain_times(_finished(spark, metrics, "session-metrics"))
+    return _plain_times(_finished(spark, metrics, "closed-windows"))
+
+
+def _in_parts(spark, sf, feed):
+    """The events in three parts that arrive one after the other; ``feed`` is called after each arrival with the stream."""
+    events = _events(spark, sf)
+    folder = fresh_path(spark, "arrivals")
+    for part in range(3):
+        tables.write_overwrite(events.where(F.pmod("event_id", F.lit(3)) == part), f"{folder}/part={part}")
+        feed(spark.readStream.schema(events.schema).parquet(folder))
+
+
+def _late_parts(spark, sf, partial, late):
+    path = fresh_path(spark, "late")
+    _in_parts(spark, sf, lambda stream: running.follow(stream, partial, delay="1 hour", path=path, checkpoint=f"{path}/checkpoint").awaitTermination())
+    return [running.stored(spark, path, which) for which in late]
+
+
+@query
+def stream_late_rows(spark, sf):
+    """Rows of windows that were over when their part of the stream arrived, beside those in time."""
+    in_time, late = _late_parts(spark, sf, running.window_partial(F.window("at", "6 hours"), "at", [], [F.count(F.lit(1)).alias("total")]), (False, True))
+    late = running.window_totals(late, []).withColumnRenamed("total", "late")
+    return _plain_times(running.window_totals(in_time, []).join(late, ["window_start", "window_end"], "full").fillna(0, ["total", "late"]))
+
+
+@query
+def stream_late_sessions(spark, sf):
+    """Sessions of the rows in time, from a stream that arrives in three parts."""
+    checks = running.row_checks(_events(spark, sf), WINDOW_RULES)
+    (slots,) = _late_parts(spark, sf, running.slot_partial("at", "12 hours", ["user_id"], running.window_counters(checks)), (False,))
+    return _plain_times(running.per_rule(running.sessions(slots, ["user_id"], "12 hours"), checks, ["user_id"]))
+
+
+# The second cannot be evaluated on purchases, the third never fails.
+TRIED = (
+    Rule("DQR-510001", "range", "value", {"min": 1, "max": 100}, enforcement="hard"),
+    Rule("DQR-510002", "custom_sql", "event_type", {"sql_expression": "CASE WHEN event_type = 'purchase' THEN CAST(event_type AS INT) > 0 ELSE value > 5 END"}),
+    Rule("DQR-510003", "custom_sql", "event_type", {"sql_expression": "length(event_type) > 2"}),
+)
+
+
+@query
+def stream_rule_errors(spark, sf):
+    """A rule that cannot be evaluated on some rows of a stream: no verdict in the windows of these rows, and the others run."""
+    checks = running.row_checks(_events(spark, sf), TRIED)
+    parts = _followed(spark, _event_stream(spark, sf), running.window_partial(F.window("at", "6 hours"), "at", ["event_type"], running.window_counters(checks)), "rule-errors")
+    return _plain_times(running.per_rule(running.window_totals(parts, ["event_type"]), checks, ["event_type"]))
+
+
+@query
+def stream_batch_log(spark, sf):
+    """Log per micro-batch of a stream in three parts: references, and a rule that is an error of every batch."""
+    path = fresh_path(spark, "batch-log")
+    d = SUITES["events"].dataset(spark, sf)
+    rules = [*[r for r in d.rules if r.rule_type != "uniqueness"], *TRIED]
+    sinks = {"log": validate.batch_folder(path)}
+    run = Run("stream", "events", SUITES["events"].as_of)
+    _in_parts(spark, sf, lambda s: running.judge_batches(s.select(*d.frame.columns), rules, run, sinks, f"{path}-checkpoint", d.refs).awaitTermination())
+    log = spark.read.parquet(path)
+    return log.select("run_id", "rule_id", "status", "total_records", "passed_count", "error_message")
 
 
 @query
@@ -967,19 +1039,25 @@ def stream_validated_events(spark, sf):
 
 @query
 def stream_quarantine_events(spark, sf):
-    """Two sinks per micro-batch; the quarantined side."""
-    rules = [r for r in SUITES["events"].rules() if r.rule_type not in ("uniqueness", "referential_integrity")]
-    checked = validate.stream_validated(_event_stream(spark, sf).drop("at"), rules, SUITES["events"].as_of)
+    """Two sinks per micro-batch, under all rules that a stream can judge."""
+    d = SUITES["events"].dataset(spark, sf)
+    rules = [r for r in d.rules if r.rule_type != "uniqueness"]
     path = fresh_path(spark, "routed-events")
-    clean, held = validate.batch_folder(f"{path}/clean"), validate.batch_folder(f"{path}/quarantine")
-    validate.route(checked, clean, held, f"{path}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{path}/quarantine").select("event_id", "event_type", "_quarantine_reason")
+    sinks = {name: validate.batch_folder(f"{path}/{name}") for name in ("clean", "quarantine")}
+    run = Run("stream", "events", SUITES["events"].as_of)
+    running.judge_batches(_event_stream(spark, sf).drop("at"), rules, run, sinks, f"{path}/checkpoint", d.refs, "failed").awaitTermination()
+    columns = ["event_id", "event_type", "_quarantine_reason"]
+    clean = spark.read.parquet(f"{path}/clean").withColumn("_quarantine_reason", F.lit(None).cast("string"))
+    held = spark.read.parquet(f"{path}/quarantine")
+    return verdict.union_all([df.select(F.lit(sink).alias("sink"), *columns) for sink, df in (("clean", clean), ("quarantine", held))])
 
 
 @query
 def stream_duplicates(spark, sf):
-    found = validate.windowed_duplicates(_event_stream(spark, sf), ["user_id", "event_type"], time="at", delay="1 hour", size="1 day")
-    return _plain_times(_finished(spark, found, "duplicates"))
+    """Keys that occur more than once in a day, the last days included."""
+    keys = ["user_id", "event_type"]
+    parts = _followed(spark, _event_stream(spark, sf), running.window_partial(F.window("at", "1 day"), "at", keys, [F.count(F.lit(1)).alias("total")]), "duplicates")
+    return _plain_times(running.duplicates(parts, keys))
 
 
 @query

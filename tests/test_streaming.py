@@ -1,10 +1,14 @@
 """Streams against batches on the same rows."""
 
+import datetime as dt
+import random
+from collections import defaultdict
+
 import pytest
 from pyspark.sql import functions as F
 
 from assaylake import Reference, Rule, RuleError, Run, run_rules
-from assaylake.streaming import validate
+from assaylake.streaming import running, validate
 
 SCHEMA = "id int, at timestamp, kind string, value int"
 RULES = [
@@ -106,3 +110,118 @@ def test_references_compare_text_and_numbers_as_a_batch_does(spark, feed, monkey
     rule = Rule("c", "referential_integrity", "value", {"ref_table": "r", "ref_column": "v"})
     got = validate.stream_verdicts(df.withColumn("value", F.nullif("value", F.lit(3))), [rule], refs=refs).frame
     assert got.where("__v0").count() == df.where("value = 2").count() and got.count() == df.count()
+
+
+# --- running metrics ---------------------------------------------------------------------------------------
+
+START = dt.datetime(2026, 1, 1)
+
+
+def brute_sessions(visits, gap):
+    """visits: (user, seconds); sessions as (user, first, last, rows)."""
+    out, by = [], defaultdict(list)
+    for user, at in visits:
+        if at is not None:
+            by[user].append(at)
+    for user, times in by.items():
+        times.sort()
+        first, last, n = times[0], times[0], 0
+        for at in times:
+            if at - last >= gap:
+                out.append((user, first, last, n))
+                first, n = at, 0
+            last, n = at, n + 1
+        out.append((user, first, last, n))
+    return sorted(out, key=str)
+
+
+def visits_frame(spark, visits):
+    rows = [(u, None if at is None else START + dt.timedelta(seconds=at)) for u, at in visits]
+    return spark.createDataFrame(rows, "user string, at timestamp").repartition(5)
+
+
+def seconds(found):
+    second = lambda t: round((t - START).total_seconds())
+    return sorted(((r.user, second(r.window_start), second(r.window_end) - 60, r.total) for r in found.collect()), key=str)
+
+
+@pytest.mark.parametrize("bucket", [1, 2, 3, 1024])
+def test_sessions_join_across_buckets(spark, bucket):
+    made = random.Random(4)
+    visits = [(None, 5), ("quiet", None), ("once", 7), ("edge", 0), ("edge", 60), ("edge", 119), ("edge", 179)]
+    at = -40_000
+    for _ in range(1500):  # one user with most of the rows, in stretches far longer than a bucket
+        at += made.choice([0, 1, 20, 59, 59, 59, 60, 61, 400])
+        visits.append(("hot", at))
+    visits += [(f"u{made.randrange(30)}", made.randrange(9000)) for _ in range(600)]
+    slots = running.slot_partial("at", "60 seconds", ["user"], [F.count(F.lit(1)).alias("total")])(visits_frame(spark, visits), F.lit(None).cast("timestamp"))
+    assert slots.where("user = 'hot'").count() < 1500
+    assert seconds(running.sessions(slots, ["user"], "60 seconds", bucket)) == brute_sessions(visits, 60)
+
+
+def test_no_task_of_a_session_holds_a_users_rows(spark):
+    """A user with all rows: what is shuffled are slots, of which a task before the shuffle has at most a few."""
+    visits = [("hot", k % 300) for k in range(20_000)]
+    slots = running.slot_partial("at", "60 seconds", ["user"], [F.count(F.lit(1)).alias("total")])(visits_frame(spark, visits), F.lit(None).cast("timestamp"))
+    assert slots.count() == 5 and seconds(running.sessions(slots, ["user"], "60 seconds")) == [("hot", 0, 299, 20_000)]
+    plan = slots._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate") == 2 and "partial_count" in plan
+
+
+def arrivals(spark, folder, batches):
+    for k, rows in enumerate(batches):
+        visits_frame(spark, rows).coalesce(1).write.parquet(f"{folder}/part={k}")
+        yield spark.readStream.schema("user string, at timestamp").parquet(folder)
+
+
+def test_open_windows_and_late_rows(spark, tmp_path):
+    folder, path = str(tmp_path / "in"), str(tmp_path / "out")
+    batches = [[("a", 10), ("a", 4000)], [("a", 3500), ("b", 9000), ("c", None)], [("a", 20), ("a", 5300), ("a", 9001)], []]
+    window = running.window_partial(F.window("at", "1 hour"), "at", ["user"], [F.count(F.lit(1)).alias("total")])
+    for stream_ in arrivals(spark, folder, batches):
+        running.follow(stream_, window, delay="10 minutes", path=path, checkpoint=str(tmp_path / "ck")).awaitTermination()
+    read = lambda late: sorted((r.user, round((r.window_start - START).total_seconds()), r.total) for r in running.window_totals(running.stored(spark, path, late), ["user"]).collect())
+    # before the second batch the watermark is 4000 - 600: nothing is late; before the third it is 9000 - 600
+    assert read(False) == [("a", 0, 2), ("a", 3600, 1), ("a", 7200, 1), ("b", 7200, 1)]
+    assert read(True) == [("a", 0, 1), ("a", 3600, 1)]
+    # a batch that is replayed judges and counts as before
+    before = sorted(map(str, running.stored(spark, path).collect()))
+    offsets = sorted((tmp_path / "ck" / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
+    for file in (offsets[-1], offsets[-1].with_name(f".{offsets[-1].name}.crc")):
+        file.unlink()
+    again = spark.readStream.schema("user string, at timestamp").parquet(folder)
+    running.follow(again, window, delay="10 minutes", path=path, checkpoint=str(tmp_path / "ck")).awaitTermination()
+    assert sorted(map(str, running.stored(spark, path).collect())) == before
+
+
+def test_batches_of_a_stream_isolate_rules(spark, feed, tmp_path):
+    df, path = feed
+    refs = {"r": Reference(spark.createDataFrame([(2,), (3,)], "v int"))}
+    rules = [
+        *RULES,
+        Rule("c", "referential_integrity", "value", {"ref_table": "r", "ref_column": "v"}),
+        Rule("bad", "custom_sql", "kind", {"sql_expression": "cast(kind as int) > 0"}, enforcement="hard"),
+    ]
+    sinks = {n: validate.batch_folder(str(tmp_path / n)) for n in ("clean", "quarantine", "log", "score", "validated")}
+    source = stream(spark, path)
+    running.judge_batches(source, rules, Run("s", "d", "2026-02-01 00:00:00"), sinks, str(tmp_path / "ck"), refs).awaitTermination()
+    read = lambda n: spark.read.parquet(str(tmp_path / n))
+    want = run_rules(df, rules[:3], Run("r", "d"), refs)
+    assert read("clean").count() == want.clean.count() and read("quarantine").count() == want.quarantine.count()
+    log = defaultdict(list)
+    for r in read("log").collect():
+        log[r.rule_id].append(r)
+    batches = len(log["a"])
+    assert batches > 1 and all(r.status == "error" and r.passed_count == 0 for r in log["bad"]) and len(log["bad"]) == batches
+    assert sum(r.passed_count for r in log["c"]) == df.where("value IN (2, 3)").count()
+    assert read("score").agg(F.sum("total_records_in")).first()[0] == 40
+    with pytest.raises(RuleError):
+        running.judge_batches(source, [Rule("u", "uniqueness", "id")], Run("s", "d"), sinks, str(tmp_path / "no"))
+
+
+def test_window_metrics_tell_rules_that_cannot_be_evaluated(spark, feed):
+    df, _ = feed
+    rules = [RULES[0], Rule("bad", "custom_sql", "kind", {"sql_expression": "if(kind = 'y', cast(kind as int), value) > 3"})]
+    found = validate.window_metrics(df, rules, time="at", delay="1 hour", window=F.window("at", "1 hour"), by=["kind"]).collect()
+    assert {(r.rule_id, r.kind, r.passed is None, r.errors > 0) for r in found} == {("a", "x", False, False), ("a", "y", False, False), ("bad", "x", False, False), ("bad", "y", True, True)}
+    assert all((r.clean is None) == (r.kind == "y") for r in found)
