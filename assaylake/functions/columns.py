@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -99,6 +99,17 @@ def stable_id(*parts: Column | str) -> Column:
     return F.sha2(F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in cols]), 256)
 
 
+#: What identifies a record: a column, or several.
+Key = str | Sequence[str]
+
+
+def record_key(key: Key) -> Column:
+    """The key of a record as text: one column as it is, several as JSON with their names, NULLs included."""
+    if isinstance(key, str):
+        return F.col(f"`{key}`").cast("string")
+    return F.to_json(F.struct(*[F.col(f"`{k}`") for k in key]), {"ignoreNullFields": "false"})
+
+
 def health(score: Column, names: tuple[str, str, str]) -> Column:
     """Three-step traffic light: at least 95, at least 80, below."""
     return F.when(score >= 95, names[0]).when(score >= 80, names[1]).otherwise(names[2])

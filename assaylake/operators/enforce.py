@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.functions.columns import constant, instant, masked, picked, stable_id
+from assaylake.functions.columns import Key, constant, instant, masked, picked, record_key, stable_id
 from assaylake.model import Rule
 from assaylake.plans.metrics import Run
 from assaylake.plans.verdicts import Verdicts
@@ -59,21 +59,20 @@ def silver(v: Verdicts, run: Run, score: Column | float) -> DataFrame:
 def quarantine_log(
     v: Verdicts,
     run: Run,
-    record_key: str,
+    record: Key,
     mask: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """One entry per failing (row, rule), hard and soft, with the record as JSON.
+    """One entry per failing (row, rule), hard and soft, with the record as JSON and its key, of one column or several.
 
     All rules are unfolded at once, so the plan does not grow a union branch per rule. ``mask`` hides personal
     columns (see :func:`assaylake.functions.columns.masked`) before they enter the payload.
     """
     hidden = mask or {}
-    record = [
+    columns = [
         masked(F.col(f"`{c}`"), hidden[c]).alias(c) if c in hidden else F.col(f"`{c}`") for c in v.source
     ]
-    key = F.col(f"`{record_key}`").cast("string")
     # Filter before the payload is built: JSON is written for failing rows only.
-    flagged = v.frame.select(*record, key.alias("__key"), v.flags(failed=True).alias("__failed"))
+    flagged = v.frame.select(*columns, record_key(record).alias("__key"), v.flags(failed=True).alias("__failed"))
     failing = flagged.where(F.exists("__failed", lambda f: f))
     entries = picked(constant([_entry(r) for r in v.rules], _ENTRY_TYPE), F.col("__failed"))
     # The payload also enters the id, so that rows that share a record key keep entries of their own.

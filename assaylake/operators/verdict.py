@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.functions.columns import constant, instant, picked
+from assaylake.functions.columns import Key, constant, instant, picked, record_key
 from assaylake.model import Rule
 from assaylake.plans.verdicts import Verdicts
 
@@ -108,8 +108,8 @@ def flatten(df: DataFrame) -> DataFrame:
     return df.select(*others, *[F.col(f"_dq.{f}").alias(f"_dq_{f}") for f in _FLAT])
 
 
-def detail(df: DataFrame, dataset: str, primary_key: str, failures_only: bool = False) -> DataFrame:
-    """One row per (row, rule) from ``_dq.results``.
+def detail(df: DataFrame, dataset: str, primary_key: Key, failures_only: bool = False) -> DataFrame:
+    """One row per (row, rule) from ``_dq.results``; ``primary_key`` is a column or several.
 
     This is rows x rules; summaries never need it. ``failures_only`` filters inside the array, before rows are
     multiplied.
@@ -120,7 +120,7 @@ def detail(df: DataFrame, dataset: str, primary_key: str, failures_only: bool =
     source = F.col("_lineage.source.file_name") if "_lineage" in df.columns else F.lit(None).cast("string")
     rows = df.select(
         F.lit(dataset).alias("dataset_name"),
-        F.col(f"`{primary_key}`").cast("string").alias("primary_key_value"),
+        record_key(primary_key).alias("primary_key_value"),
         F.explode(results).alias("rule"),
         F.col("_dq.row_score").alias("row_score"),
         F.col("_dq.all_passed").alias("all_passed"),
@@ -144,11 +144,11 @@ def detail(df: DataFrame, dataset: str, primary_key: str, failures_only: bool =
     )
 
 
-def detail_flat(df: DataFrame, rules: list[Rule], dataset: str, primary_key: str) -> DataFrame:
+def detail_flat(df: DataFrame, rules: list[Rule], dataset: str, primary_key: Key) -> DataFrame:
     """The same long form from flat ``_dq_<rule_id>`` columns, keyed by the primary key."""
     results = _results(rules, F.array(*[F.col(flag_name(r.rule_id)) for r in rules]), "all")
     packed = df.select(
-        F.col(f"`{primary_key}`"),
+        *[F.col(f"`{k}`") for k in ([primary_key] if isinstance(primary_key, str) else primary_key)],
         F.struct(
             results.alias("results"),
             F.col("_dq_row_score").alias("row_score"),

@@ -10,6 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, Observation
 
+from assaylake.functions.columns import Key
 from assaylake.model import Check, Rule
 from assaylake.operators import enforce, lineage, verdict
 from assaylake.plans.compile import References, compile_rules, in_error
@@ -64,8 +65,8 @@ class Result:
         """The same with a measured duration, which the log then shows."""
         return replace(self, run=replace(self.run, duration_ms=duration_ms))
 
-    def entries(self, record_key: str, mask: Mapping[str, str] | None = None) -> DataFrame:
-        return enforce.quarantine_log(self.verdicts, self.run, record_key, mask)
+    def entries(self, record: Key, mask: Mapping[str, str] | None = None) -> DataFrame:
+        return enforce.quarantine_log(self.verdicts, self.run, record, mask)
 
 
 def run_rules(
@@ -119,7 +120,7 @@ class Dataset:
 
     dataset_id: str
     name: str
-    primary_key: str
+    primary_key: Key
     frame: DataFrame | None
     rules: tuple[Rule, ...]
     refs: References

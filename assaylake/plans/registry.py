@@ -63,7 +63,7 @@ def iter_datasets(
                     refs[rule.rule_id] = Reference(frame, column)
         frame = _open(read, row["source_table"])
         problem = "" if frame is not None else f"table '{row['source_table']}' cannot be opened"
-        yield Dataset(row["dataset_id"], row["dataset_name"], row["primary_key"], frame, mapped, refs, problem)
+        yield Dataset(row["dataset_id"], row["dataset_name"], _key(row["primary_key"]), frame, mapped, refs, problem)
 
 
 def datasets_from_registry(*registry, **options) -> list[Dataset]:
@@ -71,6 +71,12 @@ def datasets_from_registry(*registry, **options) -> list[Dataset]:
     return list(iter_datasets(*registry, **options))
 
 
+def _key(text: str) -> str | tuple[str, ...]:
+    """The primary key that a registry names: a column, or several with commas between them."""
+    names = tuple(k.strip() for k in text.split(","))
+    return names if len(names) > 1 else names[0]
+
+
 def _open(read: Reader, table: str | None) -> DataFrame | None:
     try:
         return read(table) if table else None

@@ -379,7 +379,7 @@ ORACLES["silver_customer"] = sql(
 def _detail(n: str) -> str:
     s = SUITES[n]
     return " UNION ALL ".join(
-        f"SELECT '{n}' AS dataset_name, CAST({s.primary_key} AS VARCHAR) AS primary_key_value, '{e[0]}' AS rule_id, '{e[2]}' AS rule_type, "
+        f"SELECT '{n}' AS dataset_name, {s.key_sql()} AS primary_key_value, '{e[0]}' AS rule_id, '{e[2]}' AS rule_type, "
         f"'{e[3]}' AS target_column, '{e[5]}' AS severity, '{e[6]}' AS enforcement, v{i} AS passed, {row_score(s)} AS row_score, "
         f"{all_pass(s)} AS all_passed FROM v_{n}"
         for i, e in enumerate(s.able())
@@ -694,6 +694,19 @@ ORACLES["quarantine_reprocess"] = sql(
         for i, e in enumerate(_s.able())
     ),
 )
+_l = SUITES["lineitem"]
+ORACLES["quarantine_keys_lineitem"] = sql(
+    _verdict_ctes(("lineitem",)),
+    " UNION ALL ".join(f"SELECT {_l.key_sql()} AS record_key, '{e[0]}' AS rule_id, {_reason(e)} AS quarantine_reason FROM v_lineitem WHERE NOT v{i}" for i, e in enumerate(_l.able())),
+)
+ORACLES["quarantine_released"] = """
+WITH held AS (SELECT * FROM orders WHERE o_orderkey % 2 = 1),
+e AS (SELECT * FROM held WHERE o_custkey IN (SELECT o_custkey FROM held WHERE o_custkey IS NOT NULL GROUP BY 1 HAVING count(*) > 1)),
+k AS (SELECT o_custkey, o_orderpriority, count(*) AS n FROM (SELECT o_custkey, o_orderpriority FROM e
+ UNION ALL SELECT o_custkey, o_orderpriority FROM orders WHERE o_orderkey % 2 = 0) GROUP BY ALL)
+SELECT '{"o_orderkey":' || e.o_orderkey || ',"o_custkey":' || e.o_custkey || '}' AS record_key,
+ CASE WHEN e.o_orderpriority IS NULL OR n = 1 THEN 'reprocessed' ELSE 'open' END AS resolution
+FROM e LEFT JOIN k ON k.o_custkey = e.o_custkey AND k.o_orderpriority IS NOT DISTINCT FROM e.o_orderpriority"""
 ORACLES["quarantine_retention"] = sql(
     _verdict_ctes(("orders",)),
     "SELECT rule_id, count(*) AS kept FROM ("

@@ -371,7 +371,7 @@ def detail_all(spark, sf):
 
 @query
 def detail_failures_lineitem(spark, sf):
-    d = verdict.detail(_compact(spark, sf, "lineitem"), "lineitem", "l_orderkey", failures_only=True)
+    d = verdict.detail(_compact(spark, sf, "lineitem"), "lineitem", SUITES["lineitem"].primary_key, failures_only=True)
     return d.select("primary_key_value", "rule_id", "row_score")
 
 
@@ -790,6 +790,25 @@ def quarantine_reprocess(spark, sf):
     return done.select("rule_id", "record_key", F.coalesce("resolution_action", F.lit("open")).alias("resolution"))
 
 
+@query
+def quarantine_keys_lineitem(spark, sf):
+    """Quarantine log of line items, whose records are named by two columns."""
+    entries = _result(spark, sf, "lineitem").entries(SUITES["lineitem"].primary_key)
+    return entries.select("record_key", "rule_id", "quarantine_reason")
+
+
+@query
+def quarantine_released(spark, sf):
+    """Duplicate customers among odd orders, judged again by customer and priority, among the open entries and the even
+    orders that they would return to."""
+    orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    strict = Rule("DQR-230001", "uniqueness", "o_custkey", {}, "error", "hard")
+    relaxed = Rule("DQR-230001", "uniqueness", "o_custkey", {"columns": ["o_custkey", "o_orderpriority"]})
+    entries = run_rules(orders.where("o_orderkey % 2 = 1"), [strict], _run("orders")).entries(("o_orderkey", "o_custkey"))
+    done = governance.reprocess(entries, orders.schema, [relaxed], as_of=SUITES["orders"].as_of, clean=orders.where("o_orderkey % 2 = 0"))
+    return done.select("record_key", F.coalesce("resolution_action", F.lit("open")).alias("resolution"))
+
+
 @query
 def quarantine_retention(spark, sf):
     """Entries dated by their order, kept for three years."""

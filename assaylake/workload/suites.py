@@ -25,7 +25,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @dataclass(frozen=True)
 class Suite:
     name: str
-    primary_key: str
+    primary_key: str | tuple[str, ...]
     # Columns the view adds or replaces: name -> (Spark SQL expression, same in DuckDB).
     view: dict[str, tuple[str, str]]
     # (rule id, name, type, column, params, severity, mode, SQL condition)
@@ -61,6 +61,12 @@ class Suite:
         star = f"* EXCLUDE ({', '.join(replaced)})" if replaced else "*"
         return f"SELECT {star}, {items} FROM {self.name}"
 
+    def key_sql(self) -> str:
+        """The record key as text; all keys of several columns are numbers that are never NULL."""
+        if isinstance(self.primary_key, str):
+            return f"CAST({self.primary_key} AS VARCHAR)"
+        return "'{' || " + " || ',' || ".join(f"'\"{k}\":' || {k}" for k in self.primary_key) + " || '}'"
+
     def able(self) -> list[tuple]:
         return [e for e in self.entries if e[7] is not None]
 
@@ -127,7 +133,7 @@ ORDERS = Suite(
 
 LINEITEM = Suite(
     "lineitem",
-    "l_orderkey",
+    ("l_orderkey", "l_linenumber"),
     {},
     (
         ("DQR-300001", "Unique line", "uniqueness", "l_orderkey", {"columns": ["l_orderkey", "l_linenumber"]}, "error", "hard",
@@ -213,7 +219,7 @@ DOCUMENTS = Suite(
 
 CONVERSATIONS = Suite(
     "conversations",
-    "conv_id",
+    ("conv_id", "turn"),
     {},
     (
         ("DQR-700001", "Known role", "allowed_values", "role", {"values": ["user", "assistant"]}, "error", "hard",

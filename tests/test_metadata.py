@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assaylake import Dataset, Rule, Run, process_all, publish, run_registry, run_rules
-from assaylake.operators import datagen, enforce, feedback, gold, governance, lineage, profile, reports, rulebook
+from assaylake.operators import datagen, enforce, feedback, gold, governance, lineage, profile, reports, rulebook, summary, verdict
 from assaylake.plans.registry import PARALLEL_DATASETS
 from assaylake.sources import rules as sources
 from assaylake.sources import tables as io
@@ -405,3 +405,36 @@ def test_a_registry_run_takes_datasets_as_it_goes(spark, tmp_path):
     run = run_registry(datasets(), "r", write)
     assert set(run.results) == {"d0", "d1", "d2", "d4", "d5", "d6"} and run.problems == {"d3": "no table"}
     assert max(asked) <= PARALLEL_DATASETS + 1 and run.scores.count() == 6
+
+
+def test_record_keys_of_several_columns(spark):
+    """The key goes through detail, quarantine log, reprocessing and resolution; NULLs stay in it."""
+    df = spark.createDataFrame([(1, "a", 5), (1, None, 50), (2, "b", 500)], "x int, y string, n int")
+    rule = Rule("low", "range", "n", {"max": 9}, enforcement="hard")
+    result = run_rules(df, [rule], Run("r", "d", fx.AS_OF))
+    keys = ['{"x":1,"y":null}', '{"x":2,"y":"b"}']
+    entries = result.entries(("x", "y"))
+    assert sorted(r.record_key for r in entries.collect()) == keys
+    held = verdict.detail(result.validated, "d", ("x", "y"), failures_only=True)
+    assert sorted(r.primary_key_value for r in held.collect()) == keys
+    flat = verdict.detail_flat(verdict.annotate(result.verdicts), [rule], "d", ("x", "y"))
+    assert sorted(r.primary_key_value for r in flat.where("NOT passed").collect()) == keys
+    done = governance.reprocess(entries, df.schema, [replace(rule, params={"max": 99})])
+    assert {r.record_key: r.resolution_action for r in done.collect()} == {keys[0]: "reprocessed", keys[1]: None}
+    decisions = entries.select("quarantine_id", F.when(F.col("record_key") == keys[1], "deleted").otherwise("unknown").alias("action"))
+    assert {r.record_key: r.resolution_action for r in governance.resolve_entries(entries, decisions).collect()} == {keys[0]: None, keys[1]: "deleted"}
+    by_dataset, _ = summary.summaries_from_detail(verdict.detail(result.validated, "d", ("x", "y")))
+    assert by_dataset.first().total_records == 3
+
+
+def test_registries_name_keys_of_several_columns(spark):
+    registry = spark.createDataFrame(
+        [("D1", "one", "t", "id", None, True), ("D2", "two", "t", " a, b ", None, True)],
+        "dataset_id string, dataset_name string, source_table string, primary_key string, ref_tables string, is_active boolean",
+    )
+    from assaylake import datasets_from_registry
+    from assaylake.schemas import MAPPINGS_BY_ID, RULES
+
+    none, rules = (spark.createDataFrame([], schema) for schema in (MAPPINGS_BY_ID, RULES))
+    found = datasets_from_registry(registry, none, rules, lambda name: spark.range(1), fx.AS_OF, check_dates=False)
+    assert [d.primary_key for d in found] == ["id", ("a", "b")]
