@@ -45,13 +45,18 @@ def key_counts(df: DataFrame, check: Check) -> DataFrame:
     """One row per key: ``__k*``, ``n`` rows, and whether the key is ``bad``."""
     names = _key_names(check)
     keys = [c.alias(n) for c, n in zip(check.key_columns(), names)]
-    counts = df.select(*keys).groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+    return bad_key(df.select(*keys).groupBy(*names).agg(F.count(F.lit(1)).alias("n")), check)
+
+
+def bad_key(counts: DataFrame, check: Check) -> DataFrame:
+    """``counts`` (``__k*``, ``n`` and others) with the verdict of every key, ``bad``."""
+    names, others = _key_names(check), [c for c in counts.columns if c not in _key_names(check)]
     null_key = _null_key([F.col(n) for n in names])
     if check.kind == "unique":
         bad = F.col("n") > 1
         if not check.null_equal:
             bad = bad & ~null_key
-        return counts.select(*names, "n", bad.alias("bad"))
+        return counts.select(*names, *others, bad.alias("bad"))
 
     ref = check.reference.where(F.col("ref_key").isNotNull())
     left, right = counts.schema[names[0]].dataType, ref.schema["ref_key"].dataType
@@ -62,7 +67,7 @@ def key_counts(df: DataFrame, check: Check) -> DataFrame:
         match_key = F.col(names[0])
     found = ref.distinct().withColumn("__found", F.lit(True))
     joined = counts.join(found, match_key == F.col("ref_key"), "left")
-    return joined.select(*names, "n", F.col("__found").isNull().alias("bad"))
+    return joined.select(*names, *others, F.col("__found").isNull().alias("bad"))
 
 
 def key_metrics(df: DataFrame, check: Check) -> DataFrame:

@@ -865,3 +865,4 @@ _KEPT = "SELECT 'DQR-' || lpad(CAST(p_partkey AS VARCHAR), greatest(6, length(CA
 ORACLES["rule_documents"] = f"""
 {_KEPT}, 'json' AS source, CAST(NULL AS VARCHAR) AS params FROM part WHERE p_partkey % 2 = 0 AND p_size > 25
 UNION ALL {_KEPT}, 'table', '{{}}' FROM part WHERE p_partkey % 2 = 0 AND p_size > 25"""
+ORACLES["incremental_lineitem"] = ORACLES["rule_summary_lineitem"]

@@ -26,6 +26,7 @@ from assaylake.operators import (
     trend,
     verdict,
 )
+from assaylake.plans import incremental
 from assaylake.plans.compile import compile_rules, expectations
 from assaylake.plans.engine import Dataset, Result, log_only, publish, run_rules
 from assaylake.plans.metrics import Run, execution_log, rule_counts
@@ -1089,6 +1090,16 @@ def stream_first_seen(spark, sf):
 # --- runs, errors and sinks ---------------------------------------------------------------------------------
 
 
+@query
+def incremental_lineitem(spark, sf):
+    """Three batches of line items, each judged without the rows of the others: the summary of all."""
+    suite, state = SUITES["lineitem"], fresh_path(spark, "incremental")
+    d = suite.dataset(spark, sf)
+    for batch in range(3):
+        incremental.add_batch(d.frame.where(F.pmod("l_partkey", F.lit(3)) == batch), d.rules, state, batch, d.refs, suite.as_of)
+    return summary.rule_summary(incremental.counts_so_far(spark, d.rules, state), "lineitem")
+
+
 @query
 def registry_run(spark, sf):
     """All suites through the registry loop: validated tables, logs and scores stored, durations measured."""
