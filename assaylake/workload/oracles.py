@@ -866,3 +866,15 @@ ORACLES["rule_documents"] = f"""
 {_KEPT}, 'json' AS source, CAST(NULL AS VARCHAR) AS params FROM part WHERE p_partkey % 2 = 0 AND p_size > 25
 UNION ALL {_KEPT}, 'table', '{{}}' FROM part WHERE p_partkey % 2 = 0 AND p_size > 25"""
 ORACLES["incremental_lineitem"] = ORACLES["rule_summary_lineitem"]
+_VERSIONS = """v(rule_id, version, valid_from, valid_to) AS (VALUES ('DQR-240001', 1, TIMESTAMP '0001-01-01', CAST(NULL AS TIMESTAMP)),
+ ('DQR-240001', 2, TIMESTAMP '1996-01-01', TIMESTAMP '1999-07-01'), ('DQR-240001', 3, TIMESTAMP '1999-07-01', NULL),
+ ('DQR-240002', 1, TIMESTAMP '1995-01-01', TIMESTAMP '1997-01-01'), ('DQR-240002', 2, TIMESTAMP '1998-01-01', TIMESTAMP '2001-01-01')),
+r AS (SELECT DISTINCT rule_id FROM v), o AS (SELECT * FROM orders, r),
+j AS (SELECT o.*, v.version, coalesce(CASE o.rule_id || v.version WHEN 'DQR-2400011' THEN o_totalprice >= 1000
+ WHEN 'DQR-2400012' THEN o_totalprice BETWEEN 20000 AND 300000 WHEN 'DQR-2400013' THEN o_totalprice <= 400000
+ WHEN 'DQR-2400021' THEN o_orderstatus = 'F' ELSE o_orderstatus IN ('F', 'O') END, FALSE) AS passed
+ FROM o ASOF JOIN v ON o.rule_id = v.rule_id AND CAST(o.o_orderdate AS TIMESTAMP) >= v.valid_from
+ WHERE v.valid_to IS NULL OR CAST(o.o_orderdate AS TIMESTAMP) < v.valid_to)"""
+ORACLES["rule_versions_orders"] = f"WITH {_VERSIONS} SELECT o_orderkey, rule_id, version, passed FROM j"
+ORACLES["rule_version_counts"] = f"""WITH {_VERSIONS}, c AS (SELECT rule_id, version, count(*) AS n, count(*) FILTER (WHERE passed) AS p FROM j GROUP BY ALL)
+SELECT v.rule_id, v.version, coalesce(n, 0) AS total_records, coalesce(p, 0) AS passed_count FROM v LEFT JOIN c ON c.rule_id = v.rule_id AND c.version = v.version"""

@@ -32,6 +32,7 @@ from assaylake.plans.engine import Dataset, Result, log_only, publish, run_rules
 from assaylake.plans.metrics import Run, execution_log, rule_counts
 from assaylake.plans.registry import run_registry
 from assaylake.plans.verdicts import evaluate
+from assaylake.plans.versions import RuleVersion, annotate_versions, version_counts
 from assaylake.session import fresh_path, settle
 from assaylake.sources import tables
 from assaylake.sources.rules import read_rules, read_rules_table, registry_references
@@ -1100,6 +1101,29 @@ def incremental_lineitem(spark, sf):
     return summary.rule_summary(incremental.counts_so_far(spark, d.rules, state), "lineitem")
 
 
+# Two rules of orders as they were over the years; the status rule ended in 2001, and has not been in force before 1995.
+ORDER_VERSIONS = [
+    RuleVersion(Rule("DQR-240001", "range", "o_totalprice", {"min": 1000}), 1),
+    RuleVersion(Rule("DQR-240001", "range", "o_totalprice", {"min": 20000, "max": 300000}), 2, "1996-01-01", "1999-07-01"),
+    RuleVersion(Rule("DQR-240001", "range", "o_totalprice", {"max": 400000}), 3, "1999-07-01"),
+    RuleVersion(Rule("DQR-240002", "allowed_values", "o_orderstatus", {"values": ["F"]}), 1, "1995-01-01", "1997-01-01"),
+    RuleVersion(Rule("DQR-240002", "allowed_values", "o_orderstatus", {"values": ["F", "O"]}), 2, "1998-01-01", "2001-01-01"),
+]
+
+
+@query
+def rule_versions_orders(spark, sf):
+    """Every order judged by the versions in force on its date."""
+    rows = annotate_versions(load(spark, sf, "orders"), ORDER_VERSIONS, "o_orderdate")
+    return rows.select("o_orderkey", F.inline("_dq_versions"))
+
+
+@query
+def rule_version_counts(spark, sf):
+    counts = version_counts(load(spark, sf, "orders"), ORDER_VERSIONS, "o_orderdate")
+    return counts.select("rule_id", "version", "total_records", "passed_count")
+
+
 @query
 def registry_run(spark, sf):
     """All suites through the registry loop: validated tables, logs and scores stored, durations measured."""

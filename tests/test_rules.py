@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import assaylake
-from assaylake import Reference, Rule, Run, compile_rules, register_rule_type, run_rules
+from assaylake import Reference, Rule, RuleError, Run, compile_rules, register_rule_type, run_rules
 from assaylake.plans import keyed
 from assaylake.plans.compile import expectations
 from assaylake.plans.metrics import execution_log, rule_counts
@@ -396,3 +396,39 @@ def test_many_rules_in_one_plan(spark):
     assert total.total_rules == 300 and total.total_records_in == 500
     row = result.validated.first()["_dq"]
     assert row["passed_count"] + row["failed_count"] == len(row["results"]) == 300
+
+
+def test_rows_are_judged_by_the_version_of_their_time(spark):
+    from assaylake.plans.versions import RuleVersion, annotate_versions, version_counts, versions_from
+
+    rows = [(k, None if k == 12 else f"2026-01-{k + 1:02d}", k * 10, "x" if k == 4 else str(k)) for k in range(13)]
+    df = spark.createDataFrame(rows, "id int, day string, n int, s string").withColumn("day", F.col("day").cast("date"))
+    rule = lambda high: Rule("a", "range", "n", {"max": high})
+    history = [
+        RuleVersion(rule(1000), 3, "2026-01-09"),
+        RuleVersion(rule(15), 1, None, "2026-01-04"),  # over on the 4th, its successor begins on the 6th
+        RuleVersion(rule(65), 2, "2026-01-06", "2026-02-01"),
+        RuleVersion(Rule("b", "custom_sql", "s", {"sql_expression": "cast(s as int) > 6"}), 1, "2026-01-07"),
+        RuleVersion(Rule("c", "custom_sql", "s", {"sql_expression": "cast(s as int) > 6"}), 1, "2026-01-03"),
+        RuleVersion(Rule("d", "not_null", "nowhere"), 1),
+    ]
+
+    def version(k):
+        return 1 if k < 3 else None if k < 5 else 2 if k < 8 else 3
+
+    high = {1: 15, 2: 65, 3: 1000}
+    want = {k: [("a", version(k), k * 10 <= high[version(k)])] if k < 12 and version(k) else [] for k in range(13)}
+    for k in range(12):
+        want[k] += [("b", 1, k > 6)] if k >= 6 else []
+        want[k] += [("c", 1, k > 6)] if k >= 2 and k != 4 else []
+    got = {r.id: [tuple(v) for v in r["_dq_versions"]] for r in annotate_versions(df, history, "day").collect()}
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+    counts = {(r.rule_id, r.version): (r.total_records, r.passed_count, r.error_message) for r in version_counts(df, history, "day").collect()}
+    assert counts["a", 1] == (3, 2, None) and counts["a", 2] == (3, 2, None) and counts["a", 3] == (4, 4, None)
+    # a version is in error if it cannot be evaluated on a row of its own time
+    assert counts["b", 1] == (6, 5, None) and counts["c", 1] == (0, 0, "cannot be evaluated on 1 rows")
+    assert counts["d", 1][:2] == (0, 0) and counts["d", 1][2]
+    loaded = versions_from([{"rule_id": "a", "rule_type": "range", "target_column": "n", "params": '{"max": 15}', "version": 1, "valid_from": None, "valid_to": "2026-01-04"}])
+    assert loaded[0].rule.params == {"max": 15} and version_counts(df, loaded, "day").first().total_records == 3
+    with pytest.raises(RuleError):
+        version_counts(df, [RuleVersion(Rule("u", "uniqueness", "id"), 1)], "day")
