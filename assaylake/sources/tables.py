@@ -18,6 +18,46 @@ def read_csv(spark: SparkSession, path: str, schema: Schema | None = None) -> Da
     return reader.csv(path)
 
 
+# Columns of a landed CSV beside its own: the text of a record that does not fit the schema, and its file.
+BROKEN, FILE = "_corrupt_record", "_source_file"
+
+
+def landing_csv(spark: SparkSession, path: str, schema: T.StructType, stream: bool = False, header: bool = True) -> DataFrame:
+    """CSV files as a batch or a stream of files: all columns, and the text of records that do not fit. Store it
+    (:func:`land`, or a stream's sink) before it is split: what Spark finds broken depends on the columns that are read."""
+    reader = (spark.readStream if stream else spark.read).option("header", header).option("mode", "PERMISSIVE")
+    whole = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
+    return reader.option("columnNameOfCorruptRecord", BROKEN).schema(whole).csv(path).select("*", F.col("_metadata.file_path").alias(FILE))
+
+
+def land(spark: SparkSession, path: str, schema: T.StructType, into: str, header: bool = True) -> DataFrame:
+    """Read CSV files once and store them, broken records included."""
+    return write_overwrite(landing_csv(spark, path, schema, header=header), into)
+
+
+def fitting(landed: DataFrame) -> DataFrame:
+    """The records that fit the schema."""
+    return landed.where(F.col(BROKEN).isNull()).drop(BROKEN, FILE)
+
+
+def rescued(landed: DataFrame) -> DataFrame:
+    """The records that do not: ``record`` (their text), ``source_file`` and ``reason``: the fields that are not of their
+    column's type, else the number of fields."""
+    own = [f for f in landed.schema if f.name not in (BROKEN, FILE)]
+    plain = T.StructType([T.StructField(f.name, T.StringType()) for f in own])
+    fields = F.from_csv(F.col(BROKEN), plain.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "))
+    wrong = []
+    for f in own:
+        value = F.col(f"__f.`{f.name}`")
+        kind = f.dataType.simpleString()
+        misfit = value.isNotNull() & (value != "") & value.try_cast(f.dataType).isNull()
+        wrong.append(F.when(misfit, F.concat(F.lit(f"{f.name} is not {kind}: "), value)))
+    reason = F.concat_ws("; ", *wrong)
+    rows = landed.where(F.col(BROKEN).isNotNull()).withColumn("__f", fields)
+    named = F.when(reason == "", F.lit(f"not {len(own)} fields")).otherwise(reason)
+    return rows.select(F.col(BROKEN).alias("record"), F.col(FILE).alias("source_file"), named.alias("reason"))
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -878,3 +878,10 @@ j AS (SELECT o.*, v.version, coalesce(CASE o.rule_id || v.version WHEN 'DQR-2400
 ORACLES["rule_versions_orders"] = f"WITH {_VERSIONS} SELECT o_orderkey, rule_id, version, passed FROM j"
 ORACLES["rule_version_counts"] = f"""WITH {_VERSIONS}, c AS (SELECT rule_id, version, count(*) AS n, count(*) FILTER (WHERE passed) AS p FROM j GROUP BY ALL)
 SELECT v.rule_id, v.version, coalesce(n, 0) AS total_records, coalesce(p, 0) AS passed_count FROM v LEFT JOIN c ON c.rule_id = v.rule_id AND c.version = v.version"""
+_FITS = "o_orderkey % 10 NOT IN (3, 7)"
+ORACLES["csv_rescued_orders"] = ORACLES["csv_rescued_stream"] = f"""
+SELECT 'bronze' AS went, o_orderkey, o_totalprice, CAST(NULL AS VARCHAR) AS record, CAST(NULL AS VARCHAR) AS reason FROM orders WHERE {_FITS}
+UNION ALL SELECT 'quarantine', NULL, NULL, CASE WHEN o_orderkey % 10 = 3
+ THEN o_orderkey || ',' || coalesce(CAST(o_custkey AS VARCHAR), '') || ',' || coalesce(o_orderstatus, '') || ',twelve,' || coalesce(o_orderpriority, '')
+ ELSE o_orderkey || ',' || coalesce(CAST(o_custkey AS VARCHAR), '') END,
+ CASE WHEN o_orderkey % 10 = 3 THEN 'o_totalprice is not double: twelve' ELSE 'not 5 fields' END FROM orders WHERE NOT ({_FITS})"""

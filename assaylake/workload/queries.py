@@ -9,6 +9,7 @@ from typing import TypeVar
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assaylake import schemas
 from assaylake.functions.columns import masked
@@ -41,7 +42,7 @@ from assaylake.workload import rulebase
 from assaylake.workload.suites import SUITES, load
 
 Query = Callable[[SparkSession, str], DataFrame]
-T = TypeVar("T")
+Out = TypeVar("Out")
 QUERIES: dict[str, Query] = {}
 
 RUN_ID = "run-1"
@@ -62,7 +63,7 @@ def _result(spark: SparkSession, sf: str, name: str, mode: str = "row") -> Resul
     return run_rules(d.frame, d.rules, _run(name), d.refs, mode)
 
 
-def _overlap(spark: SparkSession, work: Callable[[str], T], names: Sequence[str]) -> list[T]:
+def _overlap(spark: SparkSession, work: Callable[[str], Out], names: Sequence[str]) -> list[Out]:
     """The work of several datasets, four at a time: their jobs for key rules and for rules by users overlap."""
     with ThreadPoolExecutor(4) as pool:
         return list(pool.map(inheritable_thread_target(spark)(work), names))
@@ -420,6 +421,46 @@ def csv_source_orders(spark, sf):
     return execution_log(rule_counts(landed, compile_rules(landed, rules, as_of=SUITES["orders"].as_of)), _run("orders")).select(*LOG_COLUMNS)
 
 
+def _broken_lines(spark, sf):
+    """Orders as CSV lines of which some do not fit: a price in words, a line of two fields."""
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")]
+    words = F.concat_ws(",", *text[:3], F.lit("twelve"), text[4])
+    few = F.concat_ws(",", *text[:2])
+    line = F.when(F.col("o_orderkey") % 10 == 3, words).when(F.col("o_orderkey") % 10 == 7, few).otherwise(F.concat_ws(",", *text))
+    path = fresh_path(spark, "broken-lines")
+    load(spark, sf, "orders").select(line.alias("value")).write.text(path)
+    return path
+
+
+_LINE = (
+    T.StructType()
+    .add("o_orderkey", T.LongType())
+    .add("o_custkey", T.LongType())
+    .add("o_orderstatus", T.StringType())
+    .add("o_totalprice", T.DoubleType())
+    .add("o_orderpriority", T.StringType())
+)
+
+
+def _split_lines(landed):
+    good = tables.fitting(landed).select(F.lit("bronze").alias("went"), "o_orderkey", "o_totalprice", F.lit(None).cast("string").alias("record"), F.lit(None).cast("string").alias("reason"))
+    bad = tables.rescued(landed).where(F.col("source_file").contains("broken-lines"))
+    none = F.lit(None)
+    return good.unionByName(bad.select(F.lit("quarantine").alias("went"), none.cast("bigint").alias("o_orderkey"), none.cast("double").alias("o_totalprice"), "record", "reason"))
+
+
+@query
+def csv_rescued_orders(spark, sf):
+    """A landing folder with broken records: the good rows, and the broken ones with the reason."""
+    return _split_lines(tables.land(spark, _broken_lines(spark, sf), _LINE, fresh_path(spark, "landed"), header=False))
+
+
+@query
+def csv_rescued_stream(spark, sf):
+    """The same files as a stream."""
+    return _split_lines(_finished(spark, tables.landing_csv(spark, _broken_lines(spark, sf), _LINE, stream=True, header=False), "landed-stream"))
+
+
 @query
 def lineage_orders(spark, sf):
     at = SUITES["orders"].as_of

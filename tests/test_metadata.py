@@ -438,3 +438,24 @@ def test_registries_name_keys_of_several_columns(spark):
     none, rules = (spark.createDataFrame([], schema) for schema in (MAPPINGS_BY_ID, RULES))
     found = datasets_from_registry(registry, none, rules, lambda name: spark.range(1), fx.AS_OF, check_dates=False)
     assert [d.primary_key for d in found] == ["id", ("a", "b")]
+
+
+def test_broken_records_are_kept_apart(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text('id,day,name\n1,2026-01-01,"a, b"\n2,yesterday,c\nx,2026-01-01,\n3\n4,2026-01-02,d,extra\n5,,\n')
+    (folder / "b.csv").write_text("id,day,name\n6,2026-01-03,e\nseven,tomorrow,f\n")
+    schema = T.StructType().add("id", T.IntegerType()).add("day", T.DateType()).add("name", T.StringType())
+    landed = io.land(spark, str(folder), schema, str(tmp_path / "landed"))
+    good = sorted((r.id, str(r.day), r.name) for r in io.fitting(landed).collect())
+    assert good == [(1, "2026-01-01", "a, b"), (5, "None", None), (6, "2026-01-03", "e")] and io.fitting(landed).schema == schema
+    bad = {r.record: (r.source_file.rsplit("/", 1)[1], r.reason) for r in io.rescued(landed).collect()}
+    assert bad == {
+        "2,yesterday,c": ("a.csv", "day is not date: yesterday"),
+        "x,2026-01-01,": ("a.csv", "id is not int: x"),
+        "3": ("a.csv", "not 3 fields"),
+        "4,2026-01-02,d,extra": ("a.csv", "not 3 fields"),
+        "seven,tomorrow,f": ("b.csv", "id is not int: seven; day is not date: tomorrow"),
+    }
