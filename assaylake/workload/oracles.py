@@ -885,3 +885,18 @@ UNION ALL SELECT 'quarantine', NULL, NULL, CASE WHEN o_orderkey % 10 = 3
  THEN o_orderkey || ',' || coalesce(CAST(o_custkey AS VARCHAR), '') || ',' || coalesce(o_orderstatus, '') || ',twelve,' || coalesce(o_orderpriority, '')
  ELSE o_orderkey || ',' || coalesce(CAST(o_custkey AS VARCHAR), '') END,
  CASE WHEN o_orderkey % 10 = 3 THEN 'o_totalprice is not double: twelve' ELSE 'not 5 fields' END FROM orders WHERE NOT ({_FITS})"""
+_FOUR = "(SELECT *, year(o_orderdate) AS year FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1999)"
+_SHOWN = {"o_orderdate": "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')"}
+ORACLES["profile_merged"] = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls, {lo} AS min_value, {hi} AS max_value,
+ CAST(min(length({t})) AS INTEGER) AS min_length, CAST(max(length({t})) AS INTEGER) AS max_length, TRUE AS distinct_ok, TRUE AS median_ok FROM {_FOUR}"""
+    for c in ("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    for t in (_SHOWN.get(c, f"CAST({c} AS VARCHAR)"),)
+    for lo, hi in ((f"min({t})", f"max({t})") if c in _SHOWN else (f"CAST(min({c}) AS VARCHAR)", f"CAST(max({c}) AS VARCHAR)"),)
+)
+ORACLES["frequent_merged"] = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", value, CAST(sum(n) AS BIGINT) AS at_least, TRUE AS bounds_ok FROM (
+ SELECT year, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM {_FOUR} WHERE {c} IS NOT NULL GROUP BY ALL) JOIN (
+ SELECT year, count(*) AS rows FROM {_FOUR} GROUP BY year) USING (year) WHERE n * 1000 > rows GROUP BY value"""
+    for c in ("o_orderstatus", "o_orderpriority", "o_custkey")
+)

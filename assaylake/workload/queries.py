@@ -23,6 +23,7 @@ from assaylake.operators import (
     profile,
     reports,
     rulebook,
+    sketches,
     summary,
     trend,
     verdict,
@@ -920,6 +921,45 @@ def profile_approximate(spark, sf):
     )
 
 
+def _order_sketches(spark, sf):
+    """Sketches of the orders of each year, stored, and those of four years read back."""
+    orders = load(spark, sf, "orders").withColumn("year", F.year("o_orderdate"))
+    columns = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderdate", "o_orderpriority"]
+    some = F.col("part").between(1996, 1999)
+    parts = settle(sketches.sketch_parts(orders, "year", columns), "sketches").where(some)
+    return orders.where("year BETWEEN 1996 AND 1999"), parts, settle(sketches.frequent_parts(orders, "year", columns), "frequent").where(some)
+
+
+@query
+def profile_merged(spark, sf):
+    """Profile of four years from the sketches of each: exact figures, and whether approximate ones keep their bounds."""
+    orders, parts, _ = _order_sketches(spark, sf)
+    found = sketches.merged_profile(parts)
+    exact = profile.exact_distinct(profile.value_counts(orders, [r["column"] for r in found.select("column").collect()]))
+    medians = {r["column"]: r["median"] for r in found.where("quantiles IS NOT NULL").select("column", F.get("quantiles", F.lit(1)).alias("median")).collect()}
+    off = sketches.RANK_ERROR
+    ranks = orders.agg(*[
+        F.struct(F.lit(c).alias("column"), ((F.count_if(F.col(c) < m) / F.count(c) <= 0.5 + off) & (F.count_if(F.col(c) <= m) / F.count(c) >= 0.5 - off)).alias("median_ok")).alias(c)
+        for c, m in medians.items()
+    ])
+    ranks = ranks.select(F.inline(F.array(*medians)))
+    joined = found.join(exact.select("column", "distinct"), "column").join(ranks, "column", "left")
+    return joined.select(
+        "column", "rows", "nulls", "min_value", "max_value", "min_length", "max_length",
+        F.col("distinct").between(F.col("distinct_low"), F.col("distinct_high")).alias("distinct_ok"), F.coalesce("median_ok", F.lit(True)).alias("median_ok"),
+    )
+
+
+@query
+def frequent_merged(spark, sf):
+    """Values that are frequent in some of four years, with bounds that hold their exact counts."""
+    orders, parts, frequent = _order_sketches(spark, sf)
+    found = sketches.merged_frequent(frequent, parts).where("column IN ('o_orderstatus', 'o_orderpriority', 'o_custkey')")
+    counts = profile.value_counts(orders, ["o_orderstatus", "o_orderpriority", "o_custkey"])
+    joined = found.join(counts, ["column", "value"])
+    return joined.select("column", "value", "at_least", F.col("n").between(F.col("at_least"), F.col("at_most")).alias("bounds_ok"))
+
+
 @query
 def top_values(spark, sf):
     return profile.top_values(profile.value_counts(load(spark, sf, "lineitem"), ["l_returnflag", "l_suppkey", "l_quantity"]), 5)
