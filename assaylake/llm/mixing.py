@@ -21,6 +21,8 @@ from assaylake.session import settle
 WEIGHTS, PERCENT, LIMIT = (5, 2, 1), 150, 2
 #: Newton ends when no source is further from its target than this share of it.
 NEAR, ITERATIONS = 1e-9, 100
+#: Times that the words left over by rounding are made up for.
+ROUNDS = 4
 #: The most frequent cells are split into blocks of so many documents; any other cell has at most one row of HOT.
 HOT, BLOCK = 2000, 1024
 EXACT = "decimal(38,9)"
@@ -112,8 +114,9 @@ def copies(cells: DataFrame, limit: int = LIMIT) -> DataFrame:
     """`cells` (source, target, size > 0, n, rate) with `taken`, the copies of all documents of a cell, from 0 to limit * n.
 
     Down the sizes of a source, the running sum of rates is rounded; that leaves the source at most half its largest size
-    from its target. What is left is made up by whole copies of the largest cells that fit, as change is given. A source has
-    as many cells as different sizes, at most its longest text's words, however many documents it has.
+    from its target. What is left is made up by whole copies of the largest cells that fit, as change is given, and ROUNDS - 1
+    times more after a copy that goes beyond it, as long as that comes nearer. A source has as many cells as different sizes,
+    at most its longest text's words, however many documents it has.
     """
     down = Window.partitionBy("source").orderBy(F.desc("size"))
     so_far = F.sum((F.col("n") * F.col("rate")).cast(EXACT)).over(down.rowsBetween(Window.unboundedPreceding, 0))
@@ -130,14 +133,38 @@ def copies(cells: DataFrame, limit: int = LIMIT) -> DataFrame:
         paid = F.struct((left - more * cell["size"]).cast("bigint").alias("left"), noted.alias("given"))
         return F.when(more == 0, state).otherwise(paid)
 
+    def settled(cells: Column, given: Column) -> Column:
+        by_size = F.map_from_entries(given)
+        one = lambda c: F.struct(c["size"].alias("size"), c["n"].alias("n"), (c["taken"] + F.coalesce(F.element_at(by_size, c["size"]), F.lit(0))).alias("taken"))
+        return F.when(F.size(given) == 0, cells).otherwise(F.transform(cells, one))
+
     listed = first.groupBy("source").agg(
         F.sort_array(F.collect_list(F.struct("size", "n", "taken")), asc=False).alias("cells"),
         (F.round(F.first("target")).cast("bigint") - F.sum(F.col("taken") * F.col("size"))).alias("left"),
     )
-    start = F.struct(F.col("left"), F.array().cast("array<struct<size:bigint,more:bigint>>").alias("given"))
-    given = listed.select(F.col("source").alias("of"), F.explode(F.aggregate("cells", start, change)["given"]).alias("g")).select("of", "g.*")
-    fixed = first.join(given.withColumnRenamed("size", "at"), F.col("source").eqNullSafe(F.col("of")) & (F.col("size") == F.col("at")), "left")
-    return fixed.withColumn("taken", F.col("taken") + F.coalesce("more", F.lit(0))).drop("of", "at", "more")
+    none = F.array().cast("array<struct<size:bigint,more:bigint>>")
+    for again in range(ROUNDS):
+        cells, left = F.col("cells"), F.col("left")
+        if again:
+            # what is left is less than any copy that could still go or come: take the smallest one beyond it, then give change
+            room = F.filter("cells", lambda c: (c["size"] > F.abs(left)) & F.when(left > 0, c["taken"] < limit * c["n"]).otherwise(c["taken"] > 0))
+            more = F.when(left > 0, F.lit(1)).otherwise(F.lit(-1)).cast("bigint")
+            beyond = F.get(room, F.size(room) - 1)
+            listed = listed.withColumn("beyond", F.when((left != 0) & (F.size(room) > 0), F.array(F.struct(beyond["size"].alias("size"), more.alias("more")))).otherwise(none))
+            cells = settled(F.col("cells"), F.col("beyond"))
+            left = left - F.coalesce(F.get("beyond", F.lit(0))["size"] * F.get("beyond", F.lit(0))["more"], F.lit(0))
+        tried = listed.withColumns({"try": cells, "rest": left})
+        tried = tried.withColumn("paid", F.aggregate("try", F.struct(F.col("rest").alias("left"), none.alias("given")), change))
+        better = F.abs("paid.left") < F.abs("left")
+        listed = tried.select(
+            "source",
+            F.when(better, settled(F.col("try"), F.col("paid.given"))).otherwise(F.col("cells")).alias("cells"),
+            F.when(better, F.col("paid.left")).otherwise(F.col("left")).alias("left"),
+        )
+        listed = settle(listed, "change")
+    given = listed.select(F.col("source").alias("of"), F.inline("cells")).select("of", F.col("size").alias("at"), F.col("taken").alias("fixed"))
+    fixed = first.join(given, F.col("source").eqNullSafe(F.col("of")) & (F.col("size") == F.col("at")))
+    return fixed.withColumn("taken", F.col("fixed")).drop("of", "at", "fixed")
 
 
 def mix(
