@@ -46,7 +46,7 @@ LIST = 1024
 #: A set's tokens as bits, in words of 64. Each bit in which two sets differ stands for a shingle that only one of them has.
 MASK = 16
 MASKS = [f"mask{k}" for k in range(MASK)]
-STEP_BYTES = 6 << 20
+STEP_BYTES = 1 << 20
 
 
 def _least_overlap(n, m):
@@ -348,24 +348,42 @@ class _Checker:
         return settle(passed.mapInArrow(_verify, both), f"{label}-links")
 
 
+def _roots(up: DataFrame) -> DataFrame:
+    """`up` (id, up) with `up` replaced by where the chain of ups ends, in as many rounds as the longest chain has doublings.
+    Many ids may have one up; adaptive execution splits such joins."""
+    while True:
+        above = up.select(F.col("id").alias("up"), F.col("up").alias("next"))
+        moved = settle(up.join(above, "up").select("id", "up", "next"), "roots")
+        up = moved.select("id", F.col("next").alias("up"))
+        if moved.where("up != next").isEmpty():
+            return up
+
+
 def components(edges: DataFrame) -> DataFrame:
     """id and the smallest id reachable from it (component), of every id in edges (a, b).
 
-    Every round takes the smallest label among neighbours and then that label's own label; it is stored, which cuts the
-    lineage. Rounds grow with the logarithm of the longest path.
+    In every round each id moves to its smallest neighbour, if that is smaller, and on to where that one goes; edges are then
+    drawn between where their ends went, and those within one place are dropped. So the edges get fewer from round to round,
+    and every stored table cuts the lineage. The smallest id of a component never moves, so it is what remains.
     """
-    both = settle(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    least = both.groupBy("a").agg(F.min("b").alias("b"))
-    labels = settle(least.select(F.col("a").alias("id"), F.least("a", "b").alias("label")), "labels")
+    kind = edges.schema["a"].dataType.simpleString()
+    rounds = []
     while True:
-        near = both.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
-        met = labels.join(near, "id").select("id", "label", F.least("label", "near").alias("low"))
-        up = labels.select(F.col("id").alias("low"), F.col("label").alias("lower"))
-        fresh = settle(met.join(up, "low", "left").select("id", "label", F.least("low", F.coalesce("lower", "low")).alias("fresh")), "labels")
-        done = fresh.where(F.col("fresh") != F.col("label")).isEmpty()
-        labels = fresh.select("id", F.col("fresh").alias("label"))
-        if done:
-            return labels.select("id", F.col("label").alias("component"))
+        edges = settle(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+        if edges.isEmpty():
+            break
+        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        up = _roots(settle(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("id"), F.least("a", "b").alias("up")), "ups"))
+        rounds.append(up)
+        ends = [up.select(F.col("id").alias(c), F.col("up").alias(f"{c}_up")) for c in ("a", "b")]
+        edges = edges.join(ends[0], "a").join(ends[1], "b").select(F.col("a_up").alias("a"), F.col("b_up").alias("b"))
+    if not rounds:
+        return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    labels = rounds[0]
+    for up in rounds[1:]:
+        later = up.select(F.col("id").alias("up"), F.col("up").alias("next"))
+        labels = labels.join(later, "up", "left").select("id", F.coalesce("next", "up").cast(kind).alias("up"))
+    return settle(labels.select("id", F.col("up").alias("component")), "components")
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -437,7 +455,16 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     member = settle(linked.select("doc_id", "n", "digest").join(classes, "digest").select("doc_id", "class_id"), "members")
     same = member.groupBy("doc_id").agg(F.min("class_id").alias("b"), F.max("class_id").alias("a")).where("a != b")
     several = member.join(same.select("doc_id", "b"), "doc_id").where("class_id != b").select(F.col("class_id").alias("a"), "b")
-    final = components(links.union(rest).union(several))
+    # the neighbours' components are places already; further links join places
+    def place(pairs: DataFrame) -> DataFrame:
+        for c in ("a", "b"):
+            pairs = pairs.join(found.select(F.col("id").alias(c), F.col("component").alias(f"{c}_in")), c, "left")
+        return pairs.select(*(F.coalesce(f"{c}_in", F.col(c)).alias(c) for c in ("a", "b")))
+
+    joined = components(place(rest.union(several)))
+    onward = joined.select(F.col("id").alias("component"), F.col("component").alias("further"))
+    moved = found.join(onward, "component", "left").select("id", F.coalesce("further", "component").alias("component"))
+    final = moved.unionByName(joined.join(found.select("id"), "id", "left_anti"))
     ids = member.groupBy("doc_id").agg(F.min("class_id").alias("class_id")).join(final.withColumnRenamed("id", "class_id"), "class_id", "left")
     ids = ids.select(F.col("doc_id").alias("own"), F.coalesce("component", "class_id").alias("component_id"))
     out = described.select("doc_id", F.col("n").alias("n_shingles")).join(ids, F.col("doc_id") == F.col("own"), "left")
