@@ -1,136 +1,181 @@
 """Cross-entropy difference: how much better a target model predicts a text than a background model does.
 
-Both are word bigram models of the same order, smoothing and vocabulary, counted by Spark over all documents at once: the
-target over the rows marked as such, the background over all the others. Words outside the shared vocabulary fall into
-classes by their hash, so there are at most VOCABULARY**2 bigrams however many words the corpus has, and the table of
-differences that scores the documents has that size.
+Both are word bigram models of the same order, smoothing and vocabulary, which is every word of the corpus: the target is
+counted over the rows marked as such, the background over all the others. The smoothing is a Dirichlet prior around the
+model's own unigrams,
+
+    p(word | before) = (c(before, word) + PRIOR * p(word)) / (c(before) + PRIOR),
+
+whose loss is a sum of three terms, one of the word, one of the word before it, one of the bigram. Spark counts all three in
+one aggregate and keeps them as one table of terms (key, value), as large as the corpus makes it and partitioned by key. A
+text is a bag of terms: those that are frequent in the corpus are known to all tasks, a table of bounded size; all others are
+joined with the table. Values are whole millionths of a bit, so sums don't depend on their order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from assaylake.llm.encoding import steps
-from assaylake.llm.hashing import word_hashes
-
-#: Number 0 stands before a text; then come the frequent words, then the hash classes of the others.
-WORDS, CLASSES = 767, 256
-VOCABULARY = 1 + WORDS + CLASSES
-#: Absolute discount of both models, and what is added to every unigram count.
-DISCOUNT, ADDED = 0.75, 0.5
-
-
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+from assaylake.llm.hashing import FACTORS, spread, word_hashes
+from assaylake.llm.shipping import ship
+from assaylake.session import settle
+
+#: Weight of the unigrams in a bigram's prediction, in words, and what is added to every unigram count.
+PRIOR, ADDED = 256.0, 0.5
+#: Bigrams seen less often in the whole corpus have no term of their own: both models predict them by their words.
+LEAST = 2
+#: At most so many terms are known to all tasks (12 bytes each), and words in the join that prices bigrams. The others are joined.
+KNOWN_TERMS, KNOWN_WORDS = 1 << 20, 1 << 16
+#: Parts of a bit in which values are kept.
+UNIT = 1_000_000
+#: What stands before a text's first word; bytes of text a worker takes at a time; distinct terms it keeps before it passes them on.
+START, STEP, KEPT = np.uint64(1), 4 << 20, 3_000_000
+WORD, BEFORE, BIGRAM = 0, 1, 2
+
+
+def terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of every word and of the word before it, and the number of words of each text."""
+    words, sizes = word_hashes(texts)
+    before = np.concatenate([[START], words[:-1]]) if len(words) else words
+    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = START
+    return words, before, sizes
+
+
+def keys(words: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the word's, the former word's and the bigram's terms."""
+    pair = spread(before * np.uint64(FACTORS[0]) + words * np.uint64(FACTORS[1]))
+    return spread(words, salt=1), spread(before, salt=2), pair
+
+
+def _unique(key: np.ndarray, kind: np.ndarray, word: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else order
+    return key[first], kind[order][first], word[order][first], np.add.reduceat(n[order], first) if len(key) else n
+
+
+def _occurrences(words: np.ndarray, before: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct terms of a step with their counts in background and target."""
+    found = []
+    for kind, key in zip((WORD, BEFORE, BIGRAM), keys(words, before), strict=True):
+        distinct, first, place = np.unique(key, return_index=True, return_inverse=True)
+        n = np.bincount(place * 2 + target, minlength=2 * len(distinct)).reshape(-1, 2)
+        found.append((distinct, np.full(len(distinct), kind, np.int8), words[first] if kind != BEFORE else np.zeros(len(distinct), np.uint64), n))
+    return tuple(np.concatenate(parts) for parts in zip(*found, strict=True))
+
+
+def _batch(found: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+    key, kind, word, n = found
+    columns = [key.view(np.int64), kind, word.view(np.int64), n[:, 0].astype(np.int64), n[:, 1].astype(np.int64)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "kind", "word", "background", "target"])
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kept: tuple[np.ndarray, ...] | None = None
     for batch in batches:
         texts = pc.fill_null(batch.column("text"), "")
-        for at, n in steps(texts):
-            hashes, _ = word_hashes(texts.slice(at, n))
-            words, times = np.unique(hashes, return_counts=True)
-            yield pa.RecordBatch.from_pydict({"word": pa.array(words.view(np.int64)), "n": pa.array(times)})
-
-
-def _ids(hashes: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
-    """Numbers of words: their place in the sorted vocabulary, or their class."""
-    if not len(vocabulary):
-        return (1 + WORDS + hashes % np.uint64(CLASSES)).astype(np.int64)
-    at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
-    classes = 1 + WORDS + (hashes % np.uint64(CLASSES)).astype(np.int64)
-    return np.where(vocabulary[at] == hashes, 1 + at, classes)
-
-
-def bigrams(texts: pa.Array, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Code of every word with the word before it, and the number of words of each text."""
-    hashes, sizes = word_hashes(texts)
-    ids = _ids(hashes, vocabulary)
-    before = np.concatenate([[0], ids[:-1]]) if len(ids) else ids
-    starts = (np.cumsum(sizes) - sizes)[sizes > 0]
-    before[starts] = 0
-    return before * VOCABULARY + ids, sizes
-
-
-def _pairs(shared):
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, VOCABULARY**2), np.int32)
-        for batch in batches:
-            texts = pc.fill_null(batch.column("text"), "")
-            target = batch.column("target").to_numpy(zero_copy_only=False).astype(np.int64)
-            for at, n in steps(texts):
-                codes, sizes = bigrams(texts.slice(at, n), shared.value)
-                side = np.repeat(target[at : at + n], sizes)
-                for k in (0, 1):
-                    found, times = np.unique(codes[side == k], return_counts=True)
-                    counts[k, found] += times.astype(np.int32)
-        codes = np.flatnonzero(counts.any(axis=0))
-        yield pa.RecordBatch.from_pydict(
-            {"code": pa.array(codes), "background": pa.array(counts[0, codes].astype(np.int64)), "target": pa.array(counts[1, codes].astype(np.int64))}
-        )
-
-    return pairs
-
-
-@dataclass(frozen=True)
-class Models:
-    """The shared vocabulary (sorted hashes) and, for every bigram code, loss under the target less loss under the
-    background, in bits."""
-
-    vocabulary: np.ndarray
-    difference: np.ndarray
-
-
-def _losses(counts: np.ndarray) -> np.ndarray:
-    """Bits of every bigram under an interpolated model with absolute discounting; counts: context by word."""
-    single = counts.sum(axis=0) + ADDED
-    single = single / single.sum()
-    totals = counts.sum(axis=1, keepdims=True)
-    kinds = (counts > 0).sum(axis=1, keepdims=True)
-    some = np.maximum(totals, 1)
-    share = np.maximum(counts - DISCOUNT, 0) / some
-    weight = np.where(totals > 0, DISCOUNT * kinds / some, 1.0)
-    return -np.log2(share + weight * single)
-
-
-def train(texts: DataFrame, marked: DataFrame) -> Models:
-    """Both models from all texts (text), and the same marked (text, target). Word counts and bigram counts are summed by Spark over all rows; the driver
-    gets the WORDS most frequent words and at most VOCABULARY**2 bigrams."""
-    spark = texts.sparkSession
-    words = texts.mapInArrow(_words, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    frequent = words.orderBy(F.desc("n"), "word").limit(WORDS).collect()
-    vocabulary = np.sort(np.array([r["word"] for r in frequent], np.int64).view(np.uint64))
-    shared = spark.sparkContext.broadcast(vocabulary)
-    counted = marked.mapInArrow(_pairs(shared), "code bigint, background bigint, target bigint")
-    summed = counted.groupBy("code").agg(F.sum("background").alias("background"), F.sum("target").alias("target")).toArrow()
-    codes = summed.column("code").to_numpy()
-    losses = []
-    for side in ("target", "background"):
-        counts = np.zeros(VOCABULARY**2, np.float32)
-        counts[codes] = summed.column(side).to_numpy()
-        losses.append(_losses(counts.reshape(VOCABULARY, VOCABULARY)).astype(np.float32).reshape(-1))
-    return Models(vocabulary, losses[0] - losses[1])
-
-
-def _score(shared):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models: Models = shared.value
+        target = batch.column("target").to_numpy(zero_copy_only=False).astype(np.int64)
+        for at, n in steps(texts, STEP):
+            words, before, sizes = terms(texts.slice(at, n))
+            found = _occurrences(words, before, np.repeat(target[at : at + n], sizes))
+            kept = found if kept is None else _unique(*(np.concatenate(both) for both in zip(kept, found, strict=True)))
+            if len(kept[0]) > KEPT:
+                yield _batch(kept)
+                kept = None
+    if kept is not None:
+        yield _batch(kept)
+
+
+def _at_most(counted: DataFrame, most: int) -> int:
+    """The least count such that no more than `most` rows have it; counts are told apart to a sixteenth of an octave."""
+    octave = F.floor(F.log2("n") * 16).cast("int")
+    rows = counted.groupBy(octave.alias("octave")).agg(F.count("*").alias("rows"), F.min("n").alias("n")).collect()
+    least, total = None, 0
+    for r in sorted(rows, key=lambda r: -r["octave"]):
+        total += r["rows"]
+        if total > most:
+            break
+        least = r["n"]
+    return least if least is not None else 1 << 62
+
+
+def _value(bits: Column) -> Column:
+    return F.round(bits * UNIT).cast("bigint").alias("value")
+
+
+def train(marked: DataFrame) -> DataFrame:
+    """The table of terms of both models: key, n (occurrences in the corpus) and value (loss under the target less loss
+    under the background, in millionths of a bit), from (text, target).
+
+    Every word of every row is counted. Bigrams find the counts of their word in the same table: the most frequent words,
+    KNOWN_WORDS at most, are broadcast; of any other word few bigrams exist, these are joined by a shuffle.
+    """
+    ship(marked.sparkSession)
+    seen = Observation()
+    counted = marked.mapInArrow(_count, "key bigint, kind tinyint, word bigint, background bigint, target bigint")
+    summed = counted.groupBy("key").agg(
+        F.max("kind").alias("kind"), F.max("word").alias("word"), F.sum("background").alias("background"), F.sum("target").alias("target")
+    )
+    # keys are 64-bit hashes; two kinds with one key would be priced as the later kind
+    summed = summed.withColumn("n", F.col("background") + F.col("target")).where((F.col("kind") < BIGRAM) | (F.col("n") >= LEAST))
+    word = F.col("kind") == WORD
+    sums = {c: F.coalesce(F.sum(F.when(word, F.col(c))), F.lit(0)).alias(c) for c in ("background", "target")}
+    stored = settle(summed.observe(seen, F.count_if(word).alias("words"), *sums.values()), "term-counts")
+    size = seen.get
+
+    def chance(count: str, side: str) -> Column:
+        return (F.col(count) + ADDED) / max(size[side] + ADDED * size["words"], 1.0)
+
+    words = stored.where(word).select(
+        "key", "n", _value(F.log2(chance("background", "background")) - F.log2(chance("target", "target")))
+    )
+    before = stored.where(F.col("kind") == BEFORE).select("key", "n", _value(F.log2(F.col("target") + PRIOR) - F.log2(F.col("background") + PRIOR)))
+    priced = stored.where(word).select("word", "n", chance("background", "background").alias("in_background"), chance("target", "target").alias("in_target"))
+    common = F.col("n") >= _at_most(priced, KNOWN_WORDS)
+    known = F.broadcast(priced.where(common).drop("n"))
+    grams = stored.where(F.col("kind") == BIGRAM).drop("kind")
+    gain = lambda side: F.log2(1 + F.col(side) / (PRIOR * F.col(f"in_{side}")))
+    bits = _value(gain("background") - gain("target"))
+    frequent = grams.join(known, "word").select("key", "n", bits)
+    others = grams.join(known, "word", "left_anti").join(priced.where(~common).drop("n"), "word").select("key", "n", bits)
+    return settle(words.unionByName(before).unionByName(frequent).unionByName(others), "terms")
+
+
+def _look_up(shared):
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, values = shared.value
         for batch in batches:
             texts = pc.fill_null(batch.column("text"), "")
-            for at, n in steps(texts):
-                codes, sizes = bigrams(texts.slice(at, n), models.vocabulary)
-                sums = np.concatenate([[0.0], np.cumsum(models.difference[codes], dtype=np.float64)])
-                ends = np.cumsum(sizes)
-                total = sums[ends] - sums[ends - sizes]
+            for at, n in steps(texts, STEP):
+                words, before, sizes = terms(texts.slice(at, n))
+                owner = np.repeat(np.arange(n), sizes)
+                totals, rest, owners = np.zeros(n, np.int64), [], []
+                for key in keys(words, before):
+                    distinct, place = np.unique(key, return_inverse=True)
+                    spot = np.minimum(np.searchsorted(known, distinct), max(len(known) - 1, 0))
+                    hit = known[spot] == distinct if len(known) else np.zeros(len(distinct), bool)
+                    worth = np.where(hit, values[spot], 0) if len(known) else np.zeros(len(distinct), np.int64)
+                    if len(key):
+                        np.add.at(totals, owner, worth[place])
+                    missed = ~hit[place]
+                    rest.append(key[missed])
+                    owners.append(owner[missed])
+                owners = np.concatenate(owners)
+                order = np.argsort(owners, kind="stable")
+                ends = np.concatenate([[0], np.cumsum(np.bincount(owners, minlength=n))]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rest)[order].view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(at, n), pa.array(sizes), pa.array(total / np.maximum(sizes, 1), mask=sizes == 0)],
-                    ["doc_id", "n_words", "difference"],
+                    [batch.column("doc_id").slice(at, n), pa.array(sizes), pa.array(totals), lists], ["doc_id", "n_words", "value", "rest"]
                 )
 
-    return score
+    return look_up
 
 
 def score(docs: DataFrame, target_ids: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -138,16 +183,29 @@ def score(docs: DataFrame, target_ids: DataFrame, key: str = "doc_id", text: str
     the target) of every row of docs.
 
     target_ids: the ids of the target's documents, in a column of the same name. All other rows are the background; if
-    there are none, or no target, that model is uniform over the vocabulary's smoothing. Null and empty texts have no
-    words and a null score; null ids are background; repeated rows count and are scored each; other columns are ignored;
-    an empty table gives no rows. The texts are read three times and shuffled once, to meet
-    the target's ids.
+    there are none, or no target, that model is its smoothing. Null and empty texts have no words and a null score; null
+    ids are background; repeated rows count and are scored each; other columns are ignored; an empty table gives no rows.
+    Texts are read twice. Terms are counted with map-side combine, so that a word or bigram of every row is one row a task;
+    terms of the known table never enter the join, so that none in it is in more than a small part of the rows.
     """
     spark = docs.sparkSession
-    wanted = target_ids.select(F.col(key).alias("doc_id")).where(F.col("doc_id").isNotNull()).distinct().withColumn("target", F.lit(True))
+    ship(spark)
+    wanted = settle(target_ids.select(F.col(key).alias("doc_id")).where(F.col("doc_id").isNotNull()).distinct(), "target-ids")
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    # the side that is built is narrow; the texts stream past it and are not sorted
-    marked = rows.join(wanted.hint("shuffle_hash"), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    shared = spark.sparkContext.broadcast(train(rows.select("text"), marked))
-    return rows.mapInArrow(_score(shared), f"doc_id {kind}, n_words bigint, difference double")
+    # few ids are broadcast by their stored size, many meet the texts by a shuffle
+    marked = rows.join(wanted.withColumn("target", F.lit(True)), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
+    table = train(marked)
+    least = _at_most(table, KNOWN_TERMS)
+    frequent = table.where(F.col("n") >= least).select("key", "value").toArrow()
+    order = np.argsort(frequent.column("key").to_numpy().view(np.uint64))
+    known = frequent.column("key").to_numpy().view(np.uint64)[order]
+    shared = spark.sparkContext.broadcast((known, frequent.column("value").to_numpy()[order].astype(np.int32)))
+    looked = rows.mapInArrow(_look_up(shared), f"doc_id {kind}, n_words bigint, value bigint, rest array<bigint>")
+    stored = settle(looked.withColumn("row", F.monotonically_increasing_id()), "partly-scored")
+    asked = stored.select("row", F.explode("rest").alias("key"))
+    answers = asked.join(table.where(F.col("n") < least).select("key", F.col("value").alias("more")), "key")
+    answers = answers.groupBy("row").agg(F.sum("more").alias("more"))
+    total = F.col("value") + F.coalesce("more", F.lit(0))
+    difference = F.when(F.col("n_words") > 0, total / F.lit(float(UNIT)) / F.col("n_words"))
+    return stored.drop("rest").join(answers, "row", "left").select("doc_id", "n_words", difference.alias("difference"))

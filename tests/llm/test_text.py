@@ -21,40 +21,36 @@ def lower_ascii(text):
 
 
 def brute_difference(target, background, texts):
-    """Mean loss difference by plain dictionaries, over the same vocabulary numbers."""
-    every = pa.array([t or "" for t in [*target, *background]])
-    hashes, _ = domain_score.word_hashes(every)
-    tally = Counter(hashes.view(np.int64).tolist())
-    frequent = sorted(tally, key=lambda w: (-tally[w], w))[: domain_score.WORDS]
-    vocabulary = np.sort(np.array(frequent, np.int64).view(np.uint64))
-    v = domain_score.VOCABULARY
-
-    def grams(text):
-        codes, _ = domain_score.bigrams(pa.array([text or ""]), vocabulary)
-        return [divmod(int(c), v) for c in codes]
+    """Mean loss difference by plain dictionaries of words: both losses of every word from the formula, then their difference."""
+    cut = lambda text: [w.lower() if w.isascii() else lower_ascii(w) for w in re.split("[ \\t-\\r]+", text or "") if w]
+    pairs_of = lambda text: list(zip(["<start>", *cut(text)], cut(text)))
+    every = Counter(g for t in [*target, *background] for g in pairs_of(t))
+    vocabulary = {b for _, b in every}
 
     def model(docs):
-        pairs = Counter(g for t in docs for g in grams(t))
-        after, kinds, single = Counter(), Counter(), Counter()
+        pairs = Counter(g for t in docs for g in pairs_of(t))
+        single, after = Counter(), Counter()
         for (a, b), n in pairs.items():
-            after[a] += n
-            kinds[a] += 1
             single[b] += n
-        total = sum(single.values()) + domain_score.ADDED * v
+            after[a] += n
+        total = sum(single.values()) + domain_score.ADDED * len(vocabulary)
 
         def loss(a, b):
             p = (single[b] + domain_score.ADDED) / total
-            if not after[a]:
-                return -np.log2(p)
-            return -np.log2(max(pairs[a, b] - domain_score.DISCOUNT, 0) / after[a] + domain_score.DISCOUNT * kinds[a] / after[a] * p)
+            n = pairs[a, b] if every[a, b] >= domain_score.LEAST else 0
+            return -np.log2((n + domain_score.PRIOR * p) / (after[a] + domain_score.PRIOR))
 
         return loss
 
     t, b = model(target), model(background)
-    return [float(np.mean([t(*g) - b(*g) for g in grams(x)])) if grams(x) else None for x in texts]
+    return [float(np.mean([t(*g) - b(*g) for g in pairs_of(x)])) if pairs_of(x) else None for x in texts]
 
 
-def test_difference_against_dictionaries(spark, odd):
+@pytest.mark.parametrize("known", [(1 << 20, 1 << 16), (5, 3), (0, 0)])
+def test_difference_against_dictionaries(spark, odd, monkeypatch, known):
+    """Whatever is known to all tasks and whatever is joined."""
+    monkeypatch.setattr(domain_score, "KNOWN_TERMS", known[0])
+    monkeypatch.setattr(domain_score, "KNOWN_WORDS", known[1])
     good = spark.createDataFrame([(1,), (2,), (14,), (None,)], "doc_id long")
     got = Counter((r["doc_id"], r["n_words"], None if r["difference"] is None else round(r["difference"], 3)) for r in domain_score.score(odd, good).collect())
     inside = [t for i, t, _ in ROWS if i in (1, 2, 14)]
