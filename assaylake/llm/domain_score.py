@@ -1,15 +1,16 @@
 """Cross-entropy difference: how much better a target model predicts a text than a background model does.
 
-Both are word bigram models of the same order, smoothing and vocabulary, which is every word of the corpus: the target is
-counted over the rows marked as such, the background over all the others. The smoothing is a Dirichlet prior around the
-model's own unigrams,
+Both are word bigram models of the same order, smoothing and vocabulary, which is every word of the corpus (told apart by 32
+bits of its hash): the target is counted over the rows marked as such, the background over all the others. The smoothing is a
+Dirichlet prior around the model's own unigrams,
 
     p(word | before) = (c(before, word) + PRIOR * p(word)) / (c(before) + PRIOR),
 
-whose loss is a sum of three terms, one of the word, one of the word before it, one of the bigram. Spark counts all three in
-one aggregate and keeps them as one table of terms (key, value), as large as the corpus makes it and partitioned by key. A
-text is a bag of terms: those that are frequent in the corpus are known to all tasks, a table of bounded size; all others are
-joined with the table. Values are whole millionths of a bit, so sums don't depend on their order.
+whose loss is a sum of a term of the word, a term of the word before it and a term of the bigram. Every task counts the words
+and bigrams of its rows and passes them on in blocks of sorted keys, one per bucket of keys; the buckets are merged and become
+one table of terms (kind, key, value), as large as the corpus makes it. A text is a bag of terms: those that are frequent in
+the corpus are known to all tasks, a table of bounded size; all others are joined with the table. Values are whole millionths
+of a bit, so sums don't depend on their order.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from assaylake.llm.encoding import steps
-from assaylake.llm.hashing import FACTORS, spread, word_hashes
+from assaylake.llm.hashing import spread, word_hashes
 from assaylake.llm.shipping import ship
 from assaylake.session import settle
 
@@ -31,79 +32,118 @@ from assaylake.session import settle
 PRIOR, ADDED = 256.0, 0.5
 #: Bigrams seen less often in the whole corpus have no term of their own: both models predict them by their words.
 LEAST = 2
-#: At most so many terms are known to all tasks (12 bytes each), and words in the join that prices bigrams. The others are joined.
-KNOWN_TERMS, KNOWN_WORDS = 1 << 20, 1 << 16
+#: At most so many terms are known to all tasks (12 bytes each), words in the join that prices bigrams, and target ids in the
+#: join that marks the texts. All others are joined by a shuffle, with the same result.
+KNOWN_TERMS, KNOWN_WORDS, KNOWN_IDS = 1 << 20, 1 << 16, 1 << 20
 #: Parts of a bit in which values are kept.
 UNIT = 1_000_000
-#: What stands before a text's first word; bytes of text a worker takes at a time; distinct terms it keeps before it passes them on.
+#: What stands before a text's first word; bytes of text a worker takes at a time; distinct bigrams it keeps before it passes them on.
 START, STEP, KEPT = np.uint64(1), 4 << 20, 3_000_000
+#: Bits of the map of bigrams that have a term. It spares the others the join while it isn't full.
+SLOTS = 1 << 27
 WORD, BEFORE, BIGRAM = 0, 1, 2
 
 
 def terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of every word and of the word before it, and the number of words of each text."""
+    """Number of every word and of the word before it, below 2**32, and the number of words of each text."""
     words, sizes = word_hashes(texts)
+    words = spread(words) >> np.uint64(32)
     before = np.concatenate([[START], words[:-1]]) if len(words) else words
     before[(np.cumsum(sizes) - sizes)[sizes > 0]] = START
     return words, before, sizes
 
 
-def keys(words: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of the word's, the former word's and the bigram's terms."""
-    pair = spread(before * np.uint64(FACTORS[0]) + words * np.uint64(FACTORS[1]))
-    return spread(words, salt=1), spread(before, salt=2), pair
-
-
-def _unique(key: np.ndarray, kind: np.ndarray, word: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+def _merged(key: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sums of their counts (a row per key)."""
     order = np.argsort(key, kind="stable")
     key = key[order]
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else order
-    return key[first], kind[order][first], word[order][first], np.add.reduceat(n[order], first) if len(key) else n
-
-
-def _occurrences(words: np.ndarray, before: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct terms of a step with their counts in background and target."""
-    found = []
-    for kind, key in zip((WORD, BEFORE, BIGRAM), keys(words, before), strict=True):
-        distinct, first, place = np.unique(key, return_index=True, return_inverse=True)
-        n = np.bincount(place * 2 + target, minlength=2 * len(distinct)).reshape(-1, 2)
-        found.append((distinct, np.full(len(distinct), kind, np.int8), words[first] if kind != BEFORE else np.zeros(len(distinct), np.uint64), n))
-    return tuple(np.concatenate(parts) for parts in zip(*found, strict=True))
-
-
-def _batch(found: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-    key, kind, word, n = found
-    columns = [key.view(np.int64), kind, word.view(np.int64), n[:, 0].astype(np.int64), n[:, 1].astype(np.int64)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "kind", "word", "background", "target"])
+    return key[first], np.add.reduceat(counts[order], first, axis=0) if len(key) else counts
+
+
+def _packed(key: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted keys as differences and their counts, byte planes apart, so that empty ones vanish."""
+    steps_ = np.diff(key, prepend=np.uint64(0))
+    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(key), 8).T.tobytes() for c in (steps_, *counts.T)]
+    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(pa.decompress(data, n * 8 * (width + 1), codec="zstd", asbytes=True), np.uint8).reshape(width + 1, 8, n)
+    columns = [np.ascontiguousarray(plane.T).view(np.uint64).reshape(n) for plane in raw]
+    return np.cumsum(columns[0], dtype=np.uint64), np.stack(columns[1:], axis=1).view(np.int64)
+
+
+def _blocks(kind: int, key: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
+    bucket = (spread(key, salt=3) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    ends = np.cumsum(np.bincount(bucket, minlength=buckets))
+    full = [(b, order[begin:end]) for b, (begin, end) in enumerate(zip([0, *ends[:-1]], ends, strict=True)) if end > begin]
+    return pa.RecordBatch.from_pydict(
+        {
+            "bucket": pa.array([b for b, _ in full], pa.int32()),
+            "kind": pa.array([kind] * len(full), pa.int8()),
+            "n": pa.array([len(at) for _, at in full], pa.int64()),
+            "block": pa.array([_packed(key[at], counts[at]) for _, at in full], pa.binary()),
+        }
+    )
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kept: tuple[np.ndarray, ...] | None = None
+def _count(buckets: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            texts = pc.fill_null(batch.column("text"), "")
+            target = batch.column("target").to_numpy(zero_copy_only=False).astype(np.int64)
+            for at, n in steps(texts, STEP):
+                words, before, sizes = terms(texts.slice(at, n))
+                side = np.repeat(target[at : at + n], sizes)
+                sides = np.stack([1 - side, side], axis=1)
+                none = np.zeros_like(sides)
+                # of a word: its counts in background and target, then its counts as the word before
+                ones = (np.concatenate([words, before]), np.concatenate([np.hstack([sides, none]), np.hstack([none, sides])]))
+                for kind, found in ((WORD, ones), (BIGRAM, (words << np.uint64(32) | before, sides))):
+                    found = _merged(*found)
+                    kept[kind] = _merged(*(np.concatenate(both) for both in zip(kept[kind], found, strict=True))) if kind in kept else found
+                if len(kept[BIGRAM][0]) > KEPT:
+                    yield from (_blocks(kind, *found, buckets) for kind, found in kept.items())
+                    kept = {}
+        yield from (_blocks(kind, *found, buckets) for kind, found in kept.items())
+
+    return count
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for batch in batches:
-        texts = pc.fill_null(batch.column("text"), "")
-        target = batch.column("target").to_numpy(zero_copy_only=False).astype(np.int64)
-        for at, n in steps(texts, STEP):
-            words, before, sizes = terms(texts.slice(at, n))
-            found = _occurrences(words, before, np.repeat(target[at : at + n], sizes))
-            kept = found if kept is None else _unique(*(np.concatenate(both) for both in zip(kept, found, strict=True)))
-            if len(kept[0]) > KEPT:
-                yield _batch(kept)
-                kept = None
-    if kept is not None:
-        yield _batch(kept)
+        parts: dict[int, list] = {WORD: [], BIGRAM: []}
+        for kind, n, block in zip(batch["kind"].to_pylist(), batch["n"].to_pylist(), batch["block"].to_pylist(), strict=True):
+            parts[kind].append(_unpacked(block, n, 4 if kind == WORD else 2))
+        for kind, found in parts.items():
+            if found:
+                found = [kept[kind], *found] if kind in kept else found
+                kept[kind] = _merged(*(np.concatenate(both) for both in zip(*found, strict=True)))
+    for kind, (key, counts) in kept.items():
+        if kind == BIGRAM:
+            often = counts.sum(axis=1) >= LEAST
+            key, counts = key[often], np.hstack([counts[often], np.zeros_like(counts[often])])
+        for at in range(0, len(key), 1 << 18):
+            part = slice(at, at + (1 << 18))
+            columns = [np.full(len(key[part]), kind, np.int8), key[part].view(np.int64), *counts[part].T]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["kind", "key", "background", "target", "before_background", "before_target"])
 
 
 def _at_most(counted: DataFrame, most: int) -> int:
     """The least count such that no more than `most` rows have it; counts are told apart to a sixteenth of an octave."""
     octave = F.floor(F.log2("n") * 16).cast("int")
     rows = counted.groupBy(octave.alias("octave")).agg(F.count("*").alias("rows"), F.min("n").alias("n")).collect()
-    least, total = None, 0
+    least, total = 1 << 62, 0
     for r in sorted(rows, key=lambda r: -r["octave"]):
         total += r["rows"]
         if total > most:
             break
         least = r["n"]
-    return least if least is not None else 1 << 62
+    return least
 
 
 def _value(bits: Column) -> Column:
@@ -111,73 +151,102 @@ def _value(bits: Column) -> Column:
 
 
 def train(marked: DataFrame) -> DataFrame:
-    """The table of terms of both models: key, n (occurrences in the corpus) and value (loss under the target less loss
+    """The table of terms of both models: kind, key, n (occurrences in the corpus) and value (loss under the target less loss
     under the background, in millionths of a bit), from (text, target).
 
     Every word of every row is counted. Bigrams find the counts of their word in the same table: the most frequent words,
     KNOWN_WORDS at most, are broadcast; of any other word few bigrams exist, these are joined by a shuffle.
     """
-    ship(marked.sparkSession)
+    spark = marked.sparkSession
+    ship(spark)
     seen = Observation()
-    counted = marked.mapInArrow(_count, "key bigint, kind tinyint, word bigint, background bigint, target bigint")
-    summed = counted.groupBy("key").agg(
-        F.max("kind").alias("kind"), F.max("word").alias("word"), F.sum("background").alias("background"), F.sum("target").alias("target")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = marked.mapInArrow(_count(buckets), "bucket int, kind tinyint, n bigint, block binary").repartition(buckets, "bucket")
+    merged = blocks.mapInArrow(
+        _merge, "kind tinyint, key bigint, background bigint, target bigint, before_background bigint, before_target bigint"
     )
-    # keys are 64-bit hashes; two kinds with one key would be priced as the later kind
-    summed = summed.withColumn("n", F.col("background") + F.col("target")).where((F.col("kind") < BIGRAM) | (F.col("n") >= LEAST))
-    word = F.col("kind") == WORD
+    merged = merged.withColumn("n", F.col("background") + F.col("target"))
+    word = (F.col("kind") == WORD) & (F.col("n") > 0)
     sums = {c: F.coalesce(F.sum(F.when(word, F.col(c))), F.lit(0)).alias(c) for c in ("background", "target")}
-    stored = settle(summed.observe(seen, F.count_if(word).alias("words"), *sums.values()), "term-counts")
+    stored = settle(merged.observe(seen, F.count_if(word).alias("words"), *sums.values()), "term-counts")
     size = seen.get
 
-    def chance(count: str, side: str) -> Column:
-        return (F.col(count) + ADDED) / max(size[side] + ADDED * size["words"], 1.0)
+    def chance(side: str) -> Column:
+        return (F.col(side) + ADDED) / max(size[side] + ADDED * size["words"], 1.0)
 
-    words = stored.where(word).select(
-        "key", "n", _value(F.log2(chance("background", "background")) - F.log2(chance("target", "target")))
-    )
-    before = stored.where(F.col("kind") == BEFORE).select("key", "n", _value(F.log2(F.col("target") + PRIOR) - F.log2(F.col("background") + PRIOR)))
-    priced = stored.where(word).select("word", "n", chance("background", "background").alias("in_background"), chance("target", "target").alias("in_target"))
+    words = stored.where(word).select(F.lit(WORD).alias("kind"), "key", "n", _value(F.log2(chance("background")) - F.log2(chance("target"))))
+    times = F.col("before_background") + F.col("before_target")
+    weight = F.log2(F.col("before_target") + PRIOR) - F.log2(F.col("before_background") + PRIOR)
+    before = stored.where((F.col("kind") == WORD) & (times > 0)).select(F.lit(BEFORE).alias("kind"), "key", times.alias("n"), _value(weight))
+    priced = stored.where(word).select(F.col("key").alias("word"), "n", chance("background").alias("in_background"), chance("target").alias("in_target"))
     common = F.col("n") >= _at_most(priced, KNOWN_WORDS)
     known = F.broadcast(priced.where(common).drop("n"))
-    grams = stored.where(F.col("kind") == BIGRAM).drop("kind")
+    grams = stored.where(F.col("kind") == BIGRAM).select("kind", "key", "n", "background", "target", F.shiftrightunsigned("key", 32).alias("word"))
     gain = lambda side: F.log2(1 + F.col(side) / (PRIOR * F.col(f"in_{side}")))
-    bits = _value(gain("background") - gain("target"))
-    frequent = grams.join(known, "word").select("key", "n", bits)
-    others = grams.join(known, "word", "left_anti").join(priced.where(~common).drop("n"), "word").select("key", "n", bits)
+    term = ("kind", "key", "n", _value(gain("background") - gain("target")))
+    frequent = grams.join(known, "word").select(*term)
+    others = grams.join(known, "word", "left_anti").join(priced.where(~common).drop("n"), "word").select(*term)
     return settle(words.unionByName(before).unionByName(frequent).unionByName(others), "terms")
 
 
+def _slots(key: np.ndarray) -> np.ndarray:
+    return ((key >> np.uint64(32)) * np.uint64(31) + (key & np.uint64(0xFFFFFFFF))) & np.uint64(SLOTS - 1)
+
+
+def _listed(table: DataFrame) -> np.ndarray:
+    """The map of the bigrams in the table: SLOTS bits, whatever their number."""
+    slot = (F.shiftrightunsigned("key", 32) * 31 + F.col("key").bitwiseAND(0xFFFFFFFF)).bitwiseAND(SLOTS - 1)
+    bits = table.where(F.col("kind") == BIGRAM).select((slot / 32768).cast("int").alias("part"), (slot % 32768).alias("bit"))
+    parts = bits.repartition("part").groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+    listed = np.zeros((SLOTS // 32768, 4096), np.uint8)
+    for r in parts:
+        listed[r["part"]] = np.frombuffer(r["bits"], np.uint8)
+    return listed.reshape(-1)
+
+
 def _look_up(shared):
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, values = shared.value
+        tables, listed = shared.value
         for batch in batches:
             texts = pc.fill_null(batch.column("text"), "")
             for at, n in steps(texts, STEP):
                 words, before, sizes = terms(texts.slice(at, n))
                 owner = np.repeat(np.arange(n), sizes)
-                totals, rest, owners = np.zeros(n, np.int64), [], []
-                for key in keys(words, before):
+                totals, columns = np.zeros(n, np.int64), []
+                for kind, key in ((WORD, words), (BEFORE, before), (BIGRAM, words << np.uint64(32) | before)):
+                    known, values = tables[kind]
                     distinct, place = np.unique(key, return_inverse=True)
-                    spot = np.minimum(np.searchsorted(known, distinct), max(len(known) - 1, 0))
-                    hit = known[spot] == distinct if len(known) else np.zeros(len(distinct), bool)
-                    worth = np.where(hit, values[spot], 0) if len(known) else np.zeros(len(distinct), np.int64)
-                    if len(key):
-                        np.add.at(totals, owner, worth[place])
-                    missed = ~hit[place]
-                    rest.append(key[missed])
-                    owners.append(owner[missed])
-                owners = np.concatenate(owners)
-                order = np.argsort(owners, kind="stable")
-                ends = np.concatenate([[0], np.cumsum(np.bincount(owners, minlength=n))]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rest)[order].view(np.int64)))
+                    spot = np.searchsorted(known[:-1], distinct)
+                    hit = known[spot] == distinct
+                    hit &= spot < len(known) - 1
+                    sums = np.concatenate([[0], np.cumsum(np.where(hit, values[spot], 0)[place])])
+                    ends = np.cumsum(sizes)
+                    totals += sums[ends] - sums[ends - sizes]
+                    asked = ~hit
+                    if kind == BIGRAM:
+                        slot = _slots(distinct).astype(np.int64)
+                        asked &= (listed[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+                    missed = asked[place]
+                    ends = np.concatenate([[0], np.cumsum(np.bincount(owner[missed], minlength=n))]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(key[missed].view(np.int64))))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(at, n), pa.array(sizes), pa.array(totals), lists], ["doc_id", "n_words", "value", "rest"]
+                    [batch.column("doc_id").slice(at, n), pa.array(sizes), pa.array(totals), *columns], ["doc_id", "n_words", "value", "words", "before", "bigrams"]
                 )
 
     return look_up
 
 
+def _known(frequent: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By kind, sorted keys and their values, and a last entry that no search may pass."""
+    found = {}
+    for kind in (WORD, BEFORE, BIGRAM):
+        rows = frequent.filter(pc.equal(frequent.column("kind"), kind))
+        key, value = rows.column("key").to_numpy().view(np.uint64), rows.column("value").to_numpy()
+        order = np.argsort(key)
+        found[kind] = np.append(key[order], np.uint64(0)), np.append(value[order], 0).astype(np.int32)
+    return found
+
+
 def score(docs: DataFrame, target_ids: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_words and the mean difference of losses per word in bits (target less background, so lower is closer to
     the target) of every row of docs.
@@ -185,27 +254,30 @@ def score(docs: DataFrame, target_ids: DataFrame, key: str = "doc_id", text: str
     target_ids: the ids of the target's documents, in a column of the same name. All other rows are the background; if
     there are none, or no target, that model is its smoothing. Null and empty texts have no words and a null score; null
     ids are background; repeated rows count and are scored each; other columns are ignored; an empty table gives no rows.
-    Texts are read twice. Terms are counted with map-side combine, so that a word or bigram of every row is one row a task;
-    terms of the known table never enter the join, so that none in it is in more than a small part of the rows.
+    Texts are read twice, and shuffled only to meet more than KNOWN_IDS target ids. Terms are combined before the shuffle, so
+    that a word or bigram of every row is one entry a task; known terms never enter the join, so that none in it is in more
+    than a small part of the rows.
     """
     spark = docs.sparkSession
     ship(spark)
     wanted = settle(target_ids.select(F.col(key).alias("doc_id")).where(F.col("doc_id").isNotNull()).distinct(), "target-ids")
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    # few ids are broadcast by their stored size, many meet the texts by a shuffle
-    marked = rows.join(wanted.withColumn("target", F.lit(True)), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    table = train(marked)
+    few = wanted.limit(KNOWN_IDS + 1).count() <= KNOWN_IDS
+    wanted = wanted.withColumn("target", F.lit(True))
+    marked = rows.join(F.broadcast(wanted) if few else wanted.hint("shuffle_hash"), "doc_id", "left")
+    table = train(marked.select("text", F.coalesce("target", F.lit(False)).alias("target")))
     least = _at_most(table, KNOWN_TERMS)
-    frequent = table.where(F.col("n") >= least).select("key", "value").toArrow()
-    order = np.argsort(frequent.column("key").to_numpy().view(np.uint64))
-    known = frequent.column("key").to_numpy().view(np.uint64)[order]
-    shared = spark.sparkContext.broadcast((known, frequent.column("value").to_numpy()[order].astype(np.int32)))
-    looked = rows.mapInArrow(_look_up(shared), f"doc_id {kind}, n_words bigint, value bigint, rest array<bigint>")
+    frequent = table.where(F.col("n") >= least).select("kind", "key", "value").toArrow()
+    rare = table.where(F.col("n") < least)
+    shared = spark.sparkContext.broadcast((_known(frequent), _listed(rare)))
+    lists = ("words", "before", "bigrams")
+    looked = rows.mapInArrow(_look_up(shared), f"doc_id {kind}, n_words bigint, value bigint, " + ", ".join(f"{c} array<bigint>" for c in lists))
     stored = settle(looked.withColumn("row", F.monotonically_increasing_id()), "partly-scored")
-    asked = stored.select("row", F.explode("rest").alias("key"))
-    answers = asked.join(table.where(F.col("n") < least).select("key", F.col("value").alias("more")), "key")
+    keyed = [F.transform(c, lambda k: F.struct(F.lit(kind).alias("kind"), k.alias("key"))) for kind, c in enumerate(lists)]  # noqa: B023
+    asked = F.explode(F.concat(*keyed))
+    answers = stored.select("row", asked.alias("term")).select("row", "term.*").join(rare.select("kind", "key", F.col("value").alias("more")), ["kind", "key"])
     answers = answers.groupBy("row").agg(F.sum("more").alias("more"))
     total = F.col("value") + F.coalesce("more", F.lit(0))
     difference = F.when(F.col("n_words") > 0, total / F.lit(float(UNIT)) / F.col("n_words"))
-    return stored.drop("rest").join(answers, "row", "left").select("doc_id", "n_words", difference.alias("difference"))
+    return stored.drop(*lists).join(answers, "row", "left").select("doc_id", "n_words", difference.alias("difference"))
