@@ -91,6 +91,33 @@ def _hits(docs: DataFrame, key: str, text: str, hashes: list[int]) -> DataFrame:
     return inner.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.size("words").cast("bigint").alias("n_words"), found.alias("hits"))
 
 
+def _widest(grams: Column) -> Column:
+    """Words that one copy of a template may spread over."""
+    return 2 * grams + APART
+
+
+def _cut(lines: DataFrame) -> DataFrame:
+    """Spans of islands wider than a copy, as repeated notices make them. A diagonal that covers enough of the template is a
+    copy by itself. Any other one is judged together with those that begin after it within a copy's reach; of spans that
+    begin within one template's length the best, then the first, is kept."""
+    alone = F.size("found") / F.col("grams")
+    whole = lines.where(alone >= COVERED).select(
+        "row", "label", "base", F.col("low").cast("bigint").alias("first"), (F.col("high") + 1).cast("bigint").alias("last"), alone.alias("coverage")
+    )
+    reach = 2 * max(len(text.split()) - 1 for text in NOTICES.values()) + APART
+    after = Window.partitionBy("row", "template", "island").orderBy("low").rangeBetween(0, reach)
+    parts = lines.where(alone < COVERED).withColumn("near", F.collect_list(F.struct("high", "found")).over(after))
+    parts = parts.withColumn("near", F.filter("near", lambda x: x["high"] < F.col("low") + _widest(F.col("grams"))))
+    found = F.array_distinct(F.flatten(F.col("near.found")))
+    spans = parts.select(
+        "row", "template", "label", "base", F.floor(F.col("low") / F.col("grams")).alias("tile"), F.col("low").cast("bigint").alias("first"),
+        (F.array_max("near.high") + 1).cast("bigint").alias("last"), (F.size(found) / F.col("grams")).alias("coverage"),
+    ).where(F.col("coverage") >= COVERED)
+    best = F.max_by(F.struct("first", "last", "coverage"), F.struct("coverage", -F.col("first"))).alias("best")
+    best = spans.groupBy("row", "template", "label", "base", "tile").agg(best)
+    return whole.unionByName(best.select("row", "label", "base", "best.*"))
+
+
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(rows, spans): a row per input row with its number of words; a row per verified span with its label, first and last
     word, coverage (0 to 1) and whether it is a base phrase.
@@ -117,14 +144,16 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Data
     gap = F.col("diagonal") - F.lag("diagonal").over(beside)
     islands = lines.where(~F.col("base")).withColumn("opens", F.coalesce((gap > APART).cast("int"), F.lit(0)))
     islands = islands.withColumn("island", F.sum("opens").over(beside))
-    merged = islands.groupBy("row", "template", "label", "base", "grams", "island").agg(
+    all_of_it = Window.partitionBy("row", "template", "island")
+    width = F.max("high").over(all_of_it) + 1 - F.min("low").over(all_of_it)
+    islands = islands.withColumn("wide", width > _widest(F.col("grams")))
+    merged = islands.where(~F.col("wide")).groupBy("row", "template", "label", "base", "grams", "island").agg(
         F.min("low").cast("bigint").alias("first"), (F.max("high") + 1).cast("bigint").alias("last"),
         F.size(F.array_distinct(F.flatten(F.collect_list("found")))).alias("n"),
     )
     notices = merged.withColumn("coverage", F.col("n") / F.col("grams")).where(F.col("coverage") >= COVERED)
-    # a copy spread over more words than the merging allows for is not one copy
-    notices = notices.where(F.col("last") - F.col("first") <= 2 * F.col("grams") + APART)
-    spans = base.unionByName(notices.select("row", "label", "base", "first", "last", "coverage"))
+    notices = notices.select("row", "label", "base", "first", "last", "coverage").unionByName(_cut(islands.where("wide")))
+    spans = base.unionByName(notices)
     return rows.select("row", "doc_id", "n_words"), spans
 
 

@@ -118,6 +118,25 @@ def test_notices_with_words_left_out_and_put_in(spark):
     assert {f[1:4] for f in found if f[0] == 6} == {("gpl", True, 0)}
 
 
+def test_repeated_notices(spark):
+    """However often a notice stands in a row, whole or with words added, and not for its words far apart."""
+    mit, isc = license_scan.NOTICES["mit"], license_scan.NOTICES["isc"].split()
+    patched = " ".join(isc[:12] + ["really"] + isc[12:24] + ["truly"] + isc[24:])
+    times = [1, 2, 3, 4, 10, 100]
+    rows = [(k, "All rights reserved. " * k) for k in times]
+    rows += [(1000 + k, (mit + " ") * k) for k in times] + [(2000 + k, (patched + " ") * k) for k in times]
+    rows += [(5000, "all rights and then some more words were reserved " * 20)]
+    lines, spans = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r["doc_id"]: r for r in license_scan.summarise(lines, spans).collect()}
+    counted = {r["doc_id"]: r["count"] for r in lines.join(spans, "row").groupBy("doc_id").count().collect()}
+    for k in times:
+        assert got[k]["labels"] == "all-rights-reserved" and got[k]["score"] == 1
+        assert got[1000 + k]["labels"] == "mit" and got[1000 + k]["score"] == 1
+        assert got[2000 + k]["labels"] == "isc" and got[2000 + k]["score"] >= license_scan.COVERED
+    assert [counted[k] for k in times[2:]] == times[2:] and counted[1010] == 10
+    assert got[5000]["labels"] == "" and got[5000]["score"] == 0
+
+
 def test_license_scan_of_nothing(empty):
     assert license_scan.summarise(*license_scan.scan(empty)).collect() == []
 
