@@ -60,6 +60,14 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(settled: DataFrame) -> None:
+    """Remove the folder of one settled result, once what was made of it is stored as well."""
+    spark, files = settled.sparkSession, settled.inputFiles()
+    if files:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def release(spark: SparkSession) -> None:
     """Remove this application's intermediate tables from the shared folder; frames that read them end with it."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
