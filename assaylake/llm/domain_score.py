@@ -8,7 +8,7 @@ Dirichlet prior around the model's own unigrams,
 
 whose loss is a sum of a term of the word, a term of the word before it and a term of the bigram. Every task counts the words
 and bigrams of its rows and passes them on in blocks of sorted keys, one per bucket of keys; the buckets are merged and become
-one table of terms (kind, key, value), as large as the corpus makes it. A text is a bag of terms: those that are frequent in
+one table of terms (key, value), as large as the corpus makes it. A text is a bag of terms: those that are frequent in
 the corpus are known to all tasks, a table of bounded size; all others are joined with the table. Values are whole millionths
 of a bit, so sums don't depend on their order.
 """
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from assaylake.llm.encoding import steps
 from assaylake.llm.hashing import spread, word_hashes
 from assaylake.llm.shipping import ship
-from assaylake.session import settle
+from assaylake.session import forget, settle
 
 #: Weight of the unigrams in a bigram's prediction, in words, and what is added to every unigram count.
 PRIOR, ADDED = 256.0, 0.5
@@ -34,20 +34,22 @@ PRIOR, ADDED = 256.0, 0.5
 LEAST = 2
 #: At most so many terms are known to all tasks (12 bytes each), words in the join that prices bigrams, and target ids in the
 #: join that marks the texts. All others are joined by a shuffle, with the same result.
-KNOWN_TERMS, KNOWN_WORDS, KNOWN_IDS = 1 << 20, 1 << 16, 1 << 20
+KNOWN_TERMS, KNOWN_WORDS, KNOWN_IDS = 1 << 21, 1 << 16, 1 << 20
 #: Parts of a bit in which values are kept.
 UNIT = 1_000_000
 #: What stands before a text's first word; bytes of text a worker takes at a time; distinct bigrams it keeps before it passes them on.
-START, STEP, KEPT = np.uint64(1), 4 << 20, 3_000_000
+START, STEP, KEPT = np.uint64(1), 2 << 20, 1 << 20
 #: Bits of the map of bigrams that have a term. It spares the others the join while it isn't full.
 SLOTS = 1 << 27
 WORD, BEFORE, BIGRAM = 0, 1, 2
+#: Upper half of the keys of BEFORE terms; that of WORD terms is 0, that of bigrams their word's number, which is FIRST at least.
+MARK, FIRST = np.uint64(1 << 32), np.uint64(4)
 
 
 def terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Number of every word and of the word before it, below 2**32, and the number of words of each text."""
     words, sizes = word_hashes(texts)
-    words = spread(words) >> np.uint64(32)
+    words = np.maximum(spread(words) >> np.uint64(32), FIRST)
     before = np.concatenate([[START], words[:-1]]) if len(words) else words
     before[(np.cumsum(sizes) - sizes)[sizes > 0]] = START
     return words, before, sizes
@@ -151,7 +153,7 @@ def _value(bits: Column) -> Column:
 
 
 def train(marked: DataFrame) -> DataFrame:
-    """The table of terms of both models: kind, key, n (occurrences in the corpus) and value (loss under the target less loss
+    """The table of terms of both models: key, n (occurrences in the corpus) and value (loss under the target less loss
     under the background, in millionths of a bit), from (text, target).
 
     Every word of every row is counted. Bigrams find the counts of their word in the same table: the most frequent words,
@@ -174,19 +176,21 @@ def train(marked: DataFrame) -> DataFrame:
     def chance(side: str) -> Column:
         return (F.col(side) + ADDED) / max(size[side] + ADDED * size["words"], 1.0)
 
-    words = stored.where(word).select(F.lit(WORD).alias("kind"), "key", "n", _value(F.log2(chance("background")) - F.log2(chance("target"))))
+    words = stored.where(word).select("key", "n", _value(F.log2(chance("background")) - F.log2(chance("target"))))
     times = F.col("before_background") + F.col("before_target")
     weight = F.log2(F.col("before_target") + PRIOR) - F.log2(F.col("before_background") + PRIOR)
-    before = stored.where((F.col("kind") == WORD) & (times > 0)).select(F.lit(BEFORE).alias("kind"), "key", times.alias("n"), _value(weight))
+    before = stored.where((F.col("kind") == WORD) & (times > 0)).select((F.col("key") + int(MARK)).alias("key"), times.alias("n"), _value(weight))
     priced = stored.where(word).select(F.col("key").alias("word"), "n", chance("background").alias("in_background"), chance("target").alias("in_target"))
     common = F.col("n") >= _at_most(priced, KNOWN_WORDS)
     known = F.broadcast(priced.where(common).drop("n"))
-    grams = stored.where(F.col("kind") == BIGRAM).select("kind", "key", "n", "background", "target", F.shiftrightunsigned("key", 32).alias("word"))
+    grams = stored.where(F.col("kind") == BIGRAM).select("key", "n", "background", "target", F.shiftrightunsigned("key", 32).alias("word"))
     gain = lambda side: F.log2(1 + F.col(side) / (PRIOR * F.col(f"in_{side}")))
-    term = ("kind", "key", "n", _value(gain("background") - gain("target")))
+    term = ("key", "n", _value(gain("background") - gain("target")))
     frequent = grams.join(known, "word").select(*term)
     others = grams.join(known, "word", "left_anti").join(priced.where(~common).drop("n"), "word").select(*term)
-    return settle(words.unionByName(before).unionByName(frequent).unionByName(others), "terms")
+    table = settle(words.unionByName(before).unionByName(frequent).unionByName(others), "terms")
+    forget(stored)
+    return table
 
 
 def _slots(key: np.ndarray) -> np.ndarray:
@@ -196,7 +200,7 @@ def _slots(key: np.ndarray) -> np.ndarray:
 def _listed(table: DataFrame) -> np.ndarray:
     """The map of the bigrams in the table: SLOTS bits, whatever their number."""
     slot = (F.shiftrightunsigned("key", 32) * 31 + F.col("key").bitwiseAND(0xFFFFFFFF)).bitwiseAND(SLOTS - 1)
-    bits = table.where(F.col("kind") == BIGRAM).select((slot / 32768).cast("int").alias("part"), (slot % 32768).alias("bit"))
+    bits = table.where(F.shiftrightunsigned("key", 32) >= int(FIRST)).select((slot / 32768).cast("int").alias("part"), (slot % 32768).alias("bit"))
     parts = bits.repartition("part").groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
     listed = np.zeros((SLOTS // 32768, 4096), np.uint8)
     for r in parts:
@@ -213,8 +217,8 @@ def _look_up(shared):
                 words, before, sizes = terms(texts.slice(at, n))
                 owner = np.repeat(np.arange(n), sizes)
                 totals, columns = np.zeros(n, np.int64), []
-                for kind, key in ((WORD, words), (BEFORE, before), (BIGRAM, words << np.uint64(32) | before)):
-                    known, values = tables[kind]
+                for kind, key in ((WORD, words), (BEFORE, before + MARK), (BIGRAM, words << np.uint64(32) | before)):
+                    known, values = tables
                     distinct, place = np.unique(key, return_inverse=True)
                     spot = np.searchsorted(known[:-1], distinct)
                     hit = known[spot] == distinct
@@ -236,15 +240,11 @@ def _look_up(shared):
     return look_up
 
 
-def _known(frequent: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """By kind, sorted keys and their values, and a last entry that no search may pass."""
-    found = {}
-    for kind in (WORD, BEFORE, BIGRAM):
-        rows = frequent.filter(pc.equal(frequent.column("kind"), kind))
-        key, value = rows.column("key").to_numpy().view(np.uint64), rows.column("value").to_numpy()
-        order = np.argsort(key)
-        found[kind] = np.append(key[order], np.uint64(0)), np.append(value[order], 0).astype(np.int32)
-    return found
+def _known(frequent: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and their values, and a last entry that no search may pass."""
+    key, value = frequent.column("key").to_numpy().view(np.uint64), frequent.column("value").to_numpy()
+    order = np.argsort(key)
+    return np.append(key[order], np.uint64(0)), np.append(value[order], 0).astype(np.int32)
 
 
 def score(docs: DataFrame, target_ids: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -268,15 +268,14 @@ def score(docs: DataFrame, target_ids: DataFrame, key: str = "doc_id", text: str
     marked = rows.join(F.broadcast(wanted) if few else wanted.hint("shuffle_hash"), "doc_id", "left")
     table = train(marked.select("text", F.coalesce("target", F.lit(False)).alias("target")))
     least = _at_most(table, KNOWN_TERMS)
-    frequent = table.where(F.col("n") >= least).select("kind", "key", "value").toArrow()
+    frequent = table.where(F.col("n") >= least).select("key", "value").toArrow()
     rare = table.where(F.col("n") < least)
     shared = spark.sparkContext.broadcast((_known(frequent), _listed(rare)))
     lists = ("words", "before", "bigrams")
     looked = rows.mapInArrow(_look_up(shared), f"doc_id {kind}, n_words bigint, value bigint, " + ", ".join(f"{c} array<bigint>" for c in lists))
     stored = settle(looked.withColumn("row", F.monotonically_increasing_id()), "partly-scored")
-    keyed = [F.transform(c, lambda k: F.struct(F.lit(kind).alias("kind"), k.alias("key"))) for kind, c in enumerate(lists)]  # noqa: B023
-    asked = F.explode(F.concat(*keyed))
-    answers = stored.select("row", asked.alias("term")).select("row", "term.*").join(rare.select("kind", "key", F.col("value").alias("more")), ["kind", "key"])
+    asked = stored.select("row", F.explode(F.concat(*lists)).alias("key"))
+    answers = asked.join(rare.select("key", F.col("value").alias("more")), "key")
     answers = answers.groupBy("row").agg(F.sum("more").alias("more"))
     total = F.col("value") + F.coalesce("more", F.lit(0))
     difference = F.when(F.col("n_words") > 0, total / F.lit(float(UNIT)) / F.col("n_words"))
