@@ -7,7 +7,7 @@ import assaylake
 from assaylake import Reference, Rule, RuleError, Run, compile_rules, register_rule_type, run_rules
 from assaylake.plans import keyed
 from assaylake.plans.compile import expectations
-from assaylake.plans.metrics import execution_log, rule_counts
+from assaylake.plans.metrics import execution_log, rule_counts, tally
 from assaylake.plans.verdicts import evaluate
 
 
@@ -432,3 +432,76 @@ def test_rows_are_judged_by_the_version_of_their_time(spark):
     assert loaded[0].rule.params == {"max": 15} and version_counts(df, loaded, "day").first().total_records == 3
     with pytest.raises(RuleError):
         version_counts(df, [RuleVersion(Rule("u", "uniqueness", "id"), 1)], "day")
+
+
+def test_shuffled_rows_carry_verdicts_and_not_the_columns_of_rules(spark, tmp_path, monkeypatch):
+    """Row verdicts go through the shuffles of key rules as bits, and what sets rows aside is known before the first of them."""
+    rows = spark.range(3_000).select(
+        "id", (F.col("id") % 700).alias("k"), (F.col("id") % 9).alias("m"), (F.col("id") % 50 * 1.5).alias("amount"), F.repeat(F.lit("w"), 300).alias("wide")
+    )
+    rows.write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    rules = [
+        Rule("u", "uniqueness", "k", {"columns": ["k", "m"]}, "error", "hard"),
+        Rule("a", "range", "amount", {"min": 3}, "error", "hard"),
+        Rule("r", "referential_integrity", "k", {"ref_table": "r", "ref_column": "k"}),
+        Rule("s", "custom_sql", "amount", {"sql_expression": "amount * 2 > 30"}),
+        *[Rule(f"l{i}", "range", "amount", {"max": i}) for i in range(35)],
+    ]
+    refs = {"r": Reference(spark.range(250).select(F.col("id").alias("k")))}
+    verdicts = {how: run_rules(df, rules, Run("q", "d", "2026-01-01 00:00:00"), refs, how) for how in ("row", "sequential")}
+    want = {how: sorted(map(str, r.validated.drop("wide").collect())) for how, r in verdicts.items()}
+    monkeypatch.setattr(keyed, "BROADCAST_KEYS", -1)
+    monkeypatch.setattr(keyed, "HOT_ROWS", 5)
+    for how in ("row", "sequential"):
+        result = run_rules(df, rules, Run("q", "d", "2026-01-01 00:00:00"), refs, how)
+        assert sorted(map(str, result.validated.drop("wide").collect())) == want[how]
+    v = run_rules(df, rules, Run("q", "d", "2026-01-01 00:00:00"), refs).verdicts
+    counted = v.frame.agg(F.count_if(v.clean()), *[F.count_if(v.passed(i)) for i in range(len(rules))])
+    plan = counted._jdf.queryExecution().optimizedPlan()
+    joins = [n for n in plan.toString().split("\n") if "Join LeftOuter" in n and "from" in n]
+    assert len(joins) == 2
+    carried = []
+
+    def walk(node):
+        if node.nodeName() == "Join" and "__from" in node.toString().split("\n")[0]:
+            carried.append({node.children().apply(0).output().apply(i).name() for i in range(node.children().apply(0).output().size())})
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(plan)
+    assert len(carried) == 2 and not any(c & {"amount", "wide"} for c in carried)
+
+
+def test_keys_are_looked_for_without_the_joins_of_other_rules(spark, monkeypatch):
+    """In sequential mode the rows among which a key is counted are joined to nothing that does not hide rows."""
+    monkeypatch.setattr(keyed, "BROADCAST_KEYS", -1)
+    from assaylake.plans import verdicts
+
+    seen = []
+    monkeypatch.setattr(verdicts, "bad_keys", lambda df, *a: seen.append(df._jdf.queryExecution().analyzed().toString()) or keyed.bad_keys(df, *a))
+    rules = [
+        Rule("r", "referential_integrity", "k", {"ref_table": "r", "ref_column": "k"}),
+        Rule("u", "uniqueness", "k", {}, "error", "hard"),
+        Rule("h", "referential_integrity", "k", {"ref_table": "r", "ref_column": "k"}, "error", "hard"),
+        Rule("w", "uniqueness", "id"),
+    ]
+    refs = {"r": Reference(spark.range(250).select(F.col("id").alias("k")))}
+    df = spark.range(600).select("id", (F.col("id") % 500).alias("k"))
+    log = {r.rule_id: (r.total_records, r.passed_count) for r in run_rules(df, rules, Run("q", "d"), refs, "sequential").log.collect()}
+    assert log == {"r": (600, 350), "u": (600, 400), "h": (400, 150), "w": (150, 150)}
+    assert "Join" not in seen[0] and seen[1].count("__from") > 0
+
+
+def test_rows_are_tried_before_they_are_joined(spark, tmp_path, monkeypatch):
+    """A run with a rule by a user takes no tally before one is asked for."""
+    monkeypatch.setattr(keyed, "BROADCAST_KEYS", -1)
+    from assaylake.plans import engine
+
+    taken = []
+    monkeypatch.setattr(engine, "tally", lambda v: taken.append(v) or tally(v))
+    df = spark.range(100).select("id", (F.col("id") % 30).alias("k"))
+    rules = [Rule("u", "uniqueness", "k"), Rule("c", "custom_sql", "id", {"sql_expression": "id > 50"}), Rule("e", "custom_sql", "id", {"sql_expression": "CAST(concat('x', id) AS INT) > 1"})]
+    result = run_rules(df, rules, Run("q", "d"))
+    assert result.clean.count() == 100 and not taken
+    assert {r.rule_id: r.status for r in result.log.collect()} == {"u": "failed", "c": "failed", "e": "error"} and len(taken) == 1
