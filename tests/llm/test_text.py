@@ -483,3 +483,40 @@ def test_bands_do_not_follow_the_junk(spark, share):
     assert got[got.doc_id < 0].kept.mean() < 0.01
     good = got[(got.doc_id >= 0) & ~got.base_failed]
     assert good.kept.mean() > 0.9
+
+
+def spelled_back(codes, alphabet):
+    """The text of a spelling, by its first symbols alone."""
+    symbols, out = iter((codes % perplexity.SYMBOLS).tolist()), []
+    for first in symbols:
+        if first < 60:
+            out.append(int(alphabet[first - 1]))
+        else:
+            point = first - 60 if first < 62 else 0
+            for _ in range({60: 1, 61: 1, 62: 2, 63: 4}[first]):
+                point = point * 64 + next(symbols)
+            out.append(point)
+    return "".join(map(chr, out))
+
+
+def test_no_two_texts_are_spelled_alike():
+    texts = ["", "a b", "10 20", "19 28", "1.0;2:0?", "été ètà", "Привет", "Превет", "日本語", "日木語", "\x00\x85\t\n \x7f", "😀😁\U0010ffff", *(t or "" for _, t, _ in ROWS)]
+    letters = [perplexity.PLAIN, np.array([ord(c) for c in "приветПевсу "])]
+    for k, alphabet in enumerate(letters):
+        which = np.full(len(texts), k)
+        codes, lengths = perplexity.trigram_codes(pa.array(texts), perplexity.spellings(letters), which)
+        ends = np.cumsum(lengths)
+        assert [spelled_back(codes[e - n : e], alphabet) for e, n in zip(ends, lengths, strict=True)] == texts
+    plain, _ = perplexity.trigram_codes(pa.array(texts))
+    assert len(plain) > len("".join(texts))
+
+
+def test_letters_at_random_are_rejected_in_any_script(spark):
+    rng = np.random.default_rng(3)
+    words = "дом вода город человек время рука дело жизнь день голова слово место лицо друг глаз вопрос сторона страна мир случай ребенок конец вид система часть отношение женщина деньги земля машина".split()
+    letters = list("абвгдежзийклмнопрстуфхцчшщыьэюя")
+    prose = [(k, " ".join(rng.choice(words, 80)) + ".", "ru") for k in range(300)]
+    salad = [(-1 - k, " ".join("".join(rng.choice(letters, rng.integers(3, 9))) for _ in range(80)) + ".", "ru") for k in range(30)]
+    got = perplexity.measure(spark.createDataFrame(prose + salad, "doc_id long, text string, lang string")).toPandas()
+    assert not got.base_failed.any()
+    assert got[got.doc_id < 0].kept.mean() < 0.05 and got[got.doc_id >= 0].kept.mean() > 0.95
