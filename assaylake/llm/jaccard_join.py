@@ -99,7 +99,7 @@ def _region_tokens(buckets: int):
                 hashes, _ = shingles(texts.slice(at, n), WIDTH)
                 tokens = _short(hashes)
                 tokens = tokens[tokens < REGION]
-                bucket = _place(tokens) * buckets // MAP_BITS
+                bucket = _bucket(_place(tokens), buckets)
                 order = np.argsort(bucket, kind="stable")
                 ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
                 yield pa.RecordBatch.from_pydict({"bucket": pa.array(np.arange(buckets)), "tokens": _packed(tokens[order], ends)})
@@ -165,8 +165,8 @@ def learn_order(texts: DataFrame) -> Order:
     dealt = texts.mapInArrow(_region_tokens(buckets), "bucket bigint, tokens binary").repartition(buckets, "bucket")
     tallied = settle(dealt.mapInArrow(_tally(buckets), "bucket bigint, common array<bigint>, n array<bigint>, bits binary"), "shingle-tallies")
     listed = tallied.select(F.explode(F.arrays_zip("common", "n")).alias("c")).select("c.common", "c.n")
-    table = listed.orderBy(F.desc("n"), "common").limit(COMMON_KEPT).toPandas()
-    tokens = table["common"].to_numpy(np.int64).astype(np.uint64)
+    table = listed.orderBy(F.desc("n"), "common").limit(COMMON_KEPT).select("common").toArrow()
+    tokens = table["common"].to_numpy().astype(np.uint64)
     by_token = np.argsort(tokens)
     rank = np.arange(len(tokens), dtype=np.uint64)[::-1]  # the commonest comes last
     return Order(tokens[by_token], rank[by_token], _whole_map(tallied, buckets))
@@ -244,7 +244,7 @@ def _slices(buckets: int):
         held: dict[int, np.ndarray] = {}
         for batch in batches:
             place = batch.column("place").to_numpy()
-            bucket = place * buckets // MAP_BITS
+            bucket = _bucket(place, buckets)
             for k in np.unique(bucket).tolist():
                 low, high = _range(k, buckets)
                 held.setdefault(k, np.zeros(high - low, bool))[place[bucket == k] - low] = True
@@ -254,18 +254,23 @@ def _slices(buckets: int):
     return slices
 
 
+def _bucket(place: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each place; the places of a byte of the map have the same."""
+    return place // 8 * buckets // (MAP_BITS // 8)
+
+
 def _range(bucket: int, buckets: int) -> tuple[int, int]:
-    """Places of the map that belong to a bucket."""
-    return -(-bucket * MAP_BITS // buckets), -(-(bucket + 1) * MAP_BITS // buckets)
+    """Places of the map that belong to a bucket, in whole bytes."""
+    return 8 * -(-bucket * (MAP_BITS // 8) // buckets), 8 * -(-(bucket + 1) * (MAP_BITS // 8) // buckets)
 
 
 def _whole_map(slices: DataFrame, buckets: int) -> np.ndarray:
-    """The map from its slices (bucket, bits): a fixed size on the driver."""
-    out = np.zeros(MAP_BITS, bool)
+    """The map from its slices (bucket, bits): a fixed size on the driver, one bit a place at all times."""
+    out = np.zeros(MAP_BITS // 8, np.uint8)
     for r in slices.select("bucket", "bits").toLocalIterator():
         low, high = _range(r["bucket"], buckets)
-        out[low:high] = np.unpackbits(np.frombuffer(r["bits"], np.uint8))[: high - low].astype(bool)
-    return np.packbits(out)
+        out[low // 8 : high // 8] = np.frombuffer(r["bits"], np.uint8)
+    return out
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -339,7 +344,7 @@ class _Checker:
         buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
         ids = passed.select(F.col("a").alias("id")).union(passed.select(F.col("b").alias("id")))
         places = ids.select(F.pmod(F.xxhash64("id"), F.lit(MAP_BITS)).alias("place")).distinct()
-        places = places.repartition(buckets, F.floor(F.col("place") * buckets / MAP_BITS))
+        places = places.repartition(buckets, F.floor(F.floor(F.col("place") / 8) * buckets / (MAP_BITS // 8)))
         wanted = spark.sparkContext.broadcast(_whole_map(places.mapInArrow(_slices(buckets), "bucket bigint, bits binary"), buckets))
         sets = self.docs.mapInArrow(_sets(wanted), f"doc_id {self.kind}, tokens binary")
         sets = settle(sets, f"{label}-sets").distinct()

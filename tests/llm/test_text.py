@@ -2,6 +2,7 @@
 
 import re
 import hashlib
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -214,6 +215,20 @@ def test_join_of_odd_rows(odd, empty):
     assert jaccard_join.join(empty).collect() == []
 
 
+def test_the_map_never_takes_a_byte_a_place(spark):
+    buckets = 200  # no power of two, so that buckets end within words of the map
+    rng = np.random.default_rng(5)
+    places = np.unique(rng.integers(0, jaccard_join.MAP_BITS, 20_000))
+    dealt = spark.createDataFrame([(int(p),) for p in places], "place bigint").coalesce(1)
+    slices = dealt.mapInArrow(jaccard_join._slices(buckets), "bucket bigint, bits binary")
+    tracemalloc.start()
+    found = jaccard_join._whole_map(slices, buckets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.flatnonzero(np.unpackbits(found)).tolist() == places.tolist()
+    assert peak < 3 * jaccard_join.MAP_BITS // 8
+
+
 def test_one_id_with_several_texts(spark):
     a, b = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
     rows = [(5, a), (5, b), (7, a), (3, b), (9, "lonely text of its own here")]
