@@ -186,13 +186,22 @@ class Vocabulary:
         return {w: [t.id for t in tokenize(w)] for w in words}
 
     def encode_chunks(self, chunks: list[str], known: dict[str, list[int]] | None = None, trie: bool = False) -> list:
-        """Ids of each chunk. known: encodings from before, by word, to which the new ones are added."""
+        """Ids of each chunk, to be read only: chunks of one word share its list. known: encodings from before, by word, to which
+        the new ones are added."""
         known = {} if known is None else known
-        cut = [self.pieces(c) for c in chunks]
-        fresh = {p for c in cut for p in c if type(p) is str and p not in known}
-        known |= self.encode_words(fresh) if trie else self.tokenize_words(fresh)
+        cut = [c.lower() if c.isascii() and c.isalpha() else self.pieces(c) for c in chunks]
+        words = {c for c in cut if type(c) is str}
+        words.update(p for c in cut if type(c) is list for p in c if type(p) is str)
+        words -= known.keys()
+        known |= self.encode_words(words) if trie else self.tokenize_words(words)
         out = []
         for c in cut:
+            if type(c) is str:
+                out.append(known[c])
+                continue
+            if len(c) == 1 and type(c[0]) is str:
+                out.append(known[c[0]])
+                continue
             ids: list[int] = []
             for p in c:
                 if type(p) is str:

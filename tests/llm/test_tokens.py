@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assaylake.llm import bpe_codec, packing, rans_store, registered, token_counts
+from assaylake.llm.encoding import Encoder
 from assaylake.llm.vocabulary import version, vocabulary
 from assaylake.session import fresh_path
 from tests.llm.conftest import ROWS
@@ -28,6 +29,32 @@ def test_words_of_the_trie_match_the_library(vocabulary_path, library):
         assert v.encode_chunks(chunks, trie=trie) == [e.ids for e in library.encode_batch(chunks, add_special_tokens=False)]
 
 
+def test_plain_words_are_not_cut_and_not_copied(vocabulary_path, library, monkeypatch):
+    v = vocabulary(vocabulary_path)
+    expected = [e.ids for e in library.encode_batch(["plain", "Words", "plain"], add_special_tokens=False)]
+    monkeypatch.setattr(v, "pieces", lambda chunk: pytest.fail(f"{chunk} was cut"))
+    coded = v.encode_chunks(["plain", "Words", "plain"])
+    assert coded == expected and coded[0] is coded[2]
+
+
+def test_a_worker_that_collects_no_garbage_is_left_so(vocabulary_path, ids_of):
+    import gc
+
+    import pyarrow as pa
+
+    texts = ["plain words, (and others) plain", "", "a1 b2 straße"]
+    for on in (True, False):
+        (gc.enable if on else gc.disable)()
+        try:
+            own = Encoder(vocabulary_path)
+            for _ in range(2):  # new chunks, then remembered ones
+                ids, ends = own.encode(pa.array(texts))
+                assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [list(ids_of(t)) for t in texts]
+            assert gc.isenabled() is on
+        finally:
+            gc.enable()
+
+
 def test_shared_prefixes_are_walked_once(vocabulary_path):
     v = vocabulary(vocabulary_path)
     words = {"inter", "internal", "international", "internationally", "intern", "i"}
