@@ -211,6 +211,19 @@ class Vocabulary:
             out.append(ids)
         return out
 
+    def cut_chunks(self, chunks: list[str]) -> list[list[str | int]]:
+        """`pieces` of each chunk."""
+        pieces = self.pieces
+        return [[c.lower()] if c.isascii() and c.isalpha() else pieces(c) for c in chunks]
+
+    def encode_pieces(self, pieces: list[str | int], trie: bool = False) -> list[list[int]]:
+        """Ids of each piece: those of a word, or the special id that it is."""
+        if trie:
+            coded = self.encode_words({p for p in pieces if type(p) is str})
+            return [coded[p] if type(p) is str else [p] for p in pieces]
+        tokenize = self.library.model.tokenize
+        return [[t.id for t in tokenize(p)] if type(p) is str else [p] for p in pieces]
+
     def token_bytes(self) -> list[bytes]:
         """UTF-8 of every token's own text, by id."""
         return [self.text.get(i, "").encode() for i in range(max(self.text) + 1)]

@@ -55,6 +55,26 @@ def test_a_worker_that_collects_no_garbage_is_left_so(vocabulary_path, ids_of):
             gc.enable()
 
 
+def test_remembered_chunks_take_little_memory(vocabulary_path, ids_of):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(7)
+    words = sorted({"".join(rng.choices("abcdefghij", k=9)) for _ in range(20_000)})
+    texts = [" ".join(w + "," for w in words[k : k + 100]) for k in range(0, len(words), 100)]
+    own = Encoder(vocabulary_path)
+    own.encode(pa.array(texts[:2]))
+    tracemalloc.start()
+    try:
+        ids, ends = own.encode(pa.array(texts))
+        held = tracemalloc.get_traced_memory()[0] - ids.nbytes
+    finally:
+        tracemalloc.stop()
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [list(ids_of(t)) for t in texts]
+    assert held < 400 * len(words), held / len(words)
+
+
 def test_shared_prefixes_are_walked_once(vocabulary_path):
     v = vocabulary(vocabulary_path)
     words = {"inter", "internal", "international", "internationally", "intern", "i"}
