@@ -39,6 +39,8 @@ KNOWN_TERMS, KNOWN_WORDS, KNOWN_IDS = 1 << 21, 1 << 16, 1 << 20
 UNIT = 1_000_000
 #: What stands before a text's first word; bytes of text a worker takes at a time; distinct bigrams it keeps before it passes them on.
 START, STEP, KEPT = np.uint64(1), 2 << 20, 1 << 20
+#: Buckets of keys: so many a partition, as long as there are no more than BUCKETS in all. Entries that wait before they are merged.
+BUCKETS_EACH, BUCKETS, MERGED = 8, 1 << 9, 1 << 18
 #: Bits of the map of bigrams that have a term. It spares the others the join while it isn't full.
 SLOTS = 1 << 27
 WORD, BEFORE, BIGRAM = 0, 1, 2
@@ -116,23 +118,41 @@ def _count(buckets: int):
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for batch in batches:
-        parts: dict[int, list] = {WORD: [], BIGRAM: []}
-        for kind, n, block in zip(batch["kind"].to_pylist(), batch["n"].to_pylist(), batch["block"].to_pylist(), strict=True):
-            parts[kind].append(_unpacked(block, n, 4 if kind == WORD else 2))
+    """Blocks come sorted by bucket, so that a task holds the keys of one bucket at a time."""
+    kept, parts, waiting, at_bucket = {}, {}, 0, None
+
+    def merge() -> None:
+        nonlocal waiting
         for kind, found in parts.items():
-            if found:
-                found = [kept[kind], *found] if kind in kept else found
-                kept[kind] = _merged(*(np.concatenate(both) for both in zip(*found, strict=True)))
-    for kind, (key, counts) in kept.items():
-        if kind == BIGRAM:
-            often = counts.sum(axis=1) >= LEAST
-            key, counts = key[often], np.hstack([counts[often], np.zeros_like(counts[often])])
-        for at in range(0, len(key), 1 << 18):
-            part = slice(at, at + (1 << 18))
-            columns = [np.full(len(key[part]), kind, np.int8), key[part].view(np.int64), *counts[part].T]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["kind", "key", "background", "target", "before_background", "before_target"])
+            found = [kept[kind], *found] if kind in kept else found
+            kept[kind] = _merged(*(np.concatenate(both) for both in zip(*found, strict=True)))
+        parts.clear()
+        waiting = 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        merge()
+        for kind, (key, counts) in kept.items():
+            if kind == BIGRAM:
+                often = counts.sum(axis=1) >= LEAST
+                key, counts = key[often], np.hstack([counts[often], np.zeros_like(counts[often])])
+            for at in range(0, len(key), 1 << 16):
+                part = slice(at, at + (1 << 16))
+                columns = [np.full(len(key[part]), kind, np.int8), key[part].view(np.int64), *counts[part].T]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["kind", "key", "background", "target", "before_background", "before_target"])
+        kept.clear()
+
+    for batch in batches:
+        rows = zip(*(batch[c] for c in ("bucket", "kind", "n", "block")), strict=True)
+        for bucket, kind, n, block in ((b.as_py(), k.as_py(), n.as_py(), block.as_buffer()) for b, k, n, block in rows):
+            if bucket != at_bucket:
+                yield from flush()
+                at_bucket = bucket
+            parts.setdefault(kind, []).append(_unpacked(block, n, 4 if kind == WORD else 2))
+            waiting += n
+            # as many as are merged already, so that a key is merged a few times at most
+            if waiting > max(MERGED, sum(len(key) for key, _ in kept.values())):
+                merge()
+    yield from flush()
 
 
 def _at_most(counted: DataFrame, most: int) -> int:
@@ -162,8 +182,10 @@ def train(marked: DataFrame) -> DataFrame:
     spark = marked.sparkSession
     ship(spark)
     seen = Observation()
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = marked.mapInArrow(_count(buckets), "bucket int, kind tinyint, n bigint, block binary").repartition(buckets, "bucket")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(partitions, min(partitions * BUCKETS_EACH, BUCKETS))
+    blocks = marked.mapInArrow(_count(buckets), "bucket int, kind tinyint, n bigint, block binary")
+    blocks = blocks.repartition(partitions, "bucket").sortWithinPartitions("bucket")
     merged = blocks.mapInArrow(
         _merge, "kind tinyint, key bigint, background bigint, target bigint, before_background bigint, before_target bigint"
     )

@@ -61,6 +61,30 @@ def test_difference_against_dictionaries(spark, odd, monkeypatch, known):
     assert got == want
 
 
+def test_counts_are_merged_a_bucket_at_a_time():
+    """Keys of 40 buckets, each in 8 blocks that hold the same keys: what is held at most is far less than all of them."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng, buckets, n = np.random.default_rng(2), 40, 10_000
+    keys = [np.sort(rng.choice(1 << 40, n, replace=False).astype(np.uint64)) for _ in range(buckets)]
+    ones = np.ones((n, 2), np.int64)
+    rows = [{"bucket": b, "kind": domain_score.BIGRAM, "n": n, "block": domain_score._packed(key, ones)} for b, key in enumerate(keys) for _ in range(8)]
+    batch = pa.RecordBatch.from_pylist(rows, pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("n", pa.int64()), ("block", pa.binary())]))
+    found = []
+    tracemalloc.start()
+    try:
+        for out in domain_score._merge(iter([batch])):
+            found.append((out["key"].to_numpy().sum(), out["background"].to_numpy().sum(), len(out)))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(f[2] for f in found) == buckets * n and sum(f[1] for f in found) == buckets * n * 8
+    assert sum(int(f[0]) for f in found) == sum(int(k.astype(np.int64).sum()) for k in keys)
+    assert peak < buckets * n * 8 * 24 / 4, peak
+
+
 def test_good_documents_score_lower(spark, sf_dir):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     scored = registered.op3_entropy_difference(spark, "/root/testdata/sf0.01").join(labels, "doc_id").groupBy("quality").agg(F.avg("difference").alias("d"))
