@@ -38,7 +38,9 @@ KNOWN_TERMS, KNOWN_WORDS, KNOWN_IDS = 1 << 21, 1 << 16, 1 << 20
 #: Parts of a bit in which values are kept.
 UNIT = 1_000_000
 #: What stands before a text's first word; bytes of text a worker takes at a time; distinct bigrams it keeps before it passes them on.
-START, STEP, KEPT = np.uint64(1), 2 << 20, 1 << 20
+START, STEP, KEPT = np.uint64(1), 1 << 20, 1 << 20
+#: While words are counted, a count in the background and one in the target share a number of 64 bits; words that are counted so.
+HALF, HELD = 32, 1 << 29
 #: Buckets of keys: so many a partition, as long as there are no more than BUCKETS in all. Entries that wait before they are merged.
 BUCKETS_EACH, BUCKETS, MERGED = 8, 1 << 9, 1 << 18
 #: Bits of the map of bigrams that have a term. It spares the others the join while it isn't full.
@@ -78,6 +80,12 @@ def _unpacked(data: bytes, n: int, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(columns[0], dtype=np.uint64), np.stack(columns[1:], axis=1).view(np.int64)
 
 
+def _sides(counts: np.ndarray) -> np.ndarray:
+    """Background and target of every count, beside each other."""
+    halves = np.stack([counts & ((1 << HALF) - 1), counts >> HALF], axis=2)
+    return halves.reshape(len(counts), -1)
+
+
 def _blocks(kind: int, key: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
     bucket = (spread(key, salt=3) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
@@ -88,7 +96,7 @@ def _blocks(kind: int, key: np.ndarray, counts: np.ndarray, buckets: int) -> pa.
             "bucket": pa.array([b for b, _ in full], pa.int32()),
             "kind": pa.array([kind] * len(full), pa.int8()),
             "n": pa.array([len(at) for _, at in full], pa.int64()),
-            "block": pa.array([_packed(key[at], counts[at]) for _, at in full], pa.binary()),
+            "block": pa.array([_packed(key[at], _sides(counts[at])) for _, at in full], pa.binary()),
         }
     )
 
@@ -96,22 +104,39 @@ def _blocks(kind: int, key: np.ndarray, counts: np.ndarray, buckets: int) -> pa.
 def _count(buckets: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        waiting = held = 0
+
+        def merge() -> None:
+            nonlocal waiting
+            for kind, found in parts.items():
+                found = [kept.pop(kind), *found] if kind in kept else found
+                joined = [np.concatenate(both) for both in zip(*found, strict=True)]
+                found.clear()
+                kept[kind] = _merged(*joined)
+            parts.clear()
+            waiting = 0
+
         for batch in batches:
             texts = pc.fill_null(batch.column("text"), "")
             target = batch.column("target").to_numpy(zero_copy_only=False).astype(np.int64)
             for at, n in steps(texts, STEP):
                 words, before, sizes = terms(texts.slice(at, n))
-                side = np.repeat(target[at : at + n], sizes)
-                sides = np.stack([1 - side, side], axis=1)
-                none = np.zeros_like(sides)
-                # of a word: its counts in background and target, then its counts as the word before
-                ones = (np.concatenate([words, before]), np.concatenate([np.hstack([sides, none]), np.hstack([none, sides])]))
-                for kind, found in ((WORD, ones), (BIGRAM, (words << np.uint64(32) | before, sides))):
-                    found = _merged(*found)
-                    kept[kind] = _merged(*(np.concatenate(both) for both in zip(kept[kind], found, strict=True))) if kind in kept else found
-                if len(kept[BIGRAM][0]) > KEPT:
-                    yield from (_blocks(kind, *found, buckets) for kind, found in kept.items())
-                    kept = {}
+                one = np.repeat(np.left_shift(1, HALF * target[at : at + n]), sizes)
+                none = np.zeros_like(one)
+                # of a word: its count, then its count as the word before, in background and target each
+                ones = np.concatenate([words, before]), np.stack([np.concatenate([one, none]), np.concatenate([none, one])], axis=1)
+                for kind, found in ((WORD, ones), (BIGRAM, (words << np.uint64(32) | before, one[:, None]))):
+                    parts.setdefault(kind, []).append(_merged(*found))
+                waiting, held = waiting + len(parts[BIGRAM][-1][0]), held + len(words)
+                # as many as are merged already, so that a key is merged a few times at most
+                if waiting > max(MERGED, len(kept[BIGRAM][0]) // 2 if kept else 0) or held > HELD:
+                    merge()
+                    if len(kept[BIGRAM][0]) > KEPT or held > HELD:
+                        yield from (_blocks(kind, *found, buckets) for kind, found in kept.items())
+                        kept.clear()
+                        held = 0
+        merge()
         yield from (_blocks(kind, *found, buckets) for kind, found in kept.items())
 
     return count

@@ -47,6 +47,32 @@ def brute_difference(target, background, texts):
     return [float(np.mean([t(*g) - b(*g) for g in pairs_of(x)])) if pairs_of(x) else None for x in texts]
 
 
+def test_counting_is_bounded_and_exact():
+    """Counts of a task in little memory, sides apart, whatever the number of steps."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{w}" for w in rng.integers(0, 60_000, 3000)) for _ in range(400)]
+    target = [k % 3 == 0 for k in range(len(texts))]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts), "target": pa.array(target)})
+    tracemalloc.start()
+    blocks = list(domain_score._count(4)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+    got = {domain_score.WORD: {}, domain_score.BIGRAM: {}}
+    for out in blocks:
+        for kind, n, block in zip(*(out[c].to_pylist() for c in ("kind", "n", "block")), strict=True):
+            for key, counts in zip(*domain_score._unpacked(block, n, 4 if kind == domain_score.WORD else 2), strict=True):
+                got[kind][int(key)] = got[kind].get(int(key), 0) + counts
+    words, before, sizes = domain_score.terms(batch["text"])
+    side = np.repeat(np.array(target), sizes)
+    for at, found in enumerate((words, before)):
+        for which in (0, 1):
+            want = Counter(found[side == which].tolist())
+            assert want == Counter({k: int(v[2 * at + which]) for k, v in got[domain_score.WORD].items() if v[2 * at + which]})
+    pairs = Counter(zip((words << np.uint64(32) | before).tolist(), side.tolist(), strict=True))
+    assert pairs == Counter({(k, bool(which)): int(v[which]) for k, v in got[domain_score.BIGRAM].items() for which in (0, 1) if v[which]})
+
+
 @pytest.mark.parametrize("known", [(1 << 20, 1 << 16), (5, 3), (0, 0)])
 def test_difference_against_dictionaries(spark, odd, monkeypatch, known):
     """Whatever is known to all tasks and whatever is joined."""
