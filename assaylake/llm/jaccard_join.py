@@ -476,13 +476,35 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _listed(ids: DataFrame) -> DataFrame:
+    """The map of the places of ids (doc_id), as rows of 32,768 places: 8 MB at most, whatever their number."""
+    place = ids.select(F.pmod(F.xxhash64("doc_id"), F.lit(MAP_BITS)).alias("place"))
+    bits = place.select(F.floor(F.col("place") / 32768).alias("part"), (F.col("place") % 32768).alias("bit"))
+    return bits.repartition("part").groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits"))
+
+
+def _told_apart(wrapped: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that have none of the ids, as the map of their places shows, and the others: those that have one, and as many
+    more as the map is full."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(MAP_BITS))
+    mapped = wrapped.withColumn("part", F.floor(place / 32768)).join(F.broadcast(_listed(ids)), "part", "left")
+    byte = F.conv(F.hex(F.substring("bits", (F.floor(place % 32768 / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.pow(F.lit(2), place % 8).cast("int")
+    mapped = mapped.withColumn("listed", F.coalesce(byte.bitwiseAND(bit) != 0, F.lit(False)))
+    free, asked = (mapped.where(F.col("listed") == there).select(*wrapped.columns) for there in (False, True))
+    return free, asked
+
+
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs, in all their columns, without near duplicates: of every component the document with the smallest
-    id, and of its rows one. Rows with a null id stay."""
+    id, and of its rows one. Rows with a null id stay. Texts are shuffled only if their id is, or falls on the place of, one
+    that goes, and all that are left if ids repeat."""
     wrapped = wrap(docs, key, text)
-    found = join(docs, key, text)
-    gone = found.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("gone")).distinct()
-    left = wrapped.join(gone.hint("shuffle_hash"), F.col("doc_id") == F.col("gone"), "left_anti")
+    found = settle(join(docs, key, text), "components-of-all")
+    gone = found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
+    gone = settle(gone, "gone")
+    free, asked = _told_apart(wrapped, gone)
+    left = free.unionByName(asked.join(gone.hint("shuffle_hash"), "doc_id", "left_anti"))
     again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null")
     if again.isEmpty():
         return unwrap(left)

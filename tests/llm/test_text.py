@@ -298,6 +298,16 @@ def test_keep_one_of_each(spark, odd):
     assert ids == [1, 3, 4, 5, 6, 7, 8, 9, 10, 12, 13, 14, None, None]
 
 
+@pytest.mark.parametrize("places", [1 << 15, 1 << 26])
+def test_few_rows_are_asked_whether_they_go(spark, monkeypatch, places):
+    monkeypatch.setattr(jaccard_join, "MAP_BITS", places)
+    docs = spark.range(5000).select(F.when(F.col("id") % 500 != 7, F.col("id")).alias("doc_id"), F.lit("some text").alias("text"))
+    gone = spark.range(0, 5000, 100).select(F.col("id").alias("doc_id"))
+    free, asked = (sorted((r["doc_id"] for r in d.collect()), key=str) for d in jaccard_join._told_apart(docs, gone))
+    assert sorted([*free, *asked], key=str) == sorted((r["doc_id"] for r in docs.collect()), key=str)
+    assert set(range(0, 5000, 100)) <= set(asked) and len(asked) < 100 and free.count(None) == 10
+
+
 # spot signatures
 
 
