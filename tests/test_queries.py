@@ -3,6 +3,7 @@
 import os
 import re
 
+import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
@@ -74,3 +75,15 @@ def test_bench_queries_are_registered():
     import bench
 
     assert set(bench.HEADLINE) <= set(spark_entry.queries())
+
+
+def test_rule_documents_hold_every_part(spark, tmp_path):
+    """Odd and even keys, both severities, nulls, a repeated row; many documents, which are written by few tasks."""
+    parts = [(k, k % 50) for k in (1, 2, 3, 9_999, 10_000, 10_001, 777_777, 1_234_567, 12_345_678, *range(20_000, 600_000, 10_007))]
+    parts += [(2, 40), (2, 40), (4, None), (None, 30), (None, None)]
+    path = str(tmp_path / "part.parquet")
+    spark.createDataFrame(parts, "p_partkey long, p_size int").write.parquet(path)
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW part AS SELECT * FROM read_parquet('{path}/*.parquet')")
+        assert compare(spark, con, str(tmp_path), "rule_documents") is None
+    assert spark_entry.queries()["rule_documents"](spark, str(tmp_path)).count() == 2 * len(parts)
