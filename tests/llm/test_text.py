@@ -595,3 +595,75 @@ def test_letters_at_random_are_rejected_in_any_script(spark):
     got = perplexity.measure(spark.createDataFrame(prose + salad, "doc_id long, text string, lang string")).toPandas()
     assert not got.base_failed.any()
     assert got[got.doc_id < 0].kept.mean() < 0.05 and got[got.doc_id >= 0].kept.mean() > 0.95
+
+
+def brute_bits(texts, trained, alphabet):
+    """Bits of every text by plain dictionaries of whole characters: a modified Kneser-Ney model of the trained texts."""
+    grams = lambda t: [tuple(["", "", *t][i : i + 3]) for i in range(len(t))]
+    counts = [None, None, Counter(g for t in trained for g in grams(t))]
+    for order in (1, 0):
+        counts[order] = Counter(g[1:] for g in counts[order + 1])
+
+    def cut(order):
+        n = [sum(v == k for v in counts[order].values()) for k in range(5)]
+        if not all(n[1:]):
+            return [0, 0.5, 1.0, 1.5]
+        y = n[1] / (n[1] + 2 * n[2])
+        return [0, *(float(np.clip(k - (k + 1) * y * n[k + 1] / n[k], 0.05, k)) for k in (1, 2, 3))]
+
+    cuts = [cut(order) for order in range(3)]
+    total, freed = [Counter(), Counter(), Counter()], [Counter(), Counter(), Counter()]
+    for order in range(3):
+        for g, n in counts[order].items():
+            total[order][g[:-1]] += n
+            freed[order][g[:-1]] += cuts[order][min(n, 3)]
+
+    def p(g, order=2):
+        if order < 0:
+            point = ord(g[0])
+            return 64.0 ** -(1 if point in alphabet else 2 if point < 0x80 else 3 if point < 0x1000 else 5)
+        g, c = g[-order - 1 :], g[-order - 1 : -1]
+        n, whole = counts[order][g], total[order][c]
+        lower = p(g[1:] if order else g, order - 1)
+        return lower if not whole else (n - cuts[order][min(n, 3)]) / whole + freed[order][c] / whole * lower
+
+    return [sum(-np.log2(p(g)) for g in grams(t)) for t in texts]
+
+
+@pytest.mark.parametrize("known", [1 << 20, 40, 0])
+def test_model_is_of_whole_characters(spark, monkeypatch, known):
+    """Perplexities of two languages and the pooled rest against brute force, whether all trigrams are known to all tasks, some or none."""
+    monkeypatch.setattr(perplexity, "KNOWN", known)
+    rng = np.random.default_rng(7)
+    signs = [chr(c) for c in range(0x4E00, 0x4E00 + 150)]
+    pieces = {"zh": signs, "ru": [*"абвгдежзиклмнопрст", "дом ", "é", "ж#"], "xx": ["word ", "ψ", "😀", "\x07", "no", " "]}
+    rows = []
+    for lang, found in pieces.items():
+        for k in range(2 if lang == "xx" else 90):
+            rows.append((len(rows), " ".join("".join(rng.choice(found, 3)) for _ in range(6 if k % 8 == 0 else 15)), lang))
+    rows += [(900, rows[1][1], "zh"), (901, "same same " * 8 + "\U0010ffff 一", "ru"), (902, None, "ru"), (903, "", None), (904, "none here ψ", None)]
+    got = {r["doc_id"]: r for r in perplexity.measure(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    for lang, own in (("zh", ("zh",)), ("ru", ("ru",)), ("other", ("xx", None))):
+        texts = [(i, t or "") for i, t, x in rows if x in own]
+        frequent = Counter(c for _, t in texts for c in t)
+        alphabet = {ord(c) for c, _ in sorted(frequent.items(), key=lambda x: (-x[1], ord(x[0])))[: perplexity.OWN]}
+        assert lang != "zh" or len(frequent) > 2 * perplexity.OWN
+        trained = {t for i, t in texts if not got[i]["base_failed"]}
+        assert len(trained) < len(texts)
+        for (i, t), bits in zip(texts, brute_bits([t for _, t in texts], trained, alphabet), strict=True):
+            assert got[i]["language"] == lang
+            if not got[i]["n_words"]:
+                assert got[i]["perplexity"] is None
+            else:
+                assert np.log2(got[i]["perplexity"]) == pytest.approx(bits / got[i]["n_words"], abs=1e-4)
+
+
+def test_characters_at_random_are_rejected_if_there_are_hundreds(spark):
+    rng = np.random.default_rng(3)
+    signs = [chr(c) for c in rng.permutation(np.arange(0x4E00, 0x9FA5))[:400]]
+    words = ["".join(pair) for pair in zip(signs[::2], signs[1::2], strict=True)]
+    prose = [(k, " ".join(rng.choice(words, 80)) + ".", "zh") for k in range(300)]
+    salad = [(-1 - k, " ".join("".join(rng.choice(signs, 2)) for _ in range(80)) + ".", "zh") for k in range(30)]
+    got = perplexity.measure(spark.createDataFrame(prose + salad, "doc_id long, text string, lang string")).toPandas()
+    assert not got.base_failed.any()
+    assert got[got.doc_id < 0].kept.mean() < 0.05 and got[got.doc_id >= 0].kept.mean() > 0.95
